@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import mixing
+from helixframe.llm import mixing, repetition
 from helixframe.plans.registry import table
 
 QUERIES: dict = {}
@@ -17,6 +17,12 @@ def query(f):
     return f
 
 
+@query
+def op1_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repetition.repetition(table(spark, sf_dir, "documents"))
+    return found.drop("spans")
+
+
 @query
 def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.pareto_mix(table(spark, sf_dir, "documents"))
