@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import mixing, repetition
+from helixframe.llm import media, mixing, repetition, secrets
 from helixframe.plans.registry import table
 
 QUERIES: dict = {}
@@ -23,7 +23,17 @@ def op1_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans")
 
 
+@query
+def op2_transport_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_features(media.stored_media(table(spark, sf_dir, "documents")))
+
+
 @query
 def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.pareto_mix(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies", "expected_copies", "source")
+
+
+@query
+def op5_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
