@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import media, mixing, repetition, secrets
+from helixframe.llm import language, media, mixing, repetition, secrets
 from helixframe.plans.registry import table
 
 QUERIES: dict = {}
@@ -34,6 +34,12 @@ def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies", "expected_copies", "source")
 
 
+@query
+def op4_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs))
+
+
 @query
 def op5_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))

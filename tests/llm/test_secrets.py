@@ -42,4 +42,4 @@ def test_table(spark):
     assert sorted((r.n_assign, r.spans) for r in rows) == [(0, ""), (0, ""), (0, ""), (1, "assign:2:21")]
     assert S.find_secrets(docs.limit(0)).count() == 0
     clean = S.redact(docs).collect()
-    assert [r.spans for r in clean] == ["z", "z", None, None] and sorted((r.text or "?")[:12] for r in clean) == ["", "", "?", 'x [assign]" w']
+    assert [r.spans for r in clean] == ["z", "z", None, None] and sorted(("?" if r.text is None else r.text)[:13] for r in clean) == ["", "", "?", 'x [assign]" w']
