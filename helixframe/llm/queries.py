@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import language, media, mixing, repetition, secrets
+from helixframe.llm import language, media, mixing, repetition, secrets, warc
 from helixframe.plans.registry import table
 
 QUERIES: dict = {}
@@ -43,3 +43,8 @@ def op4_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
