@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import language, media, mixing, repetition, secrets, warc
+from helixframe.llm import language, media, mixing, repetition, secrets, tokens, warc
 from helixframe.plans.registry import table
 
 QUERIES: dict = {}
@@ -48,3 +48,8 @@ def op5_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+@query
+def op10_token_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.digests(tokens.tokenized(table(spark, sf_dir, "documents")))
