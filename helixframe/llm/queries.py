@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import language, media, mixing, repetition, secrets, tokens, warc
+from helixframe.llm import language, media, mixing, near_dup, repetition, secrets, tokens, warc
 from helixframe.plans.registry import table
 
 QUERIES: dict = {}
@@ -53,3 +53,8 @@ def op6_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.digests(tokens.tokenized(table(spark, sf_dir, "documents")))
+
+
+@query
+def op9_fast_sketch_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
