@@ -67,15 +67,20 @@ def utf8(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """The words of a slice of texts as arrays: byte spans, the text of each, equal words as equal numbers."""
+    """The words of a slice of texts as arrays: byte spans, the text of each, equal words as equal numbers.
 
-    def __init__(self, data: np.ndarray, starts: np.ndarray) -> None:
+    cuts: bytes at which a word is cut in two.
+    """
+
+    def __init__(self, data: np.ndarray, starts: np.ndarray, cuts: np.ndarray | None = None) -> None:
         self.data, self.starts = data, starts
         inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         cut = starts[:-1][starts[:-1] < starts[1:]]
         first[cut] = inside[cut]
+        if cuts is not None:
+            first[cuts] = inside[cuts]
         self.inside = inside
         self.start = np.flatnonzero(first)
         ordinal = np.cumsum(inside)
@@ -98,8 +103,3 @@ class Words:
 def code_points(data: np.ndarray) -> np.ndarray:
     """How many code points start before each byte; one more entry for the end."""
     return np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-
-
-def arrow(df: DataFrame, step, schema: str) -> DataFrame:
-    """mapInArrow, for steps that turn record batches into record batches."""
-    return df.mapInArrow(step, schema)

@@ -6,8 +6,9 @@ list column of identifiers beside its columns of metadata. Row groups and pages
 dictionary- or delta-encoded (writer version 2), and files carry column indexes, so a read of a few documents, or of
 the metadata alone, opens only the pages that it needs.
 
-Texts are split at ASCII white space and distinct words are encoded once in a slice and kept for later ones; the
-tokenizer drops white space and no token spans it, so the identifiers are those of the whole text. `tokenizer` is the
+Texts are split at ASCII white space, words of Latin letters, marks and digits also into pre-tokens, and each distinct
+part is encoded once and kept for later slices; probes make sure that the tokenizer drops white space and cuts as
+this does, so the identifiers are those of the whole text. `tokenizer` is the
 path of a file that every executor has; it is never copied. A tokenizer that keeps white space encodes whole texts.
 
 Defined results: null text is empty and has the end identifier alone; null ids come first; rows with equal ids are in
@@ -16,6 +17,8 @@ the order of their texts' hashes, so that one id's rows need not share a range;
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,55 +33,111 @@ from pyspark.sql import functions as F
 from helixframe.llm.common import Words, scratch, slices, utf8
 
 TOKENIZER, END = public_tokenizers.path("word_bpe_49k.json"), 2
-ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 64 << 20, 256 << 10, 2000
+ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2000
 #: Words that a task remembers.
-MEMORY_WORDS = 200_000
+MEMORY_WORDS = 300_000
 #: Ranges of at most about so many bytes of text.
 RANGE_BYTES = 64 << 20
 
 
+#: Pre-tokens that can be told apart by their bytes: runs of Latin letters, runs of marks, single digits.
+SIMPLE = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[!-&(-/:-@\[-`{-~]+|[0-9]")
+LETTER, MARK, DIGIT, OTHER = 0, 1, 2, 3
+CLASS = np.full(256, OTHER, np.uint8)
+CLASS[33:127] = MARK
+CLASS[[*range(65, 91), *range(97, 123)]] = LETTER
+CLASS[48:58], CLASS[39] = DIGIT, OTHER
+
+
+def units(data: np.ndarray, starts: np.ndarray) -> Words:
+    """Words, those of Latin letters, marks and digits lower-cased and cut into pre-tokens."""
+    words = Words(data, starts)
+    kind, n = CLASS[data], len(data)
+    lead = np.flatnonzero(data[:-1] == 0xC3) if n else np.zeros(0, np.int64)
+    lead = lead[(data[lead + 1] & 0xC0 == 0x80) & (data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    kind[lead] = kind[lead + 1] = LETTER
+    odd = kind == OTHER
+    odd[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))  # special tokens in the text
+    odd = np.concatenate([[0], np.cumsum(odd & words.inside)])
+    simple = np.zeros(n, bool)
+    simple[words.inside] = np.repeat(odd[words.end] == odd[words.start], words.length)
+    data = data.copy()
+    data[simple & (data >= 65) & (data <= 90)] += 32
+    upper = lead[(data[lead + 1] < 0x9F) & simple[lead]] + 1
+    data[upper] += 32
+    cuts = np.flatnonzero(simple[1:] & ((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT))) + 1
+    return Words(data, starts, cuts)
+
+
 class Encoder:
     """Identifiers of texts, for one task."""
 
     def __init__(self, path: str, end: int) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end = Tokenizer.from_file(path), end
-        self.known: dict[bytes, np.ndarray] = {}
         probe = ("ab cd", "ab\tcd", " ab \n cd ")
         self.by_word = all(self.ids(p) == self.ids("ab") + self.ids("cd") for p in probe)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.closes[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
+        #: Whether words are cut into pre-tokens as units() does, and each one's last identifier closes it.
+        parts = ("ab", "#?", "é", "1", "2", ".", "x")
+        self.joins = self.ids("Ab#?É12. X") == [i for p in parts for i in self.ids(p)] and all(self.closes[self.ids(p)].tolist() == [False] * (len(self.ids(p)) - 1) + [True] for p in (*parts, "abracadabra"))
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[bytes, int] = {}
+        self.flat, self.bounds = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def learn(self, words: list[bytes]) -> None:
+        """Encodes words and remembers them: simple ones joined by spaces, others one by one."""
+        joined, other = [], []
+        for w in words:
+            text = w.decode()
+            (joined if self.joins and SIMPLE.fullmatch(text) else other).append((w, text))
+        flat, sizes = [self.flat], []
+        for k in range(0, len(joined), 1000):
+            ids = np.array(self.ids(" ".join(t for _, t in joined[k : k + 1000])), np.int32)
+            sizes.append(np.diff(np.flatnonzero(self.closes[ids]) + 1, prepend=0))
+            flat.append(ids)
+        for _, text in other:
+            ids = np.array(self.ids(text), np.int32)
+            sizes.append(np.array([len(ids)]))
+            flat.append(ids)
+        for w, _ in joined + other:
+            self.place[w] = len(self.place)
+        self.flat = np.concatenate(flat)
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(np.concatenate(sizes))]) if sizes else self.bounds
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Identifiers of all texts, each with its end, and where each text's start; the end last."""
         if not self.by_word:
-            each = [np.array([*e.ids, self.end], np.int32) for e in self.tokenizer.encode_batch(["" if t is None else t for t in texts.to_pylist()], add_special_tokens=False)]
+            each = [np.array([*self.ids(t or ""), self.end], np.int32) for t in texts.to_pylist()]
             return np.concatenate(each), np.concatenate([[0], np.cumsum([len(x) for x in each])])
         data, starts = utf8(texts)
-        words = Words(data, starts)
+        words = units(data, starts) if self.joins else Words(data, starts)
         number, distinct = words.numbers()
         distinct = distinct.to_pylist()
-        new = [w for w in distinct if w not in self.known]
-        if len(self.known) + len(new) > MEMORY_WORDS:
-            self.known.clear()
+        new = [w for w in distinct if w not in self.place]
+        if len(self.place) + len(new) > MEMORY_WORDS:
+            self.forget()
             new = distinct
-        for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-            self.known[w] = np.array(e.ids, np.int32)
-        each = [self.known[w] for w in distinct]
-        size = np.array([len(x) for x in each], np.int64)
-        flat = np.concatenate(each) if each else np.zeros(0, np.int32)
-        at = np.concatenate([[0], np.cumsum(size)])[:-1]
-        n = size[number]
+        self.learn(new)
+        known = np.array([self.place[w] for w in distinct], np.int64)[number] if distinct else np.zeros(0, np.int64)
+        n = self.bounds[known + 1] - self.bounds[known]
         # the end identifiers stand after each text's words
         total = np.concatenate([[0], np.cumsum(n)])
         per_text = total[words.at[1:]] - total[words.at[:-1]]
         bounds = np.concatenate([[0], np.cumsum(per_text + 1)])
         out = np.full(bounds[-1], self.end, np.int32)
-        source = np.repeat(at[number] - total[:-1], n) + np.arange(total[-1])
+        source = np.repeat(self.bounds[known] - total[:-1], n) + np.arange(total[-1])
         place = np.arange(total[-1]) + np.repeat(words.text, n)
-        out[place] = flat[source]
+        out[place] = self.flat[source]
         return out, bounds
 
 
