@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import language, media, mixing, near_dup, packing, repetition, secrets, tokens, warc
+from helixframe.llm import language, licenses, media, mixing, near_dup, packing, repetition, secrets, tokens, warc
 from helixframe.plans.registry import table
 
 QUERIES: dict = {}
@@ -63,3 +63,8 @@ def op9_fast_sketch_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))
