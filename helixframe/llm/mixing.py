@@ -67,13 +67,33 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SH
     return fill(totals, [], F.col("__source_size") * most, F.col("__share"), F.col("__all") * share, "__target").select("__source", "__source_size", "__target")
 
 
-def pareto_mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST, size_power: float = 0.5, seed: int = 20, bins: int = BINS) -> DataFrame:
+def keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, numbered: bool) -> DataFrame:
+    """__row (all columns), __id, __source, __words and __u, the row's draw; numbered: rows equal in id and text draw apart."""
+    rows = docs.select(F.struct("*").alias("__row"), F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), size_in_words(F.col(text_col)).alias("__words"), F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("__hash"))
+    if numbered:
+        rows = rows.drop("__row").withColumn("__repeat", F.row_number().over(W.partitionBy("__hash", "__id").orderBy("__words")))
+    else:
+        rows = rows.withColumn("__repeat", F.lit(1))
+    u = (F.pmod(F.xxhash64("__hash", "__repeat"), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+    return rows.withColumn("__u", u).drop("__hash", "__repeat")
+
+
+def pareto_mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 20, **settings) -> DataFrame:
     """One row for each document: id_col, size, source, source_size, target, copies, taken, expected_copies."""
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), size_in_words(F.col(text_col)).alias("__words"), F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("__hash"))
-    # equal rows get draws of their own
-    repeat = F.row_number().over(W.partitionBy("__hash", "__id").orderBy("__words"))
-    u = (F.pmod(F.xxhash64("__hash", repeat), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
-    slim = written(rows.withColumn("__u", u).drop("__hash"), "mix-sizes")
+    slim = written(keyed(docs, id_col, text_col, source_col, seed, True), "mix-sizes")
+    found = decided(slim, slim, **settings)
+    return found.select(F.col("__id").alias(id_col), F.col("__words").alias("size"), F.col("__source").alias("source"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__copies").alias("copies"), (F.col("__copies") * F.col("__words")).alias("taken"), F.coalesce("__expected", F.lit(0.0)).alias("expected_copies"))
+
+
+def mixed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 20, **settings) -> DataFrame:
+    """The rows of docs, each as often as the mix takes it. Rows equal in id and text are taken together."""
+    rows = keyed(docs, id_col, text_col, source_col, seed, False)
+    found = decided(written(rows.drop("__row"), "mix-sizes"), rows, **settings)
+    return found.filter("__copies > 0").select("__row", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select("__row.*")
+
+
+def decided(slim: DataFrame, rows: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST, size_power: float = 0.5, bins: int = BINS) -> DataFrame:
+    """rows with __copies, by the statistics of slim, which has their __id, __source, __words and __u."""
     groups = slim.groupBy("__source", "__words").agg(F.count(F.lit(1)).alias("__n"))
     targets = written(source_targets(groups.select("__source", (F.col("__words") * F.col("__n")).alias("__words")), weights, share, most), "mix-targets")
     few = is_small(targets)  # all tables by source have as many rows at most
@@ -90,13 +110,14 @@ def pareto_mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     rates = written(rates, "mix-rates")
     rates = F.broadcast(rates) if is_small(rates) else rates
 
-    ranked = slim.join(rates, slim["__source"].eqNullSafe(rates["__s"]) & (slim["__words"] == rates["__w"]), "left").drop("__s", "__w")
-    odds = (F.col("__u") / (1 - F.col("__u"))) / (F.col("__p") / (1 - F.col("__p")))
-    ranked = ranked.withColumn("__order", F.when(F.col("__p") > 0, odds))
-    # odds / (1 + odds) lies between 0 and 1 and keeps the order
-    ranked = ranked.withColumn("__bin", F.floor(F.col("__order") / (1 + F.col("__order")) * bins).cast("int"))
+    def with_order(rows: DataFrame) -> DataFrame:
+        ranked = rows.join(rates, rows["__source"].eqNullSafe(F.col("__s")) & (rows["__words"] == F.col("__w")), "left").drop("__s", "__w")
+        odds = (F.col("__u") / (1 - F.col("__u"))) / (F.col("__p") / (1 - F.col("__p")))
+        ranked = ranked.withColumn("__order", F.when(F.col("__p") > 0, odds))
+        # odds / (1 + odds) lies between 0 and 1 and keeps the order
+        return ranked.withColumn("__bin", F.floor(F.col("__order") / (1 + F.col("__order")) * bins).cast("int"))
 
-    drawn = ranked.filter("__p > 0")
+    drawn = with_order(slim).filter("__p > 0")
     bars = drawn.groupBy("__source", "__bin").agg(F.sum("__words").alias("__bar"))
     upto = W.partitionBy("__source").orderBy("__bin").rowsBetween(W.unboundedPreceding, -1)
     bars = bars.withColumn("__before", F.coalesce(F.sum("__bar").over(upto), F.lit(0)))
@@ -112,6 +133,7 @@ def pareto_mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     limits = need.join(last.select(F.col("__s").alias("__l"), "__last"), F.col("__s").eqNullSafe(F.col("__l")), "left").drop("__l")
     limits = limits.join(cut.withColumnRenamed("__s", "__c"), F.col("__s").eqNullSafe(F.col("__c")), "left").drop("__c")
 
+    ranked = with_order(rows)
     found = ranked.join(by_source(limits), ranked["__source"].eqNullSafe(F.col("__s")), "left")
     here = F.struct("__order", "__id", "__words")
     drawn_copy = (
@@ -121,5 +143,4 @@ def pareto_mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         .when((F.col("__bin") == F.col("__last")) & (here <= F.col("__cut")), 1)
         .otherwise(0)
     )
-    copies = (F.coalesce("__sure", F.lit(0)) + drawn_copy).cast("long")
-    return found.select(F.col("__id").alias(id_col), F.col("__words").alias("size"), F.col("__source").alias("source"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), copies.alias("copies"), (copies * F.col("__words")).alias("taken"), F.coalesce("__expected", F.lit(0.0)).alias("expected_copies"))
+    return found.withColumn("__copies", (F.coalesce("__sure", F.lit(0)) + drawn_copy).cast("long"))

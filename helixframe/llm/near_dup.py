@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from helixframe.llm.common import Words, slices, utf8, written
@@ -246,6 +247,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     usable = sig.filter("n > 0 and id is not null")
     firsts = usable.groupBy("set_hash").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"))
     copied = firsts.filter("copies > 1").select("set_hash", "first")
+    # rows that repeat an id with other words tie their classes together
+    split = usable.groupBy("id").agg(F.min("set_hash").alias("lo"), F.max("set_hash").alias("hi")).filter("lo < hi").select("id")
+    ties = usable.join(split, "id", "left_semi").join(copied, "set_hash").select(F.col("first").alias("a"), F.col("id").alias("b"))
     classes = usable.join(copied, "set_hash", "left").filter("first is null or first = id").select("id", "n", "bands", "sketch")
     classes = written(classes, "near-classes")
     buckets = classes.select("id", F.explode("bands").alias("key"))
@@ -261,10 +265,26 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     torn = crowd.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
     rest = candidates(crowd.join(torn, "key").join(sketch, "id"), False, percent).join(first, ["a", "b"], "left_anti")
     more = confirmed(written(rest, "near-pairs"), rows, percent, width)
-    labels = components(labels.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more))
+    labels = components(labels.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more).union(ties))
 
     out = sig.select("id", "n", "set_hash").join(copied, "set_hash", "left")
     out = out.withColumn("class", F.when(F.col("n") > 0, F.coalesce("first", "id")).otherwise(F.col("id")))
     out = out.join(labels, out["class"] == labels["node"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "class"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
+
+
+def deduplicated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """docs with one row of each group of near duplicates, that of the smallest id; all columns as they are."""
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **settings)
+    dropped = written(found.filter(~F.col("kept")).select(id_col).distinct(), "near-dropped")
+    if dropped.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        dropped = F.broadcast(dropped)
+    left = docs.join(dropped, id_col, "left_anti")
+    repeated = left.groupBy(id_col).agg(F.count(F.lit(1)).alias("rows")).filter(f"rows > 1 and {id_col} is not null").select(id_col)
+    if repeated.isEmpty():
+        return left.select(docs.columns)
+    names = docs.columns
+    rows = left.join(repeated, id_col, "left_semi").select(F.struct(*names).alias("row"), F.col(id_col).alias("key"), F.col(text_col).alias("text"))
+    one = rows.withColumn("place", F.row_number().over(W.partitionBy("key").orderBy("text"))).filter("place = 1").select("row.*")
+    return left.join(repeated, id_col, "left_anti").select(names).union(one)

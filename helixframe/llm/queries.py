@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+import corpus_pipeline
 from helixframe.llm import language, licenses, media, mixing, near_dup, packing, repetition, secrets, tokens, warc
 from helixframe.plans.registry import table
 
@@ -68,3 +68,12 @@ def op7_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -76,7 +76,7 @@ def test_groups_of_copies_and_near_copies(spark, monkeypatch):
 
 def test_odd_rows(spark):
     text = " ".join(f"w{i}" for i in range(40))
-    rows = [(None, text), (None, text), (5, text), (4, text), (4, text), (4, "other words stand here today"), (8, "other words stand here today"), (7, None), (6, ""), (9, " \n"), (10, "x " * 150_000), (11, "x " * 100_000)]
+    rows = [(None, text), (None, text), (5, text), (4, text), (4, text), (4, "other words stand here today"), (8, "other words stand here today"), (8, "and these are yet some more"), (7, None), (6, ""), (9, " \n"), (10, "x " * 150_000), (11, "x " * 100_000)]
     docs = spark.createDataFrame([(*r, "z", 1) for r in rows], "doc_id long, text string, id string, n long")
     got = result(N.near_duplicates(docs))
     want = []
@@ -85,6 +85,8 @@ def test_odd_rows(spark):
         want.append((i, len(shingles(t)), c, c == i))
     assert got == sorted(want, key=str)
     assert N.near_duplicates(docs.limit(0)).count() == 0
+    one = N.deduplicated(docs)
+    assert one.columns == docs.columns and sorted(((r.doc_id, r.n) for r in one.collect()), key=str) == sorted([(None, 1), (None, 1), (4, 1), (6, 1), (7, 1), (9, 1), (10, 1)], key=str)
 
 
 def test_sketches_estimate_similarity():
