@@ -124,10 +124,11 @@ def signatures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return rows.mapInArrow(step, SIGNATURE)
 
 
-def partners(n: np.ndarray, c: np.ndarray, block: np.ndarray, sketch: np.ndarray, best: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def partners(n: np.ndarray, c: np.ndarray, block: np.ndarray, sketch: np.ndarray, band: int, best: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the rows of one group that may be linked; with best, each row and its most similar partner alone.
 
-    Rows of different blocks are in one group only to be compared with each other.
+    Rows of different blocks are in one group only to be compared with each other. Without best, a pair is given
+    only in the first band that it shares, which the sketches show.
     """
     left, right = [], []
     across = block[0] != block[-1]
@@ -140,16 +141,21 @@ def partners(n: np.ndarray, c: np.ndarray, block: np.ndarray, sketch: np.ndarray
         j = np.flatnonzero(may)
         if not len(j):
             continue
-        agree = (sketch[j] == sketch[i]).sum(axis=1)
-        j = j[[agree.argmax()]] if best else j
-        j = j[(agree.max(keepdims=True) if best else agree) >= LEAST_AGREE]
+        same = sketch[j] == sketch[i]
+        agree = same.sum(axis=1)
+        if best:
+            j = j[[agree.argmax()]] if agree.max() >= LEAST_AGREE else j[:0]
+        else:
+            enough = agree >= LEAST_AGREE
+            first = same[enough].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+            j = j[enough][first == band]
         left += [i] * len(j)
         right += j.tolist()
     return np.array(left, np.int64), np.array(right, np.int64)
 
 
 def candidates(crowd: DataFrame, best: bool, percent: int) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of rows (key, members, id, n, c, sketch) that share a key, differ in c and may be linked."""
+    """Distinct pairs (a, b), a < b, of rows (key, band, members, id, n, c, sketch) that share a key, differ in c and may be linked."""
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks.cast("long")).cast("int")
     rows = crowd.withColumn("own", own)
@@ -157,7 +163,7 @@ def candidates(crowd: DataFrame, best: bool, percent: int) -> DataFrame:
         rows = rows.withColumns({"i": F.col("own"), "j": F.col("own")})
     else:
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-    rows = rows.select("key", "i", "j", "own", "id", "n", "c", "sketch").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "own", "id")
+    rows = rows.select("key", "band", "i", "j", "own", "id", "n", "c", "sketch").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "own", "id")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -169,14 +175,14 @@ def candidates(crowd: DataFrame, best: bool, percent: int) -> DataFrame:
                 end = -1
             if whole is None or not whole.num_rows:
                 continue
-            key, i, j, own, ids, n, c = (whole.column(k).to_numpy(zero_copy_only=False) for k in ("key", "i", "j", "own", "id", "n", "c"))
+            key, band, i, j, own, ids, n, c = (whole.column(k).to_numpy(zero_copy_only=False) for k in ("key", "band", "i", "j", "own", "id", "n", "c"))
             new = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
             bounds = np.concatenate([[0], new, [len(key)] if end >= 0 else []]).astype(np.int64)
             sketch = np.frombuffer(b"".join(whole.column("sketch").slice(0, bounds[-1]).to_pylist()), np.uint8).reshape(-1, T)
             found = []
             for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 if hi - lo > 1 and (i[lo] == j[lo] or own[lo] != own[hi - 1]):
-                    x, y = partners(n[lo:hi], c[lo:hi], own[lo:hi], sketch[lo:hi], best, percent)
+                    x, y = partners(n[lo:hi], c[lo:hi], own[lo:hi], sketch[lo:hi], int(band[lo]), best, percent)
                     found.append((ids[lo + x], ids[lo + y]))
             if found:
                 a, b = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -252,7 +258,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     ties = usable.join(split, "id", "left_semi").join(copied, "set_hash").select(F.col("first").alias("a"), F.col("id").alias("b"))
     classes = usable.join(copied, "set_hash", "left").filter("first is null or first = id").select("id", "n", "bands", "sketch")
     classes = written(classes, "near-classes")
-    buckets = classes.select("id", F.explode("bands").alias("key"))
+    buckets = classes.select("id", F.posexplode("bands").alias("band", "key"))
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     crowd = written(buckets.join(shared, "key"), "near-buckets")
     sketch = written(classes.select("id", "n", "sketch").join(crowd.select("id").distinct(), "id", "left_semi"), "near-sketches")
@@ -261,7 +267,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     labels = components(confirmed(first, rows, percent, width))
 
     # what this hasn't joined: classes of different components that share a bucket
-    crowd = crowd.join(labels, crowd["id"] == labels["node"], "left").select("key", "members", "id", F.coalesce("component", "id").alias("c"))
+    crowd = crowd.join(labels, crowd["id"] == labels["node"], "left").select("key", "band", "members", "id", F.coalesce("component", "id").alias("c"))
     torn = crowd.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
     rest = candidates(crowd.join(torn, "key").join(sketch, "id"), False, percent).join(first, ["a", "b"], "left_anti")
     more = confirmed(written(rest, "near-pairs"), rows, percent, width)
