@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,11 +42,19 @@ def gc_of_known(seq: Column) -> Column:
     return F.when(known > 0, count_of(seq, "CG") / known).otherwise(F.lit(0.0))
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with value computed once however often body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def entropy_of(counts: list[Column]) -> Column:
     """Shannon entropy in bits of the given counts."""
-    total = reduce(lambda a, b: a + b, counts)
-    terms = [F.when(n > 0, -(n / total) * F.log2(n / total)).otherwise(F.lit(0.0)) for n in counts]
-    return F.when(total > 0, reduce(lambda a, b: a + b, terms)).otherwise(F.lit(0.0))
+
+    def of(c: Column, total: Column) -> Column:
+        terms = F.transform(F.filter(c, lambda n: n > 0), lambda n: -(n / total) * F.log2(n / total))
+        return F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
+
+    return let(F.array(*(n.cast("double") for n in counts)), lambda c: let(F.aggregate(c, F.lit(0.0), lambda a, x: a + x), lambda total: of(c, total)))
 
 
 def entropy1(seq: Column) -> Column:
@@ -61,9 +67,8 @@ def entropy2(seq: Column) -> Column:
 
 
 def kmers(seq: Column, k: int) -> Column:
-    """All overlapping k-mers in order; none if the sequence is shorter."""
-    last = F.length(seq) - k + 1
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(seq, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    """All overlapping k-mers in order, in one pass; none if the sequence is shorter."""
+    return F.regexp_extract_all(seq, F.lit(f"(?=(.{{{k}}}))"), 1)
 
 
 def canonical(kmer: Column) -> Column:
@@ -73,8 +78,8 @@ def canonical(kmer: Column) -> Column:
 
 def identical_positions(a: Column, b: Column) -> Column:
     """Positions at which two sequences agree, over the shorter."""
-    n = F.least(F.length(a), F.length(b))
-    return F.when(n > 0, F.aggregate(F.sequence(F.lit(1), n), F.lit(0), lambda acc, i: acc + (F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1))).cast("int"))).otherwise(F.lit(0))
+    same = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: (x == y) & (x != ""))
+    return F.size(F.filter(same, lambda x: x))
 
 
 def longest_homopolymer(seq: Column) -> Column:

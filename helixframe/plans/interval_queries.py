@@ -100,7 +100,7 @@ def e12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @QUERIES.add("c3_overlap_recovery", f"""WITH {V.INSTANCES}, m AS (SELECT DISTINCT o, ln, fam, chrom, s, e FROM instances WHERE strand = '+'), h AS (SELECT * FROM instances WHERE strand = '-')
-SELECT m.o, m.ln, m.fam, m.chrom, round(coalesce(max(CAST(greatest(0, least(m.e, h.e) - greatest(m.s, h.s)) AS DOUBLE) / (m.e - m.s)), 0), 6) AS best, coalesce(max(CAST(greatest(0, least(m.e, h.e) - greatest(m.s, h.s)) AS DOUBLE) / (m.e - m.s)), 0) >= 0.5 AS recovered
+SELECT m.o, m.ln, m.fam, m.chrom, round(coalesce(max(CASE WHEN h.s IS NULL THEN 0 ELSE CAST(least(m.e, h.e) - greatest(m.s, h.s) AS DOUBLE) / (m.e - m.s) END), 0), 6) AS best, coalesce(max(CASE WHEN h.s IS NULL THEN 0 ELSE CAST(least(m.e, h.e) - greatest(m.s, h.s) AS DOUBLE) / (m.e - m.s) END), 0) >= 0.5 AS recovered
 FROM m LEFT JOIN h ON m.chrom = h.chrom AND m.s < h.e AND h.s < m.e GROUP BY m.o, m.ln, m.fam, m.chrom, m.s, m.e""")
 def c3(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.instances(spark, sf_dir)
