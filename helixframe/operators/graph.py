@@ -5,21 +5,25 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder of spark.checkpoint.dir, which ends its lineage."""
-    spark = df.sparkSession
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder of spark.checkpoint.dir; one is set only where none is."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         base = spark.sparkContext.getCheckpointDir()
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table in the shared folder, which ends its lineage."""
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def gated_edges(directed: DataFrame, sizes: DataFrame, least_total: int, copy_ratio: float, direction: float, size_ratio: float) -> DataFrame:
@@ -62,7 +66,7 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         e = written(star(star(e, True), False), "components")
 
 
-def closure(spark, parents: DataFrame, name: str = "parents") -> DataFrame:
+def closure(spark: SparkSession, parents: DataFrame, name: str = "parents") -> DataFrame:
     """(id, ancestor, depth) of a forest (id, parent): each node, and all above it."""
     parents.createOrReplaceTempView(f"__{name}")
     return spark.sql(f"""WITH RECURSIVE up(id, ancestor, depth) AS (

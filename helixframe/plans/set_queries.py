@@ -257,13 +257,13 @@ def f6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("lang", (-F.col("m.neg")).alias("id"), F.col("m.len").alias("len"))
 
 
-EDGES = "dir AS (SELECT l_partkey % 400 AS u, l_suppkey % 400 + 1 AS v, count(*) AS n FROM lineitem WHERE l_partkey % 400 <> l_suppkey % 400 + 1 GROUP BY 1, 2), sz AS (SELECT id, sum(n) AS size FROM (SELECT u AS id, n FROM dir UNION ALL SELECT v, n FROM dir) x GROUP BY id), ed AS (SELECT least(u, v) AS a, greatest(u, v) AS b, sum(CASE WHEN u < v THEN n ELSE 0 END) AS fwd, sum(CASE WHEN u > v THEN n ELSE 0 END) AS rev FROM dir GROUP BY 1, 2), gt AS (SELECT a, b, CAST(fwd AS BIGINT) AS fwd, CAST(rev AS BIGINT) AS rev, CAST(fwd + rev AS DOUBLE) / least(p.size, q.size) AS ratio, fwd >= rev AS forward FROM ed JOIN sz p ON p.id = a JOIN sz q ON q.id = b WHERE fwd + rev >= 3 AND CAST(fwd + rev AS DOUBLE) / least(p.size, q.size) >= 0.02 AND CAST(greatest(fwd, rev) AS DOUBLE) / (fwd + rev) >= 0.6 AND CAST(least(p.size, q.size) AS DOUBLE) / greatest(p.size, q.size) >= 0.3)"
+EDGES = "dir AS (SELECT l_partkey % 400 AS u, l_suppkey % 400 + 1 AS v, count(*) AS n FROM lineitem WHERE l_partkey % 400 <> l_suppkey % 400 + 1 GROUP BY 1, 2), sz AS (SELECT id, sum(n) AS size FROM (SELECT u AS id, n FROM dir UNION ALL SELECT v, n FROM dir) x GROUP BY id), ed AS (SELECT least(u, v) AS a, greatest(u, v) AS b, sum(CASE WHEN u < v THEN n ELSE 0 END) AS fwd, sum(CASE WHEN u > v THEN n ELSE 0 END) AS rev FROM dir GROUP BY 1, 2), gt AS (SELECT a, b, CAST(fwd AS BIGINT) AS fwd, CAST(rev AS BIGINT) AS rev, CAST(fwd + rev AS DOUBLE) / least(p.size, q.size) AS ratio, fwd >= rev AS forward FROM ed JOIN sz p ON p.id = a JOIN sz q ON q.id = b WHERE fwd + rev >= 3 AND CAST(fwd + rev AS DOUBLE) / least(p.size, q.size) >= 0.01 AND CAST(greatest(fwd, rev) AS DOUBLE) / (fwd + rev) >= 0.6 AND CAST(least(p.size, q.size) AS DOUBLE) / greatest(p.size, q.size) >= 0.05)"
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     directed = table(spark, sf_dir, "lineitem").groupBy((F.col("l_partkey") % 400).alias("u"), (F.col("l_suppkey") % 400 + 1).alias("v")).agg(F.count(F.lit(1)).alias("n")).filter("u <> v")
     sizes = directed.select(F.col("u").alias("id"), "n").union(directed.select("v", "n")).groupBy("id").agg(F.sum("n").alias("size"))
-    return GR.gated_edges(directed, sizes, 3, 0.02, 0.6, 0.3)
+    return GR.gated_edges(directed, sizes, 3, 0.01, 0.6, 0.05)
 
 
 @QUERIES.add("h2_edge_gates", f"WITH {EDGES} SELECT a, b, fwd, rev, round(ratio, 6) AS ratio, forward FROM gt")
