@@ -112,7 +112,7 @@ def e15(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.concat(F.col("id").cast("string"), F.lit("__w"), F.col("k").cast("string")).alias("name"), "tile")
 
 
-@QUERIES.add("e16_position_coherence", f"WITH {V.HITS}, f AS (SELECT q, qstart, row_number() OVER (PARTITION BY q ORDER BY score DESC, o, ln) AS r FROM hits), g AS (SELECT q, qstart, r FROM f WHERE r <= 50), m AS (SELECT q, qstart AS mode FROM (SELECT q, qstart, row_number() OVER (PARTITION BY q ORDER BY count(*) DESC, min(r)) AS k FROM g GROUP BY q, qstart) x WHERE k = 1) SELECT q, mode, round(avg(CASE WHEN abs(qstart - mode) <= 40 THEN 1.0 ELSE 0.0 END), 6) AS share, CASE WHEN count(*) < 10 THEN 0.0 WHEN avg(CASE WHEN abs(qstart - mode) <= 40 THEN 1.0 ELSE 0.0 END) >= 0.7 THEN 0.06 WHEN avg(CASE WHEN abs(qstart - mode) <= 40 THEN 1.0 ELSE 0.0 END) >= 0.5 THEN 0.03 ELSE 0.0 END AS bonus FROM g JOIN m USING (q) GROUP BY q, mode")
+@QUERIES.add("e16_position_coherence", f"WITH {V.HITS}, f AS (SELECT q, qstart, row_number() OVER (PARTITION BY q ORDER BY score DESC, o, ln) AS r FROM hits), g AS (SELECT q, qstart, r FROM f WHERE r <= 50), m AS (SELECT q, qstart AS mode FROM (SELECT q, qstart, row_number() OVER (PARTITION BY q ORDER BY count(*) DESC, min(r)) AS k FROM g GROUP BY q, qstart) x WHERE k = 1) SELECT q, mode, round(avg(CASE WHEN abs(qstart - mode) <= 40 THEN 1.0 ELSE 0.0 END), 6) AS share, CAST(CASE WHEN count(*) < 10 THEN 0.0 WHEN avg(CASE WHEN abs(qstart - mode) <= 40 THEN 1.0 ELSE 0.0 END) >= 0.7 THEN 0.06 WHEN avg(CASE WHEN abs(qstart - mode) <= 40 THEN 1.0 ELSE 0.0 END) >= 0.5 THEN 0.03 ELSE 0.0 END AS DOUBLE) AS bonus FROM g JOIN m USING (q) GROUP BY q, mode")
 def e16(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of a query's best 50 hits near their most common start; the first seen wins ties."""
     first = V.hits(spark, sf_dir).withColumn("r", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "o", "ln"))).filter("r <= 50").select("q", "qstart", "r")

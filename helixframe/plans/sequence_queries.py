@@ -22,13 +22,13 @@ RUNS = "greatest(" + ", ".join(f"coalesce(list_max(list_transform(regexp_extract
 @QUERIES.add("a2_substring_counts", f"""WITH {V.SEQS} SELECT id, substr(seq, 11, 40) AS part, length(seq) - length(replace(replace(seq, 'G', ''), 'C', '')) AS gc, length(seq) AS len, md5(CASE WHEN length(seq) >= 14 THEN substr(seq, 1, 9) || 'NNNNN' || substr(seq, 15) ELSE seq END) AS replaced FROM seqs""")
 def a2(spark: SparkSession, sf_dir: str) -> DataFrame:
     replaced = F.when(F.length("seq") >= 14, F.overlay("seq", F.lit("NNNNN"), 10)).otherwise(F.col("seq"))
-    return V.seqs(spark, sf_dir).select("id", F.substring("seq", 11, 40).alias("part"), S.count_of(F.col("seq"), "GC").alias("gc"), F.length("seq").alias("len"), F.md5(replaced.cast("binary")).alias("replaced"))
+    return V.seqs(spark, sf_dir).select("id", F.substring("seq", 11, 40).alias("part"), S.count_of(F.col("seq"), "GC").cast("long").alias("gc"), F.length("seq").cast("long").alias("len"), F.md5(replaced.cast("binary")).alias("replaced"))
 
 
 @QUERIES.add("b1_clean_and_rename", f"""WITH {V.RAW} SELECT 'chr' || row_number() OVER (ORDER BY id) AS name, id, md5(translate(upper(seq), 'WRMKYSHBVDX', 'NNNNNNNNNNN')) AS cleaned, length(seq) AS len FROM raw""")
 def b1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned sequences, and the names chr<ordinal> that they get in order (B1, B2)."""
-    rows = V.raw(spark, sf_dir).withColumn("cleaned", F.md5(S.clean(F.col("seq")).cast("binary"))).select("id", "cleaned", F.length("seq").alias("len"))
+    rows = V.raw(spark, sf_dir).withColumn("cleaned", F.md5(S.clean(F.col("seq")).cast("binary"))).select("id", "cleaned", F.length("seq").cast("long").alias("len"))
     # ordinals by ranges: each range counts its own rows, and adds those before it
     ranged = rows.repartitionByRange("id").withColumn("part", F.spark_partition_id()).withColumn("here", F.row_number().over(W.partitionBy("part").orderBy("id")))
     sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(F.col("part").alias("p"), F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
@@ -38,7 +38,7 @@ def b1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @QUERIES.add("b3_hard_mask", f"""WITH {V.RAW} SELECT id, md5(regexp_replace(seq, '[acgtn]', 'N', 'g')) AS masked, length(seq) - length(regexp_replace(seq, '[acgtn]', '', 'g')) AS n_masked FROM raw""")
 def b3(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = F.col("seq")
-    return V.raw(spark, sf_dir).select("id", F.md5(S.hard_masked(seq).cast("binary")).alias("masked"), S.count_of(seq, "acgtn").alias("n_masked"))
+    return V.raw(spark, sf_dir).select("id", F.md5(S.hard_masked(seq).cast("binary")).alias("masked"), S.count_of(seq, "acgtn").cast("long").alias("n_masked"))
 
 
 @QUERIES.add("i1_reverse_complement", f"""WITH {V.RAW} SELECT id, md5(reverse(translate(regexp_replace(upper(seq), '[^ACGTRYSWKMBDHVN]', 'N', 'g'), 'ACGTRYSWKMBDHVN', 'TGCAYRSWMKVHDBN'))) AS rc FROM raw""")
@@ -71,10 +71,10 @@ def i6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @QUERIES.add("i7_homopolymers", f"""WITH {V.SEQS} SELECT id, {RUNS} AS longest, len(regexp_extract_all(seq, 'A{{5,}}|C{{5,}}|G{{5,}}|T{{5,}}')) AS runs FROM seqs""")
 def i7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.seqs(spark, sf_dir).select("id", S.longest_homopolymer(F.col("seq")).alias("longest"), F.regexp_count("seq", F.lit("A{5,}|C{5,}|G{5,}|T{5,}")).alias("runs"))
+    return V.seqs(spark, sf_dir).select("id", S.longest_homopolymer(F.col("seq")).cast("long").alias("longest"), F.regexp_count("seq", F.lit("A{5,}|C{5,}|G{5,}|T{5,}")).cast("long").alias("runs"))
 
 
-@QUERIES.add("i14_boundary_motif", f"""WITH {V.SEQS} SELECT id, CASE WHEN seq LIKE 'TG%CA' AND length(seq) >= 4 THEN 1.0 WHEN seq LIKE 'CA%TG' AND length(seq) >= 4 THEN 0.8 WHEN seq LIKE 'TG%TA' AND length(seq) >= 4 THEN 0.8 ELSE 0.0 END AS motif, contains(substr(seq, 1, 20), 'TGGC') AS pbs, contains(right(seq, 50), 'AAAAAA') AS poly_a FROM seqs""")
+@QUERIES.add("i14_boundary_motif", f"""WITH {V.SEQS} SELECT id, CAST(CASE WHEN seq LIKE 'TG%CA' AND length(seq) >= 4 THEN 1.0 WHEN seq LIKE 'CA%TG' AND length(seq) >= 4 THEN 0.8 WHEN seq LIKE 'TG%TA' AND length(seq) >= 4 THEN 0.8 ELSE 0.0 END AS DOUBLE) AS motif, contains(substr(seq, 1, 20), 'TGGC') AS pbs, contains(right(seq, 50), 'AAAAAA') AS poly_a FROM seqs""")
 def i14(spark: SparkSession, sf_dir: str) -> DataFrame:
     ends = lambda a, b: F.col("seq").startswith(a) & F.col("seq").endswith(b) & (F.length("seq") >= 4)
     motif = F.when(ends("TG", "CA"), 1.0).when(ends("CA", "TG") | ends("TG", "TA"), 0.8).otherwise(0.0)
@@ -111,14 +111,14 @@ def b4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @QUERIES.add("b14_load_filter", f"""WITH {V.SEQS}, f AS (SELECT id, length(seq) AS len, CASE WHEN length(seq) > 0 THEN CAST(length(seq) - length(replace(replace(seq, 'G', ''), 'C', '')) AS DOUBLE) / length(seq) ELSE 0 END AS gc FROM seqs) SELECT id, len, round(gc, 6) AS gc, 'seq_l' || len || '_t' || id || '_set1' AS name FROM f WHERE len BETWEEN 50 AND 50000 AND gc BETWEEN 0.1 AND 0.9""")
 def b14(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = V.seqs(spark, sf_dir).select("id", F.length("seq").alias("len"), S.fraction(F.col("seq"), "GC").alias("gc")).filter("len between 50 and 50000 and gc between 0.1 and 0.9")
+    rows = V.seqs(spark, sf_dir).select("id", F.length("seq").cast("long").alias("len"), S.fraction(F.col("seq"), "GC").alias("gc")).filter("len between 50 and 50000 and gc between 0.1 and 0.9")
     return rows.select("id", "len", F.round("gc", 6).alias("gc"), F.format_string("seq_l%d_t%d_set1", "len", "id").alias("name"))
 
 
 @QUERIES.add("b15_merge_preprocess", f"""WITH {V.SEQS} SELECT id, length(seq) AS len FROM seqs WHERE length(seq) >= 80 AND {RUNS} <= 50 AND CAST(length(seq) - length(replace(replace(seq, 'A', ''), 'T', '')) AS DOUBLE) / length(seq) <= 0.95""")
 def b15(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = F.col("seq")
-    return V.seqs(spark, sf_dir).filter((F.length("seq") >= 80) & (S.fraction(seq, "N") <= 0.15) & (S.longest_homopolymer(seq) <= 50) & (S.fraction(seq, "AT") <= 0.95)).select("id", F.length("seq").alias("len"))
+    return V.seqs(spark, sf_dir).filter((F.length("seq") >= 80) & (S.fraction(seq, "N") <= 0.15) & (S.longest_homopolymer(seq) <= 50) & (S.fraction(seq, "AT") <= 0.95)).select("id", F.length("seq").cast("long").alias("len"))
 
 
 @QUERIES.add("b16_validity_checks", f"""WITH {V.SEQS}, {ENTROPY}, k AS (SELECT id, len BETWEEN 80 AND 20000 AS ok_len, CASE WHEN len > 0 THEN (len_g + len_c) / len ELSE 0 END BETWEEN 0.2 AND 0.8 AS ok_gc, h1 >= 1.5 AS ok_entropy FROM h)
@@ -188,7 +188,7 @@ def b13(spark: SparkSession, sf_dir: str) -> DataFrame:
 @QUERIES.add("d3_length_summary", f"""WITH {V.SEQS}, l AS (SELECT length(seq) AS len FROM seqs), s AS (SELECT list_sort(list(len)) AS v, count(*) AS n, round(avg(len), 6) AS mean FROM l) SELECT n, mean, v[CAST(least(n - 1, floor(0.5 * n)) AS BIGINT) + 1] AS p50, v[CAST(least(n - 1, floor(0.9 * n)) AS BIGINT) + 1] AS p90, v[1] AS least, v[n] AS most FROM s""")
 def d3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest-rank quantiles from the histogram of lengths, so that no list of all rows is made."""
-    bars = V.seqs(spark, sf_dir).groupBy(F.length("seq").alias("len")).agg(F.count(F.lit(1)).alias("c"))
+    bars = V.seqs(spark, sf_dir).groupBy(F.length("seq").cast("long").alias("len")).agg(F.count(F.lit(1)).alias("c"))
     bars = bars.withColumn("upto", F.sum("c").over(W.orderBy("len"))).join(F.broadcast(bars.agg(F.sum("c").alias("n"))))
     rank = lambda p: F.min(F.when(F.col("upto") > F.least(F.col("n") - 1, F.floor(F.col("n") * p)), F.col("len")))
     return bars.groupBy("n").agg(F.round(F.sum(F.col("len") * F.col("c")) / F.sum("c"), 6).alias("mean"), rank(0.5).alias("p50"), rank(0.9).alias("p90"), F.min("len").alias("least"), F.max("len").alias("most"))

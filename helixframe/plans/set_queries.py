@@ -252,7 +252,7 @@ def f5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @QUERIES.add("f6_longest_pick", f"""WITH {V.SEQS}, d AS (SELECT id, seq, lang FROM seqs JOIN documents ON doc_id = id) SELECT lang, id, len FROM (SELECT lang, id, length(seq) AS len, row_number() OVER (PARTITION BY lang ORDER BY length(seq) DESC, id) AS r FROM d) x WHERE r = 1""")
 def f6(spark: SparkSession, sf_dir: str) -> DataFrame:
     langs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang")
-    rows = V.seqs(spark, sf_dir).select("id", F.length("seq").alias("len")).join(langs, "id")
+    rows = V.seqs(spark, sf_dir).select("id", F.length("seq").cast("long").alias("len")).join(langs, "id")
     best = rows.groupBy("lang").agg(F.max(F.struct("len", (-F.col("id")).alias("neg"))).alias("m"))
     return best.select("lang", (-F.col("m.neg")).alias("id"), F.col("m.len").alias("len"))
 
@@ -288,7 +288,7 @@ def h4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("scaffold", F.md5(F.col("joined").cast("binary")).alias("joined"), F.length("joined").cast("long").alias("len"), "least")
 
 
-@QUERIES.add("h10_path_runs", """WITH r AS (SELECT *, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS run FROM orders) SELECT o_custkey AS path, run, count(*) AS n, CAST(sum(CAST(floor(o_totalprice / 1000) AS BIGINT)) AS BIGINT) AS len FROM r WHERE o_orderstatus <> 'F' GROUP BY o_custkey, run HAVING sum(CAST(floor(o_totalprice / 1000) AS BIGINT)) BETWEEN 100 AND 30000""")
+@QUERIES.add("h10_path_runs", """WITH r AS (SELECT *, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS run FROM orders) SELECT o_custkey AS path, CAST(run AS BIGINT) AS run, count(*) AS n, CAST(sum(CAST(floor(o_totalprice / 1000) AS BIGINT)) AS BIGINT) AS len FROM r WHERE o_orderstatus <> 'F' GROUP BY o_custkey, run HAVING sum(CAST(floor(o_totalprice / 1000) AS BIGINT)) BETWEEN 100 AND 30000""")
 def h10(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = GR.runs(table(spark, sf_dir, "orders"), ["o_custkey"], ["o_orderkey"], F.col("o_orderstatus") == "F")
     out = rows.groupBy(F.col("o_custkey").alias("path"), "run").agg(F.count(F.lit(1)).alias("n"), F.sum(F.floor(F.col("o_totalprice") / 1000).cast("long")).alias("len"))

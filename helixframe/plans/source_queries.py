@@ -28,7 +28,7 @@ def a1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FASTA out, compressed, and back (A1, A3, A28)."""
     record = T.fasta_record(F.concat(F.lit("doc"), F.col("id").cast("string"), F.lit(" from documents")), F.col("seq"))
     path = stored(V.seqs(spark, sf_dir), record, "fasta", "gzip")
-    return T.read_fasta(spark, path).select("id", F.length("seq").alias("len"), F.md5(F.col("seq").cast("binary")).alias("seq"))
+    return T.read_fasta(spark, path).select("id", F.length("seq").cast("long").alias("len"), F.md5(F.col("seq").cast("binary")).alias("seq"))
 
 
 @QUERIES.add("a4_fai_genome_size", f"WITH {V.SEQS} SELECT count(*) AS contigs, CAST(sum(length(seq)) AS BIGINT) AS bases, max(length(seq)) AS longest FROM seqs")
@@ -130,7 +130,7 @@ def a11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.read_vcf_alleles(spark, path).groupBy("chrom", F.col("n").cast("long").alias("n")).agg(F.count(F.lit(1)).alias("alleles"), F.sum(F.length("allele")).alias("bases"))
 
 
-@QUERIES.add("a13_mdl_header_scan", f"WITH {V.RECORDS} SELECT CASE WHEN id % 10 = 0 THEN 'odd' || id ELSE 'mdl_R' || id END AS id, CASE WHEN id % 10 = 0 THEN 0 ELSE id END AS r, CASE WHEN id % 10 = 0 THEN 0 ELSE length END AS length, CASE WHEN id % 10 = 0 THEN 1 ELSE copies END AS copies, CASE WHEN id % 10 = 0 THEN 1.0 ELSE round(mdl, 1) END AS mdl, CASE WHEN id % 10 > 0 AND id % 3 = 0 THEN 'cyclic' END AS topology FROM records")
+@QUERIES.add("a13_mdl_header_scan", f"WITH {V.RECORDS} SELECT CASE WHEN id % 10 = 0 THEN 'odd' || id ELSE 'mdl_R' || id END AS id, CASE WHEN id % 10 = 0 THEN 0 ELSE id END AS r, CAST(CASE WHEN id % 10 = 0 THEN 0 ELSE length END AS BIGINT) AS length, CASE WHEN id % 10 = 0 THEN 1 ELSE copies END AS copies, CASE WHEN id % 10 = 0 THEN 1.0 ELSE round(mdl, 1) END AS mdl, CASE WHEN id % 10 > 0 AND id % 3 = 0 THEN 'cyclic' END AS topology FROM records")
 def a13(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = lambda c: F.col(c).cast("string")
     full = F.concat_ws(" ", F.concat(F.lit("R="), text("id")), F.concat(F.lit("length="), text("length")), F.concat(F.lit("copies="), text("copies")), F.concat(F.lit("mdl="), F.round("mdl", 1).cast("string")), F.when(F.col("id") % 3 == 0, "topo=cyclic"))
