@@ -76,6 +76,12 @@ def canonical(kmer: Column) -> Column:
     return F.least(kmer, F.reverse(F.translate(kmer, "ACGT", "TGCA")))
 
 
+def canonical_kmers(seq: Column, k: int) -> Column:
+    """The canonical form of all k-mers of A, C, G and T: the other strand's come from one reversal of the sequence."""
+    other = F.reverse(kmers(F.reverse(F.translate(seq, "ACGT", "TGCA")), k))
+    return F.zip_with(kmers(seq, k), other, lambda a, b: F.least(a, b))
+
+
 def identical_positions(a: Column, b: Column) -> Column:
     """Positions at which two sequences agree, over the shorter."""
     same = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: (x == y) & (x != ""))
