@@ -1,4 +1,4 @@
 """Imports every module that registers queries."""
 
-from helixframe.plans import alignment_queries, interval_queries, kernel_queries, sequence_queries, set_queries, source_queries, structure_queries  # noqa: F401
+from helixframe.plans import alignment_queries, format_queries, interval_queries, kernel_queries, sequence_queries, set_queries, source_queries, structure_queries  # noqa: F401
 from helixframe.plans.catalog import QUERIES  # noqa: F401
