@@ -79,3 +79,35 @@ def runs(rows: DataFrame, by: list[str], order: list[str], breaks: Column, out:
     """The rows between breaks, with the number of their run; the breaking rows go."""
     w = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     return rows.withColumn("__break", breaks).withColumn(out, F.sum(F.col("__break").cast("int")).over(w)).filter(~F.col("__break")).drop("__break")
+
+
+def linear_chains(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, chain, place) of nodes (id) along links (u, v) between them: maximal walks without branches.
+
+    A link counts if it is the only one out of u and into v. chain is the first node of the walk; a ring starts at its
+    smallest node. Each round doubles the distance that a node has looked back, and ends in a written table.
+    """
+    inside = links.filter("u <> v").distinct().join(nodes.select(F.col("id").alias("u")), "u", "left_semi").join(nodes.select(F.col("id").alias("v")), "v", "left_semi")
+    only = lambda x: inside.groupBy(x).agg(F.count(F.lit(1)).alias("n")).filter("n = 1").select(x)
+    back = written(inside.join(only("u"), "u").join(only("v"), "v").select(F.col("v").alias("id"), F.col("u").alias("up")), "links")
+
+    def walked(back: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(id, head, place) of all, and (id, least) of those on rings."""
+        at = written(nodes.distinct().join(back, "id", "left").select("id", F.coalesce("up", "id").alias("up"), F.col("up").isNotNull().cast("long").alias("d"), F.least("id", F.coalesce("up", "id")).alias("least")), "chains")
+        size, span = nodes.count(), 1
+        while span < size:
+            far = at.select(F.col("id").alias("up"), F.col("up").alias("__up"), F.col("d").alias("__d"), F.col("least").alias("__least"))
+            moved = written(at.join(far, "up").select("id", F.col("__up").alias("up"), (F.col("d") + F.col("__d")).alias("d"), F.least("least", "__least").alias("least")), "chains")
+            same = moved.join(at.select("id", F.col("up").alias("was")), "id").filter("up <> was").isEmpty()
+            at, span = moved, span * 2
+            if same:
+                break
+        heads = at.filter("up = id and d = 0").select(F.col("id").alias("up"))
+        return at.join(heads, "up").select("id", F.col("up").alias("chain"), F.col("d").alias("place")), at.join(heads, "up", "left_anti").select("id", "least")
+
+    straight, rings = walked(back)
+    rings = written(rings, "rings")
+    if rings.isEmpty():
+        return straight
+    cut = back.join(rings.select(F.col("least").alias("id")).distinct(), "id", "left_anti")
+    return walked(cut)[0]

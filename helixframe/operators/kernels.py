@@ -137,23 +137,148 @@ def average_linkage(distance: np.ndarray, cut: float) -> list[int]:
     return out
 
 
-def clustered(members: DataFrame, cut: float = 0.3, k: int = 5) -> DataFrame:
-    """(fam, id, cluster) of families (fam, id, seq) by average linkage of k-mer Jaccard distances; a family is small."""
+def reassigned(distance: np.ndarray, labels: list[int], least: int, identity: float) -> list[int]:
+    """Cluster numbers after small or loose clusters have given their members, in turn, to the nearest good one.
+
+    A good cluster has at least `least` members of mean identity at least `identity`; it grows as it takes members. If
+    none is good all form one cluster. Larger clusters first, then the smaller first index.
+    """
+    groups: dict[int, list[int]] = {}
+    for i, label in enumerate(labels):
+        groups.setdefault(label, []).append(i)
+
+    def alike(m: list[int]) -> float:
+        return 1.0 if len(m) < 2 else 1 - float(distance[np.ix_(m, m)].sum()) / (len(m) * (len(m) - 1))
+
+    good = [m for _, m in sorted(groups.items()) if len(m) >= least and alike(m) >= identity]
+    if not good:
+        return [1] * len(labels)
+    placed = {i for m in good for i in m}
+    for _, m in sorted(groups.items()):
+        for i in (i for i in m if i not in placed):
+            min(good, key=lambda g: round(float(distance[i, g].mean()), 12)).append(i)
+    out = [0] * len(labels)
+    for k, m in enumerate(sorted(good, key=lambda m: (-len(m), min(m))), 1):
+        for i in m:
+            out[i] = k
+    return out
+
+
+def jaccard_distances(seqs: list[str], k: int) -> np.ndarray:
+    sets = [{s[i : i + k] for i in range(len(s) - k + 1)} for s in seqs]
+    d = np.zeros((len(sets), len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            union = len(sets[i] | sets[j])
+            d[i, j] = d[j, i] = 1 - len(sets[i] & sets[j]) / union if union else 0.0
+    return d
+
+
+def clustered(members: DataFrame, cut: float = 0.3, k: int = 5, least: int = 1, identity: float = 0.0) -> DataFrame:
+    """(fam, id, cluster) of families (fam, id, seq) by average linkage of k-mer Jaccard distances; a family is small.
+
+    Clusters of fewer than `least` members or less mean identity than `identity` are reassigned.
+    """
 
     def one(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("id")
-        sets = [{s[i : i + k] for i in range(len(s) - k + 1)} for s in group.seq]
-        n = len(sets)
-        d = np.zeros((n, n))
-        for i in range(n):
-            for j in range(i):
-                union = len(sets[i] | sets[j])
-                d[i, j] = d[j, i] = 1 - len(sets[i] & sets[j]) / union if union else 0.0
-        return pd.DataFrame({"fam": group.fam, "id": group.id, "cluster": average_linkage(d, cut)})
+        d = jaccard_distances(list(group.seq), k)
+        return pd.DataFrame({"fam": group.fam, "id": group.id, "cluster": reassigned(d, average_linkage(d, cut), least, identity)})
 
     return members.select("fam", "id", "seq").groupBy("fam").applyInPandas(one, "fam long, id long, cluster long")
 
 
+def chimera_spans(rows: list[str], least_rows: int = 5, least_width: int = 50, ratio: float = 0.5, valley: int = 3, side: float = 0.2, across: float = 0.5, depth: int = 2) -> list[tuple[int, int]]:
+    """The column spans that an alignment falls into: one, or more where its rows part at an inner valley.
+
+    A valley is the longest inner run of at least `valley` columns of less than ratio * the median occupancy. The rows
+    part there if a share `side` ends before it, as many start after it, and at most `across` reach over it. Fragments
+    of under `least_width` occupied columns go; at most `depth` cuts follow each other.
+    """
+    filled = np.array([[c not in "-. " for c in r] for r in rows], bool)
+
+    def cut(lo: int, hi: int, level: int) -> list[tuple[int, int]]:
+        f, width = filled[:, lo:hi], hi - lo
+        if level >= depth or len(f) < least_rows or width < 2 * least_width:
+            return [(lo, hi)]
+        occupied = f.mean(axis=0)
+        low = occupied < ratio * np.median(occupied)
+        low[:valley] = low[width - valley :] = False
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], low.astype(int), [0]])))
+        starts, ends = edges[::2], edges[1::2]
+        if not len(starts) or (ends - starts).max() < valley:
+            return [(lo, hi)]
+        best = int(np.argmax(ends - starts))
+        v = int(starts[best] + (ends[best] - starts[best]) // 2)
+        some = f.any(axis=1)
+        first, last = f.argmax(axis=1)[some], width - 1 - f[:, ::-1].argmax(axis=1)[some]
+        n = len(f)
+        left, right = ((last < v + valley) & (first < v)).sum() / n, ((first > v - valley) & (last > v)).sum() / n
+        if left < side or right < side or ((first <= v - valley) & (last >= v + valley)).sum() / n > across:
+            return [(lo, hi)]
+        kept = [p for p in ((lo, lo + v), (lo + v, hi)) if filled[:, p[0] : p[1]].any(axis=0).sum() >= least_width]
+        return [x for p in kept for x in cut(*p, level + 1)] or [(lo, hi)]
+
+    return cut(0, filled.shape[1] if filled.ndim == 2 else 0, 0)
+
+
+def with_chimera_spans(alignments: DataFrame, **limits: float) -> DataFrame:
+    """(fam, fragment, s, e) of aligned rows (fam, turn, seq), padded to the longest; a family is small."""
+
+    def one(group: pd.DataFrame) -> pd.DataFrame:
+        rows = list(group.sort_values(["turn", "seq"]).seq)
+        width = max(map(len, rows))
+        spans = chimera_spans([r.ljust(width, "-") for r in rows], **limits)
+        return pd.DataFrame([(group.fam.iloc[0], k, s, e) for k, (s, e) in enumerate(spans, 1)], columns=["fam", "fragment", "s", "e"])
+
+    return alignments.select("fam", "turn", "seq").groupBy("fam").applyInPandas(one, "fam long, fragment long, s long, e long")
+
+
+#: The bases of each IUPAC code, as bits of A, C, G and T.
+CODES = {"A": 1, "C": 2, "G": 4, "T": 8, "R": 5, "Y": 10, "S": 6, "W": 9, "K": 12, "M": 3, "B": 14, "D": 13, "H": 11, "V": 7, "N": 15}
+
+
+def extended(consensus: str, longer: str, least: float = 0.8, most: int = 500) -> str:
+    """The consensus with up to `most` bases a side of the longer copy, where it lies in it with at least `least` agreement.
+
+    Two codes agree if they are equal, one is a base that the other stands for, or one is N. Places are tried in steps
+    of 1, of a 500th of the range from 1000 on; one whose first 100 bases agree in less than 60% is left out; the first
+    best place counts.
+    """
+    n, spots = len(consensus), len(longer) - len(consensus) + 1
+    if not n or spots <= 1:
+        return consensus
+    code = np.zeros(256, np.uint8)
+    for letter, bits in CODES.items():
+        code[ord(letter)] = code[ord(letter.lower())] = bits
+    raw = [np.frombuffer(x.upper().encode("latin-1", "replace"), np.uint8) for x in (consensus, longer)]
+    (a, b), single = (code[x] for x in raw), np.isin(np.arange(16), [1, 2, 4, 8])
+    best, place, head = 0.0, -1, min(100, n)
+
+    def agreement(i: int, upto: int) -> float:
+        x, y = a[:upto], b[i : i + upto]
+        same = (raw[0][:upto] == raw[1][i : i + upto]) | (x == 15) | (y == 15) | (((x & y) > 0) & (single[x] | single[y]))
+        return float(same.sum()) / upto
+
+    for i in range(0, spots, 1 if spots < 1000 else max(1, spots // 500)):
+        if agreement(i, head) >= 0.6 and (score := agreement(i, n)) > best:
+            best, place = score, i
+    if place < 0 or best < least:
+        return consensus
+    return (longer[max(0, place - most) : place] + consensus + longer[place + n : place + n + most]).strip("N")
+
+
+def with_extension(pairs: DataFrame, key: str, consensus: str, longer: str) -> DataFrame:
+    """(key, seq): each consensus, extended where its longer copy supports it."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grown = [extended(x or "", y or "") for x, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grown, pa.string())], names=["key", "seq"])
+
+    return pairs.select(F.col(key).cast("long").alias("key"), F.col(consensus).alias("a"), F.col(longer).alias("b")).mapInArrow(step, "key long, seq string").withColumnRenamed("key", key)
+
+
 def affine_score(a: str, b: str, match: float = 1, mismatch: float = -1, opening: float = -2, extension: float = -0.5) -> float:
     """The score of the best global alignment with affine gaps, row by row."""
     x, n = np.frombuffer(b.encode("utf-32-le"), np.uint32), len(b)
