@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from helixframe.operators import matrices as M
@@ -148,13 +149,12 @@ def d15(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @QUERIES.add("d15_lambda")
 def d15_lambda(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lambda of each group's matrix under the base frequencies of all."""
+    """Lambda of each group's pairs of neighbours, scored against what their frequencies alone give."""
     counts = neighbour_counts(spark, sf_dir)
-    freqs = counts.groupBy("row").agg(F.sum("n").alias("n")).withColumn("one", F.lit(1))
-    whole = freqs.groupBy("one").agg(F.sum("n").alias("whole"))
-    freqs = freqs.join(whole, "one").select("row", (F.col("n") / F.col("whole")).alias("freq"))
-    matrix = log_ratio_matrix(spark, sf_dir).join(freqs.withColumnRenamed("freq", "freq_row"), "row").join(freqs.select(F.col("row").alias("col"), F.col("freq").alias("freq_col")), "col")
-    return M.with_lambda(matrix, "fam").select("fam", F.round("lambda", 6).alias("lambda"))
+    share = lambda *by: F.sum("n").over(W.partitionBy("fam", *by)) / F.sum("n").over(W.partitionBy("fam"))
+    matrix = counts.select("fam", "row", "col", share("row").alias("freq_row"), share("col").alias("freq_col"), share("row", "col").alias("p"))
+    score = F.round(F.log(F.col("p") / (F.col("freq_row") * F.col("freq_col"))) * 100).cast("long")
+    return M.with_lambda(matrix.withColumn("score", score), "fam").select("fam", F.round("lambda", 6).alias("lambda"))
 
 
 @QUERIES.add("a25_matrix_scan", f"""WITH {COUNTS}, p AS (SELECT fam, "row", col, n, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY fam, "row") AS p FROM cnt), q AS (SELECT "row", col, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY "row") AS q FROM bg)
