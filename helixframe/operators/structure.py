@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,33 +33,39 @@ def flank_duplication(seq: Column, flank: int = 30, least: int = 4, most: int =
     return F.when(F.length(seq) >= 2 * flank + least, found)
 
 
-def duplication_bounds(seq: Column, start: int, from_end: int, least: int = 4, most: int = 20, slack: int = 15, least_element: int = 50) -> Column:
-    """struct(b5, b3) of the element that the longest exact duplication near both junctions leaves, or null.
+def duplication_bounds(seq: str, start: int, end: int, least: int = 4, most: int = 20, slack: int = 15, least_element: int = 50) -> tuple[int, int] | None:
+    """(b5, b3) of the element that the longest exact duplication near both junctions, start and end, leaves.
 
-    The junctions are at `start` and `from_end` before the end. A duplication of one letter, or with an N, doesn't
-    count. Among equal lengths the nearest to the junctions wins, then the smaller bounds. Longer ones are tried first.
+    A duplication of one letter, or with an N, doesn't count. Among equal lengths the nearest to the junctions wins,
+    then the smaller bounds. Longer ones are tried first.
     """
-    n = F.length(seq)
-    end = n - from_end
-    lo5, hi5 = F.lit(max(most, start - slack)), F.least(n, F.lit(start + slack))
-    lo3, hi3 = F.greatest(F.lit(0), end - slack), F.least(n - least, end + slack)
-    near = F.struct(
-        lo5.alias("lo5"), hi5.alias("hi5"), lo3.alias("lo3"), hi3.alias("hi3"), end.alias("end"),
-        F.substring(seq, lo5 - most + 1, F.lit(most + 2 * slack)).alias("left"), F.substring(seq, lo3 + 1, F.lit(most + 2 * slack)).alias("right"),
-    )
-
-    def of_length(x: Column, k: int) -> Column:
-        def at(b5: Column) -> Column:
-            copy = F.substring(x["left"], b5 - x["lo5"] + most - k + 1, F.lit(k))
-            plain = (F.length(F.translate(copy, "N", "")) == k) & (F.length(F.replace(copy, F.left(copy, F.lit(1)), F.lit(""))) > 0)
-            spots = F.filter(F.sequence(x["lo3"], F.least(x["hi3"], x["lo3"] + F.length(x["right"]) - k)), lambda b3: (F.substring(x["right"], b3 - x["lo3"] + 1, F.lit(k)) == copy) & (b3 - b5 >= least_element))
-            return F.when(plain, F.transform(spots, lambda b3: F.struct((-(F.abs(b5 - start) + F.abs(b3 - x["end"]))).alias("near"), (-b5).alias("b5"), (-b3).alias("b3"))))
-
-        fits = (F.length(x["right"]) >= k) & (x["hi5"] >= x["lo5"])
-        return F.when(fits, F.array_max(F.flatten(F.filter(F.transform(F.sequence(x["lo5"], x["hi5"]), at), lambda a: a.isNotNull()))))
-
-    top = S.let(near, lambda x: F.when((x["hi5"] > x["lo5"]) & (x["hi3"] > x["lo3"]), F.coalesce(*(of_length(x, k) for k in range(most, least - 1, -1)))))
-    return S.let(top, lambda x: F.when(x.isNotNull(), F.struct((-x["b5"]).alias("b5"), (-x["b3"]).alias("b3"))))
+    n = len(seq)
+    fives = range(max(most, start - slack), min(n, start + slack) + 1)
+    threes = range(max(0, end - slack), min(n - least, end + slack) + 1)
+    if len(fives) < 2 or len(threes) < 2:
+        return None
+    for k in range(most, least - 1, -1):
+        places: dict[str, list[int]] = {}
+        for b3 in threes:
+            if b3 + k <= n:
+                places.setdefault(seq[b3 : b3 + k], []).append(b3)
+        copies = ((b5, seq[b5 - k : b5]) for b5 in fives)
+        found = [(abs(b5 - start) + abs(b3 - end), b5, b3) for b5, w in copies if "N" not in w and w.strip(w[0]) for b3 in places.get(w, ()) if b3 - b5 >= least_element]
+        if found:
+            return min(found)[1:]
+    return None
+
+
+def with_duplication_bounds(rows: DataFrame, key: str, seq: str, start: int, from_end: int) -> DataFrame:
+    """(key, b5, b3) of the sequences with a duplication near the junctions at `start` and `from_end` before the end."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
+            found = [(k, *b) for k, s in pairs if (b := duplication_bounds(x := s.as_py() or "", start, len(x) - from_end))]
+            yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.int64()) for c in range(3)], names=["key", "b5", "b3"])
+
+    return rows.select(F.col(key).cast("long").alias("key"), F.col(seq).alias("seq")).mapInArrow(step, "key long, b5 long, b3 long").withColumnRenamed("key", key)
 
 
 def edge_quality(seq: Column) -> Column:

@@ -30,8 +30,7 @@ def i11(spark: SparkSession, sf_dir: str) -> DataFrame:
 a AS (SELECT id, k, b5, substr(seq, b5 - k + 1, k) AS w FROM (SELECT id, seq, unnest(range(lo5, hi5 + 1)) AS b5 FROM x WHERE hi5 > lo5 AND hi3 > lo3) y, range(4, 21) z(k)), b AS (SELECT id, k, b3, n, substr(seq, b3 + 1, k) AS w FROM (SELECT id, seq, n, unnest(range(lo3, hi3 + 1)) AS b3 FROM x WHERE hi5 > lo5 AND hi3 > lo3) y, range(4, 21) z(k) WHERE b3 + k <= n),
 r AS (SELECT id, b5, b3, row_number() OVER (PARTITION BY id ORDER BY k DESC, abs(b5 - 40) + abs(b3 - (n - 40)), b5, b3) AS rank FROM a JOIN b USING (id, k, w) WHERE b3 - b5 >= 50 AND replace(w, left(w, 1), '') <> '') SELECT id, CAST(b5 AS BIGINT) AS b5, CAST(b3 AS BIGINT) AS b3 FROM r WHERE rank = 1""")
 def i11_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = V.seqs(spark, sf_dir).select("id", X.duplication_bounds(F.col("seq"), 40, 40).alias("x")).filter("x is not null")
-    return rows.select("id", F.col("x.b5").cast("long").alias("b5"), F.col("x.b3").cast("long").alias("b3"))
+    return X.with_duplication_bounds(V.seqs(spark, sf_dir), "id", "seq", 40, 40)
 
 
 @QUERIES.add("i13_terminal_repeats", f"""WITH {SELF_HITS} SELECT q, string_agg(DISTINCT CASE WHEN strand = '-' THEN 'tir' ELSE 'ltr' END, ',' ORDER BY CASE WHEN strand = '-' THEN 'tir' ELSE 'ltr' END) AS signals FROM self
