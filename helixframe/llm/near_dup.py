@@ -6,9 +6,10 @@ shingles go to the bin of that round. The smallest value stays, earlier rounds b
 when no bin is empty, which the second half guarantees. Two sets agree in a coordinate with a chance of their Jaccard
 similarity, with bounds as sharp as for independent hashes, at about one hash for each shingle.
 
-BANDS bands of ROWS coordinates make candidates; at similarity 0.85 all bands miss with a chance of 2e-7. Sizes and
-sketches drop pairs that can't reach the threshold (sketches that agree in under LEAST_AGREE of T coordinates: a
-chance of 1e-6 at similarity 0.85), and the others are confirmed on the full sets, read from the texts again.
+Bands of coordinates make candidates, as wide as lets a pair at the threshold miss all of them with a chance of at most
+MISS (`banding`: 48 of 8 at 85 per cent, 64 of 6 at 80). Sizes and sketches drop pairs that can't reach the threshold
+(`least_agree`: so few equal coordinates have a chance of at most MISS at the threshold), and the others are confirmed
+on the full sets, read from the texts again.
 
 The work never lists all pairs of a group. Documents with equal sets are one class, and only its smallest id goes on.
 A bucket is cut into blocks of about BLOCK classes, and tasks compare sketches block by block. First each class is
@@ -24,6 +25,7 @@ results; an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -34,18 +36,36 @@ from pyspark.sql import functions as F
 
 from helixframe.llm.common import Words, slices, utf8, written
 
-WIDTH, ROWS, BANDS = 5, 8, 48
-T = ROWS * BANDS
-LEAST_AGREE = 292
+WIDTH, T = 5, 384
+#: Chances of a pair at the threshold to be lost, by all bands and by its sketch.
+MISS = 1.5e-6
 PERCENT, BLOCK = 85, 1024
 #: So many ids (8 bytes each) at most are broadcast to pick texts; more are joined.
 BROADCAST_IDS = 1_000_000
 U = np.uint64
 #: Odd multipliers, one for each place in a shingle and each coordinate in a band.
-PLACE = np.array([xxhash.xxh3_64_intdigest(f"place {k}") | 1 for k in range(128)], U)
+PLACE = np.array([xxhash.xxh3_64_intdigest(f"place {k}") | 1 for k in range(64 + T)], U)
 ROUND = np.array([xxhash.xxh3_64_intdigest(f"round {k}") for k in range(2 * T)], U)
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """(rows, bands): the widest bands that all miss a pair of this similarity with a chance of at most MISS."""
+    for rows in range(64, 0, -1):
+        if (1 - (percent / 100) ** rows) ** (T // rows) <= MISS:
+            return rows, T // rows
+    raise ValueError(f"{T} coordinates can't find pairs of similarity {percent} per cent")
+
+
+def least_agree(percent: int) -> int:
+    """The most coordinates that a pair of this similarity falls short of with a chance of at most MISS."""
+    j, below = percent / 100, 0.0
+    for k in range(T):
+        below += comb(T, k) * j**k * (1 - j) ** (T - k)
+        if below > MISS:
+            return k
+    return T
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
@@ -97,7 +117,7 @@ def sketches(sets: list[np.ndarray], t: int = T) -> np.ndarray:
     return out.reshape(n, t)
 
 
-def band_keys(sketch: np.ndarray, rows: int = ROWS, bands: int = BANDS) -> np.ndarray:
+def band_keys(sketch: np.ndarray, rows: int, bands: int) -> np.ndarray:
     parts = sketch[:, : rows * bands].reshape(len(sketch), bands, rows)
     return mixed((mixed(parts) * PLACE[:rows]).sum(axis=2, dtype=U) + PLACE[64 : 64 + bands])
 
@@ -105,16 +125,17 @@ def band_keys(sketch: np.ndarray, rows: int = ROWS, bands: int = BANDS) -> np.nd
 SIGNATURE = "id long, n long, set_hash binary, bands array<long>, sketch binary"
 
 
-def signatures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+def signatures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """id, set size, a 128-bit hash of the set, band keys, and 8 bits of each coordinate of the sketch."""
+    per_band, bands = banding(percent)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             sets = shingle_sets(part.column("text"), width)
             sketch = sketches(sets)
-            keys = band_keys(sketch).astype(np.int64)
+            keys = band_keys(sketch, per_band, bands).astype(np.int64)
             low = mixed(sketch).astype(np.uint8)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * BANDS, pa.int32()), pa.array(keys.ravel()))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), pa.array(keys.ravel()))
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), lists, pa.array([r.tobytes() for r in low], pa.binary())],
                 names=["id", "n", "set_hash", "bands", "sketch"],
@@ -130,7 +151,8 @@ def partners(n: np.ndarray, c: np.ndarray, block: np.ndarray, sketch: np.ndarray
     Rows of different blocks are in one group only to be compared with each other. Without best, a pair is given
     only in the first band that it shares, which the sketches show.
     """
-    left, right = [], []
+    left, right, least = [], [], least_agree(percent)
+    rows, bands = banding(percent)
     across = block[0] != block[-1]
     for i in range(len(n)):
         may = (c != c[i]) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent)
@@ -144,10 +166,10 @@ def partners(n: np.ndarray, c: np.ndarray, block: np.ndarray, sketch: np.ndarray
         same = sketch[j] == sketch[i]
         agree = same.sum(axis=1)
         if best:
-            j = j[[agree.argmax()]] if agree.max() >= LEAST_AGREE else j[:0]
+            j = j[[agree.argmax()]] if agree.max() >= least else j[:0]
         else:
-            enough = agree >= LEAST_AGREE
-            first = same[enough].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+            enough = agree >= least
+            first = same[enough][:, : rows * bands].reshape(-1, bands, rows).all(axis=2).argmax(axis=1)
             j = j[enough][first == band]
         left += [i] * len(j)
         right += j.tolist()
@@ -249,7 +271,7 @@ def components(edges: DataFrame, name: str = "near") -> DataFrame:
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """One row for each document: id_col, n_shingles, component_id (the smallest id reachable), kept."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sig = written(signatures(rows, id_col="id", width=width), "near-signatures")
+    sig = written(signatures(rows, id_col="id", percent=percent, width=width), "near-signatures")
     usable = sig.filter("n > 0 and id is not null")
     firsts = usable.groupBy("set_hash").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"))
     copied = firsts.filter("copies > 1").select("set_hash", "first")

@@ -95,3 +95,14 @@ def test_sketches_estimate_similarity():
         common, a, b = (rng.integers(0, 1 << 63, k).astype(np.uint64) for k in (n * 3, n, n))
         x, y = N.sketches([np.unique(np.concatenate([common, a])), np.unique(np.concatenate([common, b]))])
         assert (x != np.uint64(0xFFFFFFFFFFFFFFFF)).all() and abs((x == y).mean() - 0.6) < (0.12 if n > 10 else 0.45)
+
+
+def test_pairs_at_a_lower_threshold_are_linked(spark):
+    rows = []
+    for k in range(400):  # 80 of 100 shingles each
+        w = [f"p{k}w{i}" for i in range(94)]
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(w[:84] + [x + "x" for x in w[84:]]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(N.near_duplicates(docs, percent=80)) == expected(rows, 80)
+    assert result(N.near_duplicates(docs)) == expected(rows)
+    assert N.banding(85) == (8, 48) and N.least_agree(85) == 292
