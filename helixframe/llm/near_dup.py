@@ -25,6 +25,7 @@ results; an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from math import comb
 
 import numpy as np
@@ -48,6 +49,7 @@ PLACE = np.array([xxhash.xxh3_64_intdigest(f"place {k}") | 1 for k in range(64 +
 ROUND = np.array([xxhash.xxh3_64_intdigest(f"round {k}") for k in range(2 * T)], U)
 
 
+@cache
 def banding(percent: int) -> tuple[int, int]:
     """(rows, bands): the widest bands that all miss a pair of this similarity with a chance of at most MISS."""
     for rows in range(64, 0, -1):
@@ -56,6 +58,7 @@ def banding(percent: int) -> tuple[int, int]:
     raise ValueError(f"{T} coordinates can't find pairs of similarity {percent} per cent")
 
 
+@cache
 def least_agree(percent: int) -> int:
     """The most coordinates that a pair of this similarity falls short of with a chance of at most MISS."""
     j, below = percent / 100, 0.0
@@ -145,14 +148,13 @@ def signatures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return rows.mapInArrow(step, SIGNATURE)
 
 
-def partners(n: np.ndarray, c: np.ndarray, block: np.ndarray, sketch: np.ndarray, band: int, best: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def partners(n: np.ndarray, c: np.ndarray, block: np.ndarray, sketch: np.ndarray, keys: np.ndarray | None, band: int, best: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the rows of one group that may be linked; with best, each row and its most similar partner alone.
 
     Rows of different blocks are in one group only to be compared with each other. Without best, a pair is given
-    only in the first band that it shares, which the sketches show.
+    only in the first band that it shares, by the whole keys of the bands: 8 bits of a coordinate may agree by chance.
     """
     left, right, least = [], [], least_agree(percent)
-    rows, bands = banding(percent)
     across = block[0] != block[-1]
     for i in range(len(n)):
         may = (c != c[i]) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent)
@@ -169,15 +171,16 @@ def partners(n: np.ndarray, c: np.ndarray, block: np.ndarray, sketch: np.ndarray
             j = j[[agree.argmax()]] if agree.max() >= least else j[:0]
         else:
             enough = agree >= least
-            first = same[enough][:, : rows * bands].reshape(-1, bands, rows).all(axis=2).argmax(axis=1)
-            j = j[enough][first == band]
+            j = j[enough]
+            j = j[(keys[j] == keys[i]).argmax(axis=1) == band]
         left += [i] * len(j)
         right += j.tolist()
     return np.array(left, np.int64), np.array(right, np.int64)
 
 
 def candidates(crowd: DataFrame, best: bool, percent: int) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of rows (key, band, members, id, n, c, sketch) that share a key, differ in c and may be linked."""
+    """Distinct pairs (a, b), a < b, of rows (key, band, members, id, n, c, sketch, bands) that share a key, differ in c and may be linked."""
+    width = banding(percent)[1]
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks.cast("long")).cast("int")
     rows = crowd.withColumn("own", own)
@@ -185,7 +188,7 @@ def candidates(crowd: DataFrame, best: bool, percent: int) -> DataFrame:
         rows = rows.withColumns({"i": F.col("own"), "j": F.col("own")})
     else:
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-    rows = rows.select("key", "band", "i", "j", "own", "id", "n", "c", "sketch").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "own", "id")
+    rows = rows.select("key", "band", "i", "j", "own", "id", "n", "c", "sketch", *([] if best else ["bands"])).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "own", "id")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -201,10 +204,11 @@ def candidates(crowd: DataFrame, best: bool, percent: int) -> DataFrame:
             new = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
             bounds = np.concatenate([[0], new, [len(key)] if end >= 0 else []]).astype(np.int64)
             sketch = np.frombuffer(b"".join(whole.column("sketch").slice(0, bounds[-1]).to_pylist()), np.uint8).reshape(-1, T)
+            keys = None if best else whole.column("bands").slice(0, bounds[-1]).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
             found = []
             for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 if hi - lo > 1 and (i[lo] == j[lo] or own[lo] != own[hi - 1]):
-                    x, y = partners(n[lo:hi], c[lo:hi], own[lo:hi], sketch[lo:hi], int(band[lo]), best, percent)
+                    x, y = partners(n[lo:hi], c[lo:hi], own[lo:hi], sketch[lo:hi], None if best else keys[lo:hi], int(band[lo]), best, percent)
                     found.append((ids[lo + x], ids[lo + y]))
             if found:
                 a, b = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -283,9 +287,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     buckets = classes.select("id", F.posexplode("bands").alias("band", "key"))
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     crowd = written(buckets.join(shared, "key"), "near-buckets")
-    sketch = written(classes.select("id", "n", "sketch").join(crowd.select("id").distinct(), "id", "left_semi"), "near-sketches")
+    sketch = written(classes.select("id", "n", "sketch", "bands").join(crowd.select("id").distinct(), "id", "left_semi"), "near-sketches")
 
-    first = written(candidates(crowd.join(sketch, "id").withColumn("c", F.col("id")), True, percent), "near-pairs")
+    first = written(candidates(crowd.join(sketch.drop("bands"), "id").withColumn("c", F.col("id")), True, percent), "near-pairs")
     labels = components(confirmed(first, rows, percent, width))
 
     # what this hasn't joined: classes of different components that share a bucket

@@ -106,3 +106,11 @@ def test_pairs_at_a_lower_threshold_are_linked(spark):
     assert result(N.near_duplicates(docs, percent=80)) == expected(rows, 80)
     assert result(N.near_duplicates(docs)) == expected(rows)
     assert N.banding(85) == (8, 48) and N.least_agree(85) == 292
+
+
+def test_a_pair_is_given_in_the_first_band_it_really_shares(spark):
+    """Eight bits of every coordinate agree in band 0, whose keys differ; the pair meets in band 1 alone."""
+    bands = [[k, 100, *range(k * 1000, k * 1000 + 46)] for k in (1, 2)]
+    rows = [(100, 1, 2, k + 1, 50, k + 1, bytes(N.T), bands[k]) for k in (0, 1)]
+    crowd = spark.createDataFrame(rows, "key long, band int, members long, id long, n long, c long, sketch binary, bands array<long>")
+    assert result(N.candidates(crowd, False, 85)) == [(1, 2)]
