@@ -1,6 +1,7 @@
 """Secret scans: fixed patterns, and a battery of randomness tests over other tokens.
 
-Tokens are runs of `[A-Za-z0-9+/_=-]` of at least `least` characters that no pattern covers. Each token's encoding is
+Tokens are runs of `[A-Za-z0-9+/_-]`, with the `=` that pad them where the run ends, of at least `least` characters
+that no pattern covers; an `=` inside, as in NAME=VALUE, parts two tokens. Each token's encoding is
 inferred from its characters (hex, base 32, base 36, base 62, base 64), and three tests hold it against random
 symbols of that alphabet: chi-squared uniformity, runs above and below the middle of the alphabet, and serial
 correlation. Fisher's method combines them; a token that this rejects at `alpha` isn't random.
@@ -33,7 +34,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 #: Runs of fewer characters of HEX are not worth a match object; the run found is the same.
 LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]+")
+TOKEN = re.compile(r"[A-Za-z0-9+/_-]+(?:=+\Z)?")
 KINDS = ("assign", "access", "hex", "random")
 LEAST, ALPHA, RATE = 20, 1e-4, 0.01
 
@@ -74,10 +75,9 @@ def chi_squared_tail(x: float, df: int) -> float:
 
 
 def encoding(token: str) -> tuple[str, dict] | None:
-    """The smallest alphabet that holds the token, which must mix classes of characters as keys do."""
+    """The smallest alphabet that holds the token, which must have letters: digits alone are no key."""
     used = set(token)
-    digits = any("0" <= c <= "9" for c in used)
-    if not digits or not any(c.isalpha() for c in used):
+    if not any(c.isalpha() for c in used):
         return None
     return next(((name, place) for name, letters, place in SETS if used <= letters), None)
 
@@ -129,11 +129,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def random_spans(text: str, base: list[tuple[int, int, int]], least: int, alpha: float, rate: float) -> list[tuple[int, int, int]]:
     tested = []
-    for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % least, text):
-        if any(s < m.end() and m.start() < e for s, _, e in base):
-            continue
-        if found := battery(m[0]):
-            tested.append((m.start(), m.end(), found))
+    for run in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % least, text):
+        for m in TOKEN.finditer(run[0]):
+            start, end = run.start() + m.start(), run.start() + m.end()
+            if end - start < least or any(s < end and start < e for s, _, e in base):
+                continue
+            if found := battery(m[0]):
+                tested.append((start, end, found))
     if not tested:
         return []
     total = sum(e - s for s, e, _ in tested)

@@ -43,3 +43,20 @@ def test_table(spark):
     assert S.find_secrets(docs.limit(0)).count() == 0
     clean = S.redact(docs).collect()
     assert [r.spans for r in clean] == ["z", "z", None, None] and sorted(("?" if r.text is None else r.text)[:13] for r in clean) == ["", "", "?", 'x [assign]" w']
+
+
+def test_values_after_equals_signs_and_keys_of_letters_are_found():
+    rng = random.Random(11)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    mixed, found, letters = string.ascii_letters + string.digits, [0, 0, 0], 0
+    for _ in range(200):
+        key = draw(mixed, 40)
+        for k, text in enumerate((f"export AWS_SECRET_ACCESS_KEY={key}\n", f"https://host/a?id=7&sig={key}==&x=2", f"KEY={key}")):
+            at = text.index(key)
+            found[k] += f"random:{at}:{at + 40 + 2 * (k == 1)}" in S.scan(text)[4].split(",")
+        letters += S.scan(f"the key is {draw(string.ascii_letters, 40)} here")[5]
+    assert min(found) >= 190 and letters >= 190, (found, letters)
+    words = ["the", "of", "international", "response", "token", "line", "under", "alpha"]
+    joins = ("_".join, "/".join, lambda w: "".join(x.title() for x in w))
+    names = [join(rng.choice(words) for _ in range(5)) for join in joins for _ in range(200)]
+    assert sum(S.scan(f"call {k} here")[5] for k in names) <= S.RATE * len(names)
