@@ -7,8 +7,9 @@ a template holds a window that equals one of the template's and collides for cer
 misses all bands with a chance of (1 - J ** ROWS) ** BANDS, under 3e-4 at 0.8.
 
 A collision puts the template at a place in the text. There, in as many shingles as the template has and a fifth more
-to both sides, at least `containment` of the template's distinct shingles must be found. Of matches inside one
-another's spans the one with more shingles stays.
+to both sides, at least `containment` of the template's distinct shingles must be found. A match spans those
+of them that lie, but for that fifth, where the template has them from the place on that most agree on; only if these are too few, as in
+a reordered text, it spans all. A match goes if most of its shingles are inside the spans of stronger ones.
 
 Defined results: null text is empty and has no match; a null id stays; equal texts give equal results; an empty table
 gives an empty result; other columns are not read. A template needs WIDTH words.
@@ -16,7 +17,7 @@ gives an empty result; other columns are not read. A template needs WIDTH words.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -83,6 +84,10 @@ class Index:
         self.names = [(name, k) for name, texts in templates.items() for k in range(len(texts))]
         hashes, _, _, at = shingled(pa.array([t for texts in templates.values() for t in texts], pa.string()))
         self.shingles = [hashes[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        self.offsets: list[dict[int, list[int]]] = [defaultdict(list) for _ in self.shingles]
+        for offsets, s in zip(self.offsets, self.shingles, strict=True):
+            for k, h in enumerate(s.tolist()):
+                offsets[h].append(k)
         self.sets = [frozenset(s.tolist()) for s in self.shingles]
         if not all(self.sets):
             raise ValueError(f"a template needs {WIDTH} words")
@@ -133,16 +138,21 @@ class Index:
             hits = [k for k, h in enumerate(here) if h in self.sets[t]]
             share = len({here[k] for k in hits}) / len(self.sets[t])
             if share >= containment:
-                found[i].append((len(hits), share, t, lo + hits[0], lo + hits[-1] + 1))
+                # the place that most hits agree on; the collision's may be off by a repeated phrase
+                place = Counter(lo + k - o for k in hits for o in self.offsets[t][here[k]]).most_common(1)[0][0]
+                own = [k for k in hits if any(abs(lo + k - o - place) <= slack for o in self.offsets[t][here[k]])]
+                aligned = len({here[k] for k in own}) >= containment * len(self.sets[t])
+                own = own if aligned else hits
+                found[i].append((len({here[k] for k in own}), share, t, lo + own[0], lo + own[-1] + 1, [lo + k for k in own], not aligned))
         points = code_points(words.data)
         out: list[list[tuple[str, int, int, float]]] = []
         for i in range(len(at) - 1):
             kept: list[tuple] = []
-            for m in sorted(found.get(i, ()), key=lambda m: (-m[0] * m[1], -m[1], m[2], m[3])):
-                if not any(m[3] < k[4] and k[3] < m[4] for k in kept):
+            for m in sorted(found.get(i, ()), key=lambda m: (-m[0] * m[1], -m[1], m[6], m[2], m[3])):
+                if 2 * sum(any(k[3] <= x < k[4] for k in kept) for x in m[5]) <= len(m[5]):
                     kept.append(m)
             base = int(points[words.starts[i]])
-            spans = sorted((int(points[words.start[first[lo]]]) - base, int(points[words.end[first[hi - 1] + WIDTH - 1]]) - base, self.names[t][0], share) for _, share, t, lo, hi in kept)
+            spans = sorted((int(points[words.start[first[lo]]]) - base, int(points[words.end[first[hi - 1] + WIDTH - 1]]) - base, self.names[t][0], share) for _, share, t, lo, hi, *_ in kept)
             out.append([(name, s, e, share) for s, e, name, share in spans])
         return out
 

@@ -63,3 +63,14 @@ def test_odd_rows(spark):
     rows = sorted((r.doc_id or 0, r.n_matches, r.matches) for r in C.find_licenses(docs).collect())
     assert rows == [(0, 1, "MIT:4:34:1.000"), (1, 0, ""), (2, 0, ""), (3, 1, "MIT:0:30:1.000"), (3, 1, "MIT:0:30:1.000"), (4, 1, "MIT:600000:600030:1.000")]
     assert C.find_licenses(docs.limit(0)).count() == 0
+
+
+def test_adjacent_licences_are_all_found():
+    index = C.Index(TEMPLATES)
+    longest = {name: max(texts, key=len) for name, texts in TEMPLATES.items()}
+    for names in (("MIT", "ISC"), ("ISC", "MIT"), ("GPL-3.0", "AGPL-3.0"), ("MIT", "MIT"), ("MIT", "ISC", "MIT")):
+        for gap in ("\n", "\nthird party notice for some library\n"):
+            texts = [longest[n] for n in names]
+            found = index.matches(pa.array([gap.join(texts)]), 0.8)[0]
+            assert [m[0] for m in found] == list(names), (names, found)
+            assert all(a[2] <= b[1] for a, b in zip(found, found[1:], strict=False)), found
