@@ -17,10 +17,13 @@ the order of their texts' hashes, so that one id's rows need not share a range;
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -34,43 +37,73 @@ from helixframe.llm.common import Words, scratch, slices, utf8
 
 TOKENIZER, END = public_tokenizers.path("word_bpe_49k.json"), 2
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2000
-#: Words that a task remembers.
-MEMORY_WORDS = 300_000
-#: Ranges of at most about so many bytes of text.
-RANGE_BYTES = 64 << 20
-
+#: Words that a Python worker remembers, from task to task, and bytes of text that it encodes at a time.
+MEMORY_WORDS, STEP_BYTES = 1_000_000, 2 << 20
+#: Ranges of at most about so many bytes of text; beyond so many ranges, they grow instead (tasks stream through them).
+RANGE_BYTES, MOST_RANGES = 32 << 20, 100_000
 
 #: Pre-tokens that can be told apart by their bytes: runs of Latin letters, runs of marks, single digits.
 SIMPLE = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[!-&(-/:-@\[-`{-~]+|[0-9]")
-LETTER, MARK, DIGIT, OTHER = 0, 1, 2, 3
+LETTER, MARK, DIGIT, OTHER, SPACE = range(5)
 CLASS = np.full(256, OTHER, np.uint8)
 CLASS[33:127] = MARK
 CLASS[[*range(65, 91), *range(97, 123)]] = LETTER
 CLASS[48:58], CLASS[39] = DIGIT, OTHER
-
-
-def units(data: np.ndarray, starts: np.ndarray) -> Words:
-    """Words, those of Latin letters, marks and digits lower-cased and cut into pre-tokens."""
-    words = Words(data, starts)
-    kind, n = CLASS[data], len(data)
-    lead = np.flatnonzero(data[:-1] == 0xC3) if n else np.zeros(0, np.int64)
-    lead = lead[(data[lead + 1] & 0xC0 == 0x80) & (data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
-    kind[lead] = kind[lead + 1] = LETTER
-    odd = kind == OTHER
-    odd[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))  # special tokens in the text
-    odd = np.concatenate([[0], np.cumsum(odd & words.inside)])
-    simple = np.zeros(n, bool)
-    simple[words.inside] = np.repeat(odd[words.end] == odd[words.start], words.length)
-    data = data.copy()
-    data[simple & (data >= 65) & (data <= 90)] += 32
-    upper = lead[(data[lead + 1] < 0x9F) & simple[lead]] + 1
-    data[upper] += 32
-    cuts = np.flatnonzero(simple[1:] & ((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT))) + 1
-    return Words(data, starts, cuts)
+CLASS[[*range(9, 14), 32]] = SPACE
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+class Units:
+    """Words, those of Latin letters, marks and digits lower-cased and cut into pre-tokens: their bytes, and where each text's begin."""
+
+    def __init__(self, data: np.ndarray, starts: np.ndarray) -> None:
+        kind = CLASS[data]
+        lead = np.flatnonzero(data[:-1] == 0xC3) if len(data) else np.zeros(0, np.int64)
+        lead = lead[(data[lead + 1] & 0xC0 == 0x80) & (data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+        kind[lead] = kind[lead + 1] = LETTER
+        inside = kind != SPACE
+        first = kind == DIGIT
+        first[:1] = True
+        first[1:] |= kind[1:] != kind[:-1]
+        first[starts[:-1][starts[:-1] < len(data)]] = True
+        begin = np.flatnonzero(first & inside)
+        opens = ~inside[begin - 1]
+        at = np.searchsorted(begin, starts)
+        opens[at[:-1][at[:-1] < len(begin)]] = True
+        word = np.cumsum(opens) - 1
+        # words with other bytes, or with what may be a special token, stay whole
+        odd = kind[begin] == OTHER
+        special = np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|")))
+        odd[np.searchsorted(begin, special, side="right") - 1] |= True
+        whole = np.zeros(int(word[-1]) + 1 if len(word) else 0, bool)
+        whole[word[odd]] = True
+        whole = whole[word]
+        keep = opens | ~whole
+        begin, whole = begin[keep], whole[keep]
+        ordinal = np.cumsum(inside, dtype=np.int64)
+        bounds = np.append(ordinal[begin] - 1, ordinal[-1:]) if len(begin) else np.zeros(1, np.int64)
+        low = LOWER[data]
+        low[lead[data[lead + 1] < 0x9F] + 1] += 32
+        packed = low[inside]
+        if whole.any():
+            packed = np.where(np.repeat(whole, np.diff(bounds)), data[inside], packed)
+        self.value = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(bounds), pa.py_buffer(packed)])
+        self.at = np.searchsorted(begin, starts)
+
+    def numbers(self) -> tuple[np.ndarray, pa.Array]:
+        coded = self.value.dictionary_encode()
+        return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
+def as_bytes(values: pa.Array) -> list[bytes]:
+    _, offsets, data = values.buffers()
+    raw = data.to_pybytes() if data is not None else b""
+    return [raw[a:b] for a, b in pairwise(np.frombuffer(offsets, np.int64, len(values) + 1, values.offset * 8).tolist())]
 
 
 class Encoder:
-    """Identifiers of texts, for one task."""
+    """Identifiers of texts; what it has learned stays with it."""
 
     def __init__(self, path: str, end: int) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
@@ -82,9 +115,17 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.closes[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
-        #: Whether words are cut into pre-tokens as units() does, and each one's last identifier closes it.
+        #: Whether words are cut into pre-tokens as Units does, and each one's last identifier closes it.
         parts = ("ab", "#?", "é", "1", "2", ".", "x")
         self.joins = self.ids("Ab#?É12. X") == [i for p in parts for i in self.ids(p)] and all(self.closes[self.ids(p)].tolist() == [False] * (len(self.ids(p)) - 1) + [True] for p in (*parts, "abracadabra"))
+        #: For pre-tokens, the same model without what would cut and fold them once more, if that gives the same.
+        spec = json.loads(self.tokenizer.to_str()) | {"normalizer": None, "post_processor": None, "added_tokens": []}
+        spec["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+        self.model, probe = self.tokenizer, " ".join((*parts, "abracadabra", "ñandú", "straße", "&&", "thx"))
+        if self.joins:
+            bare = Tokenizer.from_str(json.dumps(spec))
+            if bare.encode(probe, add_special_tokens=False).ids == self.ids(probe):
+                self.model = bare
         self.forget()
 
     def forget(self) -> None:
@@ -101,16 +142,16 @@ class Encoder:
             text = w.decode()
             (joined if self.joins and SIMPLE.fullmatch(text) else other).append((w, text))
         flat, sizes = [self.flat], []
-        for k in range(0, len(joined), 1000):
-            ids = np.array(self.ids(" ".join(t for _, t in joined[k : k + 1000])), np.int32)
+        groups = [" ".join(t for _, t in joined[k : k + 1000]) for k in range(0, len(joined), 1000)]
+        for found in self.model.encode_batch_fast(groups, add_special_tokens=False):
+            ids = np.array(found.ids, np.int32)
             sizes.append(np.diff(np.flatnonzero(self.closes[ids]) + 1, prepend=0))
             flat.append(ids)
-        for _, text in other:
-            ids = np.array(self.ids(text), np.int32)
-            sizes.append(np.array([len(ids)]))
-            flat.append(ids)
-        for w, _ in joined + other:
-            self.place[w] = len(self.place)
+        for found in self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False):
+            flat.append(np.array(found.ids, np.int32))
+            sizes.append(np.array([len(flat[-1])]))
+        for k, (w, _) in enumerate(joined + other, len(self.place)):
+            self.place[w] = k
         self.flat = np.concatenate(flat)
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(np.concatenate(sizes))]) if sizes else self.bounds
 
@@ -119,29 +160,33 @@ class Encoder:
         if not self.by_word:
             each = [np.array([*self.ids(t or ""), self.end], np.int32) for t in texts.to_pylist()]
             return np.concatenate(each), np.concatenate([[0], np.cumsum([len(x) for x in each])])
-        data, starts = utf8(texts)
-        words = units(data, starts) if self.joins else Words(data, starts)
+        words = (Units if self.joins else Words)(*utf8(texts))
         number, distinct = words.numbers()
-        distinct = distinct.to_pylist()
-        new = [w for w in distinct if w not in self.place]
-        if len(self.place) + len(new) > MEMORY_WORDS:
-            self.forget()
-            new = distinct
-        self.learn(new)
-        known = np.array([self.place[w] for w in distinct], np.int64)[number] if distinct else np.zeros(0, np.int64)
+        distinct = as_bytes(distinct)
+        place = list(map(self.place.get, distinct))
+        if new := [w for w, k in zip(distinct, place, strict=True) if k is None]:
+            if len(self.place) + len(new) > MEMORY_WORDS:
+                self.forget()
+                new = distinct
+            self.learn(new)
+            place = list(map(self.place.get, distinct))
+        known = np.array(place, np.int64)[number]
         n = self.bounds[known + 1] - self.bounds[known]
         # the end identifiers stand after each text's words
         total = np.concatenate([[0], np.cumsum(n)])
-        per_text = total[words.at[1:]] - total[words.at[:-1]]
-        bounds = np.concatenate([[0], np.cumsum(per_text + 1)])
-        out = np.full(bounds[-1], self.end, np.int32)
+        bounds = total[words.at] + np.arange(len(words.at))
         source = np.repeat(self.bounds[known] - total[:-1], n) + np.arange(total[-1])
-        place = np.arange(total[-1]) + np.repeat(words.text, n)
-        out[place] = self.flat[source]
+        out = np.insert(self.flat[source], total[words.at[1:]], self.end)
         return out, bounds
 
 
-def write_tokens(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, end: int = END, ranges: int | None = None) -> None:
+@lru_cache(maxsize=1)
+def encoder(path: str, end: int) -> Encoder:
+    """One for each Python worker, so that a task finds the words of those before it."""
+    return Encoder(path, end)
+
+
+def write_tokens(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, end: int = END, ranges: int | None = None, range_bytes: int = RANGE_BYTES) -> None:
     """Writes (part, place, doc_id, n_tokens, tokens) below path, in ascending order of doc_id.
 
     `part` numbers the ranges in order; `place` counts the identifiers before a document in its range.
@@ -149,14 +194,13 @@ def write_tokens(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     if ranges is None:
         size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        ranges = max(rows.sparkSession.sparkContext.defaultParallelism, -(-size // RANGE_BYTES))
+        ranges = max(rows.sparkSession.sparkContext.defaultParallelism, min(MOST_RANGES, -(-size // range_bytes)))
     rows = rows.repartitionByRange(int(ranges), F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, place = None, TaskContext.get().partitionId(), 0
-        for piece in slices(batches, "text"):
-            encoder = encoder or Encoder(tokenizer, end)
-            ids, bounds = encoder.encode(piece.column("text"))
+        part, place = TaskContext.get().partitionId(), 0
+        for piece in slices(batches, "text", STEP_BYTES):
+            ids, bounds = encoder(tokenizer, end).encode(piece.column("text"))
             n = len(bounds) - 1
             tokens = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part, np.int32)), pa.array(place + bounds[:-1]), piece.column("doc_id"), pa.array(np.diff(bounds)), tokens], names=["part", "place", "doc_id", "n_tokens", "tokens"])
@@ -173,9 +217,10 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (identifiers of all documents before it), n_tokens and tokens."""
     rows = spark.read.schema("part int, place long, doc_id long, n_tokens long, tokens array<int>").parquet(path)
     sums = rows.groupBy("part").agg(F.sum("n_tokens").alias("all"))
-    # one row for each range; a range holds many documents
+    # one row for each range, MOST_RANGES of write_tokens or so many as its caller asked for
     before = sums.select(F.col("part").alias("p"), F.coalesce(F.sum("all").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    return rows.join(F.broadcast(before), F.col("part") == F.col("p")).select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "tokens")
+    few = sums.limit(MOST_RANGES + 1).count() <= MOST_RANGES
+    return rows.join(F.broadcast(before) if few else before, F.col("part") == F.col("p")).select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "tokens")
 
 
 def digests(tokens: DataFrame) -> DataFrame:
