@@ -16,12 +16,18 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one step inside a task works on at a time, whatever the Arrow batch holds.
 SLICE_BYTES = 1 << 20
+#: Tables of ids or hashes of at most so many rows are broadcast (16 MB at 16 bytes); longer ones are joined by key.
+BROADCAST_IDS = 1_000_000
+#: A key of at most so many rows is never heavy.
+HEAVY = 1000
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder of spark.checkpoint.dir; one is set only where none is."""
+    """A new path in the shared folder of spark.checkpoint.dir; in local mode, as in tests, one is set where none is."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir()
@@ -35,6 +41,29 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def at_most(df: DataFrame, rows: int | None = None) -> bool:
+    """Whether df has no more rows than that, which are counted; BROADCAST_IDS by default."""
+    rows = BROADCAST_IDS if rows is None else rows
+    return df.limit(rows + 1).count() <= rows
+
+
+def lookup(df: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:
+    """df with the columns of `table`, a row for each key, joined left; `weight` says how many rows of df have the key.
+
+    A small table is broadcast. Beyond BROADCAST_IDS rows, only the keys are broadcast that have more than their
+    share of all rows, of which there are BROADCAST_IDS at most; the other rows are joined by key, so no task gets a
+    heavy key's rows.
+    """
+    rows, total = table.agg(F.count(F.lit(1)), F.sum(weight)).first()
+    if rows <= BROADCAST_IDS:
+        return df.join(F.broadcast(table.drop(weight)), key, "left")
+    heavy = F.col(weight) > max(HEAVY, total // BROADCAST_IDS)
+    values = [c for c in table.columns if c not in (key, weight)]
+    out = df.join(F.broadcast(table.filter(heavy).drop(weight).withColumn("__heavy", F.lit(True))), key, "left")
+    rest = out.filter(F.col("__heavy").isNull()).drop("__heavy", *values).join(table.filter(~heavy).drop(weight), key, "left")
+    return out.filter("__heavy").drop("__heavy").unionByName(rest)
+
+
 def size_in_words(text: Column) -> Column:
     """Words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -14,8 +14,12 @@ on the full sets, read from the texts again.
 The work never lists all pairs of a group. Documents with equal sets are one class, and only its smallest id goes on.
 A bucket is cut into blocks of about BLOCK classes, and tasks compare sketches block by block. First each class is
 linked with its most similar partner alone; the confirmed links make components, which take in nearly all of a group
-of near copies at about one link for each. Then only classes of different components are compared, all blocks of a
-bucket with all, so no link between components is lost.
+of near copies at about one link for each. Then only classes of different components are compared: in each bucket, all
+classes but those of its largest component visit every block, so no link between components is lost, and a bucket's
+rows grow with the classes that are still apart, not with the square of its size.
+
+Joins by a key that many rows share (a set that is copied, a text that many are compared with, the smallest node of a
+component) broadcast a counted small table, or else deal the key's rows out (`common.lookup`, `salted`).
 
 Defined results: null text or a text without words has an empty set and is linked with nothing; a row with a null id
 is linked with nothing, has a null component and is kept; rows that repeat an id are one node; equal rows get equal
@@ -35,14 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import Words, slices, utf8, written
+from helixframe.llm.common import Words, at_most, lookup, slices, utf8, written
 
 WIDTH, T = 5, 384
 #: Chances of a pair at the threshold to be lost, by all bands and by its sketch.
 MISS = 1.5e-6
 PERCENT, BLOCK = 85, 1024
-#: So many ids (8 bytes each) at most are broadcast to pick texts; more are joined.
-BROADCAST_IDS = 1_000_000
+#: A text is sent once for each so many pairs that it leads.
+PAIRS_PER_COPY = 1024
 U = np.uint64
 #: Odd multipliers, one for each place in a shingle and each coordinate in a band.
 PLACE = np.array([xxhash.xxh3_64_intdigest(f"place {k}") | 1 for k in range(64 + T)], U)
@@ -148,20 +152,15 @@ def signatures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return rows.mapInArrow(step, SIGNATURE)
 
 
-def partners(n: np.ndarray, c: np.ndarray, block: np.ndarray, sketch: np.ndarray, keys: np.ndarray | None, band: int, best: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the rows of one group that may be linked; with best, each row and its most similar partner alone.
+def partners(n: np.ndarray, c: np.ndarray, visits: np.ndarray, sketch: np.ndarray, keys: np.ndarray | None, band: int, best: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the rows of one block that may be linked; with best, each row and its most similar partner alone.
 
-    Rows of different blocks are in one group only to be compared with each other. Without best, a pair is given
-    only in the first band that it shares, by the whole keys of the bands: 8 bits of a coordinate may agree by chance.
+    Without best, those that visit the block are compared with those that live there, and a pair is given only in the
+    first band that it shares, by the whole keys of the bands: 8 bits of a coordinate may agree by chance.
     """
     left, right, least = [], [], least_agree(percent)
-    across = block[0] != block[-1]
-    for i in range(len(n)):
-        may = (c != c[i]) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent)
-        if across:
-            may &= block > block[i]
-        elif not best:
-            may[: i + 1] = False
+    for i in range(len(n)) if best else np.flatnonzero(visits).tolist():
+        may = (c != c[i]) & ~visits & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent)
         j = np.flatnonzero(may)
         if not len(j):
             continue
@@ -179,16 +178,19 @@ def partners(n: np.ndarray, c: np.ndarray, block: np.ndarray, sketch: np.ndarray
 
 
 def candidates(crowd: DataFrame, best: bool, percent: int) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of rows (key, band, members, id, n, c, sketch, bands) that share a key, differ in c and may be linked."""
+    """Distinct pairs (a, b), a < b, of rows (key, band, members, id, n, c, sketch, bands) that share a key, differ in c and may be linked.
+
+    Without best, the rows may tell in `largest` the component that most of their bucket's rows have, which stay in
+    their blocks; all others visit all blocks.
+    """
     width = banding(percent)[1]
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks.cast("long")).cast("int")
-    rows = crowd.withColumn("own", own)
-    if best:
-        rows = rows.withColumns({"i": F.col("own"), "j": F.col("own")})
-    else:
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-    rows = rows.select("key", "band", "i", "j", "own", "id", "n", "c", "sketch", *([] if best else ["bands"])).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "own", "id")
+    rows = crowd.withColumns({"block": F.pmod(F.xxhash64("id"), blocks.cast("long")).cast("int"), "visits": F.lit(False)})
+    if not best:
+        largest = F.col("largest") if "largest" in crowd.columns else F.lit(None)
+        apart = rows.filter(~F.col("c").eqNullSafe(largest)).withColumns({"block": F.explode(F.sequence(F.lit(0), blocks - 1)), "visits": F.lit(True)})
+        rows = rows.unionByName(apart)
+    rows = rows.select("key", "band", "block", "visits", "id", "n", "c", "sketch", *([] if best else ["bands"])).repartition("key", "block").sortWithinPartitions("key", "block", "id")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -200,15 +202,15 @@ def candidates(crowd: DataFrame, best: bool, percent: int) -> DataFrame:
                 end = -1
             if whole is None or not whole.num_rows:
                 continue
-            key, band, i, j, own, ids, n, c = (whole.column(k).to_numpy(zero_copy_only=False) for k in ("key", "band", "i", "j", "own", "id", "n", "c"))
-            new = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            key, band, block, visits, ids, n, c = (whole.column(k).to_numpy(zero_copy_only=False) for k in ("key", "band", "block", "visits", "id", "n", "c"))
+            new = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1
             bounds = np.concatenate([[0], new, [len(key)] if end >= 0 else []]).astype(np.int64)
             sketch = np.frombuffer(b"".join(whole.column("sketch").slice(0, bounds[-1]).to_pylist()), np.uint8).reshape(-1, T)
             keys = None if best else whole.column("bands").slice(0, bounds[-1]).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
             found = []
             for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                if hi - lo > 1 and (i[lo] == j[lo] or own[lo] != own[hi - 1]):
-                    x, y = partners(n[lo:hi], c[lo:hi], own[lo:hi], sketch[lo:hi], None if best else keys[lo:hi], int(band[lo]), best, percent)
+                if hi - lo > 1:
+                    x, y = partners(n[lo:hi], c[lo:hi], visits[lo:hi], sketch[lo:hi], None if best else keys[lo:hi], int(band[lo]), best, percent)
                     found.append((ids[lo + x], ids[lo + y]))
             if found:
                 a, b = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -226,7 +228,7 @@ def _then_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | N
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
     """Of the pairs (a, b), those whose full sets have the similarity. docs: (id, text)."""
     needed = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id")
-    if needed.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+    if at_most(needed):
         needed = F.broadcast(needed)
     texts = written(docs.join(needed, "id", "left_semi"), "near-texts")
     side = lambda x: texts.select(F.col("id").alias(x), F.col("text").alias(f"t_{x}"))
@@ -242,7 +244,21 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> Da
             yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     # members first: their texts are as many as the pairs, the leaders' are few
-    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "t_a", "t_b").mapInArrow(step, "a long, b long")
+    both = salted(salted(pairs, pairs, side("b"), "b", "a"), pairs, side("a"), "a", "b")
+    return both.select("a", "b", "t_a", "t_b").mapInArrow(step, "a long, b long")
+
+
+def salted(rows: DataFrame, pairs: DataFrame, texts: DataFrame, key: str, other: str) -> DataFrame:
+    """rows, those of pairs and more, joined with texts by key; a text that is in many pairs comes once for each PAIRS_PER_COPY."""
+    heavy = pairs.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_COPY).cast("int").alias("copies")).filter("copies > 1")
+    heavy = written(heavy, "near-heavy")
+    if heavy.isEmpty():
+        return rows.join(texts, key)
+    heavy = F.broadcast(heavy) if at_most(heavy) else heavy
+    copies = F.coalesce("copies", F.lit(1))
+    dealt = rows.join(heavy, key, "left").withColumn("copy", F.pmod(F.xxhash64(other), copies).cast("int")).drop("copies")
+    sent = texts.join(heavy, key, "left").withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1))).drop("copies")
+    return dealt.join(sent, [key, "copy"]).drop("copy")
 
 
 def components(edges: DataFrame, name: str = "near") -> DataFrame:
@@ -256,8 +272,8 @@ def components(edges: DataFrame, name: str = "near") -> DataFrame:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         if not larger:
             both = both.filter("v < u")
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        out = both.join(least, "u").filter("v > u" if larger else "v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("u", "m")), f"{name}-least")
+        out = lookup(both, least, "u", "n").filter("v > u" if larger else "v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         if not larger:
             out = out.union(least.select("u", F.col("m").alias("v")))
         return out.distinct()
@@ -277,13 +293,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sig = written(signatures(rows, id_col="id", percent=percent, width=width), "near-signatures")
     usable = sig.filter("n > 0 and id is not null")
-    firsts = usable.groupBy("set_hash").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"))
-    copied = firsts.filter("copies > 1").select("set_hash", "first")
+    copied = written(usable.groupBy("set_hash").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1"), "near-copied")
     # rows that repeat an id with other words tie their classes together
-    split = usable.groupBy("id").agg(F.min("set_hash").alias("lo"), F.max("set_hash").alias("hi")).filter("lo < hi").select("id")
-    ties = usable.join(split, "id", "left_semi").join(copied, "set_hash").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    classes = usable.join(copied, "set_hash", "left").filter("first is null or first = id").select("id", "n", "bands", "sketch")
-    classes = written(classes, "near-classes")
+    split = written(usable.groupBy("id").agg(F.min("set_hash").alias("lo"), F.max("set_hash").alias("hi")).filter("lo < hi").select("id"), "near-split")
+    classes = written(lookup(usable, copied, "set_hash", "copies").filter("first is null or first = id").select("id", "n", "bands", "sketch"), "near-classes")
     buckets = classes.select("id", F.posexplode("bands").alias("band", "key"))
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     crowd = written(buckets.join(shared, "key"), "near-buckets")
@@ -294,14 +307,21 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     # what this hasn't joined: classes of different components that share a bucket
     crowd = crowd.join(labels, crowd["id"] == labels["node"], "left").select("key", "band", "members", "id", F.coalesce("component", "id").alias("c"))
-    torn = crowd.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-    rest = candidates(crowd.join(torn, "key").join(sketch, "id"), False, percent).join(first, ["a", "b"], "left_anti")
+    most = crowd.groupBy("key", "c").agg(F.count(F.lit(1)).alias("here")).groupBy("key").agg(F.max_by("c", F.struct("here", "c")).alias("largest"), F.count(F.lit(1)).alias("apart"))
+    torn = crowd.join(most.filter("apart > 1").drop("apart"), "key").join(sketch, "id")
+    rest = candidates(torn, False, percent).join(first, ["a", "b"], "left_anti")
     more = confirmed(written(rest, "near-pairs"), rows, percent, width)
-    labels = components(labels.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more).union(ties))
+    links = labels.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more)
+    if not split.isEmpty():
+        ties = lookup(usable.join(split, "id", "left_semi"), copied, "set_hash", "copies").filter("first is not null")
+        links = links.union(ties.select(F.col("first").alias("a"), F.col("id").alias("b")))
+    labels = components(links)
 
-    out = sig.select("id", "n", "set_hash").join(copied, "set_hash", "left")
+    out = lookup(sig.select("id", "n", "set_hash"), copied, "set_hash", "copies")
     out = out.withColumn("class", F.when(F.col("n") > 0, F.coalesce("first", "id")).otherwise(F.col("id")))
-    out = out.join(labels, out["class"] == labels["node"], "left")
+    named = copied.groupBy(F.col("first").alias("class")).agg(F.sum("copies").alias("copies")).join(labels.withColumnRenamed("node", "class"), "class")
+    alone = labels.join(copied.select(F.col("first").alias("node")).distinct(), "node", "left_anti").select(F.col("node").alias("class"), F.lit(1).cast("long").alias("copies"), "component")
+    out = lookup(out, written(named.unionByName(alone), "near-named"), "class", "copies")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "class"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 
@@ -310,7 +330,7 @@ def deduplicated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """docs with one row of each group of near duplicates, that of the smallest id; all columns as they are."""
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **settings)
     dropped = written(found.filter(~F.col("kept")).select(id_col).distinct(), "near-dropped")
-    if dropped.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+    if at_most(dropped):
         dropped = F.broadcast(dropped)
     left = docs.join(dropped, id_col, "left_anti")
     repeated = left.groupBy(id_col).agg(F.count(F.lit(1)).alias("rows")).filter(f"rows > 1 and {id_col} is not null").select(id_col)

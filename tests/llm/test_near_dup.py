@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 
+from helixframe.llm import common as C
 from helixframe.llm import near_dup as N
 
 DOCS = "/root/testdata/sf0.001/documents.parquet"
@@ -114,3 +115,19 @@ def test_a_pair_is_given_in_the_first_band_it_really_shares(spark):
     rows = [(100, 1, 2, k + 1, 50, k + 1, bytes(N.T), bands[k]) for k in (0, 1)]
     crowd = spark.createDataFrame(rows, "key long, band int, members long, id long, n long, c long, sketch binary, bands array<long>")
     assert result(N.candidates(crowd, False, 85)) == [(1, 2)]
+
+
+def test_large_lookups_and_texts_of_many_pairs(spark, monkeypatch):
+    """The ways beyond the broadcast bounds give the same groups."""
+    rng = random.Random(4)
+    base, other = [f"w{i}" for i in range(150)], [f"v{i}" for i in range(90)]
+    texts = near_copies(rng, base, 60, 0, 9) + [" ".join(base)] * 40 + near_copies(rng, other, 30, 0, 12) + [None, "", "a b"]
+    rows = [(None if k % 31 == 30 else k // 2 if k % 17 == 0 else k, t) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = result(N.near_duplicates(docs))
+    assert want == expected(rows)
+    monkeypatch.setattr(C, "BROADCAST_IDS", 3)
+    monkeypatch.setattr(C, "HEAVY", 4)
+    monkeypatch.setattr(N, "PAIRS_PER_COPY", 3)
+    monkeypatch.setattr(N, "BLOCK", 8)
+    assert result(N.near_duplicates(docs)) == want
