@@ -29,15 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import scratch, slices
+from helixframe.llm.common import lookup, scratch, slices, written
 
 FRAME_BYTES, BUNDLE_BYTES, LEVEL = 256 << 10, 4 << 20, 3
 DATE = "1970-01-01T00:00:00Z"
 #: Fixed values of the seekable format.
 SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 SEPARATOR, ENCODING = struct.pack("<I", SEEKABLE).decode("latin-1"), "ISO-8859-1"
-#: So many repeated payloads at most are broadcast (20 bytes of digest, an id); more are joined by digest.
-BROADCAST_ROWS = 200_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = b"\r\n"
 
@@ -147,10 +145,8 @@ def write_bundles(pages: DataFrame, path: str, *, id_col: str = "page_id", url_c
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.unhex(F.sha1("payload")))
-    found = rows.filter(F.octet_length("payload") >= least_bytes).groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        found = F.broadcast(found)
-    rows = rows.join(found, "digest", "left").select("id", "url", "payload", "first")
+    found = rows.filter(F.octet_length("payload") >= least_bytes).groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    rows = lookup(rows, written(found, "warc-repeated"), "digest", "n").select("id", "url", "payload", "first")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, k = TaskContext.get().partitionId(), 0
