@@ -13,8 +13,8 @@ and only that bin's rows are ordered. All tables joined back to the documents ha
 each source and size.
 
 Defined results: null text or a text without words has size 0 and is taken 0 times; a null source is a source of
-its own; rows that are equal in id and text get draws of their own, and which of them is taken makes no difference; a null
-id is an id; an empty table gives an empty result; other columns of the documents are not read.
+its own; rows that are equal in id, text and source get draws of their own, and which of them is taken makes no
+difference; a null id is an id; an empty table gives an empty result; other columns of the documents are not read.
 """
 
 from __future__ import annotations
@@ -67,28 +67,51 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SH
     return fill(totals, [], F.col("__source_size") * most, F.col("__share"), F.col("__all") * share, "__target").select("__source", "__source_size", "__target")
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, numbered: bool) -> DataFrame:
-    """__row (all columns), __id, __source, __words and __u, the row's draw; numbered: rows equal in id and text draw apart."""
-    rows = docs.select(F.struct("*").alias("__row"), F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), size_in_words(F.col(text_col)).alias("__words"), F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("__hash"))
-    if numbered:
-        rows = rows.drop("__row").withColumn("__repeat", F.row_number().over(W.partitionBy("__hash", "__id").orderBy("__words")))
-    else:
-        rows = rows.withColumn("__repeat", F.lit(1))
-    u = (F.pmod(F.xxhash64("__hash", "__repeat"), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
-    return rows.withColumn("__u", u).drop("__hash", "__repeat")
+def keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """__id, __source, __words and __key, which rows that are equal in id, text and source share, of each row."""
+    key = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col), F.col(source_col))
+    return docs.select(F.struct("*").alias("__row"), F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), size_in_words(F.col(text_col)).alias("__words"), key.alias("__key"))
+
+
+def drawn_apart(rows: DataFrame, name: str) -> DataFrame:
+    """rows, written, with __u, the row's draw; rows of one key are numbered, so that they draw apart.
+
+    A key may hold a third of all rows: its rows are numbered in each task's part of the table, and the parts that
+    come before are added, one row for each part of a key that lies in several.
+    """
+    rows = written(rows.withColumn("__part", F.spark_partition_id()), name)
+    parts = rows.groupBy("__key", "__part").agg(F.count(F.lit(1)).alias("__n"))
+    several = parts.groupBy("__key").agg(F.count(F.lit(1)).alias("__parts")).filter("__parts > 1").select("__key")
+    upto = W.partitionBy("__key").orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    before = written(parts.join(several, "__key").select("__key", "__part", F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__before")), "mix-parts")
+    before = F.broadcast(before) if is_small(before) else before
+    numbered = rows.withColumn("__here", F.row_number().over(W.partitionBy("__key", "__part").orderBy("__words")))
+    numbered = numbered.join(before, ["__key", "__part"], "left")
+    number = F.col("__here") + F.coalesce("__before", F.lit(0))
+    return numbered.withColumn("__u", unit(F.col("__key"), number)).drop("__key", "__part", "__here", "__before")
+
+
+def unit(key: Column, number: Column) -> Column:
+    """A draw between 0 and 1, neither included."""
+    return (F.pmod(F.xxhash64(key, number.cast("int")), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
 def pareto_mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 20, **settings) -> DataFrame:
     """One row for each document: id_col, size, source, source_size, target, copies, taken, expected_copies."""
-    slim = written(keyed(docs, id_col, text_col, source_col, seed, True), "mix-sizes")
+    slim = written(drawn_apart(keyed(docs, id_col, text_col, source_col, seed).drop("__row"), "mix-sizes"), "mix-draws")
     found = decided(slim, slim, **settings)
     return found.select(F.col("__id").alias(id_col), F.col("__words").alias("size"), F.col("__source").alias("source"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__copies").alias("copies"), (F.col("__copies") * F.col("__words")).alias("taken"), F.coalesce("__expected", F.lit(0.0)).alias("expected_copies"))
 
 
 def mixed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 20, **settings) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it. Rows equal in id and text are taken together."""
-    rows = keyed(docs, id_col, text_col, source_col, seed, False)
-    found = decided(written(rows.drop("__row"), "mix-sizes"), rows, **settings)
+    """The rows of docs, each as often as pareto_mix takes it; whole rows are only shuffled where they are repeated."""
+    rows = keyed(docs, id_col, text_col, source_col, seed)
+    slim = written(rows.drop("__row"), "mix-keys")
+    repeated = written(slim.groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__key"), "mix-repeated")
+    repeated = F.broadcast(repeated) if is_small(repeated) else repeated
+    alone = lambda df: df.join(repeated, "__key", "left_anti").withColumn("__u", unit(F.col("__key"), F.lit(1))).drop("__key")
+    again = lambda df: drawn_apart(df.join(repeated, "__key", "left_semi"), "mix-again")
+    found = decided(written(alone(slim).unionByName(again(slim)), "mix-draws"), alone(rows).unionByName(again(rows)), **settings)
     return found.filter("__copies > 0").select("__row", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select("__row.*")
 
 

@@ -4,6 +4,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from helixframe.llm import mixing as X
 
@@ -75,3 +76,15 @@ def test_mixed_rows_are_the_decisions(spark):
     docs = spark.read.parquet(DOCS)
     copies = {r.doc_id: r.copies for r in X.pareto_mix(docs).collect() if r.copies}
     assert {r.doc_id: r["count"] for r in X.mixed(docs).groupBy("doc_id").count().collect()} == copies
+
+
+def test_repeated_rows_draw_apart_and_come_near_the_target(spark):
+    """100 equal rows without an id, in several parts of the table: as many words as the target asks, in both forms."""
+    texts = [(None, "w " * 4, "a")] * 100 + [(k, f"v{k} " * 8, "b") for k in range(20)]
+    docs = spark.createDataFrame([(*t, k % 3) for k, t in enumerate(texts)], "doc_id long, text string, source string, n_chars int").repartition(7)
+    rows = X.pareto_mix(docs).collect()
+    check(rows, texts)
+    out = X.mixed(docs)
+    assert out.columns == docs.columns
+    count = lambda df: {(r.doc_id, r.source): r.n for r in df.collect()}
+    assert count(out.groupBy("doc_id", "source").agg(F.count(F.lit(1)).alias("n"))) == count(X.pareto_mix(docs).groupBy("doc_id", "source").agg(F.sum("copies").alias("n")).filter("n > 0"))
