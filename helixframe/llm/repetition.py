@@ -1,10 +1,10 @@
 """Suffix-array repetition rules for texts.
 
-The words of a text are the symbols. A suffix array over each text, built by prefix doubling, gives the longest
-common prefixes of neighbouring suffixes; their intervals are the maximal repeated substrings. The spans of those
-of at least `min_words` words are united, and a text fails if they cover more than `max_covered` of its word
-characters or if the longest repeat has more than `max_longest` words. A word of more than LONG_WORD code points is
-taken apart into its code points for this, so that text without white space is scanned as well.
+The words of a text are the symbols; in scripts that put no spaces between words (UNSPACED), each code point is one
+by itself, whatever the length of the run that it stands in. A suffix array over each text, built by prefix doubling,
+gives the longest common prefixes of neighbouring suffixes; their intervals are the maximal repeated substrings. The
+spans of those of at least `min_words` symbols are united, and a text fails if they cover more than `max_covered` of
+its word characters or if the longest repeat has more than `max_longest` symbols.
 
 Base rules, too: few words, or many words in repeated three-word windows.
 
@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from helixframe.llm.common import Words, code_points, slices, utf8
 
 MIN_WORDS, MAX_COVERED, MAX_LONGEST = 10, 0.35, 120
-LONG_WORD = 64
+#: First and last code points of scripts written without spaces (Thai and Lao, Burmese, Khmer, radicals,
+#: kana, ideographs, compatibility and supplementary ideographs).
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x2FDF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 
 SCHEMA = "id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, repeat_chars long, repeat_share double, longest_repeat long, n_repeats long, spans array<struct<start: long, end: long>>"
@@ -42,7 +44,8 @@ def suffix_array(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.n
     fresh = np.concatenate([[True], value[1:] != value[:-1]]) if n else np.zeros(0, bool)
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
-    levels, width = [rank.copy()], 1
+    small = np.int32 if n < 1 << 31 else np.int64
+    levels, width = [rank.astype(small)], 1
     while True:
         last = np.concatenate([fresh[1:], [True]]) if n else fresh
         open_at = np.flatnonzero(~(fresh & last))
@@ -58,7 +61,7 @@ def suffix_array(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.n
         fresh[open_at[0]] = True
         starts = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
         rank[order[open_at]] = starts[open_at]
-        levels.append(rank.copy())
+        levels.append(rank.astype(small))
         width *= 2
 
 
@@ -103,24 +106,25 @@ def maximal_repeats(order: np.ndarray, lcp: np.ndarray, symbols: np.ndarray, lea
     return found
 
 
-def symbols_of(words: Words, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end in bytes, text and number of each symbol: words, and the code points of very long words."""
-    number, _ = words.numbers()
-    long = words.length > LONG_WORD
-    if not long.any():
-        return words.start, words.end, words.text, number
-    points = np.concatenate([np.arange(s, e) for s, e in zip(words.start[long], words.end[long], strict=True)])
-    points = points[(data[points] & 0xC0) != 0x80]
-    lead = data[points]
-    width = 1 + (lead >= 0xC0) + (lead >= 0xE0) + (lead >= 0xF0)
-    padded = np.concatenate([data, np.zeros(4, np.uint8)]).astype(np.int64)
-    code = sum(np.where(width > k, padded[points + k], 0) << (8 * k) for k in range(4))
-    start = np.concatenate([words.start[~long], points])
-    end = np.concatenate([words.end[~long], points + width])
-    text = np.concatenate([words.text[~long], np.searchsorted(words.starts, points, side="right") - 1])
-    number = np.concatenate([number[~long], code + (1 << 33)])
-    order = np.argsort(start, kind="stable")
-    return start[order], end[order], text[order], number[order]
+def unspaced(data: np.ndarray) -> np.ndarray:
+    """Bytes at which a code point of UNSPACED starts."""
+    lead = np.flatnonzero(data >= 0xE0)
+    if not len(lead):
+        return lead
+    padded = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.int64)
+    tail = [padded[lead + k] & 0x3F for k in range(1, 4)]
+    three = (padded[lead] & 0x0F) << 12 | tail[0] << 6 | tail[1]
+    code = np.where(data[lead] < 0xF0, three, (padded[lead] & 0x07) << 18 | tail[0] << 12 | tail[1] << 6 | tail[2])
+    return lead[np.any([(code >= a) & (code <= b) for a, b in UNSPACED], axis=0)]
+
+
+def symbols_of(words: Words, data: np.ndarray) -> Words:
+    """The symbols of the texts: words, cut before and after each code point of a script without spaces."""
+    points = unspaced(data)
+    if not len(points):
+        return words
+    after = points + np.where(data[points] < 0xF0, 3, 4)
+    return Words(data, words.starts, np.union1d(points, after[after < len(data)]))
 
 
 def own_symbols(number: np.ndarray, text: np.ndarray) -> np.ndarray:
@@ -174,8 +178,9 @@ def scan(ids: pa.Array, texts: pa.Array, min_words: int, max_covered: float, max
         lines = [line for line in text.split("\n") if line.strip(" \t\n\v\f\r")]
         dup_lines.append(len(lines) - len(set(lines)))
 
-    start, end, text, symbol = symbols_of(words, data)
-    key = own_symbols(symbol, text)
+    symbols = symbols_of(words, data)
+    start, end, text = symbols.start, symbols.end, symbols.text
+    key = own_symbols(number if symbols is words else symbols.numbers()[0], text)
     order, _, levels = suffix_array(key)
     lcp = common_prefixes(order, levels)
     found = maximal_repeats(order, lcp, key, min_words)

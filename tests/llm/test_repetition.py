@@ -69,6 +69,25 @@ def test_text_without_white_space_is_scanned_by_code_points():
     assert got[1]["n_repeats"] == 0
 
 
+@pytest.mark.parametrize("length", [10, 64, 65, 1000])
+def test_a_long_token_is_one_word_at_any_length(length):
+    token = "".join(chr(97 + k * k % 23) for k in range(length))
+    text = " ".join([*(f"word{i}" for i in range(60)), token, "between", token])
+    got = R.scan(pa.array([1]), pa.array([text]), 10, 0.35, 120).to_pylist()[0]
+    assert got["kept"] and got["longest_repeat"] == 0 and got["repeat_chars"] == 0
+    # and its copies lie in repeats of words like any other word
+    again = R.scan(pa.array([1]), pa.array([" ".join(text.split()[50:61]) + " " + text]), 10, 0.35, 120).to_pylist()[0]
+    assert again["longest_repeat"] == 11
+
+
+def test_unspaced_scripts_are_scanned_by_code_points_in_runs_of_any_length():
+    block = "".join(chr(0x4E00 + i) for i in range(30))
+    texts = [" ".join([*(f"w{i}" for i in range(60)), block, "x", block]), " ".join(["\u0e01\u0e02\U00020000\u3042" * 3, "é", "\uac00\uac01" * 40])]
+    got = R.scan(pa.array([1, 2]), pa.array(texts), 10, 0.35, 120).to_pylist()
+    assert got[0]["longest_repeat"] == 30 and got[0]["repeat_chars"] == 60
+    assert got[1]["longest_repeat"] == 0 and R.scan(pa.array([1]), pa.array([texts[1]]), 8, 0.35, 120).to_pylist()[0]["longest_repeat"] == 8
+
+
 @pytest.fixture
 def odd(spark):
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("id", T.StringType()), T.StructField("n_words", T.StringType())])
