@@ -2,14 +2,15 @@
 
 Tokens are runs of `[A-Za-z0-9+/_-]`, with the `=` that pad them where the run ends, of at least `least` characters
 that no pattern covers; an `=` inside, as in NAME=VALUE, parts two tokens. Each token's encoding is
-inferred from its characters (hex, base 32, base 36, base 62, base 64), and three tests hold it against random
+inferred from its characters (hex, base 32, base 36, letters, base 62, base 64), and three tests hold it against random
 symbols of that alphabet: chi-squared uniformity, runs above and below the middle of the alphabet, and serial
-correlation. Fisher's method combines them; a token that this rejects at `alpha` isn't random.
+correlation. A token that Fisher's combination of the three rejects at `alpha` isn't random.
 
-Not being rejected proves little about a short token, so the finding itself is controlled by length: under the
-other hypothesis, that the characters are drawn like letters of words, chi-squared follows a noncentral law whose
-centre moves out with the length, and its lower tail is the p-value of a finding. All tokens of a text are one
-family; Benjamini and Hochberg's rule at `rate`, with weights in proportion to length, decides which are secrets.
+Not being rejected proves little about a short token, so the finding itself is controlled by length: a weighted sum of
+the three tests' deviates is held against what names made of words of the same length and alphabet give, in the style
+that comes nearest (`words_null`, drawn from letter frequencies with a fixed seed), and how far it lies below that is
+the p-value of a finding. All tokens of a text are one family; Benjamini and Hochberg's rule at `rate`, with weights in proportion to
+length, decides which are secrets.
 
 Spans are code points, end exclusive. Defined results: null text is empty and has no spans; a null id stays; equal
 texts get equal results; an empty table gives an empty result; other columns are not read.
@@ -19,8 +20,10 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -31,12 +34,16 @@ from helixframe.llm.common import slices
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
-HEX = re.compile(r"[0-9a-f]+")
-#: Runs of fewer characters of HEX are not worth a match object; the run found is the same.
+#: Runs of fewer hexadecimal digits are dropped anyway; the runs found are the same.
 LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]+(?:=+\Z)?")
 KINDS = ("assign", "access", "hex", "random")
 LEAST, ALPHA, RATE = 20, 1e-4, 0.01
+#: Names drawn for the law of a length, and the least spread that it may have. Names of more characters only lie
+#: farther from random ones, so a longer token is held against those of LONGEST.
+DRAWS, LEAST_SPREAD, LONGEST = 160, 0.5, 1024
+#: Means of the deviates of random tokens.
+RANDOM_MEANS = (0.0, 0.0, math.sqrt(2 / math.pi))
 
 #: The alphabets of the encodings, each in its own order.
 ALPHABETS = {
@@ -44,6 +51,7 @@ ALPHABETS = {
     "HEX": "0123456789ABCDEF",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
+    "letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base62": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
@@ -53,27 +61,10 @@ LETTERS = (8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4, 6
 SETS = [(name, frozenset(letters), {c: i for i, c in enumerate(letters)}) for name, letters in ALPHABETS.items()]
 
 
-def text_collision(letters: str) -> float:
-    """The chance that two letters of words written in this alphabet are equal."""
-    use = {c: LETTERS[ord(c.lower()) - 97] for c in letters if c.isalpha()}
-    if any(c.islower() for c in use):
-        use = {c: p for c, p in use.items() if c.islower()}
-    total = sum(use.values())
-    return sum((p / total) ** 2 for p in use.values())
-
-
-COLLISION = {name: text_collision(letters) for name, letters in ALPHABETS.items()}
-
-
 def upper_normal(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
-def chi_squared_tail(x: float, df: int) -> float:
-    """The upper tail, by Wilson and Hilferty's cube root."""
-    return upper_normal(((x / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
-
-
 def encoding(token: str) -> tuple[str, dict] | None:
     """The smallest alphabet that holds the token, which must have letters: digits alone are no key."""
     used = set(token)
@@ -82,40 +73,102 @@ def encoding(token: str) -> tuple[str, dict] | None:
     return next(((name, place) for name, letters, place in SETS if used <= letters), None)
 
 
-def battery(token: str) -> dict | None:
-    """encoding, the three tests' p-values and their combination under randomness, and p_text, the finding's."""
-    body = token.rstrip("=")
-    kind = encoding(body)
-    if kind is None or len(body) < 2:
-        return None
-    name, place = kind
-    x = [place[c] for c in body]
-    n, size = len(x), len(place)
+def departures(x: list[int], size: int) -> tuple[float, float, float]:
+    """How far two or more symbols below size are from random: chi-squared, runs and serial correlation as deviates.
+
+    Chi-squared of the counts by Wilson and Hilferty's cube root; half of the alphabet is high, so a random token changes
+    side with a chance of a half at each step, and too few runs are positive; serial correlation of either sign is positive.
+    """
+    n, df = len(x), size - 1
     counts: dict[int, int] = {}
     for v in x:
         counts[v] = counts.get(v, 0) + 1
-    chi = sum(c * c for c in counts.values()) * size / n - n
-    df = size - 1
-    uniform = chi_squared_tail(max(chi, 0.0), df)
+    chi = max(0.0, sum(c * c for c in counts.values()) * size / n - n)
     high = [2 * v >= size for v in x]
-    n1 = sum(high)
-    n2 = n - n1
     runs = 1 + sum(a != b for a, b in zip(high, high[1:], strict=False))
-    if n1 and n2:
-        mean = 1 + 2 * n1 * n2 / n
-        spread = (mean - 1) * (mean - 2) / (n - 1)
-        p_runs = 2 * upper_normal(abs(runs - mean) / math.sqrt(spread)) if spread > 0 else 1.0
-    else:
-        p_runs = 2.0 ** (1 - n)
     middle = sum(x) / n
     var = sum((v - middle) ** 2 for v in x)
     r = sum((a - middle) * (b - middle) for a, b in zip(x, x[1:], strict=False)) / var if var else 1.0
-    serial = min(1.0, 2 * upper_normal(abs(r + 1 / n) * math.sqrt(n)))
-    s = -2 * sum(math.log(max(p, 1e-300)) for p in (uniform, p_runs, serial))
-    combined = math.exp(-s / 2) * (1 + s / 2 + s * s / 8)
-    shift = n * (size * COLLISION[name] - 1)
-    p_text = upper_normal((df + shift - chi) / math.sqrt(2 * (df + 2 * shift)))
-    return {"encoding": name, "p_uniform": uniform, "p_runs": p_runs, "p_serial": serial, "p_random": combined, "p_text": p_text}
+    return ((chi / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)), (n + 1 - 2 * runs) / math.sqrt(n - 1), abs(r + 1 / n) * math.sqrt(n)
+
+
+def three_tests(z: tuple[float, float, float]) -> tuple[float, float, float]:
+    """p-values of uniformity, runs and serial correlation from the deviates."""
+    return upper_normal(z[0]), min(1.0, 2 * upper_normal(abs(z[1]))), min(1.0, 2 * upper_normal(z[2]))
+
+
+def combined(tests: tuple[float, float, float]) -> float:
+    """Fisher's statistic."""
+    return -2 * sum(math.log(max(p, 1e-300)) for p in tests)
+
+
+#: How people make names of words: in one piece, with capitals at their starts, or with joiners between them.
+STYLES = ("plain", "titled", "joined")
+
+
+def styles(name: str) -> list[str]:
+    """Those that an alphabet has the letters for."""
+    alphabet = ALPHABETS[name]
+    both = any(c.islower() for c in alphabet) and any(c.isupper() for c in alphabet)
+    return [s for s in STYLES if s == "plain" or s == "titled" and both or s == "joined" and not alphabet.isalnum()]
+
+
+def drawn_name(name: str, style: str, n: int, rng: random.Random) -> str:
+    """A name of n characters: letters by their use, in words of three to nine, and up to two digits at the end."""
+    alphabet = ALPHABETS[name]
+    letters = [c for c in alphabet if c.islower()] or [c for c in alphabet if c.isalpha()]
+    joiners = [c for c in alphabet if not c.isalnum()]
+    body = rng.choices(letters, [LETTERS[ord(c.lower()) - 97] for c in letters], k=n)
+    start = 0
+    while style != "plain" and start < n:
+        if style == "titled":
+            body[start] = body[start].upper()
+        elif start:
+            body[start] = rng.choice(joiners)
+        start += rng.randint(3, 9)
+    digits = [c for c in alphabet if c.isdigit()]
+    tail = rng.choice((0, 0, 1, 2)) if digits else 0
+    return "".join(body[: n - tail] + rng.choices(digits or letters, k=tail))
+
+
+@lru_cache(maxsize=10_000)
+def words_null(name: str, n: int) -> list[tuple[tuple[float, float, float], float, float]]:
+    """For each style, weights of the deviates, and mean and spread of their weighted sum over drawn names of n characters.
+
+    A deviate weighs as much as it tells names from random tokens: its mean over names less that over random ones, by
+    its variance.
+    """
+    place, out = dict(zip(ALPHABETS[name], range(99), strict=False)), []
+    for style in styles(name):
+        rng = random.Random(f"{name} {style} {n}")
+        drawn = [departures([place[c] for c in drawn_name(name, style, n, rng)], len(place)) for _ in range(max(32, min(DRAWS, (1 << 14) // n)))]
+        laws = [mean_and_spread([z[k] for z in drawn]) for k in range(3)]
+        weights = tuple((mean - usual) / spread**2 for (mean, spread), usual in zip(laws, RANDOM_MEANS, strict=True))
+        out.append((weights, *mean_and_spread([weighed(weights, z) for z in drawn])))
+    return out
+
+
+def mean_and_spread(values: list[float]) -> tuple[float, float]:
+    mean = sum(values) / len(values)
+    return mean, max(LEAST_SPREAD, math.sqrt(sum((v - mean) ** 2 for v in values) / (len(values) - 1)))
+
+
+def weighed(weights: tuple[float, float, float], z: tuple[float, float, float]) -> float:
+    return sum(w * v for w, v in zip(weights, z, strict=True))
+
+
+def battery(token: str) -> dict | None:
+    """encoding, the three tests' p-values and their combination under randomness, and p_text, the finding's."""
+    body = token.rstrip("=")
+    kind = encoding(body)
+    if kind is None or len(body) < 2:
+        return None
+    name, place = kind
+    z = departures([place[c] for c in body], len(place))
+    tests = three_tests(z)
+    s = combined(tests)
+    p_text = max(upper_normal((mean - weighed(weights, z)) / spread) for weights, mean, spread in words_null(name, min(len(body), LONGEST)))
+    return {"encoding": name, "p_uniform": tests[0], "p_runs": tests[1], "p_serial": tests[2], "p_random": math.exp(-s / 2) * (1 + s / 2 + s * s / 8), "p_text": p_text}
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -127,6 +180,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+def discoveries(p_values: list[float], lengths: list[int], rate: float) -> list[int]:
+    """Which hypotheses Benjamini and Hochberg's rule rejects, with weights in proportion to length whose mean is 1."""
+    total, n = sum(lengths), len(lengths)
+    order = sorted(range(n), key=lambda i: (p_values[i] * total / (n * lengths[i]), i))
+    passed = max((k for k, i in enumerate(order, 1) if p_values[i] * total / (n * lengths[i]) <= rate * k / n), default=0)
+    return order[:passed]
+
+
 def random_spans(text: str, base: list[tuple[int, int, int]], least: int, alpha: float, rate: float) -> list[tuple[int, int, int]]:
     tested = []
     for run in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % least, text):
@@ -136,12 +197,8 @@ def random_spans(text: str, base: list[tuple[int, int, int]], least: int, alpha:
                 continue
             if found := battery(m[0]):
                 tested.append((start, end, found))
-    if not tested:
-        return []
-    total = sum(e - s for s, e, _ in tested)
-    weighted = sorted((f["p_text"] * total / (len(tested) * (e - s)), s, e, f) for s, e, f in tested)
-    passed = max((k for k, x in enumerate(weighted, 1) if x[0] <= rate * k / len(weighted)), default=0)
-    return [(s, 3, e) for _, s, e, f in weighted[:passed] if f["p_random"] >= alpha]
+    kept = discoveries([f["p_text"] for _, _, f in tested], [e - s for s, e, _ in tested], rate)
+    return [(s, 3, e) for s, e, f in (tested[k] for k in kept) if f["p_random"] >= alpha]
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
