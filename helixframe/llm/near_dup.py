@@ -44,7 +44,7 @@ from helixframe.llm.common import Words, at_most, lookup, slices, utf8, written
 WIDTH, T = 5, 384
 #: Chances of a pair at the threshold to be lost, by all bands and by its sketch.
 MISS = 1.5e-6
-PERCENT, BLOCK = 85, 1024
+PERCENT, BLOCK = 85, 512
 #: A text is sent once for each so many pairs that it leads.
 PAIRS_PER_COPY = 1024
 U = np.uint64
@@ -185,7 +185,7 @@ def candidates(crowd: DataFrame, best: bool, percent: int) -> DataFrame:
     """
     width = banding(percent)[1]
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rows = crowd.withColumns({"block": F.pmod(F.xxhash64("id"), blocks.cast("long")).cast("int"), "visits": F.lit(False)})
+    rows = crowd.withColumns({"block": F.pmod(F.xxhash64("id", "key"), blocks.cast("long")).cast("int"), "visits": F.lit(False)})
     if not best:
         largest = F.col("largest") if "largest" in crowd.columns else F.lit(None)
         apart = rows.filter(~F.col("c").eqNullSafe(largest)).withColumns({"block": F.explode(F.sequence(F.lit(0), blocks - 1)), "visits": F.lit(True)})
