@@ -3,19 +3,23 @@
 Each language has a zstandard raw-content dictionary, made of texts known to be in it. A text is cut into blocks,
 each block is compressed with each dictionary, and the language with the fewest bytes in all is the prediction.
 Letters are lower-cased and everything else is a space, so that digits, marks and case weigh nothing. Compressing
-block by block keeps a long text from becoming its own dictionary, so the margin doesn't shrink with the length.
+block by block keeps a long text from becoming its own dictionary, so the margin doesn't shrink with the length. A
+block is compressed as COPIES copies of itself in a row: a short one alone would be stored as it is, whatever the
+dictionary; of several, the first is coded by the dictionary and the others cost the same few bytes under each.
 
 The dictionaries are fitted on a bounded sample: for each language, the documents with the smallest hash of doc_id in
-each of SAMPLES salts, at most SAMPLE_CHARS characters from each and DICTIONARY_BYTES in all. Documents that are held
-out (crc32 of doc_id as text, mod 4, is 2), have no lang or no doc_id are never in it.
+each of SAMPLES salts, at most SAMPLE_CHARS characters from each and DICTIONARY_BYTES in all. Of more than LANGUAGES
+languages each has as many times fewer samples and bytes, but one sample at least, so that all dictionaries together
+stay as large. Documents that are held out (crc32 of doc_id as text, mod 4, is 2), have no lang or no doc_id are never
+in it.
 
 `score` is the share of the best language when sizes are read as likelihoods, tempered by the text's length;
-`accepted` is whether the best beats the second by at least `margin_bytes` and `margin_share` of its size. A text of
-fewer than LEAST_LETTERS characters is too short to show a margin in whole bytes and is accepted as it is.
+`accepted` is whether the best beats the second by at least `margin_bytes` and `margin_share` of its size, at any
+length; a lone language has no second and is accepted.
 
 Defined results: a text that is null or has no letter is `und`, score 0, not accepted; without labelled documents
-every text is; ties go to the language with more labelled documents, then the first by code point, and are accepted only
-if short; a null id stays and isn't held out; repeated rows get equal results; other columns are not read.
+every text is; ties go to the language with more labelled documents, then the first by code point, and are never
+accepted; a null id stays and isn't held out; repeated rows get equal results; other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,10 +38,10 @@ from helixframe.llm.common import slices
 
 UNDETERMINED = "und"
 SAMPLES, SAMPLE_CHARS, DICTIONARY_BYTES = 96, 4000, 112 << 10
-#: At most so many languages are learned: the dictionaries go to every task.
-MOST_LANGUAGES = 300
-BLOCK, LEVEL = 1500, 6
-MARGIN_BYTES, MARGIN_SHARE, LEAST_LETTERS = 1, 0.002, 64
+#: Beyond so many languages the samples and dictionaries of each are smaller: the dictionaries go to every task.
+LANGUAGES = 300
+BLOCK, COPIES, LEVEL = 1500, 4, 6
+MARGIN_BYTES, MARGIN_SHARE = 1, 0.002
 OTHER = re.compile(r"[\W\d_]+")
 
 
@@ -70,7 +74,7 @@ class Classifier:
     def sizes(self, text: str) -> list[int]:
         """Bytes of the text under each dictionary, block by block."""
         data = text.encode()
-        blocks = [data[k : k + self.block] for k in range(0, len(data), self.block)]
+        blocks = [b" ".join([data[k : k + self.block]] * COPIES) for k in range(0, len(data), self.block)]
         return [sum(len(c.compress(b)) for b in blocks) for c in self.compressors()]
 
     def predict(self, text: str | None, margin_bytes: int = MARGIN_BYTES, margin_share: float = MARGIN_SHARE) -> tuple[str, float, bool]:
@@ -83,17 +87,18 @@ class Classifier:
         temper = 8 * math.log(2) / max(4.0, math.sqrt(len(text)))
         score = 1 / sum(math.exp(-(s - best) * temper) for s in sizes)
         margin = min((s for k, s in enumerate(sizes) if k != sizes.index(best)), default=best + len(text)) - best
-        return list(self.dictionaries)[sizes.index(best)], score, len(text) < LEAST_LETTERS or margin >= max(margin_bytes, margin_share * best)
+        return list(self.dictionaries)[sizes.index(best)], score, margin >= max(margin_bytes, margin_share * best)
 
 
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", samples: int = SAMPLES, sample_chars: int = SAMPLE_CHARS, dictionary_bytes: int = DICTIONARY_BYTES) -> Classifier:
     """The classifier of the documents that are labelled and not held out."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id"))).withColumn("hash", F.xxhash64("id"))
+    more = max(1.0, rows.select("lang").distinct().count() / LANGUAGES)
+    samples, dictionary_bytes = max(1, int(samples / more)), int(dictionary_bytes / more)
     salted = rows.groupBy("lang", F.pmod("hash", F.lit(samples)).alias("salt"))
-    least = salted.agg(F.min("hash").alias("hash"), F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES * samples + 1).collect()
-    if len(least) > MOST_LANGUAGES * samples:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    # LANGUAGES times SAMPLES rows, or one for each language if these are more
+    least = salted.agg(F.min("hash").alias("hash"), F.count(F.lit(1)).alias("n")).collect()
     picked = rows.join(F.broadcast(docs.sparkSession.createDataFrame([(r.lang, r.hash) for r in least], "lang string, hash long")), ["lang", "hash"], "left_semi")
     # a repeated id is still one sample
     picked = picked.groupBy("lang", "hash").agg(F.min(F.substring("text", 1, sample_chars)).alias("text"))

@@ -1,7 +1,10 @@
 """Compression classifier: held-out accuracy, and defined results of odd rows."""
 
+import re
 import zlib
 
+import zstandard
+
 from helixframe.llm import language as L
 
 DATA = "/root/testdata/sf0.01/documents.parquet"
@@ -41,3 +44,51 @@ def test_blocks_are_decodable():
     reader = zstandard.ZstdDecompressor(dict_data=raw)
     blocks = [text.encode()[k : k + L.BLOCK] for k in range(0, len(text), L.BLOCK)]
     assert "".join(reader.decompress(model.compressors()[0].compress(b), max_output_size=L.BLOCK).decode() for b in blocks) == text
+
+
+def plain(dictionaries, text):
+    """The prediction from its definition, with a new compressor for each size."""
+    text = re.sub(r"[\W\d_]+", " ", (text or "").lower()).strip()
+    if not any(c.isalpha() for c in text):
+        return "und", False
+    data, sizes = text.encode(), {}
+    for lang, content in dictionaries.items():
+        sizes[lang] = 0
+        for k in range(0, len(data), 1500):
+            dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            dictionary.precompute_compress(level=6)
+            piece = data[k : k + 1500]
+            sizes[lang] += len(zstandard.ZstdCompressor(level=6, dict_data=dictionary, write_content_size=False, write_dict_id=False).compress(piece + b" " + piece + b" " + piece + b" " + piece))
+    best = min(sizes, key=sizes.get)  # the first of equals
+    rest = [v for lang, v in sizes.items() if lang != best]
+    return best, not rest or min(rest) - sizes[best] >= max(1, 0.002 * sizes[best])
+
+
+def test_predictions_match_plain_compression_at_every_length(spark):
+    docs = spark.read.parquet(DATA)
+    model = L.fit(docs)
+    texts = [r.text or "" for r in docs.orderBy("doc_id").limit(40).collect()]
+    letters = L.letters(" ".join(t for t in texts if t)[:4000])
+    texts += [letters[:n] for n in (1, 2, 3, 5, 8, 20, 62, 63, 64, 65, 66, 200, 1499, 1500, 1501, 3001)] + ["xyz", "zz zz zz zz", "the", "", "123"]
+    for t in texts:
+        lang, score, accepted = model.predict(t)
+        assert (lang, accepted) == plain(model.dictionaries, t), t
+
+
+def test_ties_and_narrow_margins_are_rejected_at_every_length():
+    same = L.Classifier({"en": b"the cat and the dog ", "de": b"the cat and the dog "})
+    for text in ("the", "xyz", "the cat and the dog", "the dog " * 8, "the cat and the dog " * 500):
+        assert same.predict(text)[0] == "en" and not same.predict(text)[2]
+    for text in ("xyz", "qqq www"):
+        assert not L.Classifier({"en": b"the cat and the dog of this that", "de": b"der die das und nicht ist ein"}).predict(text)[2]
+    wide = L.Classifier({"en": b"the cat and the dog ", "de": b"der die das und nicht "})
+    assert wide.predict("the cat and the dog")[2] and not wide.predict("the cat and the dog", margin_bytes=10**6)[2]
+
+
+def test_many_languages_share_the_room(spark, monkeypatch):
+    monkeypatch.setattr(L, "LANGUAGES", 4)
+    docs = spark.createDataFrame([(k, f"word{chr(97 + k % 20) * 5} " * 30, f"l{k % 20}") for k in range(400)], "doc_id long, text string, lang string")
+    model = L.fit(docs, samples=10, dictionary_bytes=1000)
+    assert len(model.dictionaries) == 20 and all(0 < len(v) <= 200 for v in model.dictionaries.values())
+    rows = L.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert all(r.lang_pred == r.lang for r in rows)
