@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import Words, at_most, lookup, slices, utf8, written
+from helixframe.llm.common import BROADCAST_IDS, Words, at_most, lookup, slices, utf8, written
 
 WIDTH, T = 5, 384
 #: Chances of a pair at the threshold to be lost, by all bands and by its sketch.
@@ -268,12 +268,13 @@ def components(edges: DataFrame, name: str = "near") -> DataFrame:
     neighbours, are linked to the smallest of them. Each round ends in a written table.
     """
 
-    def star(e: DataFrame, larger: bool) -> DataFrame:
+    def star(e: DataFrame, larger: bool, few: bool) -> DataFrame:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         if not larger:
             both = both.filter("v < u")
-        least = written(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("u", "m")), f"{name}-least")
-        out = lookup(both, least, "u", "n").filter("v > u" if larger else "v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("u", "m"))
+        least = least if few else written(least, f"{name}-least")
+        out = (both.join(F.broadcast(least.drop("n")), "u") if few else lookup(both, least, "u", "n")).filter("v > u" if larger else "v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         if not larger:
             out = out.union(least.select("u", F.col("m").alias("v")))
         return out.distinct()
@@ -285,7 +286,8 @@ def components(edges: DataFrame, name: str = "near") -> DataFrame:
         if now == seen or not now[0]:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
         seen = now
-        e = written(star(star(e, True), False), name)
+        few = 2 * now[0] <= BROADCAST_IDS  # nodes, each of them at an end of an edge
+        e = written(star(star(e, True, few), False, few), name)
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, width: int = WIDTH) -> DataFrame:

@@ -127,6 +127,7 @@ def test_large_lookups_and_texts_of_many_pairs(spark, monkeypatch):
     want = result(N.near_duplicates(docs))
     assert want == expected(rows)
     monkeypatch.setattr(C, "BROADCAST_IDS", 3)
+    monkeypatch.setattr(N, "BROADCAST_IDS", 3)
     monkeypatch.setattr(C, "HEAVY", 4)
     monkeypatch.setattr(N, "PAIRS_PER_COPY", 3)
     monkeypatch.setattr(N, "BLOCK", 8)
