@@ -61,27 +61,11 @@ def entropy1(seq: Column) -> Column:
     return entropy_of([count_of(seq, b) for b in "ACGT"])
 
 
-def entropy2(seq: Column) -> Column:
-    """Of overlapping pairs of A, C, G and T."""
-    return entropy_of([F.regexp_count(seq, F.lit(f"(?={a}{b})")) for a in "ACGT" for b in "ACGT"])
-
-
 def kmers(seq: Column, k: int) -> Column:
     """All overlapping k-mers in order, in one pass; none if the sequence is shorter."""
     return F.regexp_extract_all(seq, F.lit(f"(?=(.{{{k}}}))"), 1)
 
 
-def canonical(kmer: Column) -> Column:
-    """The smaller of a k-mer and its reverse complement."""
-    return F.least(kmer, F.reverse(F.translate(kmer, "ACGT", "TGCA")))
-
-
-def canonical_kmers(seq: Column, k: int) -> Column:
-    """The canonical form of all k-mers of A, C, G and T: the other strand's come from one reversal of the sequence."""
-    other = F.reverse(kmers(F.reverse(F.translate(seq, "ACGT", "TGCA")), k))
-    return F.zip_with(kmers(seq, k), other, lambda a, b: F.least(a, b))
-
-
 def identical_positions(a: Column, b: Column) -> Column:
     """Positions at which two sequences agree, over the shorter."""
     same = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: (x == y) & (x != ""))

@@ -6,53 +6,66 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from helixframe.functions import seq as S
+from helixframe.operators import gates as G
 from helixframe.operators import graph as GR
 from helixframe.operators import kmers as K
+from helixframe.operators import passes as P
 from helixframe.plans import views as V
 from helixframe.plans.catalog import QUERIES
 from helixframe.plans.registry import table
 
-NEIGHBOURS = "nb AS (SELECT id AS a, id + 1 AS b FROM seqs WHERE id + 1 IN (SELECT id FROM seqs))"
 RC = "reverse(translate(w, 'ACGT', 'TGCA'))"
+#: Classes of equal sequences by their smallest id, and the pairs of classes that share one of four anchors.
+PAIRS = f"""{V.SEQS}, rep AS (SELECT min(id) AS id, arg_min(seq, id) AS seq FROM seqs GROUP BY least(seq, reverse(translate(seq, 'ACGT', 'TGCA')))),
+k13 AS (SELECT DISTINCT id, least(w, {RC}) AS w FROM (SELECT id, substr(seq, i, 13) AS w FROM (SELECT id, seq, unnest(range(1, length(seq) - 11)) AS i FROM rep WHERE length(seq) >= 13) x) y),
+hs AS (SELECT DISTINCT id, list_reduce(list_transform(string_split(translate(w, 'ACGT', '0123'), ''), lambda c: CAST(c AS BIGINT)), lambda a, c: a * 4 + c) * 48271 % 2147483647 AS h FROM k13),
+an AS (SELECT id, h FROM (SELECT id, h, row_number() OVER (PARTITION BY id ORDER BY h) AS r FROM hs) x WHERE r <= 4),
+nb AS (SELECT DISTINCT x.id AS a, y.id AS b FROM an x JOIN an y ON x.h = y.h AND x.id < y.id)"""
 
 
-def neighbours(seqs: DataFrame) -> DataFrame:
-    """Pairs of sequences with consecutive ids."""
-    return seqs.select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).join(seqs.select(F.col("id").alias("b")), "b", "left_semi").select("a", "b")
+def related(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """One sequence (id, seq) of each class of equal ones, and the pairs (a, b) of classes that share an anchor of 13 bases."""
+    classes = K.class_sequences(V.seqs(spark, sf_dir))
+    return classes, K.anchored_pairs(P.kmer_sets(classes, "id", "seq", 13, canonical=True))
 
 
-@QUERIES.add("c7_kmer_jaccard", f"""WITH {V.SEQS}, {NEIGHBOURS}, km AS (SELECT DISTINCT id, least(w, {RC}) AS w FROM (SELECT id, substr(seq, i, 13) AS w FROM (SELECT id, seq, unnest(range(1, length(seq) - 11)) AS i FROM seqs WHERE length(seq) >= 13) x) y),
-n AS (SELECT id, count(*) AS n FROM km GROUP BY id), c AS (SELECT nb.a, nb.b, count(*) AS common FROM nb JOIN km x ON x.id = nb.a JOIN km y ON y.id = nb.b AND y.w = x.w GROUP BY nb.a, nb.b)
+@QUERIES.add("c7_kmer_jaccard", f"""WITH {PAIRS},
+n AS (SELECT id, count(*) AS n FROM k13 GROUP BY id), c AS (SELECT nb.a, nb.b, count(*) AS common FROM nb JOIN k13 x ON x.id = nb.a JOIN k13 y ON y.id = nb.b AND y.w = x.w GROUP BY nb.a, nb.b)
 SELECT nb.a, nb.b, coalesce(common, 0) AS common, round(CASE WHEN coalesce(p.n, 0) + coalesce(q.n, 0) = 0 THEN 0 ELSE 1 - CAST(coalesce(common, 0) AS DOUBLE) / (coalesce(p.n, 0) + coalesce(q.n, 0) - coalesce(common, 0)) END, 6) AS distance FROM nb LEFT JOIN c USING (a, b) LEFT JOIN n p ON p.id = nb.a LEFT JOIN n q ON q.id = nb.b""")
 def c7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seqs = V.seqs(spark, sf_dir)
-    return K.jaccard_pairs(seqs, neighbours(seqs), 13).withColumn("distance", F.round("distance", 6)).withColumn("common", F.col("common").cast("long"))
+    classes, pairs = related(spark, sf_dir)
+    return K.jaccard_pairs(P.kmer_sets(classes, "id", "seq", 13, canonical=True), pairs).select("a", "b", F.col("common").cast("long").alias("common"), F.round("distance", 6).alias("distance"))
 
 
-@QUERIES.add("c8_mash_identity", f"""WITH {V.SEQS}, {NEIGHBOURS}, km AS (SELECT DISTINCT id, substr(seq, i, 8) AS w FROM (SELECT id, seq, unnest(range(1, length(seq) - 6)) AS i FROM seqs WHERE length(seq) >= 8) x),
+@QUERIES.add("c8_mash_identity", f"""WITH {PAIRS}, km AS (SELECT DISTINCT id, substr(seq, i, 8) AS w FROM (SELECT id, seq, unnest(range(1, length(seq) - 6)) AS i FROM rep WHERE length(seq) >= 8) x),
 n AS (SELECT id, count(*) AS n FROM km GROUP BY id), c AS (SELECT nb.a, nb.b, count(*) AS common FROM nb JOIN km x ON x.id = nb.a JOIN km y ON y.id = nb.b AND y.w = x.w GROUP BY nb.a, nb.b),
-j AS (SELECT a, b, CAST(common AS DOUBLE) / (p.n + q.n - common) AS j FROM c JOIN n p ON p.id = a JOIN n q ON q.id = b)
-SELECT nb.a, nb.b, round(CASE WHEN j > 0 THEN least(1, greatest(0, 1 + ln(2 * j / (1 + j)) / 8)) ELSE 0 END, 6) AS identity FROM nb LEFT JOIN j USING (a, b)""")
+j AS (SELECT a, b, CAST(common AS DOUBLE) / (p.n + q.n - common) AS j FROM c JOIN n p ON p.id = a JOIN n q ON q.id = b),
+s AS (SELECT a, b, CASE WHEN length(x.seq) <= length(y.seq) THEN x.seq ELSE y.seq END AS short, CASE WHEN length(x.seq) <= length(y.seq) THEN y.seq ELSE x.seq END AS long FROM nb JOIN rep x ON x.id = a JOIN rep y ON y.id = b WHERE least(length(x.seq), length(y.seq)) < 200),
+o AS (SELECT *, unnest(range(0, length(long) - length(short) + 1, greatest(1, (length(long) - length(short) + 1) // 100))) AS spot FROM s),
+m AS (SELECT a, b, spot, avg(CASE WHEN substr(short, i, 1) = substr(long, spot + i, 1) THEN 1.0 ELSE 0.0 END) AS same FROM (SELECT *, unnest(range(1, length(short) + 1)) AS i FROM o) u GROUP BY a, b, spot), best AS (SELECT a, b, max(same) AS same FROM m GROUP BY a, b)
+SELECT nb.a, nb.b, round(CASE WHEN best.same IS NOT NULL THEN CAST(best.same AS DOUBLE) WHEN j > 0 THEN least(1, greatest(0, 1 + ln(2 * j / (1 + j)) / 8)) ELSE 0 END, 6) AS identity FROM nb LEFT JOIN j USING (a, b) LEFT JOIN best USING (a, b)""")
 def c8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seqs = V.seqs(spark, sf_dir)
-    rows = K.jaccard_pairs(seqs, neighbours(seqs), 8, canonical=False)
-    empty = F.col("common") == 0
-    return rows.select("a", "b", F.round(F.when(empty, F.lit(0.0)).otherwise(K.mash_identity(1 - F.col("distance"), 8)), 6).alias("identity"))
+    """By shared 8-mers; pairs with a sequence under 200 bases by the best offset of the shorter."""
+    classes, pairs = related(spark, sf_dir)
+    rows = K.jaccard_pairs(P.kmer_sets(classes, "id", "seq", 8, canonical=False), pairs)
+    texts = lambda x: classes.select(F.col("id").alias(x), F.col("seq").alias(f"seq_{x}"))
+    short = pairs.join(texts("a"), "a").join(texts("b"), "b").filter(F.least(F.length("seq_a"), F.length("seq_b")) < 200)
+    both = P.with_offset_identity(short.withColumn("pair", F.xxhash64("a", "b")), "pair", "seq_a", "seq_b").withColumnRenamed("identity", "best")
+    near = F.when(F.col("common") == 0, 0.0).otherwise(K.mash_identity(1 - F.col("distance"), 8))
+    return rows.withColumn("pair", F.xxhash64("a", "b")).join(both, "pair", "left").select("a", "b", F.round(F.coalesce("best", near), 6).alias("identity"))
 
 
-@QUERIES.add("c9_kmer_cosine", f"""WITH {V.SEQS}, {NEIGHBOURS}, km AS (SELECT id, w, CAST(count(*) AS DOUBLE) AS n FROM (SELECT id, substr(seq, i, 5) AS w FROM (SELECT id, seq, unnest(range(1, length(seq) - 3)) AS i FROM seqs WHERE length(seq) >= 5) x) y GROUP BY id, w),
+@QUERIES.add("c9_kmer_cosine", f"""WITH {PAIRS}, km AS (SELECT id, w, CAST(count(*) AS DOUBLE) AS n FROM (SELECT id, substr(seq, i, 5) AS w FROM (SELECT id, seq, unnest(range(1, length(seq) - 3)) AS i FROM rep WHERE length(seq) >= 5) x) y GROUP BY id, w),
 nm AS (SELECT id, sqrt(sum(n * n)) AS norm FROM km GROUP BY id), d AS (SELECT nb.a, nb.b, sum(x.n * y.n) AS dot FROM nb JOIN km x ON x.id = nb.a JOIN km y ON y.id = nb.b AND y.w = x.w GROUP BY nb.a, nb.b)
 SELECT nb.a, nb.b, round(1 - coalesce(dot, 0) / (p.norm * q.norm), 6) AS distance FROM nb JOIN nm p ON p.id = nb.a JOIN nm q ON q.id = nb.b LEFT JOIN d USING (a, b)""")
 def c9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seqs = V.seqs(spark, sf_dir)
-    return K.cosine_pairs(seqs, neighbours(seqs), 5).withColumn("distance", F.round("distance", 6))
+    classes, pairs = related(spark, sf_dir)
+    return K.cosine_pairs(P.kmer_profiles(classes, "id", "seq", 5), pairs).withColumn("distance", F.round("distance", 6))
 
 
 @QUERIES.add("d11_kmer_features", f"""WITH {V.SEQS}, km AS (SELECT substr(seq, i, k) AS w FROM (SELECT seq, k, unnest(range(1, length(seq) - k + 2)) AS i FROM seqs, (SELECT unnest([2, 3, 4]) AS k) ks WHERE length(seq) >= k) x) SELECT w AS kmer, count(*) AS n FROM km GROUP BY w""")
 def d11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = F.concat(*(S.kmers(F.col("seq"), k) for k in (2, 3, 4)))
-    return V.seqs(spark, sf_dir).select(F.explode(found).alias("kmer")).groupBy("kmer").agg(F.count(F.lit(1)).alias("n"))
+    return P.kmer_totals(V.seqs(spark, sf_dir), "seq", (2, 3, 4))
 
 
 @QUERIES.add("g1_exact_identity_dedup", f"""WITH {V.SEQS}, k AS (SELECT id, md5(least(seq, reverse(translate(seq, 'ACGT', 'TGCA')))) AS key FROM seqs) SELECT id, min(id) OVER (PARTITION BY key) AS representative, count(*) OVER (PARTITION BY key) AS members FROM k""")
@@ -95,14 +108,11 @@ def c1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("owner").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("e") - F.col("s")).alias("bases"))
 
 
-@QUERIES.add("c6_best_pair_distance", f"""WITH {V.HITS}, m AS (SELECT q, subject, max(pident) AS best FROM hits WHERE CAST(qend - qstart + 1 AS DOUBLE) / 100 >= 0.4 GROUP BY q, subject), g AS (SELECT DISTINCT q, s.subject FROM hits, (SELECT DISTINCT subject FROM hits) s) SELECT g.q, g.subject, round(1 - coalesce(best, 0) / 100, 6) AS distance FROM g LEFT JOIN m ON m.q = g.q AND m.subject = g.subject""")
+@QUERIES.add("c6_best_pair_distance", f"""WITH {V.HITS} SELECT q, subject, round(1 - max(CASE WHEN CAST(qend - qstart + 1 AS DOUBLE) / 100 >= 0.4 THEN pident ELSE 0 END) / 100, 6) AS distance FROM hits GROUP BY q, subject""")
 def c6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best identity of each query and subject; a pair of the grid without a hit has distance 1."""
-    hits = V.hits(spark, sf_dir)
-    best = hits.filter((F.col("qend") - F.col("qstart") + 1) / 100 >= 0.4).groupBy("q", "subject").agg(F.max("pident").alias("best"))
-    subjects = hits.agg(F.collect_set("subject").alias("subjects"))
-    grid = hits.select("q").distinct().join(F.broadcast(subjects)).select("q", F.explode("subjects").alias("subject"))
-    return grid.join(best, ["q", "subject"], "left").select("q", "subject", F.round(1 - F.coalesce("best", F.lit(0.0)) / 100, 6).alias("distance"))
+    """The best identity of each query and subject that have hits; short hits leave a pair at distance 1, as no hit would."""
+    near = F.when((F.col("qend") - F.col("qstart") + 1) / 100 >= 0.4, F.col("pident")).otherwise(0.0)
+    return V.hits(spark, sf_dir).groupBy("q", "subject").agg(F.round(1 - F.max(near) / 100, 6).alias("distance"))
 
 
 @QUERIES.add("c11_similarity_graph", """WITH w AS (SELECT least(l_partkey, l_suppkey) AS a, greatest(l_partkey, l_suppkey) AS b, (1 - CAST(l_discount AS DOUBLE)) * CAST(l_quantity AS DOUBLE) / 50 AS weight FROM lineitem WHERE l_partkey <> l_suppkey) SELECT a, b, round(max(weight), 6) AS weight FROM w GROUP BY a, b""")
@@ -155,10 +165,12 @@ def d14(spark: SparkSession, sf_dir: str) -> DataFrame:
 @QUERIES.add("c15_species_resolution", """WITH n AS (SELECT n_nationkey AS id, lower(n_name) AS name FROM nation), t AS (SELECT DISTINCT lower(substr(n_name, 1, 4)) AS term FROM nation UNION SELECT lower(n_name) FROM nation), m AS (SELECT term, count_if(name = term) AS exact, min(CASE WHEN name = term THEN id END) AS e, count_if(contains(name, term)) AS part, min(CASE WHEN contains(name, term) THEN id END) AS p FROM t, n GROUP BY term)
 SELECT term, CASE WHEN exact = 1 THEN e WHEN exact = 0 AND part = 1 THEN p END AS id FROM m""")
 def c15(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact names before substrings; a term that stays ambiguous has no id. Names are a taxonomy's, which is broadcast."""
+    """Exact names before substrings; a term that stays ambiguous has no id. Terms have three letters or more."""
     names = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.lower("n_name").alias("name"))
     terms = names.select(F.substring("name", 1, 4).alias("term")).union(names.select("name")).distinct()
-    rows = terms.join(F.broadcast(names), F.contains("name", "term"))
+    # a name holds a term only if it holds the term's first three letters: an equal-key join, then the whole term
+    pieces = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: F.substring(c, i, F.lit(3))))
+    rows = terms.withColumn("piece", F.substring("term", 1, 3)).join(names.withColumn("piece", F.explode(pieces(F.col("name")))), "piece").filter(F.contains("name", "term"))
     same = F.col("name") == F.col("term")
     found = rows.groupBy("term").agg(F.count_if(same).alias("exact"), F.min(F.when(same, F.col("id"))).alias("e"), F.count(F.lit(1)).alias("part"), F.min("id").alias("p"))
     return found.select("term", F.when(F.col("exact") == 1, F.col("e")).when((F.col("exact") == 0) & (F.col("part") == 1), F.col("p")).alias("id"))
@@ -173,19 +185,23 @@ def b25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return families.join(staged.join(below, "id", "left_semi"), "fam", "left_semi")
 
 
-@QUERIES.add("b18_gene_exclusion", f"""WITH {V.HITS}, c AS (SELECT q, max(CAST(qend - qstart + 1 AS DOUBLE) * 3 / 400) AS cov FROM hits WHERE pident >= 92 GROUP BY q) SELECT p_partkey AS id, round(coalesce(cov, 0), 6) AS cov, coalesce(cov, 0) >= 0.7 OR (coalesce(cov, 0) >= 0.5 AND p_size % 4 > 0) AS excluded FROM part LEFT JOIN c ON q = p_partkey""")
+@QUERIES.add("b18_gene_exclusion", f"""WITH {V.HITS}, c AS (SELECT q, max(CAST(qend - qstart + 1 AS DOUBLE) * 3 / (250 + q % 300)) AS cov FROM hits WHERE pident - 57 >= 35 GROUP BY q) SELECT p_partkey AS id, round(coalesce(cov, 0), 6) AS cov, coalesce(cov, 0) >= 0.7 OR (coalesce(cov, 0) >= 0.5 AND p_size % 4 = 0) AS excluded FROM part LEFT JOIN c ON q = p_partkey""")
 def b18(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cov = V.hits(spark, sf_dir).filter("pident >= 92").groupBy("q").agg(F.max((F.col("qend") - F.col("qstart") + 1) * 3 / 400).alias("cov"))
-    rows = table(spark, sf_dir, "part").join(cov, F.col("p_partkey") == F.col("q"), "left").withColumn("cov", F.coalesce("cov", F.lit(0.0)))
-    return rows.select(F.col("p_partkey").alias("id"), F.round("cov", 6).alias("cov"), ((F.col("cov") >= 0.7) | ((F.col("cov") >= 0.5) & (F.col("p_size") % 4 > 0))).alias("excluded"))
+    """Hits against proteins: their identities are 57 less than those of the line items."""
+    hits = V.hits(spark, sf_dir).select("q", (F.col("qend") - F.col("qstart") + 1).alias("width"), (250 + F.col("q") % 300).alias("qlen"), (F.col("pident") - 57).alias("pident"))
+    records = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), (F.col("p_size") % 4 > 0).alias("has_signal"))
+    return G.gene_excluded(hits, records).select("id", F.round("cov", 6).alias("cov"), "excluded")
 
 
-@QUERIES.add("b19_non_te_routing", f"""WITH {V.HITS}, o AS (SELECT q, sum(CASE WHEN pident >= 95 THEN CAST(qend - qstart + 1 AS DOUBLE) END) / 4000 AS organelle, sum(CASE WHEN strand = '-' THEN CAST(qend - qstart + 1 AS DOUBLE) END) / 4000 AS satellite, bool_or(score > 100000) AS rrna FROM hits GROUP BY q) SELECT coalesce(CASE WHEN organelle >= 0.2 THEN 'organelle' WHEN rrna THEN 'rrna' WHEN satellite >= 0.15 THEN 'satellite' END, 'te') AS route, count(*) AS n FROM part LEFT JOIN o ON q = p_partkey GROUP BY 1""")
+@QUERIES.add("b19_non_te_routing", f"""WITH {V.HITS}, o AS (SELECT q, CAST(sum(qend - qstart + 1) AS DOUBLE) / 800 AS cov FROM hits WHERE subject = 'chr1' AND pident - 13 >= 80 GROUP BY q), r AS (SELECT DISTINCT q FROM hits WHERE score > 100000), t AS (SELECT q, CAST(sum(qend - qstart + 1) AS DOUBLE) / 900 AS cov FROM hits WHERE subject = 'chr2' GROUP BY q) SELECT p_partkey AS id, CASE WHEN o.cov >= 0.5 THEN 'organelle' WHEN r.q IS NOT NULL THEN 'rrna' WHEN t.cov >= 0.5 THEN 'satellite' ELSE 'te' END AS route FROM part LEFT JOIN o ON o.q = p_partkey LEFT JOIN r ON r.q = p_partkey LEFT JOIN t ON t.q = p_partkey""")
 def b19(spark: SparkSession, sf_dir: str) -> DataFrame:
-    width = (F.col("qend") - F.col("qstart") + 1).cast("double")
-    sums = V.hits(spark, sf_dir).groupBy("q").agg((F.sum(F.when(F.col("pident") >= 95, width)) / 4000).alias("organelle"), (F.sum(F.when(F.col("strand") == "-", width)) / 4000).alias("satellite"), F.bool_or(F.col("score") > 100_000).alias("rrna"))
-    route = F.when(F.col("organelle") >= 0.2, "organelle").when(F.col("rrna"), "rrna").when(F.col("satellite") >= 0.15, "satellite").otherwise("te")
-    return table(spark, sf_dir, "part").join(sums, F.col("p_partkey") == F.col("q"), "left").groupBy(route.alias("route")).agg(F.count(F.lit(1)).alias("n"))
+    """Hits on one chromosome stand for those on organelles, on another for tandem spans, strong ones anywhere for rRNA."""
+    hits = V.hits(spark, sf_dir)
+    width = F.col("qend") - F.col("qstart") + 1
+    organelle = hits.filter("subject = 'chr1'").select("q", width.alias("width"), F.lit(800).alias("qlen"), (F.col("pident") - 13).alias("pident"))
+    tandem = hits.filter("subject = 'chr2'").select("q", F.col("qstart").alias("s"), F.col("qend").alias("e"))
+    records = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.lit(900).alias("length"))
+    return G.foreign_routes(records, organelle, hits.filter("score > 100000"), tandem).select("id", "route")
 
 
 @QUERIES.add("b20_evidence_rescue", f"""WITH {V.RECORDS}, d AS (SELECT * FROM records WHERE copies < 32), e AS (SELECT id, concat_ws(',', CASE WHEN id % 5 = 0 THEN 'hmm' END, CASE WHEN id % 7 = 0 THEN 'tir' END, CASE WHEN id % 11 = 0 THEN 'ltr' END, CASE WHEN id % 13 = 0 THEN 'known' END) AS by_what FROM d) SELECT id, CAST(NULL AS VARCHAR) AS rescued_by FROM records WHERE copies >= 32 UNION ALL SELECT id, by_what FROM e WHERE by_what <> ''""")
@@ -196,11 +212,11 @@ def b20(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.filter("copies >= 32").select("id", F.lit(None).cast("string").alias("rescued_by")).unionByName(rescued)
 
 
-@QUERIES.add("d6_rm_rollup", f"""WITH {V.HITS}, g AS (SELECT q, count(*) AS n, avg(pident) AS identity, stddev_pop(pident) AS std, max(pident) - min(pident) AS spread, stddev_pop(gmax - gmin + 1) / avg(gmax - gmin + 1) AS cv FROM hits GROUP BY q) SELECT q, n, round(identity, 6) AS identity, round(std, 6) AS std, round(spread, 6) AS spread, round(cv, 6) AS cv, n >= 5 AND (spread > 20 OR cv > 0.55 OR (n > 20 AND std > 3)) AS split FROM g""")
+@QUERIES.add("d6_rm_rollup", f"""WITH {V.HITS}, g AS (SELECT q, count(*) AS n, avg(pident) AS identity, stddev_pop(pident) AS std, max(pident) - min(pident) AS spread, stddev_pop(gmax - gmin + 61) / avg(gmax - gmin + 61) AS cv FROM hits GROUP BY q) SELECT q, n, round(identity, 6) AS identity, round(std, 6) AS std, round(spread, 6) AS spread, round(cv, 6) AS cv, n >= 5 AND (spread > 20 OR cv > 0.3 OR (n > 20 AND std > 5)) AS split FROM g""")
 def d6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    width = F.col("gmax") - F.col("gmin") + 1
+    width = F.col("gmax") - F.col("gmin") + 61
     rows = V.hits(spark, sf_dir).groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.avg("pident").alias("identity"), F.stddev_pop("pident").alias("std"), (F.max("pident") - F.min("pident")).alias("spread"), (F.stddev_pop(width) / F.avg(width)).alias("cv"))
-    split = (F.col("n") >= 5) & ((F.col("spread") > 20) | (F.col("cv") > 0.55) | ((F.col("n") > 20) & (F.col("std") > 3)))
+    split = G.splits(F.col("n"), F.col("spread"), F.col("cv"), F.col("std"))
     return rows.select("q", "n", *(F.round(c, 6).alias(c) for c in ("identity", "std", "spread", "cv")), split.alias("split"))
 
 
@@ -218,20 +234,22 @@ def d13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.agg(F.count(F.lit(1)).alias("clusters"), F.sum("n").alias("total"), F.max("n").alias("most"), F.min("n").alias("least"), F.round(F.avg("n"), 6).alias("mean"), F.count_if(F.col("n") == 1).alias("singletons"))
 
 
-@QUERIES.add("d12_set_diversity", f"""WITH {V.SEQS}, {NEIGHBOURS}, km AS (SELECT DISTINCT id, substr(seq, i, 7) AS w FROM (SELECT id, seq, unnest(range(1, length(seq) - 5)) AS i FROM seqs WHERE length(seq) >= 7) x), n AS (SELECT id, count(*) AS n FROM km GROUP BY id),
-c AS (SELECT nb.a, nb.b, count(*) AS common FROM nb JOIN km x ON x.id = nb.a JOIN km y ON y.id = nb.b AND y.w = x.w GROUP BY nb.a, nb.b), j AS (SELECT coalesce(CAST(common AS DOUBLE) / (p.n + q.n - common), 0) AS j FROM nb LEFT JOIN c USING (a, b) LEFT JOIN n p ON p.id = nb.a LEFT JOIN n q ON q.id = nb.b)
-SELECT round(avg(j), 6) AS mean, round(stddev_pop(j), 6) AS std, round(1 - avg(j) + stddev_pop(j), 6) AS diversity FROM j""")
+@QUERIES.add("d12_set_diversity", f"""WITH {PAIRS}, km AS (SELECT DISTINCT id, substr(seq, i, 7) AS w FROM (SELECT id, seq, unnest(range(1, length(seq) - 5)) AS i FROM rep WHERE length(seq) >= 7) x), n AS (SELECT id, count(*) AS n FROM km GROUP BY id),
+c AS (SELECT nb.a, nb.b, count(*) AS common FROM nb JOIN km x ON x.id = nb.a JOIN km y ON y.id = nb.b AND y.w = x.w GROUP BY nb.a, nb.b), j AS (SELECT coalesce(CAST(common AS DOUBLE) / (p.n + q.n - common), 0) AS j FROM nb LEFT JOIN c USING (a, b) LEFT JOIN n p ON p.id = nb.a LEFT JOIN n q ON q.id = nb.b), l AS (SELECT stddev_pop(length(seq)) / avg(length(seq)) AS cv FROM rep)
+SELECT round(avg(j), 6) AS mean, round(stddev_pop(j), 6) AS std, round(1 - avg(j) + stddev_pop(j), 6) AS diversity, (SELECT round(cv, 6) FROM l) AS length_cv FROM j""")
 def d12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seqs = V.seqs(spark, sf_dir)
-    j = K.jaccard_pairs(seqs, neighbours(seqs), 7, canonical=False).select(F.when(F.col("common") > 0, 1 - F.col("distance")).otherwise(F.lit(0.0)).alias("j"))
-    return j.agg(F.round(F.avg("j"), 6).alias("mean"), F.round(F.stddev_pop("j"), 6).alias("std"), F.round(1 - F.avg("j") + F.stddev_pop("j"), 6).alias("diversity"))
+    """Likeness over all related pairs, and how much lengths vary over all classes."""
+    classes, pairs = related(spark, sf_dir)
+    j = K.jaccard_pairs(P.kmer_sets(classes, "id", "seq", 7, canonical=False), pairs).select(F.when(F.col("common") > 0, 1 - F.col("distance")).otherwise(F.lit(0.0)).alias("j"))
+    cv = classes.agg(F.round(F.stddev_pop(F.length("seq")) / F.avg(F.length("seq")), 6).alias("length_cv"))
+    return j.agg(F.round(F.avg("j"), 6).alias("mean"), F.round(F.stddev_pop("j"), 6).alias("std"), F.round(1 - F.avg("j") + F.stddev_pop("j"), 6).alias("diversity")).join(F.broadcast(cv))
 
 
-@QUERIES.add("f2_stratified_subsample", f"""WITH {V.INSTANCES}, n AS (SELECT *, ntile(10) OVER (PARTITION BY fam ORDER BY dvg, o, ln, s, chrom) AS stratum FROM instances), r AS (SELECT *, row_number() OVER (PARTITION BY fam, stratum ORDER BY e - s DESC, o, ln, chrom) AS rn FROM n), k AS (SELECT *, row_number() OVER (PARTITION BY fam ORDER BY rn, stratum) AS place FROM r) SELECT fam, o, ln, stratum, place FROM k WHERE place <= 20""")
+@QUERIES.add("f2_stratified_subsample", f"""WITH {V.INSTANCES}, n AS (SELECT *, count(*) OVER (PARTITION BY fam) AS n, row_number() OVER (PARTITION BY fam ORDER BY dvg, o, ln, s, chrom) - 1 AS k FROM instances), t AS (SELECT *, CASE WHEN n <= 20 THEN 1 ELSE least(10, greatest(1, n // 20 + 1)) END AS g FROM n), u AS (SELECT *, CASE WHEN k < (n % g) * (n // g + 1) THEN k // (n // g + 1) ELSE n % g + (k - (n % g) * (n // g + 1)) // (n // g) END + 1 AS stratum FROM t),
+r AS (SELECT *, row_number() OVER (PARTITION BY fam, stratum ORDER BY e - s DESC, o, ln, s, chrom) AS rn FROM u), p AS (SELECT *, row_number() OVER (PARTITION BY fam ORDER BY rn, stratum) AS place FROM r) SELECT fam, o, ln, CAST(stratum AS BIGINT) AS stratum, place FROM p WHERE place <= 20""")
 def f2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = V.instances(spark, sf_dir).withColumn("stratum", F.ntile(10).over(W.partitionBy("fam").orderBy("dvg", "o", "ln", "s", "chrom")).cast("long"))
-    rows = rows.withColumn("rn", F.row_number().over(W.partitionBy("fam", "stratum").orderBy(F.desc(F.col("e") - F.col("s")), "o", "ln", "chrom")))
-    return rows.withColumn("place", F.row_number().over(W.partitionBy("fam").orderBy("rn", "stratum")).cast("long")).filter("place <= 20").select("fam", "o", "ln", "stratum", "place")
+    rows = V.instances(spark, sf_dir).withColumn("size", F.col("e") - F.col("s"))
+    return G.stratified(rows, "fam", 20, "dvg", "size", ["o", "ln", "s", "chrom"]).select("fam", "o", "ln", "stratum", "place")
 
 
 @QUERIES.add("f3_even_stride_cap", f"""WITH {V.INSTANCES}, r AS (SELECT *, row_number() OVER (PARTITION BY fam ORDER BY dvg, o, ln, s, chrom) - 1 AS k, count(*) OVER (PARTITION BY fam) AS n FROM instances) SELECT fam, o, ln, k FROM r WHERE n <= 15 OR (CAST(ceil(k * 15.0 / n) AS BIGINT) * n) // 15 = k AND CAST(ceil(k * 15.0 / n) AS BIGINT) < 15""")
@@ -244,9 +262,9 @@ def f3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @QUERIES.add("f5_shard_striping", f"""WITH {V.RECORDS} SELECT id, (row_number() OVER (ORDER BY length * copies DESC, id) - 1) % 16 AS shard FROM records""")
 def f5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Work in descending order, dealt in turn to 16 shards; a table of families."""
-    order = W.orderBy(F.desc(F.col("length") * F.col("copies")), "id")
-    return V.records(spark, sf_dir).select("id", ((F.row_number().over(order) - 1) % 16).cast("long").alias("shard"))
+    """Work in descending order, dealt in turn to 16 shards."""
+    rows = V.records(spark, sf_dir).select("id", (F.col("length") * F.col("copies")).alias("work"))
+    return G.placed(rows, [F.desc("work"), F.asc("id")]).select("id", ((F.col("place") - 1) % 16).alias("shard"))
 
 
 @QUERIES.add("f6_longest_pick", f"""WITH {V.SEQS}, d AS (SELECT id, seq, lang FROM seqs JOIN documents ON doc_id = id) SELECT lang, id, len FROM (SELECT lang, id, length(seq) AS len, row_number() OVER (PARTITION BY lang ORDER BY length(seq) DESC, id) AS r FROM d) x WHERE r = 1""")
@@ -257,13 +275,15 @@ def f6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("lang", (-F.col("m.neg")).alias("id"), F.col("m.len").alias("len"))
 
 
-EDGES = "dir AS (SELECT l_partkey % 400 AS u, l_suppkey % 400 + 1 AS v, count(*) AS n FROM lineitem WHERE l_partkey % 400 <> l_suppkey % 400 + 1 GROUP BY 1, 2), sz AS (SELECT id, sum(n) AS size FROM (SELECT u AS id, n FROM dir UNION ALL SELECT v, n FROM dir) x GROUP BY id), ed AS (SELECT least(u, v) AS a, greatest(u, v) AS b, sum(CASE WHEN u < v THEN n ELSE 0 END) AS fwd, sum(CASE WHEN u > v THEN n ELSE 0 END) AS rev FROM dir GROUP BY 1, 2), gt AS (SELECT a, b, CAST(fwd AS BIGINT) AS fwd, CAST(rev AS BIGINT) AS rev, CAST(fwd + rev AS DOUBLE) / least(p.size, q.size) AS ratio, fwd >= rev AS forward FROM ed JOIN sz p ON p.id = a JOIN sz q ON q.id = b WHERE fwd + rev >= 3 AND CAST(fwd + rev AS DOUBLE) / least(p.size, q.size) >= 0.01 AND CAST(greatest(fwd, rev) AS DOUBLE) / (fwd + rev) >= 0.6 AND CAST(least(p.size, q.size) AS DOUBLE) / greatest(p.size, q.size) >= 0.05)"
+EDGES = "dir AS (SELECT CASE WHEN l_linestatus = 'O' THEN l_partkey ELSE l_suppkey + 1000000000 END AS u, CASE WHEN l_linestatus = 'O' THEN l_suppkey + 1000000000 ELSE l_partkey END AS v, count(*) AS n FROM lineitem GROUP BY 1, 2), sz AS (SELECT id, sum(n) AS size FROM (SELECT u AS id, n FROM dir UNION ALL SELECT v, n FROM dir) x GROUP BY id), ed AS (SELECT least(u, v) AS a, greatest(u, v) AS b, sum(CASE WHEN u < v THEN n ELSE 0 END) AS fwd, sum(CASE WHEN u > v THEN n ELSE 0 END) AS rev FROM dir GROUP BY 1, 2), gt AS (SELECT a, b, CAST(fwd AS BIGINT) AS fwd, CAST(rev AS BIGINT) AS rev, CAST(fwd + rev AS DOUBLE) / least(p.size, q.size) AS ratio, fwd >= rev AS forward FROM ed JOIN sz p ON p.id = a JOIN sz q ON q.id = b WHERE fwd + rev >= 2 AND CAST(fwd + rev AS DOUBLE) / least(p.size, q.size) >= 0.01 AND CAST(greatest(fwd, rev) AS DOUBLE) / (fwd + rev) >= 0.6 AND CAST(least(p.size, q.size) AS DOUBLE) / greatest(p.size, q.size) >= 0.02)"
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    directed = table(spark, sf_dir, "lineitem").groupBy((F.col("l_partkey") % 400).alias("u"), (F.col("l_suppkey") % 400 + 1).alias("v")).agg(F.count(F.lit(1)).alias("n")).filter("u <> v")
+    """Parts and suppliers as families, a line item as a neighbourhood, its status as the strand."""
+    part, supplier, open_ = F.col("l_partkey"), F.col("l_suppkey") + 1_000_000_000, F.col("l_linestatus") == "O"
+    directed = table(spark, sf_dir, "lineitem").groupBy(F.when(open_, part).otherwise(supplier).alias("u"), F.when(open_, supplier).otherwise(part).alias("v")).agg(F.count(F.lit(1)).alias("n"))
     sizes = directed.select(F.col("u").alias("id"), "n").union(directed.select("v", "n")).groupBy("id").agg(F.sum("n").alias("size"))
-    return GR.gated_edges(directed, sizes, 3, 0.01, 0.6, 0.05)
+    return GR.gated_edges(directed, sizes, 2, 0.01, 0.6, 0.02)
 
 
 @QUERIES.add("h2_edge_gates", f"WITH {EDGES} SELECT a, b, fwd, rev, round(ratio, 6) AS ratio, forward FROM gt")
@@ -271,9 +291,9 @@ def h2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edges(spark, sf_dir).select("a", "b", "fwd", "rev", F.round("ratio", 6).alias("ratio"), "forward")
 
 
-@QUERIES.add("h5_components", f"""WITH RECURSIVE e AS (SELECT least(l_partkey, l_orderkey % 1000 + 3000) AS a, greatest(l_partkey, l_orderkey % 1000 + 3000) AS b FROM lineitem WHERE l_quantity >= 49 AND l_discount >= 0.07), bi AS (SELECT a, b FROM e UNION SELECT b, a FROM e), reach(id, r) AS (SELECT DISTINCT a, a FROM bi UNION SELECT bi.b, reach.r FROM reach JOIN bi ON bi.a = reach.id) SELECT id, min(r) AS component FROM reach GROUP BY id""")
+@QUERIES.add("h5_components", f"""WITH RECURSIVE e AS (SELECT l_partkey AS a, l_orderkey + 1000000000 AS b FROM lineitem WHERE l_quantity >= 49 AND l_discount >= 0.07), bi AS (SELECT a, b FROM e UNION SELECT b, a FROM e), reach(id, r) AS (SELECT DISTINCT a, a FROM bi UNION SELECT bi.b, reach.r FROM reach JOIN bi ON bi.a = reach.id) SELECT id, min(r) AS component FROM reach GROUP BY id""")
 def h5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = table(spark, sf_dir, "lineitem").filter("l_quantity >= 49 and l_discount >= 0.07").select(F.col("l_partkey").alias("a"), (F.col("l_orderkey") % 1000 + 3000).alias("b"))
+    pairs = table(spark, sf_dir, "lineitem").filter("l_quantity >= 49 and l_discount >= 0.07").select(F.col("l_partkey").alias("a"), (F.col("l_orderkey") + 1_000_000_000).alias("b"))
     nodes = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     return GR.components(pairs, nodes)
 
