@@ -22,13 +22,13 @@ def islands_sql(by: str, s: str, e: str, table: str, gap: int = 0, op: str = "<=
 SELECT chrom, CAST(min(s) AS BIGINT) AS s, CAST(max(e) AS BIGINT) AS e, string_agg(DISTINCT strand, '+' ORDER BY strand) AS sources, count(*) AS n FROM islands GROUP BY chrom, island HAVING max(e) - min(s) BETWEEN 100 AND 30000""")
 def e1(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = F.array_join(F.array_sort(F.collect_set("strand")), "+").alias("sources")
-    return I.merged(V.instances(spark, sf_dir), ["chrom"], "s", "e", [sources, F.count(F.lit(1)).alias("n")]).filter("e - s between 100 and 30000")
+    return I.merged(V.instances(spark, sf_dir), ["chrom"], "s", "e", [sources, F.count(F.lit(1)).alias("n")], width=I.BIN).filter("e - s between 100 and 30000")
 
 
 @QUERIES.add("e2_mask_merge", f"""WITH {V.HITS}, {islands_sql('subject', 'gmin', 'gmax', 'hits')}
 SELECT subject, CAST(min(gmin) AS BIGINT) AS gmin, CAST(max(gmax) AS BIGINT) AS gmax, max(score) AS score, max(pident) AS identity FROM islands GROUP BY subject, island""")
 def e2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.merged(V.hits(spark, sf_dir), ["subject"], "gmin", "gmax", [F.max("score").alias("score"), F.max("pident").alias("identity")])
+    return I.merged(V.hits(spark, sf_dir), ["subject"], "gmin", "gmax", [F.max("score").alias("score"), F.max("pident").alias("identity")], width=I.BIN)
 
 
 @QUERIES.add("e3_hsp_loci", f"""WITH {V.HITS}, {islands_sql('q, subject, strand', 'gmin', 'gmax', 'hits', 2000)},
@@ -49,7 +49,7 @@ def e3(spark: SparkSession, sf_dir: str) -> DataFrame:
 g AS (SELECT chrom, strand, min(s) AS s, max(e) AS e, avg(dvg) AS dvg, count(DISTINCT fam) AS families FROM islands GROUP BY chrom, strand, island)
 SELECT chrom, strand, CAST(s AS BIGINT) AS s, CAST(e AS BIGINT) AS e, round(dvg, 6) AS dvg, families FROM g WHERE families >= 2 AND e - s BETWEEN 80 AND 25000 AND (SELECT count(*) FROM g WHERE families >= 2 AND e - s BETWEEN 80 AND 25000) >= 5""")
 def e4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loci = I.merged(V.instances(spark, sf_dir), ["chrom", "strand"], "s", "e", [F.avg("dvg").alias("dvg"), F.count_distinct("fam").alias("families")], gap=50)
+    loci = I.merged(V.instances(spark, sf_dir), ["chrom", "strand"], "s", "e", [F.avg("dvg").alias("dvg"), F.count_distinct("fam").alias("families")], gap=50, width=I.BIN)
     loci = loci.filter("families >= 2 and e - s between 80 and 25000")
     enough = loci.agg((F.count(F.lit(1)) >= 5).alias("enough")).filter("enough")
     return loci.join(F.broadcast(enough)).select("chrom", "strand", "s", "e", F.round("dvg", 6).alias("dvg"), "families")
@@ -81,16 +81,21 @@ def e8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.contained_lower(V.hits(spark, sf_dir), "subject", "gmin", "gmax", "score", 1000).select("o", "ln", "subject", "gmin", "gmax", "score")
 
 
-@QUERIES.add("e9_fragment_rejoin", f"""WITH {V.HITS}, c AS (SELECT *, CASE WHEN gmin - lag(gmax) OVER w <= 5000 AND abs(pident - lag(pident) OVER w) <= 5 THEN 0 ELSE 1 END AS fresh FROM hits WINDOW w AS (PARTITION BY q, subject, strand ORDER BY gmin, gmax, o, ln)),
-d AS (SELECT *, sum(fresh) OVER (PARTITION BY q, subject, strand ORDER BY gmin, gmax, o, ln ROWS UNBOUNDED PRECEDING) AS chain FROM c)
-SELECT q, subject, strand, CAST(min(gmin) AS BIGINT) AS gmin, CAST(max(gmax) AS BIGINT) AS gmax, max(score) AS score, count(*) AS n, round(sum((100 - pident) * (gmax - gmin + 1)) / sum(gmax - gmin + 1), 6) AS divergence FROM d GROUP BY q, subject, strand, chain""")
+@QUERIES.add("e9_fragment_rejoin", f"""WITH {V.HITS}, h AS (SELECT q, strand, o, ln, qstart // 80 AS score, CASE WHEN pident >= 95 THEN 0 ELSE 1 END AS dvg, p_brand AS lineage, (o * 7 + ln * 3) % 40 AS ss, (o * 7 + ln * 3) % 40 + ln AS se, row_number() OVER (PARTITION BY q ORDER BY o, ln, gmin, subject) AS k FROM hits JOIN part ON p_partkey = q WHERE p_brand <> 'Brand#11'),
+g AS (SELECT *, row_number() OVER (PARTITION BY q, strand, score, dvg, lineage ORDER BY k) AS r FROM h),
+c AS (SELECT *, CASE WHEN lag(k) OVER w IS NOT NULL AND (abs(ss - lag(se) OVER w) < 5 OR abs(se - lag(ss) OVER w) < 5) THEN 0 ELSE 1 END AS fresh FROM g WINDOW w AS (PARTITION BY q, strand, score, dvg, lineage ORDER BY k)),
+d AS (SELECT *, sum(fresh) OVER (PARTITION BY q, strand, score, dvg, lineage ORDER BY k ROWS UNBOUNDED PRECEDING) AS chain FROM c)
+SELECT q, strand, CAST(score AS BIGINT) AS score, min(k) AS first, count(*) AS n, CAST(min(least(ss, se)) AS BIGINT) AS low, CAST(max(greatest(ss, se)) AS BIGINT) AS high FROM d GROUP BY q, strand, score, dvg, lineage, chain""")
 def e9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by = ["q", "subject", "strand"]
-    w = W.partitionBy(*by).orderBy("gmin", "gmax", "o", "ln")
-    joins = (F.col("gmin") - F.lag("gmax").over(w) <= 5000) & (F.abs(F.col("pident") - F.lag("pident").over(w)) <= 5)
-    rows = V.hits(spark, sf_dir).withColumn("fresh", F.when(joins, 0).otherwise(1)).withColumn("chain", F.sum("fresh").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    width = F.col("gmax") - F.col("gmin") + 1
-    return rows.groupBy(*by, "chain").agg(F.min("gmin").alias("gmin"), F.max("gmax").alias("gmax"), F.max("score").alias("score"), F.count(F.lit(1)).alias("n"), F.round(F.sum((100 - F.col("pident")) * width) / F.sum(width), 6).alias("divergence")).drop("chain")
+    """Fragments of one alignment: equal name, score, divergence and lineage, and consensus ends that meet; one class is left out."""
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("q"), F.col("p_brand").alias("lineage"))
+    place = (F.col("o") * 7 + F.col("ln") * 3) % 40
+    rows = V.hits(spark, sf_dir).join(parts, "q").filter("lineage <> 'Brand#11'")
+    rows = rows.withColumns({"score": F.floor(F.col("qstart") / 80), "dvg": F.when(F.col("pident") >= 95, 0).otherwise(1), "ss": place, "se": place + F.col("ln")})
+    rows = rows.withColumn("k", F.row_number().over(W.partitionBy("q").orderBy("o", "ln", "gmin", "subject")))
+    chains = I.rejoined(rows, ["q", "strand", "score", "dvg", "lineage"], ["k"], "ss", "se")
+    found = chains.groupBy("q", "strand", "score", "dvg", "lineage", "chain").agg(F.min("k").cast("long").alias("first"), F.count(F.lit(1)).alias("n"), F.min(F.least("ss", "se")).cast("long").alias("low"), F.max(F.greatest("ss", "se")).cast("long").alias("high"))
+    return found.drop("dvg", "lineage", "chain")
 
 
 @QUERIES.add("e12_rank_and_cap", f"""WITH {V.HITS} SELECT q, o, ln, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, o, ln) AS rank FROM hits) x WHERE rank <= 5""")
@@ -126,8 +131,7 @@ u AS (SELECT DISTINCT chrom, k, f1, f2, strand FROM p)
 SELECT CASE WHEN strand = '+' THEN f1 ELSE f2 END AS left_fam, CASE WHEN strand = '+' THEN f2 ELSE f1 END AS right_fam, count(*) AS n FROM u GROUP BY 1, 2""")
 def c5(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = ["s", "e", "o", "ln", "fam", "strand", "dvg"]
-    rows = V.instances(spark, sf_dir).withColumn("k", F.row_number().over(W.partitionBy("chrom").orderBy(*order)))
-    rows = I.next_rows(rows, ["chrom"], order, ["s", "e", "strand", "fam"], 4)
+    rows = I.next_rows(V.instances(spark, sf_dir), ["chrom"], order, ["s", "e", "strand", "fam"], 4)
     pairs = rows.select("chrom", "k", "s", "e", "strand", "fam", F.explode("__next").alias("b"))
     overlap = F.greatest(F.lit(0), F.least("e", "b.e") - F.greatest("s", "b.s"))
     shorter = F.least(F.col("e") - F.col("s"), F.col("b.e") - F.col("b.s"))
@@ -172,8 +176,7 @@ def d5(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT coalesce(cls, 'all') AS cls, count(*) AS elements, count(DISTINCT q) AS families, CAST(sum(CASE WHEN prev IS NULL OR prev < gmin THEN gmax - gmin + 1 ELSE greatest(0, gmax - prev) END) AS BIGINT) AS bp FROM c GROUP BY ROLLUP(cls)""")
 def d7(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("q"), F.col("p_brand").alias("cls"))
-    prev = F.lag("gmax").over(W.partitionBy("subject").orderBy("gmin", "gmax", "o", "ln", "q", "score"))
-    rows = V.hits(spark, sf_dir).join(parts, "q").withColumn("prev", prev)
+    rows = I.with_previous(V.hits(spark, sf_dir).join(parts, "q"), ["subject"], ["gmin", "gmax", "o", "ln", "q", "score"], "gmax", "prev")
     bp = F.when(F.col("prev").isNull() | (F.col("prev") < F.col("gmin")), F.col("gmax") - F.col("gmin") + 1).otherwise(F.greatest(F.lit(0), F.col("gmax") - F.col("prev")))
     return rows.rollup("cls").agg(F.count(F.lit(1)).alias("elements"), F.count_distinct("q").alias("families"), F.sum(bp).alias("bp")).withColumn("cls", F.coalesce("cls", F.lit("all")))
 
