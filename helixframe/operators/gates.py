@@ -1,12 +1,18 @@
-"""Row gates: the first reason that applies rejects a row, and tiers by quantiles."""
+"""Row gates: the first reason that applies rejects a row, and tiers by quantiles.
+
+Thresholds are parameters; their defaults are the usual ones. Gates read columns by the names that they state.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from helixframe.operators.graph import written
+
 
 def first_reason(rules: list[tuple[str, Column]]) -> Column:
     """The name of the first rule that holds, null if none does. A rule that is null doesn't hold."""
@@ -23,10 +29,28 @@ def steps(value: Column, bands: list[tuple[float, object]], otherwise: object) -
 
 
 def with_quantiles(df: DataFrame, column: str, quantiles: dict[str, float]) -> DataFrame:
-    """df with exact, linearly interpolated quantiles of a column over all rows."""
-    row = df.agg(F.percentile(column, F.array(*(F.lit(q) for q in quantiles.values()))).alias("__q"), F.count(F.lit(1)).alias("__n"))
-    named = row.select("__n", *(F.col("__q")[k].alias(name) for k, name in enumerate(quantiles)))
-    return df.join(F.broadcast(named))
+    """df with exact, linearly interpolated quantiles of a column over all rows.
+
+    The values are counted first, so the ranks are found among distinct values: these are dealt into ranges, each is
+    summed up by itself, and one row for each range meets in a task.
+    """
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("__total"))
+    # the bits of a double, less those that order similar values, deal them into ranges that need no sampling
+    ranged = counts.withColumn("range", F.floor(F.signum("v") * F.log2(1 + F.abs("v")) * 64).cast("long"))
+    sizes = ranged.groupBy("range").agg(F.sum("n").alias("size"))
+    sizes = sizes.select(F.col("range").alias("r"), F.coalesce(F.sum("size").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    upto = F.sum("n").over(W.partitionBy("range").orderBy("v"))
+    ranked = ranged.withColumn("upto", upto).join(sizes, F.col("range") == F.col("r")).withColumn("last", F.col("before") + F.col("upto") - 1)
+    ranked = ranked.join(F.broadcast(total))
+    at = lambda k: F.min(F.when(F.col("last") >= k, F.col("v")))
+    found = []
+    for name, q in quantiles.items():
+        place = F.lit(q) * (F.col("__total") - 1)
+        found += [at(F.floor(place)).alias(f"{name}__a"), at(F.ceil(place)).alias(f"{name}__b"), F.first(place - F.floor(place)).alias(f"{name}__f")]
+    row = ranked.agg(F.first("__total").alias("__known"), *found)
+    named = row.select(*((F.col(f"{x}__a") + (F.col(f"{x}__b") - F.col(f"{x}__a")) * F.col(f"{x}__f")).alias(x) for x in quantiles))
+    return df.join(F.broadcast(df.agg(F.count(F.lit(1)).alias("__n")))).join(F.broadcast(named))
 
 
 def mdl_tiers(records: DataFrame) -> DataFrame:
@@ -59,3 +83,145 @@ def least_copies(genome_mb: Column) -> Column:
 def low_copy_dropped(copies: Column, genomic: Column, length: Column, genome_mb: Column, hard: int = 0) -> Column:
     c = F.coalesce(genomic, copies)
     return ((F.lit(hard) > 0) & (c < hard)) | ((c < least_copies(genome_mb)) & (length < 200))
+
+
+def triage_rules(entropy: tuple[float, float] = (1.0, 0.8), entropy2: tuple[float, float] = (2.0, 1.6), least_length: int = 50, least_mdl: float = 0.0, most_n: float = 0.2, most_dust: float = 0.7, most_simple: float = 0.6) -> list[tuple[str, Column]]:
+    """Why a family is no input, first reason first: (topology, length, copies, mdl, n_fraction, h1, dust, h2, simple_fraction).
+
+    Entropies have a limit for sequences of 100 bases or more, and one for shorter ones.
+    """
+    quality = _quality_rules(entropy, entropy2, most_dust, most_simple)
+    first = [("cyclic_topology", F.col("topology") == "cyclic"), ("too_short", F.col("length") < least_length), ("single_copy", F.col("copies") <= 1), ("low_mdl", F.col("mdl") <= least_mdl)]
+    return [*first, ("high_n", F.col("n_fraction") > most_n), *quality]
+
+
+def final_rules(entropy: tuple[float, float] = (1.0, 0.8), entropy2: tuple[float, float] = (2.0, 1.6), least_length: int = 50, most_n: float = 0.2, most_dust: float = 0.7, most_simple: float = 0.6) -> list[tuple[str, Column]]:
+    """Why a consensus is no output: the same limits, with unknown bases last."""
+    return [("too_short", F.col("length") < least_length), *_quality_rules(entropy, entropy2, most_dust, most_simple), ("high_n", F.col("n_fraction") > most_n)]
+
+
+def _quality_rules(entropy: tuple[float, float], entropy2: tuple[float, float], most_dust: float, most_simple: float) -> list[tuple[str, Column]]:
+    by_length = lambda limits: F.when(F.col("length") >= 100, limits[0]).otherwise(limits[1])
+    return [("low_entropy", F.col("h1") < by_length(entropy)), ("dust", F.col("dust") > most_dust), ("low_entropy2", F.col("h2") < by_length(entropy2)), ("simple_fraction", F.col("simple_fraction") > most_simple)]
+
+
+def chimera_eligible(topology: Column, tier: Column, length: Column, least: dict[str, int] | None = None) -> Column:
+    """Whether a family may be cut: complex ones always, others by tier and length; a tier without a limit never, no tier is T2."""
+    least = least or {"T1": 300, "T2": 150}
+    tier = F.coalesce(tier, F.lit("T2"))
+    by_tier = reduce(lambda acc, x: acc | ((tier == x[0]) & (length >= x[1])), least.items(), F.lit(False))
+    return F.coalesce(topology == "complex", F.lit(False)) | by_tier
+
+
+def discovery_gate(families: DataFrame, least_members: int = 5, least_length: int = 100) -> DataFrame:
+    """families (members, length, ...) with enough members, a header without them counting as enough, and long enough."""
+    return families.filter((F.coalesce("members", F.lit(least_members)) >= least_members) & (F.col("length") >= least_length))
+
+
+def within_bound(families: DataFrame, genome_mb: float, per_mb: float = 15.0) -> DataFrame:
+    """families as they are; reading them fails if there are more than `per_mb` for each Mb of a known genome."""
+    if genome_mb <= 0:
+        return families
+    bound = families.agg(F.count(F.lit(1)).alias("__count"))
+    told = F.concat(F.lit("families for this genome: "), F.col("__count").cast("string"), F.lit(f", bound {per_mb * genome_mb}"))
+    return families.join(F.broadcast(bound)).filter(F.assert_true(F.col("__count") <= per_mb * genome_mb, told).isNull()).drop("__count")
+
+
+def candidate_class(score: Column, length: Column, complexity: Column, cut_a: Column, cut_b: Column, least_length: int = 80, least_complexity: float = 0.3) -> Column:
+    """A, B or C by score, or `rejected`: only what is below both cuts, short and simple at once is not rescued."""
+    rejected = (score < cut_b) & (length < least_length) & (complexity < least_complexity)
+    return F.when(rejected, "rejected").when(score >= cut_a, "A").when(score >= cut_b, "B").otherwise("C")
+
+
+def candidate_rules(least_length: int = 50, least_identity: float = 40.0, long_length: int = 500, trusted: tuple[str, ...] = ("A",)) -> list[tuple[str, Column]]:
+    """Why a candidate (length, identity, copies, class, structural) is left out."""
+    good = (F.col("length") >= long_length) | F.col("class").isin(*trusted) | F.col("structural")
+    none = (F.col("copies") < 1) & ~F.col("class").isin("A", "B") & (F.col("length") < 200)
+    return [("too_short", F.col("length") < least_length), ("low_identity", (F.col("identity") < least_identity) & ~good), ("no_copies", none)]
+
+
+def before_masklevel(name: Column, begin: Column, end: Column, score: Column, least_score: float = 500.0) -> Column:
+    """Whether a hit is kept before domination is looked at: parts of SVA that are LTR5, and weak LAVA, go."""
+    ltr5 = ((begin >= 855) & (end < 1270)) | ((begin >= 1263) & (end < 1372))
+    return ~((name.startswith("SVA") & ltr5) | (name.startswith("LAVA") & (score < least_score)))
+
+
+def adjusted_divergence(divergence: Column, insertions: Column) -> Column:
+    """Per cent of divergence over what isn't inserted; as it is where all is."""
+    return F.when(insertions < 100, 100 * divergence / (100 - insertions)).otherwise(divergence)
+
+
+def gene_excluded(hits: DataFrame, records: DataFrame, least_identity: float = 35.0, certain: float = 0.7, likely: float = 0.5) -> DataFrame:
+    """records (id, has_signal, ...) with `cov`, the best protein coverage of hits (q, width, qlen, pident), and `excluded`.
+
+    A base triplet is one residue. Coverage of `certain` excludes any record, of `likely` one without signal of its own.
+    """
+    cov = hits.filter((F.col("pident") >= least_identity) & (F.col("qlen") > 0)).groupBy("q").agg(F.max(F.col("width") * 3.0 / F.col("qlen")).alias("cov"))
+    rows = records.join(cov, F.col("id") == F.col("q"), "left").drop("q").withColumn("cov", F.coalesce("cov", F.lit(0.0)))
+    return rows.withColumn("excluded", (F.col("cov") >= certain) | ((F.col("cov") >= likely) & ~F.coalesce("has_signal", F.lit(False))))
+
+
+def foreign_routes(records: DataFrame, organelle: DataFrame, rrna: DataFrame, tandem: DataFrame, least_identity: float = 80.0, least_cover: float = 0.5, least_tandem: float = 0.5) -> DataFrame:
+    """records (id, length, ...) with `route`: organelle, rrna, satellite, or te, the first that holds.
+
+    organelle: hits (q, width, qlen, pident) whose widths, overlaps counted twice, reach a share of the query; rrna: any
+    row (q); tandem: spans (q, s, e), 1-based and closed, whose sum reaches a share of the record.
+    """
+    far = organelle.filter((F.col("pident") >= least_identity) & (F.col("qlen") > 0)).groupBy(F.col("q").alias("id")).agg((F.sum("width") / F.max("qlen")).alias("__o"))
+    some = rrna.select(F.col("q").alias("id")).distinct().withColumn("__r", F.lit(True))
+    turns = tandem.groupBy(F.col("q").alias("id")).agg(F.sum(F.col("e") - F.col("s") + 1).alias("__t"))
+    rows = records.join(far, "id", "left").join(some, "id", "left").join(turns, "id", "left")
+    satellite = (F.col("length") > 0) & (F.col("__t") / F.col("length") >= least_tandem)
+    return rows.withColumn("route", F.when(F.col("__o") >= least_cover, "organelle").when(F.col("__r"), "rrna").when(satellite, "satellite").otherwise("te")).drop("__o", "__r", "__t")
+
+
+def splits(n: Column, spread: Column, cv: Column, std: Column, least: int = 5, most_spread: float = 20.0, most_cv: float = 0.3, many: int = 20, most_std: float = 5.0) -> Column:
+    """Whether a family's hits are varied enough to be subfamilies: range of identities, variation of lengths, or deviation of many."""
+    return (n >= least) & ((spread > most_spread) | (cv > most_cv) | ((n > many) & (std > most_std)))
+
+
+def pseudo_family(n: Column, median: Column, homologous: Column, fallback: Column, coherent: Column, verified: Column, least: int = 5, most_identity: float = 0.45, most_homologous: float = 0.25, least_coherent: int = 1) -> Column:
+    """Why a family is kept, or `pseudo`: no cluster formed, enough copies, alike neither at the median nor in pairs, none like the seed.
+
+    A recall that failed (verified is false), and coherence that couldn't be measured (null), keep it.
+    """
+    return (
+        F.when(F.coalesce(~verified, F.lit(False)), "unverified")
+        .when(~fallback, "clustered")
+        .when(n < least, "few_copies")
+        .when((median >= most_identity) | (homologous >= most_homologous), "coherent")
+        .when(coherent.isNull() | (coherent >= least_coherent), "seed_coherent")
+        .otherwise("pseudo")
+    )
+
+
+def stratified(rows: DataFrame, by: str, cap: int, value: str, size: str, ties: list[str], most_strata: int = 10) -> DataFrame:
+    """rows with `stratum` and `place`, at most `cap` for each `by`: one of each stratum of value in turn, the largest first.
+
+    Families over the cap have min(most_strata, n // cap + 1) strata of equal counts, the first ones larger by one;
+    others are kept whole, in one stratum.
+    """
+    w = W.partitionBy(by)
+    n = F.count(F.lit(1)).over(w)
+    strata = F.when(n <= cap, 1).otherwise(F.least(F.lit(most_strata), F.greatest(F.lit(1), F.floor(n / cap) + 1)))
+    rows = rows.withColumns({"__k": F.row_number().over(w.orderBy(value, *ties)) - 1, "__n": n, "__strata": strata})
+    base, more = F.floor(F.col("__n") / F.col("__strata")), F.col("__n") % F.col("__strata")
+    large = more * (base + 1)
+    stratum = F.when(F.col("__k") < large, F.floor(F.col("__k") / (base + 1))).otherwise(more + F.floor((F.col("__k") - large) / base))
+    rows = rows.withColumn("stratum", (stratum + 1).cast("long"))
+    rows = rows.withColumn("__r", F.row_number().over(W.partitionBy(by, "stratum").orderBy(F.desc(size), *ties)))
+    rows = rows.withColumn("place", F.row_number().over(w.orderBy("__r", "stratum")).cast("long")).filter(F.col("place") <= cap)
+    return rows.drop("__k", "__n", "__strata", "__r")
+
+
+def placed(rows: DataFrame, order: list[Column], out: str = "place") -> DataFrame:
+    """rows with their place, from 1, in a total order: they are dealt into ranges of it, and each range counts those before it.
+
+    The dealt rows are written, so that both uses see the same ranges.
+    """
+    dealt = written(rows.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.select(F.col("__range").alias("__r"), F.coalesce(F.sum("__n").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    here = F.row_number().over(W.partitionBy("__range").orderBy(*order))
+    # one row for each shuffle partition
+    return dealt.withColumn("__here", here).join(F.broadcast(before), F.col("__range") == F.col("__r")).withColumn(out, (F.col("__before") + F.col("__here")).cast("long")).drop("__range", "__r", "__here", "__before")

@@ -1,4 +1,4 @@
-"""Sequence functions, gates and scores (operators A2, B1-B16, B22, D2-D4, D8, I1-I9, I12, I14, I18-I21, I27)."""
+"""Sequence functions, gates and scores (operators A2, B1-B4, B7-B10, B12-B16, D2-D4, D8, I1, I2, I5-I7, I9, I12, I14, I18, I20, I21, I27)."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from helixframe.functions import seq as S
 from helixframe.operators import gates as G
+from helixframe.operators import passes as P
+from helixframe.operators import scores as SC
 from helixframe.plans import views as V
 from helixframe.plans.catalog import QUERIES
 from helixframe.plans.registry import table
@@ -29,10 +31,7 @@ def a2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def b1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned sequences, and the names chr<ordinal> that they get in order (B1, B2)."""
     rows = V.raw(spark, sf_dir).withColumn("cleaned", F.md5(S.clean(F.col("seq")).cast("binary"))).select("id", "cleaned", F.length("seq").cast("long").alias("len"))
-    # ordinals by ranges: each range counts its own rows, and adds those before it
-    ranged = rows.repartitionByRange("id").withColumn("part", F.spark_partition_id()).withColumn("here", F.row_number().over(W.partitionBy("part").orderBy("id")))
-    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(F.col("part").alias("p"), F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    return ranged.join(F.broadcast(sizes), F.col("part") == F.col("p")).select(F.concat(F.lit("chr"), (F.col("here") + F.col("before")).cast("string")).alias("name"), "id", "cleaned", "len")
+    return G.placed(rows, [F.asc("id")]).select(F.concat(F.lit("chr"), F.col("place").cast("string")).alias("name"), "id", "cleaned", "len")
 
 
 @QUERIES.add("b3_hard_mask", f"""WITH {V.RAW} SELECT id, md5(regexp_replace(seq, '[acgtn]', 'N', 'g')) AS masked, length(seq) - length(regexp_replace(seq, '[acgtn]', '', 'g')) AS n_masked FROM raw""")
@@ -48,7 +47,7 @@ def i1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @QUERIES.add("i2_entropy", f"""WITH {V.SEQS}, {ENTROPY}, {PAIRS} SELECT h.id, round(h1, 6) AS h1, round(coalesce(h2, 0), 6) AS h2 FROM h LEFT JOIN h2 ON h.id = h2.id""")
 def i2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.seqs(spark, sf_dir).select("id", F.round(S.entropy1(F.col("seq")), 6).alias("h1"), F.round(S.entropy2(F.col("seq")), 6).alias("h2"))
+    return P.with_entropies(V.seqs(spark, sf_dir), "id", "seq").select("id", F.round("h1", 6).alias("h1"), F.round("h2", 6).alias("h2"))
 
 
 @QUERIES.add("i5_fractions", f"""WITH {V.RAW} SELECT id, round(CASE WHEN length(seq) > 0 THEN CAST(length(seq) - length(translate(upper(seq), 'GC', '')) AS DOUBLE) / length(seq) ELSE 0 END, 6) AS gc, round(CASE WHEN length(seq) > 0 THEN CAST(length(seq) - length(translate(upper(seq), 'N', '')) AS DOUBLE) / length(seq) ELSE 0 END, 6) AS n_frac,
@@ -74,11 +73,11 @@ def i7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.seqs(spark, sf_dir).select("id", S.longest_homopolymer(F.col("seq")).cast("long").alias("longest"), F.regexp_count("seq", F.lit("A{5,}|C{5,}|G{5,}|T{5,}")).cast("long").alias("runs"))
 
 
-@QUERIES.add("i14_boundary_motif", f"""WITH {V.SEQS} SELECT id, CAST(CASE WHEN seq LIKE 'TG%CA' AND length(seq) >= 4 THEN 1.0 WHEN seq LIKE 'CA%TG' AND length(seq) >= 4 THEN 0.8 WHEN seq LIKE 'TG%TA' AND length(seq) >= 4 THEN 0.8 ELSE 0.0 END AS DOUBLE) AS motif, contains(substr(seq, 1, 20), 'TGGC') AS pbs, contains(right(seq, 50), 'AAAAAA') AS poly_a FROM seqs""")
+@QUERIES.add("i14_boundary_motif", f"""WITH {V.SEQS}, l AS (SELECT *, CAST(floor(length(seq) / 10) AS BIGINT) AS ltr FROM seqs) SELECT id, CAST(CASE WHEN length(seq) < 4 THEN 0 WHEN left(seq, 2) = 'TG' AND right(seq, 2) = 'CA' THEN 1.0 WHEN left(seq, 2) = 'CA' AND right(seq, 2) = 'CA' THEN 0.8 WHEN left(seq, 2) = 'TG' AND right(seq, 2) = 'TA' THEN 0.8 ELSE 0.0 END AS DOUBLE) AS motif, length(seq) >= 4 AND left(seq, 2) = 'TG' AND right(seq, 2) = 'CA' AS canonical, regexp_matches(substr(seq, ltr + 1, 20), 'TGG[CTA]') AND (regexp_matches(substr(seq, ltr + 1, 20), 'TGG[TA]|TGGC[GACT]')) AS pbs, contains(right(seq, 50), 'AAAAAA') AS poly_a FROM l""")
 def i14(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ends = lambda a, b: F.col("seq").startswith(a) & F.col("seq").endswith(b) & (F.length("seq") >= 4)
-    motif = F.when(ends("TG", "CA"), 1.0).when(ends("CA", "TG") | ends("TG", "TA"), 0.8).otherwise(0.0)
-    return V.seqs(spark, sf_dir).select("id", motif.alias("motif"), F.contains(F.substring("seq", 1, 20), F.lit("TGGC")).alias("pbs"), F.contains(F.right("seq", F.lit(50)), F.lit("AAAAAA")).alias("poly_a"))
+    """Ends like those of a long terminal repeat, and a primer site behind one of a tenth of the sequence."""
+    seq = F.col("seq")
+    return V.seqs(spark, sf_dir).select("id", SC.boundary_confidence(seq).alias("motif"), (SC.boundary_confidence(seq, strict=True) == 1).alias("canonical"), SC.primer_site(seq, F.floor(F.length(seq) / 10)).alias("pbs"), F.contains(F.right("seq", F.lit(50)), F.lit("AAAAAA")).alias("poly_a"))
 
 
 @QUERIES.add("i12_inverted_ends", f"""WITH {V.SEQS}, r AS (SELECT id, seq, reverse(translate(right(seq, 40), 'ACGT', 'TGCA')) AS tail FROM seqs WHERE length(seq) >= 40),
@@ -164,9 +163,13 @@ def b9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", F.coalesce("genomic", "copies").alias("copies"), G.least_copies(F.col("mb")).alias("least_copies"), G.low_copy_dropped(F.col("copies"), F.col("genomic"), F.col("length"), F.col("mb"), 2).alias("dropped"))
 
 
-@QUERIES.add("b10_size_bands", "SELECT p_partkey AS id, CASE WHEN p_retailprice < 1000 THEN 3 WHEN p_retailprice < 1200 THEN 5 WHEN p_retailprice < 1500 THEN 8 ELSE 12 END AS least FROM part")
+@QUERIES.add("b10_size_bands", """WITH g AS (SELECT p_partkey AS id, CAST(p_size * p_size * (p_partkey % 7) * 5000000.0 AS DOUBLE) AS bp, p_retailprice / 40.0 AS gc FROM part) SELECT id, CASE WHEN bp <= 0 THEN 50 WHEN bp < 300000000 THEN 50 WHEN bp < 1000000000 THEN 100 WHEN bp < 3000000000 THEN 200 WHEN bp < 10000000000 THEN 300 ELSE 500 END AS seeds, CASE WHEN bp <= 0 THEN 100 WHEN bp < 100000000 THEN 50 WHEN bp < 3000000000 THEN 100 WHEN bp < 10000000000 THEN 200 WHEN bp < 30000000000 THEN 500 ELSE 1000 END AS stride,
+CASE WHEN gc <= 36 THEN '35g' WHEN gc <= 38 THEN '37g' WHEN gc <= 40 THEN '39g' WHEN gc <= 42 THEN '41g' WHEN gc <= 44 THEN '43g' WHEN gc <= 46 THEN '45g' WHEN gc <= 48 THEN '47g' WHEN gc <= 50 THEN '49g' WHEN gc <= 52 THEN '51g' ELSE '53g' END AS matrix FROM g""")
 def b10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), G.steps(F.col("p_retailprice"), [(1000, 3), (1200, 5), (1500, 8)], 12).alias("least"))
+    """Seeds and strides by genome size, matrices by GC content; parts stand for genomes."""
+    size = (F.col("p_size") * F.col("p_size") * (F.col("p_partkey") % 7)).cast("double") * 5e6
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), size.alias("bp"), (F.col("p_retailprice").cast("double") / 40).alias("gc"))
+    return rows.select("id", SC.seed_count(F.col("bp")).alias("seeds"), SC.window_stride(F.col("bp")).alias("stride"), SC.gc_matrix(F.col("gc")).alias("matrix"))
 
 
 @QUERIES.add("b12_coordinate_clamp", f"""WITH {V.INSTANCES}, l AS (SELECT chrom, CAST(floor(max(e) * 0.9) AS BIGINT) AS len FROM instances WHERE chrom <> 'chr5' GROUP BY chrom)
@@ -208,13 +211,13 @@ def d8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.agg(F.sum(F.length("seq")).alias("total"), F.sum(F.length(F.regexp_replace("seq", "[XN]{20,}", ""))).alias("without_runs"), F.sum(S.count_of(F.col("seq"), "N")).alias("masked"))
 
 
-@QUERIES.add("i20_abundance", f"""WITH {V.RECORDS}, g AS (SELECT CAST(max(length) AS DOUBLE) * 100 AS genome FROM records) SELECT id, round(copies * (length / 3.0) / genome, 6) AS abundance, CAST(greatest(2, ceil(0.05 * genome * 3 / length / 50)) AS BIGINT) AS c1, CAST(greatest(4, ceil(0.25 * genome * 3 / length / 50), greatest(2, ceil(0.05 * genome * 3 / length / 50)) + 1) AS BIGINT) AS c2 FROM records, g""")
+@QUERIES.add("i20_abundance", f"""WITH {V.RECORDS}, k AS (SELECT id, copies, length / 1000.0 AS kb FROM records), c AS (SELECT id, copies * (CAST(kb AS DOUBLE) / 3.0) / 0.8 AS abundance, greatest(2, CAST(ceil(CAST(5.0 * 0.8 AS DOUBLE) * (CAST(3.0 AS DOUBLE) / CAST(kb AS DOUBLE))) AS BIGINT)) AS c1, greatest(4, CAST(ceil(CAST(25.0 * 0.8 AS DOUBLE) * (CAST(3.0 AS DOUBLE) / CAST(kb AS DOUBLE))) AS BIGINT)) AS c2, copies FROM k) SELECT id, round(abundance, 6) AS abundance, c1, CASE WHEN c2 <= c1 THEN c1 + 2 ELSE c2 END AS c2, CASE WHEN copies >= CASE WHEN c2 <= c1 THEN c1 + 2 ELSE c2 END THEN 'high' WHEN copies >= c1 THEN 'medium' ELSE 'low' END AS tier FROM c""")
 def i20(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = V.records(spark, sf_dir)
-    rows = rows.join(F.broadcast(rows.agg((F.max("length").cast("double") * 100).alias("genome"))))
-    c1 = F.greatest(F.lit(2), F.ceil(0.05 * F.col("genome") * 3 / F.col("length") / 50))
-    c2 = F.greatest(F.lit(4), F.ceil(0.25 * F.col("genome") * 3 / F.col("length") / 50), c1 + 1)
-    return rows.select("id", F.round(F.col("copies") * (F.col("length") / 3.0) / F.col("genome"), 6).alias("abundance"), c1.cast("long").alias("c1"), c2.cast("long").alias("c2"))
+    """Copies of 3 kb for each Gb of a genome of 0.8 Gb, and the copies that the tiers of a length need."""
+    kb = F.col("length") / 1000
+    c1, c2 = SC.copy_cuts(kb, 0.8)
+    rows = V.records(spark, sf_dir).select("id", "copies", F.round(SC.abundance(F.col("copies"), kb, 0.8), 6).alias("abundance"), c1.alias("c1"), c2.alias("c2"))
+    return rows.select("id", "abundance", "c1", "c2", F.when(F.col("copies") >= F.col("c2"), "high").when(F.col("copies") >= F.col("c1"), "medium").otherwise("low").alias("tier"))
 
 
 @QUERIES.add("i21_percentile_grades", f"""WITH {V.RECORDS}, q AS (SELECT quantile_cont(copies, 0.25) AS p25, quantile_cont(copies, 0.5) AS p50, quantile_cont(copies, 0.75) AS p75 FROM records) SELECT id, CASE WHEN copies >= p75 THEN 'A' WHEN copies >= p50 THEN 'B' WHEN copies >= p25 THEN 'C' ELSE 'D' END AS grade FROM records, q""")
@@ -224,12 +227,31 @@ def i21(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", F.when(copies >= F.col("p75"), "A").when(copies >= F.col("p50"), "B").when(copies >= F.col("p25"), "C").otherwise("D").alias("grade"))
 
 
-@QUERIES.add("i18_adaptive_scores", f"""WITH {V.RECORDS} SELECT id, round(CASE WHEN copies >= 15 THEN 1.0 WHEN copies < 3 THEN 0.01 ELSE 0.1 + 0.9 * (copies - 3) / 12.0 END, 6) AS copy_score, round(CASE WHEN length >= 1000 THEN 1.0 WHEN length >= 200 THEN 0.5 + 0.5 * (length - 200) / 800.0 ELSE length / 400.0 END, 6) AS length_score FROM records""")
+I18 = f"""{V.RECORDS}, r AS (SELECT id, length * (1 + id % 4) AS len, copies % 23 AS c, 100.0 - CAST(100 * divergence AS DOUBLE) - id % 40 AS ident FROM records),
+x AS (SELECT *, greatest(3.0, least(15.0, CASE WHEN len < 300 THEN 50.0 WHEN len < 800 THEN 30.0 WHEN len < 3000 THEN 20.0 WHEN len < 7000 THEN 10.0 ELSE 5.0 END / (log10(2.0) + 1))) AS want, CASE WHEN len < 500 THEN 65.0 WHEN len < 3000 THEN 70.0 ELSE 75.0 END - CASE WHEN c > 100 THEN 5 WHEN c > 50 THEN 3 ELSE 0 END AS best FROM r),
+y AS (SELECT *, CASE WHEN c >= 15 THEN 1.0 WHEN c < 3 THEN 0.01 WHEN c >= 1.5 * want THEN 1.0 WHEN c >= want THEN 0.8 + 0.2 * (c / want - 1) / 0.5 WHEN c >= 0.5 * want THEN 0.6 + 0.2 * (c / want - 0.5) / 0.5 WHEN c >= 0.25 * want THEN 0.4 + 0.2 * (c / want - 0.25) / 0.25 ELSE 0.4 * c / want / 0.25 END AS cs,
+CASE WHEN ident >= best THEN 1.0 WHEN ident >= best - 10 THEN 0.8 + 0.2 * (ident - best + 10) / 10 WHEN ident >= best - 20 THEN 0.6 + 0.2 * (ident - best + 20) / 10 WHEN ident >= best - 30 THEN 0.3 + 0.3 * (ident - best + 30) / 10 ELSE greatest(0, 0.3 * ident / (best - 30)) END AS ids,
+CASE WHEN len < 50 THEN CASE WHEN c > 100 THEN 0.1 ELSE 0.3 END WHEN len < 80 THEN CASE WHEN c > 10 THEN 0.5 ELSE 0.4 END WHEN len < 100 THEN 0.7 WHEN len <= 3000 THEN 1.0 WHEN len <= 7000 THEN 0.95 WHEN len <= 15000 THEN 0.85 WHEN len <= 20000 THEN CASE WHEN c >= 2 THEN 0.7 ELSE 0.5 END ELSE CASE WHEN c >= 3 THEN 0.4 ELSE 0.2 END END AS ls FROM x),
+z AS (SELECT *, CASE WHEN len < 500 THEN 0.45 * cs + 0.2 * ids + 0.2 * 0.5 + 0.1 * ls + 0.05 * 0.5 WHEN len < 3000 THEN 0.35 * cs + 0.25 * ids + 0.2 * 0.5 + 0.1 * ls + 0.1 * 0.5 ELSE 0.3 * cs + 0.3 * ids + 0.15 * 0.5 + 0.1 * ls + 0.15 * 0.5 END AS score FROM y),
+m AS (SELECT CASE WHEN quantile_cont(len, 0.5) < 500 THEN 0.6 WHEN quantile_cont(len, 0.5) < 2000 THEN 0.65 ELSE 0.7 END AS cut_a FROM z)"""
+
+
+@QUERIES.add("i18_adaptive_scores", f"""WITH {I18} SELECT id, round(CAST(cs AS DOUBLE), 6) AS copy_score, round(CAST(ids AS DOUBLE), 6) AS identity_score, CAST(ls AS DOUBLE) AS length_score, round(CAST(score AS DOUBLE), 6) AS score, CASE WHEN round(CAST(score AS DOUBLE), 9) >= greatest(0.5, cut_a) THEN 'A' WHEN round(CAST(score AS DOUBLE), 9) >= greatest(0.3, cut_a - 0.2) THEN 'B' ELSE 'C' END AS class FROM z, m""")
 def i18(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c, n = F.col("copies"), F.col("length")
-    copy = F.when(c >= 15, 1.0).when(c < 3, 0.01).otherwise(0.1 + 0.9 * (c - 3) / 12.0)
-    size = F.when(n >= 1000, 1.0).when(n >= 200, 0.5 + 0.5 * (n - 200) / 800.0).otherwise(n / 400.0)
-    return V.records(spark, sf_dir).select("id", F.round(copy, 6).alias("copy_score"), F.round(size, 6).alias("length_score"))
+    """Scores by length band for a genome of 1 Gb, and classes by cuts that follow the median length."""
+    return scored(spark, sf_dir).select("id", F.round("copy", 6).alias("copy_score"), F.round("identity", 6).alias("identity_score"), F.col("size").alias("length_score"), F.round("score", 6).alias("score"), "class")
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with lengths, copies and identities spread out, their scores, and their class."""
+    rows = V.records(spark, sf_dir).select("id", (F.col("length") * (1 + F.col("id") % 4)).alias("len"), (F.col("copies") % 23).alias("c"), (100 - 100 * F.col("divergence") - F.col("id") % 40).alias("ident"))
+    n, c, ident = F.col("len"), F.col("c"), F.col("ident")
+    rows = rows.withColumns({"copy": SC.copy_score(c, n), "identity": SC.identity_score(ident, n, c), "size": SC.length_score(n, c)})
+    rows = rows.withColumn("score", SC.final_score(n, {"copy": F.col("copy"), "identity": F.col("identity"), "complexity": F.lit(0.5), "length": F.col("size"), "boundary": F.lit(0.5)}))
+    rows = G.with_quantiles(rows, "len", {"median": 0.5})
+    cut_a, cut_b = SC.class_cuts(F.col("median"))
+    score = F.round("score", 9)
+    return rows.withColumns({"cut_a": cut_a, "cut_b": cut_b}).withColumn("class", F.when(score >= F.col("cut_a"), "A").when(score >= F.col("cut_b"), "B").otherwise("C")).drop("median", "__n")
 
 
 @QUERIES.add("i27_names", f"""WITH {V.RECORDS} SELECT id, 'mdl_R' || id || CASE WHEN copies % 4 > 1 THEN '_sf' || copies % 4 ELSE '' END AS name, '>mdl_R' || id || ' length=' || length || ' copies=' || copies || ' tier=T' || (id % 3 + 1) AS header FROM records""")
