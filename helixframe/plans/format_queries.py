@@ -1,4 +1,4 @@
-"""Formats of many-line records and scores under matrices (operators A20, A22-A25, A31, A32, D15, I23)."""
+"""Formats of many-line records and scores under matrices (operators A20, A22-A25, A31, A32, D15, I22, I23)."""
 
 from __future__ import annotations
 
@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from helixframe.operators import consensus as C
 from helixframe.operators import matrices as M
+from helixframe.operators import passes as P
 from helixframe.operators.graph import scratch
 from helixframe.plans import views as V
 from helixframe.plans.catalog import QUERIES
@@ -87,14 +89,13 @@ def a31(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.read_gff(spark, stored(h, line, "gff")).select("q", "s", "e", "score", "strand", "motif", "ms", "me")
 
 
-PAIRS = f"{V.SEQS}, pairs AS (SELECT id, replace(left(seq, 300), 'AC', '--') AS q, replace(replace(left(seq, 300), 'GT', '--'), 'TA', 'TC') AS s FROM seqs), cells AS (SELECT id, i, substr(q, i, 1) AS x, substr(s, i, 1) AS y FROM (SELECT *, unnest(range(1, length(q) + 1)) AS i FROM pairs) z)"
+PAIRS = f"{V.SEQS}, pairs AS (SELECT id, replace(seq, 'AC', '--') AS q, replace(replace(seq, 'GT', '--'), 'TA', 'TC') AS s FROM seqs), cells AS (SELECT id, i, substr(q, i, 1) AS x, substr(s, i, 1) AS y FROM (SELECT *, unnest(range(1, length(q) + 1)) AS i FROM pairs) z)"
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, q, s): the heads of the sequences and their changed copies, aligned; no column has two gaps."""
-    head = F.left("seq", F.lit(300))
+    """(id, q, s): the sequences and their changed copies, aligned; no column has two gaps."""
     replaced = lambda c, a, b: F.replace(c, F.lit(a), F.lit(b))
-    return V.seqs(spark, sf_dir).select("id", replaced(head, "AC", "--").alias("q"), replaced(replaced(head, "GT", "--"), "TA", "TC").alias("s"))
+    return V.seqs(spark, sf_dir).select("id", replaced(F.col("seq"), "AC", "--").alias("q"), replaced(replaced(F.col("seq"), "GT", "--"), "TA", "TC").alias("s"))
 
 
 @QUERIES.add("a32_alignment_strings", f"""WITH {PAIRS}, c AS (SELECT id, string_agg(CASE WHEN x = '-' THEN '+' || y || '+' WHEN y = '-' THEN '-' || x || '-' WHEN x = y THEN x ELSE x || '/' || y END, '' ORDER BY i) AS a, string_agg(CASE WHEN x = '-' THEN 'I' WHEN y = '-' THEN 'D' ELSE 'M' END, '' ORDER BY i) AS k FROM cells GROUP BY id)
@@ -126,6 +127,21 @@ def i23(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", "raw", adjusted.cast("long").alias("adjusted"), F.round(M.bits(F.col("raw"), LAMBDA, MU), 6).alias("bits"))
 
 
+@QUERIES.add("i22_gap_divergence", f"""WITH {PAIRS}, c AS (SELECT id, CAST(count(*) AS DOUBLE) AS n, CAST(count_if(x <> '-' AND y <> '-') AS DOUBLE) AS sites, CAST(count_if(x || y IN ('AG', 'GA', 'CT', 'TC')) AS DOUBLE) AS ts, CAST(count_if(x <> '-' AND y <> '-' AND x <> y AND x || y NOT IN ('AG', 'GA', 'CT', 'TC')) AS DOUBLE) AS tv, CAST(count_if((x = '-') <> (y = '-')) AS DOUBLE) AS gaps FROM cells GROUP BY id),
+k AS (SELECT *, ts / n AS p, tv / n AS q, (sites - ts - tv) / n AS s, (2 * n - gaps) / (2 * n) AS w FROM c) SELECT id, CAST(gaps AS BIGINT) AS gaps, round(CASE WHEN sites < 1 THEN 10000 ELSE (0.75 * w * CASE WHEN w > 0 THEN ln(w) ELSE 1 END - w / 2 * CASE WHEN s - p > 0 AND s + p - q > 0 THEN ln((s - p) * sqrt(s + p - q)) ELSE 1 END) * 100 END, 6) AS divergence FROM k""")
+def i22_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of the aligned copies with their gaps."""
+    rows = P.with_gap_counts(pairs(spark, sf_dir).filter("q <> ''"), "id", "q", "s")
+    return rows.select("id", "gaps", F.round(C.kimura_with_gaps(*(F.col(c) for c in ("columns", "sites", "transitions", "transversions", "gaps"))), 6).alias("divergence"))
+
+
+@QUERIES.add("i23_x_drop_fragments")
+def i23_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where a search that gives up 60 below its best score would have broken the alignments."""
+    rows = P.with_x_drop(pairs(spark, sf_dir).filter("q <> ''"), "id", "q", "s", SCORES, 12.0, 4.0, 60.0)
+    return rows.select("id", "raw", F.posexplode("fragments").alias("place", "x")).select("id", "raw", F.col("place").cast("long").alias("place"), "x.first", "x.last")
+
+
 COUNTS = f"""{V.SEQS}, cnt AS (SELECT id % 5 AS fam, substr(seq, i, 1) AS "row", substr(seq, i + 1, 1) AS col, count(*) AS n FROM (SELECT id, seq, unnest(range(1, length(seq))) AS i FROM seqs) x GROUP BY ALL), bg AS (SELECT "row", col, sum(n) AS n FROM cnt GROUP BY ALL)"""
 
 
