@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder of spark.checkpoint.dir; one is set only where none is."""
+    """A new path in the shared folder of spark.checkpoint.dir; in local mode, as in tests, one is set where none is."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -75,6 +77,22 @@ def closure(spark: SparkSession, parents: DataFrame, name: str = "parents") -> D
     ) SELECT id, ancestor, depth FROM up""")
 
 
+def descended(starts: DataFrame, children: DataFrame, depth: int) -> DataFrame:
+    """(id, node, stopped) of starts (id, node): from node to its most probable child, level by level, at most `depth` times.
+
+    children are (node, child, p, own): a step stops where no child is more probable than the node's own label; the
+    smaller name wins ties. Each level is a join with one row for each inner node.
+    """
+    ranked = children.withColumn("__k", F.row_number().over(W.partitionBy("node").orderBy(F.desc("p"), "child")))
+    best = ranked.filter("__k = 1").drop("__k")
+    rows = starts.select("id", "node", F.lit(False).alias("stopped"))
+    for _ in range(depth):
+        step = rows.join(best, "node", "left")
+        goes = ~F.col("stopped") & F.col("child").isNotNull() & (F.col("p") > F.col("own"))
+        rows = step.select("id", F.when(goes, F.col("child")).otherwise(F.col("node")).alias("node"), (F.col("stopped") | (F.col("child").isNotNull() & ~(F.col("p") > F.col("own")))).alias("stopped"))
+    return rows
+
+
 def runs(rows: DataFrame, by: list[str], order: list[str], breaks: Column, out: str = "run") -> DataFrame:
     """The rows between breaks, with the number of their run; the breaking rows go."""
     w = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)

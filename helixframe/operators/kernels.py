@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions.seq import kmers
 from helixframe.operators.graph import written
+from helixframe.operators.intervals import with_island
 
 WINDOW = 64
 
@@ -50,11 +51,16 @@ def with_dust(rows: DataFrame, key: str, seq: str) -> DataFrame:
     return rows.select(F.col(key).cast("long").alias("key"), F.col(seq).alias("seq")).mapInArrow(step, "key long, dust double, dust_fraction double").withColumnRenamed("key", key)
 
 
-def masklevel(hits: DataFrame, level: int = 80) -> DataFrame:
+def masklevel(hits: DataFrame, level: int = 80, chunk: int = 20_000) -> DataFrame:
     """hits (q, id, s, e, score) that no better hit of their query dominates; closed intervals.
 
-    By score, the shorter first on ties: a hit goes if round(% of it outside some accepted hit) <= 100 - level.
+    By score, the shorter first on ties: a hit goes if round(% of it outside some accepted hit) <= 100 - level. A query's
+    first `chunk` hits by rank are settled in a task; what they dominate goes by a join before the next round looks at
+    the rest, so no task holds more than that of a query, however many hits it has.
     """
+    columns = ["q", "id", "s", "e", "score"]
+    if level >= 101:
+        return hits.select(*columns)
 
     def one(group: pd.DataFrame) -> pd.DataFrame:
         group = group.assign(width=group.e - group.s + 1).sort_values(["score", "width", "id"], ascending=[False, True, True], kind="stable")
@@ -64,19 +70,34 @@ def masklevel(hits: DataFrame, level: int = 80) -> DataFrame:
             outside = np.floor(100 * (1 - overlap / (e[i] - s[i] + 1)) + 0.5)
             if not (outside <= 100 - level).any():
                 keep.append(i)
-        return group.iloc[keep][["q", "id", "s", "e", "score"]]
-
-    if level >= 101:
-        return hits.select("q", "id", "s", "e", "score")
-    return hits.select("q", "id", "s", "e", "score").groupBy("q").applyInPandas(one, "q long, id string, s long, e long, score double")
+        return group.iloc[keep][columns]
+
+    rank = [F.desc("score"), F.col("e") - F.col("s"), F.col("id")]
+    left, kept = hits.select(*columns).withColumn("part", F.pmod(F.xxhash64("id", "s", "e"), F.lit(64))), None
+    while True:
+        # the first of a query are among the first of its parts
+        parts = left.withColumn("__k", F.row_number().over(W.partitionBy("q", "part").orderBy(*rank)))
+        ranked = written(parts, "hits")
+        first = ranked.filter(F.col("__k") <= chunk).withColumn("__k", F.row_number().over(W.partitionBy("q").orderBy(*rank)))
+        new = written(first.filter(F.col("__k") <= chunk).select(*columns).groupBy("q").applyInPandas(one, "q long, id string, s long, e long, score double"), "kept")
+        kept = new if kept is None else kept.unionByName(new)
+        rest = ranked.filter(F.col("__k") > chunk).drop("__k").unionByName(first.filter(F.col("__k") > chunk).drop("__k"))
+        over = new.select(F.col("q").alias("__q"), F.col("s").alias("__s"), F.col("e").alias("__e"))
+        overlap = F.greatest(F.lit(0), F.least("e", "__e") - F.greatest("s", "__s") + 1)
+        dominated = (F.col("q") == F.col("__q")) & (F.floor(100 * (1 - overlap / (F.col("e") - F.col("s") + 1)) + 0.5) <= 100 - level)
+        left = written(rest.join(over, dominated, "left_anti"), "hits")
+        if left.isEmpty():
+            return kept
 
 
 def collinear_chains(alignments: DataFrame, back: int = 200, ahead: int = 500_000, least: int = 3, least_span: int = 60_000) -> DataFrame:
     """(q, t, strand, chain, n, span) of alignments (q, t, strand, qs, qe, ts, te) in collinear order.
 
-    By tstart, an alignment joins the chain that it can follow: gaps from -back to ahead on both sides, the query's
-    counted against the strand.
+    By tstart, an alignment joins the first chain that it can follow: gaps from -back to ahead on both sides, the query's
+    counted against the strand. Where no alignment reaches to within `ahead` of the next, chains end, so each stretch
+    between such gaps is chained by itself.
     """
+    by = ["q", "t", "strand"]
 
     def one(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["ts", "te", "qs", "qe"])
@@ -91,10 +112,13 @@ def collinear_chains(alignments: DataFrame, back: int = 200, ahead: int = 500_00
                     break
             else:
                 chains.append([r])
-        rows = [(c[0].q, c[0].t, c[0].strand, k, len(c), int(sum(r.te - r.ts for r in c))) for k, c in enumerate(chains)]
-        return pd.DataFrame([r for r in rows if r[4] >= least and r[5] >= least_span], columns=["q", "t", "strand", "chain", "n", "span"])
+        rows = [(c[0].q, c[0].t, c[0].strand, c[0].stretch, k, len(c), int(sum(r.te - r.ts for r in c))) for k, c in enumerate(chains)]
+        return pd.DataFrame(rows, columns=[*by, "stretch", "chain", "n", "span"])
 
-    return alignments.select("q", "t", "strand", "qs", "qe", "ts", "te").groupBy("q", "t", "strand").applyInPandas(one, "q string, t string, strand string, chain long, n long, span long")
+    rows = with_island(alignments.select(*by, "qs", "qe", "ts", "te"), by, "ts", "te", gap=ahead, out="stretch")
+    found = rows.groupBy(*by, "stretch").applyInPandas(one, "q string, t string, strand string, stretch long, chain long, n long, span long")
+    number = F.row_number().over(W.partitionBy(*by).orderBy("stretch", "chain")) - 1
+    return found.withColumn("chain", number.cast("long")).filter((F.col("n") >= least) & (F.col("span") >= least_span)).drop("stretch")
 
 
 def greedy_links(edges: DataFrame, rank: list[Column]) -> DataFrame:
@@ -238,12 +262,12 @@ def with_chimera_spans(alignments: DataFrame, **limits: float) -> DataFrame:
 CODES = {"A": 1, "C": 2, "G": 4, "T": 8, "R": 5, "Y": 10, "S": 6, "W": 9, "K": 12, "M": 3, "B": 14, "D": 13, "H": 11, "V": 7, "N": 15}
 
 
-def extended(consensus: str, longer: str, least: float = 0.8, most: int = 500) -> str:
+def extended(consensus: str, longer: str, least: float = 0.8, most: int = 500, exact: bool = True) -> str:
     """The consensus with up to `most` bases a side of the longer copy, where it lies in it with at least `least` agreement.
 
     Two codes agree if they are equal, one is a base that the other stands for, or one is N. Places are tried in steps
-    of 1, of a 500th of the range from 1000 on; one whose first 100 bases agree in less than 60% is left out; the first
-    best place counts.
+    of 1, of a 500th of the range from 1000 on, or all of them if `exact`; one whose first 100 bases agree in less than
+    60% is left out; the first best place counts.
     """
     n, spots = len(consensus), len(longer) - len(consensus) + 1
     if not n or spots <= 1:
@@ -260,7 +284,7 @@ def extended(consensus: str, longer: str, least: float = 0.8, most: int = 500) -
         same = (raw[0][:upto] == raw[1][i : i + upto]) | (x == 15) | (y == 15) | (((x & y) > 0) & (single[x] | single[y]))
         return float(same.sum()) / upto
 
-    for i in range(0, spots, 1 if spots < 1000 else max(1, spots // 500)):
+    for i in range(0, spots, 1 if exact or spots < 1000 else max(1, spots // 500)):
         if agreement(i, head) >= 0.6 and (score := agreement(i, n)) > best:
             best, place = score, i
     if place < 0 or best < least:
@@ -309,18 +333,27 @@ def with_alignment_score(pairs: DataFrame, key: str, a: str, b: str) -> DataFram
 
 
 def packed(items: DataFrame, by: str, spacer: int, most: int) -> DataFrame:
-    """items (by, id, length) with `scaffold`: in order of id, a new one starts when the next item would pass `most`."""
-    ordered = items.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("id", "length"))).alias("items"))
-    start = F.struct(F.lit(0).cast("long").alias("number"), F.lit(0).cast("long").alias("filled"), F.array().cast("array<struct<id:bigint,scaffold:bigint>>").alias("out"))
-
-    def step(at: Column, x: Column) -> Column:
-        more = at["filled"] + F.when(at["filled"] > 0, spacer).otherwise(0) + x["length"]
-        fresh = (more > most) & (at["filled"] > 0)
-        number = at["number"] + F.when(fresh, 1).otherwise(0)
-        filled = F.when(fresh, x["length"].cast("long")).otherwise(more.cast("long"))
-        return F.struct(number.cast("long").alias("number"), filled.alias("filled"), F.concat(at["out"], F.array(F.struct(x["id"].alias("id"), number.cast("long").alias("scaffold")))).alias("out"))
-
-    return ordered.select(by, F.explode(F.aggregate("items", start, step)["out"]).alias("x")).select(by, "x.id", "x.scaffold")
+    """items (by, id, length) with `scaffold`: in order of id, a new one starts when the next item would pass `most`.
+
+    A budget that runs on is a sequence: a task streams through its groups in order and holds three numbers.
+    """
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, number, filled = None, 0, 0
+        for batch in batches:
+            out = []
+            for g, length in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if out == [] and group is None or g != group:
+                    group, number, filled = g, 0, 0
+                more = filled + (spacer if filled else 0) + length
+                if filled and more > most:
+                    number, more = number + 1, length
+                filled = more
+                out.append(number)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.int64())], names=[by, "id", "scaffold"])
+
+    rows = items.select(F.col(by).cast("long").alias(by), F.col("id").cast("long").alias("id"), F.col("length").cast("long").alias("length"))
+    return rows.repartition(by).sortWithinPartitions(by, "id").mapInArrow(step, f"{by} long, id long, scaffold long")
 
 
 def seed_hits(queries: DataFrame, targets: DataFrame, k: int, band: int, least: int) -> DataFrame:

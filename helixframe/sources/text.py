@@ -149,3 +149,59 @@ def read_clusters(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.option("lineSep", "\n>Cluster ").text(path).select(F.regexp_replace("value", "^>Cluster ", "").alias("value"))
     names = F.regexp_extract_all("value", F.lit(">([^.\\s]+)\\.\\.\\."), 1)
     return rows.select(F.regexp_extract("value", "^(\\d+)", 1).cast("long").alias("cluster"), F.explode(names).alias("member"))
+
+
+# Kinds of graphs, discovered families, masking summaries
+
+
+def graph_dialect(spark: SparkSession, path: str, heads: int = 50) -> DataFrame:
+    """(dialect) of the graph at path, by its first S lines: rGFA if one has a rank tag before any P line, else PGGB; null without S and P lines.
+
+    Lines are in the order of files, of blocks in a file, and of lines in a block.
+    """
+    rows = spark.read.text(path).select("value", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line")).alias("at"))
+    first = rows.filter(F.col("value").startswith("S\t")).orderBy("at").limit(heads)
+    seen = first.agg(F.min(F.when(F.contains("value", F.lit("SR:i:")), F.col("at"))).alias("ranked"), F.max("at").alias("last"), F.count(F.lit(1)).alias("n"))
+    paths = rows.filter(F.col("value").startswith("P\t")).agg(F.min("at").alias("path"))
+    # a path line ends the search where it stands before what would decide it
+    before = F.col("path").isNotNull() & (F.col("last").isNull() | (F.col("path") < F.coalesce("ranked", "last")) | (F.col("ranked").isNull() & (F.col("n") < heads)))
+    return seen.join(F.broadcast(paths)).select(F.when(before, "PGGB").when(F.col("ranked").isNotNull(), "rGFA").when(F.col("n") > 0, "PGGB").alias("dialect"))
+
+
+def read_members(spark: SparkSession, path: str) -> DataFrame:
+    """(chrom, s, e, family, strand) of discovered families' members; lines of under six fields go."""
+    f = F.col("f")
+    return fields(spark, path, 6).select(f[0].alias("chrom"), f[1].try_cast("long").alias("s"), f[2].try_cast("long").alias("e"), f[3].alias("family"), f[5].alias("strand"))
+
+
+def read_families(spark: SparkSession, path: str) -> DataFrame:
+    """(family, members, length, seq) of discovered families; `_ref` goes from names, members and length are null where a header lacks them."""
+    number = lambda name: F.regexp_extract("header", rf"\b{name}=(\d+)", 1).try_cast("long").alias({"members": "members", "len": "length"}[name])
+    return read_fasta(spark, path).select(F.regexp_replace("id", "_ref$", "").alias("family"), number("members"), number("len"), "seq")
+
+
+def masking_summary(name: Column, sequences: Column, total: Column, masked: Column, interspersed: Column, unclassified: Column) -> Column:
+    """The summary of a masked genome, one value for a file."""
+    text = lambda c: c.cast("string")
+    percent = F.format_string("%.2f", 100.0 * masked / total)
+    line = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts), F.lit("\n"))
+    return F.concat(
+        line("=" * 50), line("file name: ", name), line("sequences: ", F.lpad(text(sequences), 15, " ")), line("total length: ", text(total), " bp  (", text(total), " bp excl N/X-runs)"), line("GC level: 50.00 %"), line("bases masked: ", text(masked), " bp ( ", percent, " %)"), line("=" * 50),
+        line("Unclassified:  ", F.lpad(text(unclassified), 10, " "), " elements"), line("Total interspersed repeats: ", text(interspersed), " bp"), line("=" * 50),
+    )
+
+
+def read_masking_summaries(spark: SparkSession, path: str) -> DataFrame:
+    """(file_name, sequences, total_length, bases_masked, masked_percent, elements), a row for each file that has the three figures in the middle.
+
+    Interspersed repeats, where they are given and not 0, count as the bases masked.
+    """
+    whole = spark.read.text(path, wholetext=True)
+    found = lambda pattern: F.nullif(F.regexp_extract("value", rf"(?m)^{pattern}", 1), F.lit(""))
+    number = lambda pattern: found(pattern).try_cast("long")
+    inner = number(r"Total interspersed repeats:\s*(\d+)")
+    rows = whole.select(
+        F.trim(found(r"file name:\s*(.*)$")).alias("file_name"), number(r"sequences:\s*(\d+)").alias("sequences"), number(r"total length:\s*(\d+)").alias("total_length"),
+        F.when(inner > 0, inner).otherwise(number(r"bases masked:\s*(\d+)")).alias("bases_masked"), found(r"bases masked:.*\(\s*([0-9.]+)\s*%").try_cast("double").alias("masked_percent"), F.coalesce(number(r"Unclassified:\s*(\d+)"), F.lit(0)).alias("elements"),
+    )
+    return rows.filter("total_length is not null and bases_masked is not null and masked_percent is not null")

@@ -73,3 +73,45 @@ def test_masklevel_chains_and_packing(spark):
     assert [(r.n, r.span) for r in chains] == [(4, 100_000)]
     items = spark.createDataFrame([(0, i, n) for i, n in enumerate([50, 40, 30, 200, 10])], "part long, id long, length long")
     assert {r.id: r.scaffold for r in K.packed(items, "part", 5, 100).collect()} == {0: 0, 1: 0, 2: 1, 3: 2, 4: 3}
+
+
+def test_masklevel_in_rounds_is_the_sequential_pass(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice([1, 1, 1, 2]), f"h{k}", s := rng.randrange(1, 300), s + rng.randrange(1, 80), float(rng.randrange(20))) for k in range(300)]
+    kept = []
+    for q, i, s, e, score in sorted(rows, key=lambda r: (-r[4], r[3] - r[2], r[1])):
+        share = lambda a, b: 100 * (1 - max(0, min(b, e) - max(a, s) + 1) / (e - s + 1))  # noqa: B023, E731
+        if not any(x[0] == q and int(share(x[2], x[3]) + 0.5) <= 20 for x in kept):
+            kept.append((q, i, s, e, score))
+    df = spark.createDataFrame(rows, "q long, id string, s long, e long, score double")
+    for chunk in (7, 20_000):
+        assert sorted(r.id for r in K.masklevel(df, chunk=chunk).collect()) == sorted(k[1] for k in kept)
+    assert K.masklevel(df.limit(0)).count() == 0
+
+
+def test_chains_of_stretches_are_those_of_the_whole_group(spark):
+    rng = random.Random(8)
+    rows = [("q", rng.choice("tu"), rng.choice("+-"), qs := rng.randrange(4000), qs + 50, ts := rng.randrange(6000), ts + 50) for _ in range(250)]
+    want = []
+    for key in {r[:3] for r in rows}:
+        chains = []
+        for r in sorted((r for r in rows if r[:3] == key), key=lambda r: (r[5], r[6], r[3], r[4])):
+            for c in chains:
+                p = c[-1]
+                if -20 <= r[5] - p[6] <= 60 and -20 <= (r[3] - p[4] if key[2] == "+" else p[3] - r[4]) <= 60:
+                    c.append(r)
+                    break
+            else:
+                chains.append([r])
+        want += [(*key, len(c)) for c in chains if len(c) >= 2]
+    df = spark.createDataFrame(rows, "q string, t string, strand string, qs long, qe long, ts long, te long")
+    got = K.collinear_chains(df, 20, 60, 2, 0).collect()
+    assert sorted((r.q, r.t, r.strand, r.n) for r in got) == sorted(want)
+
+
+def test_descent_stops_at_a_node_that_is_more_probable_itself(spark):
+    from helixframe.operators.graph import descended
+
+    children = spark.createDataFrame([("r", "a", 0.5, 0.1), ("r", "b", 0.5, 0.1), ("a", "a1", 0.2, 0.3), ("b", "b1", 0.9, 0.1)], "node string, child string, p double, own double")
+    starts = spark.createDataFrame([(1, "r"), (2, "b"), (3, "z")], "id long, node string")
+    assert sorted(tuple(r) for r in descended(starts, children, 3).collect()) == [(1, "a", True), (2, "b1", False), (3, "z", False)]
