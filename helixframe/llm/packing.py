@@ -6,7 +6,8 @@ each length, goes to the driver: it has at most `max_length` rows. Dynamic progr
 pieces are shuffled by a seeded hash and cut into batches of `token_budget` // boundary pieces.
 
 Places in a bucket are counted without sorting it in one task: the hash deals its pieces into ranges of about
-RANGE_ROWS, each range is numbered by itself, and the ranges' sizes, known from one aggregate, are added.
+RANGE_ROWS, each range is numbered by itself, and the ranges' sizes, known from one aggregate, are added. Equal rows have
+equal hashes; a range that they crowd is numbered part by part of the written pieces.
 
 Defined results: null text or a text without words is one piece of length 0, which the smallest bucket takes; a null
 id stays; equal rows are pieces of their own; an empty table gives an empty result; other columns are not read.
@@ -19,10 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import size_in_words, written
+from helixframe.llm.common import at_most, size_in_words, written
 
 MAX_LENGTH, BUCKETS, TOKEN_BUDGET = 8192, 16, 65536
 RANGE_ROWS = 50_000
+#: A range of more than so many times its share of rows is crowded.
+CROWD = 4
 
 
 def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
@@ -88,7 +91,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, max_length: int, seed: i
 
 def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_length: int = MAX_LENGTH, buckets: int = BUCKETS, token_budget: int = TOKEN_BUDGET, seed: int = 7) -> DataFrame:
     """One row for each piece: id_col, piece, length, bucket_length, batch, place in the batch, padding."""
-    rows = written(pieces(docs, id_col, text_col, max_length, seed), "pack-pieces")
+    rows = written(pieces(docs, id_col, text_col, max_length, seed).withColumn("part", F.spark_partition_id()), "pack-pieces")
     histogram = sorted((r.length, r.n) for r in rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect())
     bounds = boundaries([h[0] for h in histogram], [h[1] for h in histogram], buckets) or [0]
     held = [sum(n for v, n in histogram if lo < v <= hi) for lo, hi in zip([-1, *bounds[:-1]], bounds, strict=True)]
@@ -98,11 +101,15 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max
     unsigned = F.shiftrightunsigned("hash", 33)
     rows = rows.withColumn("range", F.floor(unsigned * by_bound[F.col("bound")] / F.lit(1 << 31)).cast("long"))
 
-    # one row for each range of each bucket
-    before = rows.groupBy("bound", "range").agg(F.count(F.lit(1)).alias("n"))
-    before = before.select(F.col("bound").alias("b"), F.col("range").alias("r"), F.coalesce(F.sum("n").over(W.partitionBy("bound").orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    here = F.row_number().over(W.partitionBy("bound", "range").orderBy("hash", "id", "piece")) - 1
-    rows = rows.withColumn("here", here).join(before, (F.col("bound") == F.col("b")) & (F.col("range") == F.col("r")))
+    crowded = written(rows.groupBy("bound", "range").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CROWD * RANGE_ROWS).select("bound", "range", F.lit(True).alias("crowded")), "pack-crowded")
+    rows = rows.join(F.broadcast(crowded) if at_most(crowded) else crowded, ["bound", "range"], "left").withColumn("sub", F.when(F.col("crowded"), F.col("part")).otherwise(-1))
+
+    # one row for each range of each bucket, and for each part of a crowded one
+    before = rows.groupBy("bound", "range", "sub").agg(F.count(F.lit(1)).alias("n"))
+    upto = W.partitionBy("bound").orderBy("range", "sub").rowsBetween(W.unboundedPreceding, -1)
+    before = before.select(F.col("bound").alias("b"), F.col("range").alias("r"), F.col("sub").alias("s"), F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
+    here = F.row_number().over(W.partitionBy("bound", "range", "sub").orderBy("hash", "id", "piece")) - 1
+    rows = rows.withColumn("here", here).join(before, (F.col("bound") == F.col("b")) & (F.col("range") == F.col("r")) & (F.col("sub") == F.col("s")))
     place = F.col("before") + F.col("here")
     room = F.greatest(F.floor(F.lit(token_budget) / F.greatest("bound", F.lit(1))), F.lit(1)).cast("long")
     batch = F.concat_ws("-", F.col("bound"), F.floor(place / room).cast("long"))

@@ -64,3 +64,10 @@ def test_odd_rows(spark):
     check(P.pack(docs).collect(), texts, P.MAX_LENGTH, P.BUCKETS, P.TOKEN_BUDGET)
     assert P.pack(docs.limit(0)).count() == 0
     assert {r.batch for r in P.pack(docs.filter("doc_id = 2")).collect()} == {"0-0"}
+
+
+def test_crowds_of_equal_rows_are_numbered_part_by_part(spark, monkeypatch):
+    monkeypatch.setattr(P, "RANGE_ROWS", 10)
+    texts = [(None, "w x y z")] * 300 + [(k, f"a{k} " * (k % 9)) for k in range(120)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(6)
+    check(P.pack(docs, max_length=50, buckets=3, token_budget=40).collect(), texts, 50, 3, 40)
