@@ -89,6 +89,21 @@ def a31(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.read_gff(spark, stored(h, line, "gff")).select("q", "s", "e", "score", "strand", "motif", "ms", "me")
 
 
+@QUERIES.add("a31_ace_round_trip", f"WITH {V.HITS} SELECT 'fam' || q AS name, 100 - pident AS divergence, gmin AS s, gmax AS e, strand, qstart AS ms, qend AS me FROM hits")
+def a31_ace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = V.hits(spark, sf_dir)
+    line = R.ace_line(F.concat(F.lit("fam"), F.col("q").cast("string")), 100 - F.col("pident"), F.col("gmin"), F.col("gmax"), F.col("strand"), F.col("qstart"), F.col("qend"))
+    return R.read_ace(spark, stored(h, line, "ace"))
+
+
+@QUERIES.add("a31_html_round_trip", "SELECT page_id, url, length(html) AS chars FROM pages WHERE page_id IS NOT NULL")
+def a31_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table rows with addresses that need escaping, and back."""
+    rows = table(spark, sf_dir, "pages").filter("page_id is not null").select(R.html_row([F.col("page_id"), F.col("url"), F.length("html")]).alias("row"))
+    cells = R.read_html_rows(spark, stored(rows, F.col("row"), "html")).select("cells")
+    return cells.select(F.col("cells")[0].cast("long").alias("page_id"), F.col("cells")[1].alias("url"), F.col("cells")[2].cast("long").alias("chars"))
+
+
 PAIRS = f"{V.SEQS}, pairs AS (SELECT id, replace(seq, 'AC', '--') AS q, replace(replace(seq, 'GT', '--'), 'TA', 'TC') AS s FROM seqs), cells AS (SELECT id, i, substr(q, i, 1) AS x, substr(s, i, 1) AS y FROM (SELECT *, unnest(range(1, length(q) + 1)) AS i FROM pairs) z)"
 
 

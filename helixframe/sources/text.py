@@ -205,3 +205,23 @@ def read_masking_summaries(spark: SparkSession, path: str) -> DataFrame:
         F.when(inner > 0, inner).otherwise(number(r"bases masked:\s*(\d+)")).alias("bases_masked"), found(r"bases masked:.*\(\s*([0-9.]+)\s*%").try_cast("double").alias("masked_percent"), F.coalesce(number(r"Unclassified:\s*(\d+)"), F.lit(0)).alias("elements"),
     )
     return rows.filter("total_length is not null and bases_masked is not null and masked_percent is not null")
+
+
+#: What a file is by the end of its name, compression aside.
+ENDINGS = {"fa": "fasta", "fasta": "fasta", "fna": "fasta", "fai": "fai", "bed": "bed", "paf": "paf", "gfa": "gfa", "vcf": "vcf", "out": "repeatmasker", "tbl": "summary", "clstr": "clusters", "tsv": "table", "csv": "table"}
+
+
+def sniffed(name: Column) -> tuple[Column, Column]:
+    """(kind, codec) of a file by its name: codec is gzip, bzip2 or none, kind is null for an unknown ending."""
+    lower = F.lower(name)
+    codec = F.when(lower.rlike(r"\.(gz|gzip|bgz)$"), "gzip").when(lower.rlike(r"\.bz2$"), "bzip2").otherwise("none")
+    ending = F.regexp_extract(F.regexp_replace(lower, r"\.(gz|gzip|bgz|bz2)$", ""), r"\.([a-z0-9]+)$", 1)
+    kinds = F.create_map(*(F.lit(x) for kv in ENDINGS.items() for x in kv))
+    return F.try_element_at(kinds, ending), codec
+
+
+def fasta_totals(spark: SparkSession, path: str) -> DataFrame:
+    """(codec, records, bases) of all lines below path, by the compression of their files; Spark decompresses by the ending."""
+    rows = spark.read.text(path).select("value", sniffed(F.col("_metadata.file_name"))[1].alias("codec"))
+    head = F.col("value").startswith(">")
+    return rows.groupBy("codec").agg(F.count_if(head).alias("records"), F.sum(F.when(head, 0).otherwise(F.length("value"))).cast("long").alias("bases"))

@@ -179,6 +179,9 @@ def test_dialects_and_summaries(spark, tmp_path):
     assert dialect("d", [plain] * 49 + [ranked, path]) == "rGFA"
     assert dialect("e", ["H\tx", "L\t1\t+\t2\t+\t0M"]) is None
     assert dialect("f", [path]) == "PGGB"
+    names = [("x.fa.gz",), ("Y.FASTA.bz2",), ("z.bed",), ("q.unknown",), ("noend",)]
+    got = spark.createDataFrame(names, "n string").select(*T.sniffed(F.col("n"))).collect()
+    assert [tuple(r) for r in got] == [("fasta", "gzip"), ("fasta", "bzip2"), ("bed", "none"), (None, "none"), (None, "none")]
     folder = tmp_path / "tbl"
     folder.mkdir()
     (folder / "x.tbl").write_text("file name: g.fa\nsequences:          12\ntotal length:  1000 bp  (900 bp excl N/X-runs)\nbases masked:  338 bp ( 33.83 %)\nUnclassified:   7   10 bp\n")
