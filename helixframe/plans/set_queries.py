@@ -23,18 +23,19 @@ an AS (SELECT id, h FROM (SELECT id, h, row_number() OVER (PARTITION BY id ORDER
 nb AS (SELECT DISTINCT x.id AS a, y.id AS b FROM an x JOIN an y ON x.h = y.h AND x.id < y.id)"""
 
 
-def related(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """One sequence (id, seq) of each class of equal ones, and the pairs (a, b) of classes that share an anchor of 13 bases."""
-    classes = K.class_sequences(V.seqs(spark, sf_dir))
-    return classes, K.anchored_pairs(P.kmer_sets(classes, "id", "seq", 13, canonical=True))
+def related(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One sequence (id, seq) of each class of equal ones, their 13-mers, and the pairs (a, b) of classes that share an anchor of these."""
+    classes = GR.written(K.class_sequences(V.seqs(spark, sf_dir)), "classes")
+    sets = GR.written(P.kmer_sets(classes, "id", "seq", 13, canonical=True), "kmer-sets")
+    return classes, sets, GR.written(K.anchored_pairs(sets), "pairs")
 
 
 @QUERIES.add("c7_kmer_jaccard", f"""WITH {PAIRS},
 n AS (SELECT id, count(*) AS n FROM k13 GROUP BY id), c AS (SELECT nb.a, nb.b, count(*) AS common FROM nb JOIN k13 x ON x.id = nb.a JOIN k13 y ON y.id = nb.b AND y.w = x.w GROUP BY nb.a, nb.b)
 SELECT nb.a, nb.b, coalesce(common, 0) AS common, round(CASE WHEN coalesce(p.n, 0) + coalesce(q.n, 0) = 0 THEN 0 ELSE 1 - CAST(coalesce(common, 0) AS DOUBLE) / (coalesce(p.n, 0) + coalesce(q.n, 0) - coalesce(common, 0)) END, 6) AS distance FROM nb LEFT JOIN c USING (a, b) LEFT JOIN n p ON p.id = nb.a LEFT JOIN n q ON q.id = nb.b""")
 def c7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    classes, pairs = related(spark, sf_dir)
-    return K.jaccard_pairs(P.kmer_sets(classes, "id", "seq", 13, canonical=True), pairs).select("a", "b", F.col("common").cast("long").alias("common"), F.round("distance", 6).alias("distance"))
+    _, sets, pairs = related(spark, sf_dir)
+    return K.jaccard_pairs(sets, pairs).select("a", "b", F.col("common").cast("long").alias("common"), F.round("distance", 6).alias("distance"))
 
 
 @QUERIES.add("c8_mash_identity", f"""WITH {PAIRS}, km AS (SELECT DISTINCT id, substr(seq, i, 8) AS w FROM (SELECT id, seq, unnest(range(1, length(seq) - 6)) AS i FROM rep WHERE length(seq) >= 8) x),
@@ -46,7 +47,7 @@ m AS (SELECT a, b, spot, avg(CASE WHEN substr(short, i, 1) = substr(long, spot +
 SELECT nb.a, nb.b, round(CASE WHEN best.same IS NOT NULL THEN CAST(best.same AS DOUBLE) WHEN j > 0 THEN least(1, greatest(0, 1 + ln(2 * j / (1 + j)) / 8)) ELSE 0 END, 6) AS identity FROM nb LEFT JOIN j USING (a, b) LEFT JOIN best USING (a, b)""")
 def c8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By shared 8-mers; pairs with a sequence under 200 bases by the best offset of the shorter."""
-    classes, pairs = related(spark, sf_dir)
+    classes, _, pairs = related(spark, sf_dir)
     rows = K.jaccard_pairs(P.kmer_sets(classes, "id", "seq", 8, canonical=False), pairs)
     texts = lambda x: classes.select(F.col("id").alias(x), F.col("seq").alias(f"seq_{x}"))
     short = pairs.join(texts("a"), "a").join(texts("b"), "b").filter(F.least(F.length("seq_a"), F.length("seq_b")) < 200)
@@ -59,7 +60,7 @@ def c8(spark: SparkSession, sf_dir: str) -> DataFrame:
 nm AS (SELECT id, sqrt(sum(n * n)) AS norm FROM km GROUP BY id), d AS (SELECT nb.a, nb.b, sum(x.n * y.n) AS dot FROM nb JOIN km x ON x.id = nb.a JOIN km y ON y.id = nb.b AND y.w = x.w GROUP BY nb.a, nb.b)
 SELECT nb.a, nb.b, round(1 - coalesce(dot, 0) / (p.norm * q.norm), 6) AS distance FROM nb JOIN nm p ON p.id = nb.a JOIN nm q ON q.id = nb.b LEFT JOIN d USING (a, b)""")
 def c9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    classes, pairs = related(spark, sf_dir)
+    classes, _, pairs = related(spark, sf_dir)
     return K.cosine_pairs(P.kmer_profiles(classes, "id", "seq", 5), pairs).withColumn("distance", F.round("distance", 6))
 
 
@@ -239,7 +240,7 @@ c AS (SELECT nb.a, nb.b, count(*) AS common FROM nb JOIN km x ON x.id = nb.a JOI
 SELECT round(avg(j), 6) AS mean, round(stddev_pop(j), 6) AS std, round(1 - avg(j) + stddev_pop(j), 6) AS diversity, (SELECT round(cv, 6) FROM l) AS length_cv FROM j""")
 def d12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Likeness over all related pairs, and how much lengths vary over all classes."""
-    classes, pairs = related(spark, sf_dir)
+    classes, _, pairs = related(spark, sf_dir)
     j = K.jaccard_pairs(P.kmer_sets(classes, "id", "seq", 7, canonical=False), pairs).select(F.when(F.col("common") > 0, 1 - F.col("distance")).otherwise(F.lit(0.0)).alias("j"))
     cv = classes.agg(F.round(F.stddev_pop(F.length("seq")) / F.avg(F.length("seq")), 6).alias("length_cv"))
     return j.agg(F.round(F.avg("j"), 6).alias("mean"), F.round(F.stddev_pop("j"), 6).alias("std"), F.round(1 - F.avg("j") + F.stddev_pop("j"), 6).alias("diversity")).join(F.broadcast(cv))
