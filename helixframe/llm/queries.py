@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from helixframe.llm import language, licenses, media, mixing, near_dup, packing, repetition, secrets, tokens, warc
+from helixframe.llm import collocations, filter_audit, language, licenses, media, mixing, near_dup, packing, private, repetition, secrets, tokens, warc
 from helixframe.plans.registry import table
 
 QUERIES: dict = {}
@@ -70,6 +70,27 @@ def op8_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+SQL["op11_phrase_collocations"] = collocations.ORACLE_SQL
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+SQL["op12_filter_audit"] = filter_audit.ORACLE_SQL
+
+
+@query
+def op13_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.find_private(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
