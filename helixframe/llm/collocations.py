@@ -152,21 +152,22 @@ def last_words(phrase: Column, k: int) -> Column:
 def counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, words, phrase, f) of all phrases of up to `longest` words that occur `least` times or more; phrase null and words 0 for all words of a language.
 
-    One shuffle deals the edges out by language and node, so edges and node flows are added up where they lie.
+    One shuffle deals the edges out by language and node, so edges and node flows are added up where they lie; shorter
+    prefixes of nodes are added up before they are shuffled.
     """
     rows = rows_of(docs, text_col, lang_col)
-    dealt = grams(rows, longest, frequent(rows, least)).repartition("lang", "node")
-    edges = dealt.filter("last is not null").groupBy("lang", "node", "last").agg(F.sum("n").alias("f"))
-    out = edges.select("lang", F.lit(longest).alias("words"), F.concat_ws(" ", "node", "last").alias("phrase"), "f")
-    flows = dealt.groupBy("lang", "node").agg(F.sum("n").alias("f"))
+    edges = grams(rows, longest, frequent(rows, least)).repartition("lang", "node").groupBy("lang", "node", "last").agg(F.sum("n").alias("f"))
+    # partitioned alike, so neither the sum nor the flow of a node shuffles again; one row of a node speaks for it
+    node = W.partitionBy("lang", "node")
+    edges = edges.withColumns({"flow": F.sum("f").over(node), "first": F.row_number().over(node.orderBy(F.col("last").asc_nulls_first())) == 1})
     size = F.regexp_count("node", F.lit(" ")) + 1
-    for k in range(longest - 1, 0, -1):
-        long_enough = flows.filter((F.col("node") != "") & (size >= k))
-        prefix = long_enough.select("lang", F.lit(k).alias("words"), first_words(F.col("node"), k).alias("phrase"), "f")
-        out = out.unionByName(prefix if k == longest - 1 else prefix.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")))
-    out = out.filter(F.col("f") >= least)
-    everything = flows.groupBy("lang").agg(F.sum("f").alias("f")).select("lang", F.lit(0).alias("words"), F.lit(None).cast("string").alias("phrase"), "f")
-    return written(out.unionByName(everything), "phrase-counts")
+    found = [(F.col("last").isNotNull() & (F.col("f") >= least), longest, F.concat_ws(" ", "node", "last"), F.col("f")), (F.col("first"), 0, F.lit(None).cast("string"), F.col("flow"))]
+    for k in range(1, longest):
+        enough = F.col("flow") >= least if k == longest - 1 else F.lit(True)
+        found.append((F.col("first") & (F.col("node") != "") & (size >= k) & enough, k, first_words(F.col("node"), k), F.col("flow")))
+    each = F.filter(F.array(*(F.when(test, F.struct(F.lit(k).alias("words"), phrase.alias("phrase"), f.alias("f"))) for test, k, phrase, f in found)), lambda x: x.isNotNull())
+    out = edges.select("lang", F.explode(each).alias("x")).groupBy("lang", "x.words", "x.phrase").agg(F.sum("x.f").alias("f"))
+    return written(out.filter((F.col("f") >= least) | (F.col("words") == 0)), "phrase-counts")
 
 
 def keyed(lang: Column, phrase: Column) -> Column:
