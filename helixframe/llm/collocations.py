@@ -7,9 +7,9 @@ starts there or, too near to the piece's end, what is left of the piece, as a co
 a phrase occurs as often as edges and ends that start with it.
 
 Tasks count their texts in steps, and one shuffle by language and node brings all that leaves a node together; edges,
-node flows and shorter counts are added up from it. Only phrases of `least` or more go on, and so words that occur
-less often are cut out before the shuffle: their places keep what stands before them as an end. The filter is a bitmap
-of counted hashes of a fixed size, which may keep a rare word but never drops a frequent one, so counts are exact.
+node flows and shorter counts are added up from it. Only phrases of `least` or more go on, and so words and pairs of words
+that occur less often are cut before the shuffle: what stands before the cut becomes an end. The filters are bitmaps of
+fixed sizes over counted hashes, which may keep a rare pair but never drop a frequent one, so counts are exact.
 
 Where an edge carries all that its two nodes carry, these are one unary path. Such paths are compacted to one row each
 by doubling steps (a path is no longer than a piece), and candidates are read from the paths and from the edges between
@@ -37,97 +37,114 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from helixframe.llm.common import Words, lookup, slices, utf8, written
+from helixframe.llm.near_dup import mixed
 from helixframe.operators.graph import linear_chains
 
 LONGEST, LEAST, INSIDE, TOP = 3, 10, 50, 2000
-#: Buckets in which words are counted for the filter (a bitmap of 512 kB), and those dealt into one number of it.
-BUCKETS, PACKED = 1 << 22, 32
+#: Bits of the filters of words and of word pairs (8 MB at most); each row that makes one has so many of them.
+WORD_BITS, PAIR_BITS, PACKED = 1 << 24, 1 << 26, 32
 #: Bytes of text that a task counts at a time.
-STEP_BYTES = 1 << 23
+STEP_BYTES = 1 << 22
 #: The first rows of a language are chosen in so many parts, then from these.
 PARTS = 256
-PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
-#: For each byte: itself in lower case, a space or tab as a space, and the end of a piece as 0x0A.
-BYTES = np.arange(256, dtype=np.uint8)
-BYTES[65:91] += 32
-BYTES[9] = 32
-BYTES[list(PIECE_ENDS)] = 10
+#: For each byte: itself in lower case, a tab as a space, and the end of a piece as a line break.
+BYTES = np.array([10 if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+U = np.uint64
 
 
 class Pieces:
-    """The words of some texts, where pieces end, and the words' numbers."""
+    """The words of some texts as numbers, a hash of each with its language, and whether a piece ends after it."""
 
-    def __init__(self, langs: pa.Array, texts: pa.Array) -> None:
-        data, starts = utf8(texts)
+    def __init__(self, part: pa.RecordBatch) -> None:
+        data, starts = utf8(part.column("text"))
         data = BYTES[data]
         words = Words(data, starts)
-        ends = np.concatenate([[0], np.cumsum(data == 10)])[words.start] if len(words.start) else np.zeros(0, np.int64)
-        last = np.ones(len(ends), bool)
-        last[:-1] = (ends[1:] != ends[:-1]) | (words.text[1:] != words.text[:-1])
-        self.last = last
-        coded = langs.dictionary_encode()
+        breaks = np.flatnonzero(data == 10)
+        ends = np.searchsorted(breaks, words.start)
+        self.last = np.ones(len(ends), bool)
+        self.last[:-1] = (ends[1:] != ends[:-1]) | (words.text[1:] != words.text[:-1])
+        coded = part.column("lang").dictionary_encode()
         self.langs, self.lang = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[words.text]
         self.word, self.words = words.numbers()
-        # (language, word) pairs, and the bucket of each
-        pair, self.pair = np.unique(self.lang * max(len(self.words), 1) + self.word, return_inverse=True)
-        names = [x.encode() for x in self.langs.to_pylist()]
-        texts_ = self.words.to_pylist()
-        n = max(len(self.words), 1)
-        self.bucket = np.array([xxhash.xxh3_64_intdigest(texts_[p % n], seed=xxhash.xxh32_intdigest(names[p // n])) % BUCKETS for p in pair.tolist()], np.int64)
+        by_lang = np.array([xxhash.xxh3_64_intdigest(x) for x in self.langs.to_pylist()], U)
+        by_word = np.array([xxhash.xxh3_64_intdigest(x) for x in self.words.to_pylist()], U)
+        self.hash = mixed(by_lang[self.lang] * U(0x9E3779B97F4A7C15) + by_word[self.word]) if len(self.word) else np.zeros(0, U)
+
+    def pairs(self) -> np.ndarray:
+        """A hash of each word and the next."""
+        return mixed(self.hash[:-1] * U(0xC2B2AE3D27D4EB4F) + self.hash[1:])
 
 
 def rows_of(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def frequent(rows: DataFrame, least: int) -> bytes:
-    """A bitmap of the buckets whose words occur at least so often in all."""
+def marked(filter_bits: bytes, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes have their bits set."""
+    bits = np.frombuffer(filter_bits, np.uint32)
+    at = (hashes % U(len(bits) * PACKED)).astype(np.int64)
+    return (bits[at // PACKED] >> (at % PACKED).astype(np.uint32)) & 1 > 0
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.int64)
-        for part in slices(batches, "text", STEP_BYTES):
-            found = Pieces(part.column("lang"), part.column("text"))
-            np.add.at(counts, found.bucket, np.bincount(found.pair, minlength=len(found.bucket)))
-        bucket = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(counts[bucket])], names=["bucket", "n"])
-
-    counts = rows.mapInArrow(step, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    bit = F.expr(f"shiftleft(1L, bucket % {PACKED})")
-    packed = counts.groupBy(F.expr(f"bucket div {PACKED}").alias("at")).agg(F.bit_or(bit).alias("bits"))
-    bits = np.zeros(BUCKETS // PACKED, np.uint32)
-    found = packed.toArrow()  # BUCKETS / PACKED rows at most
+
+def bitmap(counts: DataFrame, least: int, size: int) -> bytes:
+    """A filter of the hashes of rows (hash, n) that have `least` in all. Of its `size` bits, size / PACKED rows come to the driver at most."""
+    heavy = counts.groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select(F.expr(f"hash & {size - 1}L").alias("bit"))
+    found = heavy.groupBy(F.expr(f"bit div {PACKED}").alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(bit % {PACKED} AS int))")).alias("bits")).toArrow()
+    bits = np.zeros(size // PACKED, np.uint32)
     bits[found.column("at").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
     return bits.tobytes()
 
 
-def grams(rows: DataFrame, longest: int, kept: bytes) -> DataFrame:
-    """(lang, node, last, n): the edges that start at each place, or what the piece's end or a rare word leaves of them, without a last word.
+def frequent(rows: DataFrame, least: int) -> tuple[bytes, bytes]:
+    """Filters of the words and of the pairs of words that occur so often in all; a pair must have two such words."""
+
+    def counted(hashes: np.ndarray) -> pa.RecordBatch:
+        found, n = np.unique(hashes, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["hash", "n"])
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text", STEP_BYTES):
+            yield counted(Pieces(part).hash)
+
+    usual = bitmap(rows.mapInArrow(words, "hash long, n long"), least, WORD_BITS)
+    shared = rows.sparkSession.sparkContext.broadcast(usual)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text", STEP_BYTES):
+            found = Pieces(part)
+            if len(found.hash):
+                keep = marked(shared.value, found.hash)
+                yield counted(found.pairs()[keep[:-1] & keep[1:] & ~found.last[:-1]])
+
+    return usual, bitmap(rows.mapInArrow(pairs, "hash long, n long"), least, PAIR_BITS)
+
+
+def grams(rows: DataFrame, longest: int, kept: tuple[bytes, bytes]) -> DataFrame:
+    """(lang, node, last, n): the edges that start at each place, or what the piece's end or a rare word or pair leaves of them, without a last word.
 
     A place whose own word is rare counts for the empty node.
     """
-    spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast(kept)
+    shared = rows.sparkSession.sparkContext.broadcast(kept)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(shared.value, np.uint32)
         for part in slices(batches, "text", STEP_BYTES):
-            found = Pieces(part.column("lang"), part.column("text"))
-            usual = (bits[found.bucket // PACKED] >> (found.bucket % PACKED).astype(np.uint32)) & 1
-            usual = usual.astype(bool)[found.pair] if len(found.pair) else np.zeros(0, bool)
-            count = len(usual)
+            found = Pieces(part)
+            count = len(found.word)
             if not count:
                 continue
-            # the words that follow each place, as far as the phrase goes; 0 is none
+            usual = marked(shared.value[0], found.hash)
+            # goes on: whether a phrase may pass from a word to the next
+            on = np.zeros(count, bool)
+            on[:-1] = usual[:-1] & usual[1:] & ~found.last[:-1] & marked(shared.value[1], found.pairs())
             own = np.where(usual, found.word + 1, 0)
-            columns, goes = [own], usual & ~found.last
+            columns, goes = [own], on
             for k in range(1, longest):
                 following = np.zeros(count, np.int64)
-                following[: count - k] = own[k:]
-                following[~goes] = 0
+                following[:-k] = np.where(goes[:-k], own[k:], 0)
                 columns.append(following)
                 goes = goes.copy()
-                goes &= following > 0
-                goes[: count - k] &= ~found.last[k:]
+                goes[:-k] &= on[k:]
+                goes[count - k :] = False
             key = found.lang
             for c in columns:
                 _, key = np.unique(key * (len(found.words) + 1) + c, return_inverse=True)
