@@ -15,19 +15,19 @@ from helixframe.plans.catalog import QUERIES
 from helixframe.plans.registry import table
 
 RC = "reverse(translate(w, 'ACGT', 'TGCA'))"
-#: Classes of equal sequences by their smallest id, and the pairs of classes that share one of four anchors.
+#: Classes of equal sequences by their smallest id, and all pairs of classes whose 13-mers have a Jaccard similarity of 0.5 or more.
 PAIRS = f"""{V.SEQS}, rep AS (SELECT min(id) AS id, arg_min(seq, id) AS seq FROM seqs GROUP BY least(seq, reverse(translate(seq, 'ACGT', 'TGCA')))),
 k13 AS (SELECT DISTINCT id, least(w, {RC}) AS w FROM (SELECT id, substr(seq, i, 13) AS w FROM (SELECT id, seq, unnest(range(1, length(seq) - 11)) AS i FROM rep WHERE length(seq) >= 13) x) y),
-hs AS (SELECT DISTINCT id, list_reduce(list_transform(string_split(translate(w, 'ACGT', '0123'), ''), lambda c: CAST(c AS BIGINT)), lambda a, c: a * 4 + c) * 48271 % 2147483647 AS h FROM k13),
-an AS (SELECT id, h FROM (SELECT id, h, row_number() OVER (PARTITION BY id ORDER BY h) AS r FROM hs) x WHERE r <= 4),
-nb AS (SELECT DISTINCT x.id AS a, y.id AS b FROM an x JOIN an y ON x.h = y.h AND x.id < y.id)"""
+n13 AS (SELECT id, count(*) AS n FROM k13 GROUP BY id), some AS (SELECT w FROM k13 GROUP BY w HAVING count(*) > 1), s13 AS (SELECT k13.id, w, n FROM k13 JOIN some USING (w) JOIN n13 ON n13.id = k13.id),
+nb AS (SELECT x.id AS a, y.id AS b FROM s13 x JOIN s13 y ON x.w = y.w AND x.id < y.id AND 2 * least(x.n, y.n) >= greatest(x.n, y.n) GROUP BY x.id, y.id, x.n, y.n HAVING 3 * count(*) >= x.n + y.n)"""
 
 
 def related(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One sequence (id, seq) of each class of equal ones, their 13-mers, and the pairs (a, b) of classes that share an anchor of these."""
+    """One sequence (id, seq) of each class of equal ones, their 13-mers, and all pairs (a, b) of classes with half or more of their 13-mers in common."""
     classes = GR.written(K.class_sequences(V.seqs(spark, sf_dir)), "classes")
     sets = GR.written(P.kmer_sets(classes, "id", "seq", 13, canonical=True), "kmer-sets")
-    return classes, sets, GR.written(K.anchored_pairs(sets), "pairs")
+    near = K.jaccard_pairs(sets, K.similar_pairs(sets, 0.5)).filter("distance <= 0.5")
+    return classes, sets, GR.written(near.select("a", "b"), "pairs")
 
 
 @QUERIES.add("c7_kmer_jaccard", f"""WITH {PAIRS},

@@ -153,7 +153,7 @@ def test_identity_classes(spark):
             family.append(f)
     seqs += [draw(500), draw(40), "", "ACG"]
     family += [90, 91, 92, 93]
-    got = {r.id: r.representative for r in K.identity_classes(frame(spark, seqs), 0.95, anchors=24).collect()}
+    got = {r.id: r.representative for r in K.identity_classes(frame(spark, seqs), 0.95).collect()}
     assert len(got) == len(seqs)
     for f in set(family):
         mine = [i for i in range(len(seqs)) if family[i] == f]
@@ -163,7 +163,7 @@ def test_identity_classes(spark):
     base = draw(900)
     far = [base, changed(base, 0.05), changed(base, 0.05)]
     assert len({r.representative for r in K.identity_classes(frame(spark, far), 0.98).collect()}) == 3
-    rows = sorted((r.id, r.representative, r["round"]) for r in K.converged(frame(spark, far), floor=0.8, anchors=48, least_gain=-1.0).collect())
+    rows = sorted((r.id, r.representative, r["round"]) for r in K.converged(frame(spark, far), floor=0.8, least_gain=-1.0).collect())
     assert [r[1] for r in rows] == [0, 0, 0] and rows[0][2] == 0 and all(r[2] > 1 for r in rows[1:])
 
 
