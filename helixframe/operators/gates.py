@@ -105,6 +105,56 @@ def _quality_rules(entropy: tuple[float, float], entropy2: tuple[float, float],
     return [("low_entropy", F.col("h1") < by_length(entropy)), ("dust", F.col("dust") > most_dust), ("low_entropy2", F.col("h2") < by_length(entropy2)), ("simple_fraction", F.col("simple_fraction") > most_simple)]
 
 
+def insertion_rules(least_length: int = 100, most_length: int = 30_000, most_n: float = 0.2, entropy: tuple[float, float] = (1.0, 0.8), most_dust: float = 0.7) -> list[tuple[str, Column]]:
+    """Why an inserted sequence (length, n_share, h1, dust) goes, in order; entropy has one limit from 100 bases on and one below."""
+    length = F.col("length")
+    least_entropy = F.when(length >= 100, entropy[0]).otherwise(entropy[1])
+    return [("short", length < least_length), ("long", length > most_length), ("high_n", F.col("n_share") > most_n), ("low_entropy", F.col("h1") < least_entropy), ("high_dust", F.col("dust") > most_dust)]
+
+
+def loadable(length: Column, n_share: Column, gc: Column, lengths: tuple[int, int] = (50, 50_000), most_n: float = 0.2, gcs: tuple[float, float] = (0.1, 0.9)) -> Column:
+    """Whether a sequence enters the repeat finder."""
+    return length.between(*lengths) & (n_share <= most_n) & gc.between(*gcs)
+
+
+def validity_checks(length: Column, n_share: Column, gc: Column, ambiguous: Column, entropy: Column, lengths: tuple[int, int] = (50, 20_000), gcs: tuple[float, float] = (0.1, 0.9), most_n: float = 0.15, most_ambiguous: float = 0.2, least_entropy: float = 0.8) -> dict[str, Column]:
+    """The checks of a consensus by name; limits of shares and entropy themselves don't pass."""
+    return {"ok_len": length.between(*lengths), "ok_gc": (gc > gcs[0]) & (gc < gcs[1]), "ok_n": n_share < most_n, "ok_ambiguity": ambiguous < most_ambiguous, "ok_entropy": entropy > least_entropy}
+
+
+def recall_eligible(n: Column, spread: Column, expected: Column, few: int = 5, least_spread: float = 0.31, least_for_spread: int = 2) -> Column:
+    """Whether copies are worth looking for: few are known, and they are spread wide or fewer than the length lets expect."""
+    wide = F.coalesce((spread >= least_spread) & (n >= least_for_spread), F.lit(False))
+    return (n < few) & (wide | (n < expected))
+
+
+def flank_kept(start: Column, end: Column, length: Column, least: float = 0.3, most: float = 0.7, margin: int = 30, retain: int = 100) -> tuple[Column, Column]:
+    """First and last base to keep of a sequence whose bases from start to end, 1-based, are like a host gene.
+
+    Cut if they are a share of the length from `least` to under `most`, reach within `margin` of one end alone, and leave
+    `retain` bases.
+    """
+    cover = (end - start + 1) / length
+    partial, head, tail = (cover >= least) & (cover < most), start <= margin, end >= length - margin
+    return F.when(partial & head & ~tail & (length - end >= retain), end + 1).otherwise(F.lit(1)), F.when(partial & tail & ~head & (start - 1 >= retain), start - 1).otherwise(length)
+
+
+def even_stride(copies: DataFrame, by: str, order: list[str], length: str, cap: int = 150, most_times: float = 5.0) -> DataFrame:
+    """At most `cap` copies of each family, at even steps in their order, with their place k before the cap.
+
+    First, copies of over `most_times` the length that nine tenths have at most go, unless that leaves fewer than two.
+    """
+    size = W.partitionBy(by)
+    ranked = copies.withColumns({"__r": F.row_number().over(size.orderBy(length, *order)) - 1, "__n": F.count(F.lit(1)).over(size)})
+    usual = F.max(F.when(F.col("__r") == F.least(F.col("__n") - 1, F.floor(F.col("__n") * 0.9)), F.col(length))).over(size)
+    fits = ranked.withColumn("__fits", (F.col("__n") <= 2) | (F.col(length) <= most_times * usual))
+    fits = fits.withColumn("__left", F.count_if("__fits").over(size)).filter(F.col("__fits") | (F.col("__left") < 2))
+    fits = fits.withColumns({"k": (F.row_number().over(size.orderBy(*order)) - 1).cast("long"), "__n": F.count(F.lit(1)).over(size)})
+    slot = F.ceil(F.col("k") * float(cap) / F.col("__n"))
+    kept = (F.col("__n") <= cap) | ((F.floor(slot * F.col("__n") / cap) == F.col("k")) & (slot < cap))
+    return fits.filter(kept).drop("__r", "__n", "__fits", "__left")
+
+
 def chimera_eligible(topology: Column, tier: Column, length: Column, least: dict[str, int] | None = None) -> Column:
     """Whether a family may be cut: complex ones always, others by tier and length; a tier without a limit never, no tier is T2."""
     least = least or {"T1": 300, "T2": 150}

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -44,18 +46,35 @@ def gated_edges(directed: DataFrame, sizes: DataFrame, least_total: int, copy_ra
     return rows.select("a", "b", "fwd", "rev", "total", (F.col("total") / less).alias("ratio"), (F.col("fwd") >= F.col("rev")).alias("forward"))
 
 
+def lookup(df: DataFrame, table: DataFrame, key: str, weight: str, most: int = 1_000_000) -> DataFrame:
+    """df joined left with table, a row for each key, whose `weight` says how many rows of df have it.
+
+    Up to `most` rows are broadcast; of more, only the keys with over a `most`-th of all rows and over 1000, of which there
+    are `most` at most, and the other rows are joined by key.
+    """
+    rows, total = table.agg(F.count(F.lit(1)), F.sum(weight)).first()
+    if rows <= most:
+        return df.join(F.broadcast(table.drop(weight)), key, "left")
+    heavy = F.col(weight) > max(1000, total // most)
+    values = [c for c in table.columns if c not in (key, weight)]
+    out = df.join(F.broadcast(table.filter(heavy).drop(weight).withColumn("__heavy", F.lit(True))), key, "left")
+    rest = out.filter(F.col("__heavy").isNull()).drop("__heavy", *values).join(table.filter(~heavy).drop(weight), key, "left")
+    return out.filter("__heavy").drop("__heavy").unionByName(rest)
+
+
 def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(id, component) of nodes (id): the smallest id that edges (a, b) reach.
 
     Larger neighbours, then smaller ones, are linked to the smallest in turn until nothing changes; each round ends
-    in a written table.
+    in a written table. The smallest node of a large component has most of its rows: they are looked up, not gathered.
     """
 
     def star(e: DataFrame, larger: bool) -> DataFrame:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         both = both if larger else both.filter("v < u")
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        out = both.join(least, "u").filter("v > u" if larger else "v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("u", "m"))
+        least = written(least, "components-least")
+        out = lookup(both, least, "u", "n").filter("v > u" if larger else "v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         return (out if larger else out.union(least.select("u", F.col("m").alias("v")))).distinct()
 
     e = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "components")
@@ -99,6 +118,40 @@ def runs(rows: DataFrame, by: list[str], order: list[str], breaks: Column, out:
     return rows.withColumn("__break", breaks).withColumn(out, F.sum(F.col("__break").cast("int")).over(w)).filter(~F.col("__break")).drop("__break")
 
 
+def bounded_runs(steps: DataFrame, least: int, most: int) -> DataFrame:
+    """(path, run, n, length) of steps (path, place, breaks, length): runs between breaks of at least so long.
+
+    A step that would take its run past `most` is left out, and a new run starts after it. What runs on is carried from
+    row to row: a task streams through its paths in order and holds three numbers.
+    """
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, run, n, total, new = None, 0, 0, 0, True
+        for batch in batches:
+            out = []
+
+            def ended() -> None:
+                if n and total >= least:
+                    out.append((path, run, n, total))  # noqa: B023
+
+            for p, breaks, length in zip(*(batch.column(c).to_pylist() for c in ("path", "breaks", "length")), strict=True):
+                if new or p != path:
+                    ended()
+                    path, run, n, total, new = p, 0, 0, 0, False
+                if breaks:
+                    ended()
+                if breaks or total + length > most:
+                    run, n, total = run + 1, 0, 0
+                else:
+                    n, total = n + 1, total + length
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(4)], names=["path", "run", "n", "length"])
+        if n and total >= least:
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (path, run, n, total)], names=["path", "run", "n", "length"])
+
+    rows = steps.select(F.col("path").cast("long").alias("path"), "place", F.col("breaks").cast("boolean").alias("breaks"), F.col("length").cast("long").alias("length"))
+    return rows.repartition("path").sortWithinPartitions("path", "place").select("path", "breaks", "length").mapInArrow(step, "path long, run long, n long, length long")
+
+
 def linear_chains(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(id, chain, place) of nodes (id) along links (u, v) between them: maximal walks without branches.
 

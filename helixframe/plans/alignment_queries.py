@@ -145,14 +145,11 @@ def j9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.trimmed_copies(copies, "fam", ["o", "ln", "s"]).select("fam", "o", "ln", "s", F.col("keep_from").cast("long").alias("keep_from"), F.col("keep_to").cast("long").alias("keep_to"))
 
 
-@QUERIES.add("j14_host_flank_trim", f"WITH {V.HITS}, c AS (SELECT q, min(qstart) AS a, max(qend) AS b FROM hits WHERE score > 60000 GROUP BY q), k AS (SELECT q, a, b, CAST(b - a + 1 AS DOUBLE) / 400 AS cov FROM c) SELECT q, CAST(CASE WHEN cov >= 0.1 AND cov < 0.7 AND a <= 30 AND b < 370 AND 400 - b >= 100 THEN b + 1 ELSE 1 END AS BIGINT) AS keep_from, CAST(CASE WHEN cov >= 0.1 AND cov < 0.7 AND b >= 370 AND a > 30 AND a - 1 >= 100 THEN a - 1 ELSE 400 END AS BIGINT) AS keep_to FROM k")
+@QUERIES.add("j14_host_flank_trim", f"WITH {V.HITS}, c AS (SELECT q, min(qstart) AS a, max(qend) AS b FROM hits WHERE score > 60000 GROUP BY q), k AS (SELECT q, a, b, CAST(b - a + 1 AS DOUBLE) / 400 AS cov FROM c) SELECT q, CAST(CASE WHEN cov >= 0.3 AND cov < 0.7 AND a <= 30 AND b < 370 AND 400 - b >= 100 THEN b + 1 ELSE 1 END AS BIGINT) AS keep_from, CAST(CASE WHEN cov >= 0.3 AND cov < 0.7 AND b >= 370 AND a > 30 AND a - 1 >= 100 THEN a - 1 ELSE 400 END AS BIGINT) AS keep_to FROM k")
 def j14(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = V.hits(spark, sf_dir).filter("score > 60000").groupBy("q").agg(F.min("qstart").alias("a"), F.max("qend").alias("b"))
-    cov, a, b = (F.col("b") - F.col("a") + 1) / 400, F.col("a"), F.col("b")
-    partial = (cov >= 0.1) & (cov < 0.7)
-    head = partial & (a <= 30) & (b < 370) & (400 - b >= 100)
-    tail = partial & (b >= 370) & (a > 30) & (a - 1 >= 100)
-    return spans.select("q", F.when(head, b + 1).otherwise(1).cast("long").alias("keep_from"), F.when(tail, a - 1).otherwise(400).cast("long").alias("keep_to"))
+    first, last = G.flank_kept(F.col("a"), F.col("b"), F.lit(400))
+    return spans.select("q", first.cast("long").alias("keep_from"), last.cast("long").alias("keep_to"))
 
 
 @QUERIES.add("j15_pseudo_family_verdict", f"WITH {V.HITS}, g AS (SELECT q, count(*) AS n, quantile_cont((pident - 50) / 100, 0.5) AS median, avg(CASE WHEN pident >= 98 THEN 1.0 ELSE 0.0 END) AS pairs, count_if(score > 95000) AS coherent FROM hits WHERE ln <= q % 7 + 1 GROUP BY q) SELECT q, round(median, 6) AS median, round(pairs, 6) AS homologous, CASE WHEN q % 7 = 0 THEN 'unverified' WHEN q % 3 = 0 THEN 'clustered' WHEN n < 5 THEN 'few_copies' WHEN round(median, 9) >= 0.45 OR round(pairs, 9) >= 0.25 THEN 'coherent' WHEN q % 11 = 0 OR coherent >= 1 THEN 'seed_coherent' ELSE 'pseudo' END AS verdict FROM g")

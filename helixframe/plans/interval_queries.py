@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from helixframe.operators import gates as G
 from helixframe.operators import intervals as I
 from helixframe.plans import views as V
 from helixframe.plans.catalog import QUERIES
@@ -150,16 +151,15 @@ def c16(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @QUERIES.add("d1_completeness_presignals", f"""WITH {V.INSTANCES}, st AS (SELECT fam, count(*) AS n, avg(dvg) AS mean, stddev_pop(dvg) AS spread FROM instances WHERE strand = '+' GROUP BY fam)
-SELECT p_partkey AS id, coalesce(n, 0) AS n, round(mean, 6) AS mean, round(spread, 6) AS spread, CASE WHEN p_size * 60 >= 1000 THEN 4 WHEN p_size * 60 >= 500 THEN 3 WHEN p_size * 60 >= 200 THEN 3 ELSE 2 END AS expected, coalesce(n, 0) < CASE WHEN p_size * 60 >= 1000 THEN 4 WHEN p_size * 60 >= 500 THEN 3 WHEN p_size * 60 >= 200 THEN 3 ELSE 2 END AS flagged, coalesce(n, 0) < 5 AND (coalesce(spread >= 0.031 AND n >= 2, false) OR coalesce(n, 0) < CASE WHEN p_size * 60 >= 1000 THEN 4 WHEN p_size * 60 >= 200 THEN 3 ELSE 2 END) AS eligible FROM part LEFT JOIN st ON fam = p_partkey""")
+SELECT p_partkey AS id, coalesce(n, 0) AS n, round(mean, 6) AS mean, round(spread, 6) AS spread, CASE WHEN p_size * 60 >= 1000 THEN 4 WHEN p_size * 60 >= 500 THEN 3 WHEN p_size * 60 >= 200 THEN 3 ELSE 2 END AS expected, coalesce(n, 0) < CASE WHEN p_size * 60 >= 1000 THEN 4 WHEN p_size * 60 >= 500 THEN 3 WHEN p_size * 60 >= 200 THEN 3 ELSE 2 END AS flagged, coalesce(n, 0) < 5 AND (coalesce(10 * spread >= 0.31 AND n >= 2, false) OR coalesce(n, 0) < CASE WHEN p_size * 60 >= 1000 THEN 4 WHEN p_size * 60 >= 200 THEN 3 ELSE 2 END) AS eligible FROM part LEFT JOIN st ON fam = p_partkey""")
 def d1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Completeness signals (D1), the expectation of a length (B22) and recall eligibility (B21)."""
+    """Completeness signals (D1), the expectation of a length (B22) and recall eligibility (B21), for divergences ten times as wide."""
     stats = V.instances(spark, sf_dir).filter("strand = '+'").groupBy("fam").agg(F.count(F.lit(1)).alias("n"), F.avg("dvg").alias("mean"), F.stddev_pop("dvg").alias("spread"))
     parts = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("id"), (F.col("p_size") * 60).alias("length"))
     length = F.col("length")
     rows = parts.join(stats, F.col("id") == F.col("fam"), "left").withColumns({"n": F.coalesce("n", F.lit(0)), "expected": F.when(length >= 1000, 4).when(length >= 500, 3).when(length >= 200, 3).otherwise(2)})
     short = F.col("n") < F.col("expected")
-    wide = F.coalesce((F.col("spread") >= 0.031) & (F.col("n") >= 2), F.lit(False))
-    return rows.select("id", "n", F.round("mean", 6).alias("mean"), F.round("spread", 6).alias("spread"), "expected", short.alias("flagged"), ((F.col("n") < 5) & (wide | short)).alias("eligible"))
+    return rows.select("id", "n", F.round("mean", 6).alias("mean"), F.round("spread", 6).alias("spread"), "expected", short.alias("flagged"), G.recall_eligible(F.col("n"), 10 * F.col("spread"), F.col("expected")).alias("eligible"))
 
 
 @QUERIES.add("d5_genomic_copies", f"""WITH {V.HITS}, {islands_sql('q, subject', 'gmin', 'gmax', 'hits', 100000)},

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions import seq as S
 from helixframe.operators import gates as G
+from helixframe.operators import kernels as K
 from helixframe.operators import passes as P
 from helixframe.operators import scores as SC
 from helixframe.plans import views as V
@@ -108,9 +109,20 @@ def b4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.reason_counts(V.seqs(spark, sf_dir), G.first_reason(rules))
 
 
-@QUERIES.add("b14_load_filter", f"""WITH {V.SEQS}, f AS (SELECT id, length(seq) AS len, CASE WHEN length(seq) > 0 THEN CAST(length(seq) - length(replace(replace(seq, 'G', ''), 'C', '')) AS DOUBLE) / length(seq) ELSE 0 END AS gc FROM seqs) SELECT id, len, round(gc, 6) AS gc, 'seq_l' || len || '_t' || id || '_set1' AS name FROM f WHERE len BETWEEN 50 AND 50000 AND gc BETWEEN 0.1 AND 0.9""")
+@QUERIES.add("b4_insertion_gate")
+def b4_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first reason, DUST among them, that each sequence would go for; null if it stays."""
+    seqs = V.seqs(spark, sf_dir)
+    facts = seqs.select("id", F.length("seq").alias("length"), S.fraction(F.col("seq"), "N").alias("n_share"))
+    rows = facts.join(P.with_entropies(seqs, "id", "seq"), "id").join(K.with_dust(seqs, "id", "seq"), "id")
+    return rows.select("id", F.col("length").cast("long").alias("length"), G.first_reason(G.insertion_rules()).alias("reason"))
+
+
+@QUERIES.add("b14_load_filter", f"""WITH {V.SEQS}, f AS (SELECT id, length(seq) AS len, CASE WHEN length(seq) > 0 THEN CAST(length(seq) - length(replace(replace(seq, 'G', ''), 'C', '')) AS DOUBLE) / length(seq) ELSE 0 END AS gc, CASE WHEN length(seq) > 0 THEN CAST(length(seq) - length(replace(seq, 'N', '')) AS DOUBLE) / length(seq) ELSE 0 END AS ns FROM seqs) SELECT id, len, round(gc, 6) AS gc, 'seq_l' || len || '_t' || id || '_set1' AS name FROM f WHERE len BETWEEN 50 AND 50000 AND ns <= 0.2 AND gc BETWEEN 0.1 AND 0.9""")
 def b14(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = V.seqs(spark, sf_dir).select("id", F.length("seq").cast("long").alias("len"), S.fraction(F.col("seq"), "GC").alias("gc")).filter("len between 50 and 50000 and gc between 0.1 and 0.9")
+    seq = F.col("seq")
+    rows = V.seqs(spark, sf_dir).select("id", F.length("seq").cast("long").alias("len"), S.fraction(seq, "GC").alias("gc"), S.fraction(seq, "N").alias("n_share"))
+    rows = rows.filter(G.loadable(F.col("len"), F.col("n_share"), F.col("gc")))
     return rows.select("id", "len", F.round("gc", 6).alias("gc"), F.format_string("seq_l%d_t%d_set1", "len", "id").alias("name"))
 
 
@@ -120,13 +132,14 @@ def b15(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.seqs(spark, sf_dir).filter((F.length("seq") >= 80) & (S.fraction(seq, "N") <= 0.15) & (S.longest_homopolymer(seq) <= 50) & (S.fraction(seq, "AT") <= 0.95)).select("id", F.length("seq").cast("long").alias("len"))
 
 
-@QUERIES.add("b16_validity_checks", f"""WITH {V.SEQS}, {ENTROPY}, k AS (SELECT id, len BETWEEN 80 AND 20000 AS ok_len, CASE WHEN len > 0 THEN (len_g + len_c) / len ELSE 0 END BETWEEN 0.2 AND 0.8 AS ok_gc, h1 >= 1.5 AS ok_entropy FROM h)
-SELECT id, ok_len, ok_gc, ok_entropy, round((CAST(ok_len AS INT) + CAST(ok_gc AS INT) + CAST(ok_entropy AS INT)) / 3.0, 6) AS score FROM k""")
+@QUERIES.add("b16_validity_checks", f"""WITH {V.SEQS}, {ENTROPY}, k AS (SELECT id, len BETWEEN 50 AND 20000 AS ok_len, CASE WHEN len > 0 THEN (len_g + len_c) / len ELSE 0 END > 0.1 AND CASE WHEN len > 0 THEN (len_g + len_c) / len ELSE 0 END < 0.9 AS ok_gc, CASE WHEN len > 0 THEN CAST(len - length(replace(seq, 'N', '')) AS DOUBLE) / len ELSE 0 END < 0.15 AS ok_n, CASE WHEN len > 0 THEN CAST(len - length(regexp_replace(seq, '[^ACGTN]', '', 'g')) AS DOUBLE) / len ELSE 0 END < 0.2 AS ok_ambiguity, h1 > 0.8 AS ok_entropy FROM h)
+SELECT id, ok_len, ok_gc, ok_n, ok_ambiguity, ok_entropy, round((CAST(ok_len AS INT) + CAST(ok_gc AS INT) + CAST(ok_n AS INT) + CAST(ok_ambiguity AS INT) + CAST(ok_entropy AS INT)) / 5.0, 6) AS score FROM k""")
 def b16(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = F.col("seq")
-    checks = {"ok_len": F.length("seq").between(80, 20000), "ok_gc": S.fraction(seq, "GC").between(0.2, 0.8), "ok_entropy": S.entropy1(seq) >= 1.5}
+    other = F.when(F.length("seq") > 0, F.regexp_count("seq", F.lit("[^ACGTN]")) / F.length("seq")).otherwise(0.0)
+    checks = G.validity_checks(F.length("seq"), S.fraction(seq, "N"), S.fraction(seq, "GC"), other, S.entropy1(seq))
     rows = V.seqs(spark, sf_dir).select("id", *(c.alias(k) for k, c in checks.items()))
-    return rows.withColumn("score", F.round(sum(F.col(k).cast("int") for k in checks) / F.lit(3.0), 6))
+    return rows.withColumn("score", F.round(sum(F.col(k).cast("int") for k in checks) / F.lit(float(len(checks))), 6))
 
 
 TIERS = f"""{V.RECORDS}, m AS (SELECT *, mdl / greatest(copies, 1) AS mpc FROM records), q AS (SELECT quantile_cont(mpc, 0.25) AS p25, quantile_cont(mpc, 0.75) AS p75, count(*) AS n FROM m),

@@ -18,7 +18,7 @@ RC = "reverse(translate(w, 'ACGT', 'TGCA'))"
 #: Classes of equal sequences by their smallest id, and all pairs of classes whose 13-mers have a Jaccard similarity of 0.5 or more.
 PAIRS = f"""{V.SEQS}, rep AS (SELECT min(id) AS id, arg_min(seq, id) AS seq FROM seqs GROUP BY least(seq, reverse(translate(seq, 'ACGT', 'TGCA')))),
 k13 AS (SELECT DISTINCT id, least(w, {RC}) AS w FROM (SELECT id, substr(seq, i, 13) AS w FROM (SELECT id, seq, unnest(range(1, length(seq) - 11)) AS i FROM rep WHERE length(seq) >= 13) x) y),
-n13 AS (SELECT id, count(*) AS n FROM k13 GROUP BY id), some AS (SELECT w FROM k13 GROUP BY w HAVING count(*) > 1), s13 AS (SELECT k13.id, w, n FROM k13 JOIN some USING (w) JOIN n13 ON n13.id = k13.id),
+n13 AS (SELECT id, count(*) AS n FROM k13 GROUP BY id), twice AS (SELECT w FROM k13 GROUP BY w HAVING count(*) > 1), s13 AS (SELECT k13.id, w, n FROM k13 JOIN twice USING (w) JOIN n13 ON n13.id = k13.id),
 nb AS (SELECT x.id AS a, y.id AS b FROM s13 x JOIN s13 y ON x.w = y.w AND x.id < y.id AND 2 * least(x.n, y.n) >= greatest(x.n, y.n) GROUP BY x.id, y.id, x.n, y.n HAVING 3 * count(*) >= x.n + y.n)"""
 
 
@@ -253,12 +253,12 @@ def f2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.stratified(rows, "fam", 20, "dvg", "size", ["o", "ln", "s", "chrom"]).select("fam", "o", "ln", "stratum", "place")
 
 
-@QUERIES.add("f3_even_stride_cap", f"""WITH {V.INSTANCES}, r AS (SELECT *, row_number() OVER (PARTITION BY fam ORDER BY dvg, o, ln, s, chrom) - 1 AS k, count(*) OVER (PARTITION BY fam) AS n FROM instances) SELECT fam, o, ln, k FROM r WHERE n <= 15 OR (CAST(ceil(k * 15.0 / n) AS BIGINT) * n) // 15 = k AND CAST(ceil(k * 15.0 / n) AS BIGINT) < 15""")
+@QUERIES.add("f3_even_stride_cap", f"""WITH {V.INSTANCES}, u AS (SELECT *, row_number() OVER (PARTITION BY fam ORDER BY e - s, dvg, o, ln, s, chrom) - 1 AS place, count(*) OVER (PARTITION BY fam) AS n0 FROM instances), v AS (SELECT *, max(CASE WHEN place = least(n0 - 1, CAST(floor(n0 * 0.9) AS BIGINT)) THEN e - s END) OVER (PARTITION BY fam) AS usual FROM u), x AS (SELECT *, n0 <= 2 OR e - s <= 1.05 * usual AS fits FROM v), y AS (SELECT *, count_if(fits) OVER (PARTITION BY fam) AS room FROM x), z AS (SELECT * FROM y WHERE fits OR room < 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY fam ORDER BY dvg, o, ln, s, chrom) - 1 AS k, count(*) OVER (PARTITION BY fam) AS n FROM z) SELECT fam, o, ln, k FROM r WHERE n <= 15 OR (CAST(ceil(k * 15.0 / n) AS BIGINT) * n) // 15 = k AND CAST(ceil(k * 15.0 / n) AS BIGINT) < 15""")
 def f3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by = W.partitionBy("fam")
-    rows = V.instances(spark, sf_dir).withColumns({"k": (F.row_number().over(by.orderBy("dvg", "o", "ln", "s", "chrom")) - 1).cast("long"), "n": F.count(F.lit(1)).over(by)})
-    slot = F.ceil(F.col("k") * 15.0 / F.col("n"))
-    return rows.filter((F.col("n") <= 15) | ((F.floor(slot * F.col("n") / 15) == F.col("k")) & (slot < 15))).select("fam", "o", "ln", "k")
+    """Line items differ little in length and a part has few: so 15 of each, and none much longer than nine tenths of them."""
+    rows = V.instances(spark, sf_dir).withColumn("size", F.col("e") - F.col("s"))
+    return G.even_stride(rows, "fam", ["dvg", "o", "ln", "s", "chrom"], "size", cap=15, most_times=1.05).select("fam", "o", "ln", "k")
 
 
 @QUERIES.add("f5_shard_striping", f"""WITH {V.RECORDS} SELECT id, (row_number() OVER (ORDER BY length * copies DESC, id) - 1) % 16 AS shard FROM records""")
@@ -292,9 +292,11 @@ def h2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edges(spark, sf_dir).select("a", "b", "fwd", "rev", F.round("ratio", 6).alias("ratio"), "forward")
 
 
-@QUERIES.add("h5_components", f"""WITH RECURSIVE e AS (SELECT l_partkey AS a, l_orderkey + 1000000000 AS b FROM lineitem WHERE l_quantity >= 49 AND l_discount >= 0.07), bi AS (SELECT a, b FROM e UNION SELECT b, a FROM e), reach(id, r) AS (SELECT DISTINCT a, a FROM bi UNION SELECT bi.b, reach.r FROM reach JOIN bi ON bi.a = reach.id) SELECT id, min(r) AS component FROM reach GROUP BY id""")
+@QUERIES.add("h5_components", f"""WITH RECURSIVE e AS (SELECT l_orderkey AS a, 1000000000 + (l_partkey * 50 + CAST(floor(l_quantity) AS BIGINT)) * 11 + CAST(round(l_discount * 100) AS BIGINT) AS b FROM lineitem), bi AS (SELECT a, b FROM e UNION SELECT b, a FROM e), reach(id, r) AS (SELECT DISTINCT a, a FROM bi UNION SELECT bi.b, reach.r FROM reach JOIN bi ON bi.a = reach.id) SELECT id, min(r) AS component FROM reach GROUP BY id""")
 def h5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = table(spark, sf_dir, "lineitem").filter("l_quantity >= 49 and l_discount >= 0.07").select(F.col("l_partkey").alias("a"), (F.col("l_orderkey") + 1_000_000_000).alias("b"))
+    """Orders, and the kinds of line items (part, quantity, discount) that they have."""
+    kind = 1_000_000_000 + (F.col("l_partkey") * 50 + F.floor("l_quantity").cast("long")) * 11 + F.round(F.col("l_discount") * 100).cast("long")
+    pairs = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("a"), kind.alias("b"))
     nodes = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     return GR.components(pairs, nodes)
 
@@ -309,11 +311,14 @@ def h4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("scaffold", F.md5(F.col("joined").cast("binary")).alias("joined"), F.length("joined").cast("long").alias("len"), "least")
 
 
-@QUERIES.add("h10_path_runs", """WITH r AS (SELECT *, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS run FROM orders) SELECT o_custkey AS path, CAST(run AS BIGINT) AS run, count(*) AS n, CAST(sum(CAST(floor(o_totalprice / 1000) AS BIGINT)) AS BIGINT) AS len FROM r WHERE o_orderstatus <> 'F' GROUP BY o_custkey, run HAVING sum(CAST(floor(o_totalprice / 1000) AS BIGINT)) BETWEEN 100 AND 30000""")
+@QUERIES.add("h10_path_runs", """WITH RECURSIVE s AS (SELECT o_custkey AS path, o_orderstatus = 'F' AS ref, CAST(floor(o_totalprice / 1000) AS BIGINT) AS seg, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn, count(*) OVER (PARTITION BY o_custkey) AS steps FROM orders),
+st AS (SELECT DISTINCT path, steps, CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS run, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS len, CAST(0 AS BIGINT) AS done_n, CAST(0 AS BIGINT) AS done_len FROM s
+UNION ALL SELECT st.path, st.steps, s.rn, CASE WHEN ref OR len + seg > 600 THEN run + 1 ELSE run END, CASE WHEN ref OR len + seg > 600 THEN 0 ELSE n + 1 END, CASE WHEN ref OR len + seg > 600 THEN 0 ELSE len + seg END, CASE WHEN ref THEN n ELSE 0 END, CASE WHEN ref THEN len ELSE 0 END FROM st JOIN s ON s.path = st.path AND s.rn = st.rn + 1)
+SELECT path, run - 1 AS run, done_n AS n, done_len AS len FROM st WHERE done_n > 0 AND done_len >= 100 UNION ALL SELECT path, run, n, len FROM st WHERE rn = steps AND n > 0 AND len >= 100""")
 def h10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = GR.runs(table(spark, sf_dir, "orders"), ["o_custkey"], ["o_orderkey"], F.col("o_orderstatus") == "F")
-    out = rows.groupBy(F.col("o_custkey").alias("path"), "run").agg(F.count(F.lit(1)).alias("n"), F.sum(F.floor(F.col("o_totalprice") / 1000).cast("long")).alias("len"))
-    return out.filter("len between 100 and 30000")
+    """Orders of a customer as a path; a run that would pass 600 starts anew, as one of 30000 would in a genome."""
+    steps = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("path"), F.col("o_orderkey").alias("place"), (F.col("o_orderstatus") == "F").alias("breaks"), F.floor(F.col("o_totalprice") / 1000).cast("long").alias("length"))
+    return GR.bounded_runs(steps, 100, 600).withColumnRenamed("length", "len")
 
 
 @QUERIES.add("h11_reference_reconstruction", f"""WITH {V.SEQS}, d AS (SELECT 'GRCh#0#' || lang || (id // 50) AS sn, id, seq FROM seqs JOIN documents ON doc_id = id) SELECT string_split(sn, '#')[-1] AS chrom, md5(string_agg(seq, '' ORDER BY id)) AS seq, CAST(sum(length(seq)) AS BIGINT) AS len FROM d GROUP BY sn""")
