@@ -7,9 +7,9 @@ starts there or, too near to the piece's end, what is left of the piece, as a co
 a phrase occurs as often as edges and ends that start with it.
 
 Tasks count their texts in steps, and one shuffle by language and node brings all that leaves a node together; edges,
-node flows and shorter counts are added up from it. Only phrases of `least` or more go on, and so words and pairs of words
-that occur less often are cut before the shuffle: what stands before the cut becomes an end. The filters are bitmaps of
-fixed sizes over counted hashes, which may keep a rare pair but never drop a frequent one, so counts are exact.
+node flows and shorter counts are added up from it. Only phrases of `least` or more go on, and so words, pairs of words and
+edges that occur less often are cut before the shuffle: what stands before the cut becomes an end. The filters are
+bitmaps of fixed sizes over counted hashes, which may keep a rare phrase but never drop a frequent one: counts are exact.
 
 Where an edge carries all that its two nodes carry, these are one unary path. Such paths are compacted to one row each
 by doubling steps (a path is no longer than a piece), and candidates are read from the paths and from the edges between
@@ -41,10 +41,13 @@ from helixframe.llm.near_dup import mixed
 from helixframe.operators.graph import linear_chains
 
 LONGEST, LEAST, INSIDE, TOP = 3, 10, 50, 2000
-#: Bits of the filters of words and of word pairs (8 MB at most); each row that makes one has so many of them.
-WORD_BITS, PAIR_BITS, PACKED = 1 << 24, 1 << 26, 32
+#: Buckets of the filters of words, and of pairs and longer phrases: a byte each while a task counts (64 MB at most), a bit
+#: each in the filter; they are added up in blocks.
+WORD_BITS, PAIR_BITS, BLOCK = 1 << 24, 1 << 26, 1 << 16
 #: Bytes of text that a task counts at a time.
 STEP_BYTES = 1 << 22
+#: Rows of edges and ends that a task holds to add them up before they are shuffled.
+MOST_HELD = 2_000_000
 #: The first rows of a language are chosen in so many parts, then from these.
 PARTS = 256
 #: For each byte: itself in lower case, a tab as a space, and the end of a piece as a line break.
@@ -70,9 +73,32 @@ class Pieces:
         by_word = np.array([xxhash.xxh3_64_intdigest(x) for x in self.words.to_pylist()], U)
         self.hash = mixed(by_lang[self.lang] * U(0x9E3779B97F4A7C15) + by_word[self.word]) if len(self.word) else np.zeros(0, U)
 
+    def phrases(self, longest: int) -> np.ndarray:
+        """A hash of each word and those that follow, for all places with so many left."""
+        n = max(len(self.hash) - longest + 1, 0)
+        out = np.zeros(n, U)
+        for k in range(longest):
+            out = mixed(out * U(0xC2B2AE3D27D4EB4F) + self.hash[k : k + n])
+        return out
+
     def pairs(self) -> np.ndarray:
-        """A hash of each word and the next."""
-        return mixed(self.hash[:-1] * U(0xC2B2AE3D27D4EB4F) + self.hash[1:])
+        return self.phrases(2)
+
+    def goes_on(self, kept: tuple[bytes, ...]) -> np.ndarray:
+        """Whether a frequent phrase may pass from each word to the next: by the filter of words and, if there, that of pairs."""
+        usual, on = marked(kept[0], self.hash), np.zeros(len(self.hash), bool)
+        on[:-1] = usual[:-1] & usual[1:] & ~self.last[:-1]
+        if len(kept) > 1 and len(on):
+            on[:-1] &= marked(kept[1], self.pairs())
+        return on
+
+    def whole(self, longest: int, on: np.ndarray) -> np.ndarray:
+        """Of the places with `longest` words left, those from which a phrase may go that far."""
+        n = max(len(on) - longest + 1, 0)
+        out = np.ones(n, bool)
+        for k in range(longest - 1):
+            out &= on[k : k + n]
+        return out
 
 
 def rows_of(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -81,66 +107,94 @@ def rows_of(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 def marked(filter_bits: bytes, hashes: np.ndarray) -> np.ndarray:
     """Which hashes have their bits set."""
-    bits = np.frombuffer(filter_bits, np.uint32)
-    at = (hashes % U(len(bits) * PACKED)).astype(np.int64)
-    return (bits[at // PACKED] >> (at % PACKED).astype(np.uint32)) & 1 > 0
-
-
-def bitmap(counts: DataFrame, least: int, size: int) -> bytes:
-    """A filter of the hashes of rows (hash, n) that have `least` in all. Of its `size` bits, size / PACKED rows come to the driver at most."""
-    heavy = counts.groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select(F.expr(f"hash & {size - 1}L").alias("bit"))
-    found = heavy.groupBy(F.expr(f"bit div {PACKED}").alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(bit % {PACKED} AS int))")).alias("bits")).toArrow()
-    bits = np.zeros(size // PACKED, np.uint32)
-    bits[found.column("at").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
-    return bits.tobytes()
-
-
-def frequent(rows: DataFrame, least: int) -> tuple[bytes, bytes]:
-    """Filters of the words and of the pairs of words that occur so often in all; a pair must have two such words."""
+    bits = np.frombuffer(filter_bits, np.uint8)
+    at = (hashes & U(8 * len(bits) - 1)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
-    def counted(hashes: np.ndarray) -> pa.RecordBatch:
-        found, n = np.unique(hashes, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["hash", "n"])
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", STEP_BYTES):
-            yield counted(Pieces(part).hash)
+def bitmap(rows: DataFrame, hashes, least: int, size: int) -> bytes:
+    """A filter of the hashes, of each step's `hashes(part)`, that occur `least` times in all.
 
-    usual = bitmap(rows.mapInArrow(words, "hash long, n long"), least, WORD_BITS)
-    shared = rows.sparkSession.sparkContext.broadcast(usual)
+    A task counts in one byte for each of `size` buckets; a bucket that fills its byte counts as frequent. Blocks of
+    counters, as distances between those above 0 and their values, are added up by block, and their bits come to the
+    driver: size / 8 bytes.
+    """
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters, ruler = np.zeros(size, np.uint8), np.arange(0, BLOCK, 255)
         for part in slices(batches, "text", STEP_BYTES):
-            found = Pieces(part)
-            if len(found.hash):
-                keep = marked(shared.value, found.hash)
-                yield counted(found.pairs()[keep[:-1] & keep[1:] & ~found.last[:-1]])
-
-    return usual, bitmap(rows.mapInArrow(pairs, "hash long, n long"), least, PAIR_BITS)
-
-
-def grams(rows: DataFrame, longest: int, kept: tuple[bytes, bytes]) -> DataFrame:
+            at, n = np.unique((hashes(part) & U(size - 1)).astype(np.int64), return_counts=True)
+            counters[at] = np.minimum(counters[at] + n, 255)
+        for k in range(0, size, BLOCK):
+            block = counters[k : k + BLOCK]
+            if block.any():
+                # no distance is over 255, as the ruler's places are listed too
+                places = np.union1d(np.flatnonzero(block), ruler)
+                steps = np.diff(places, prepend=0).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), pa.array([steps.tobytes()]), pa.array([block[places].tobytes()])], names=["block", "steps", "n"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, total = None, np.zeros(BLOCK, np.int64)
+
+        def bits() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([np.packbits(total >= least, bitorder="little").tobytes()])], names=["block", "bits"])
+
+        for batch in batches:
+            for k, steps, n in zip(*(batch.column(c).to_pylist() for c in ("block", "steps", "n")), strict=True):
+                if k != block:
+                    if block is not None:
+                        yield bits()
+                    block, total = k, np.zeros(BLOCK, np.int64)
+                values = np.frombuffer(n, np.uint8).astype(np.int64)
+                values[values == 255] = least
+                total[np.cumsum(np.frombuffer(steps, np.uint8), dtype=np.int64)] += values
+        if block is not None:
+            yield bits()
+
+    counted = rows.mapInArrow(count, "block int, steps binary, n binary").repartition("block").sortWithinPartitions("block")
+    found, out = counted.mapInArrow(add, "block int, bits binary").toArrow(), np.zeros((size // BLOCK, BLOCK // 8), np.uint8)
+    for k, bits in zip(found.column("block").to_pylist(), found.column("bits").to_pylist(), strict=True):
+        out[k] = np.frombuffer(bits, np.uint8)
+    return out.tobytes()
+
+
+def frequent(rows: DataFrame, longest: int, least: int) -> tuple[bytes, bytes, bytes]:
+    """Filters of the words, of the pairs of words and of the longest phrases that occur so often in all; a phrase's parts must too."""
+    spark = rows.sparkSession
+    words = bitmap(rows, lambda part: Pieces(part).hash, least, WORD_BITS)
+    kept = spark.sparkContext.broadcast((words,))
+    pairs = bitmap(rows, lambda part: (p := Pieces(part)).pairs()[p.goes_on(kept.value)[:-1]], least, PAIR_BITS)
+    both = spark.sparkContext.broadcast((words, pairs))
+    return words, pairs, bitmap(rows, lambda part: (p := Pieces(part)).phrases(longest)[p.whole(longest, p.goes_on(both.value))], least, PAIR_BITS)
+
+
+def grams(rows: DataFrame, longest: int, kept: tuple[bytes, bytes, bytes]) -> DataFrame:
     """(lang, node, last, n): the edges that start at each place, or what the piece's end or a rare word or pair leaves of them, without a last word.
 
     A place whose own word is rare counts for the empty node.
     """
     shared = rows.sparkSession.sparkContext.broadcast(kept)
 
+    def summed(tables: list[pa.Table]) -> pa.Table:
+        out = pa.concat_tables(tables).group_by(["lang", "node", "last"], use_threads=False).aggregate([("n", "sum")])
+        return out.select(["lang", "node", "last", "n_sum"]).rename_columns(["lang", "node", "last", "n"])
+
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for part in slices(batches, "text", STEP_BYTES):
             found = Pieces(part)
             count = len(found.word)
             if not count:
                 continue
             usual = marked(shared.value[0], found.hash)
-            # goes on: whether a phrase may pass from a word to the next
-            on = np.zeros(count, bool)
-            on[:-1] = usual[:-1] & usual[1:] & ~found.last[:-1] & marked(shared.value[1], found.pairs())
+            on = found.goes_on(shared.value[:2])
+            edge = np.zeros(count, bool)
+            edge[: max(count - longest + 1, 0)] = found.whole(longest, on) & marked(shared.value[2], found.phrases(longest))
             own = np.where(usual, found.word + 1, 0)
             columns, goes = [own], on
             for k in range(1, longest):
                 following = np.zeros(count, np.int64)
-                following[:-k] = np.where(goes[:-k], own[k:], 0)
+                following[:-k] = np.where(goes[:-k] & (edge[:-k] if k == longest - 1 else True), own[k:], 0)
                 columns.append(following)
                 goes = goes.copy()
                 goes[:-k] &= on[k:]
@@ -153,7 +207,13 @@ def grams(rows: DataFrame, longest: int, kept: tuple[bytes, bytes]) -> DataFrame
             parts = [texts.take(pa.array(c[at])) for c in columns]
             parts[0] = pc.fill_null(parts[0], "")
             node = pc.binary_join_element_wise(*parts[:-1], " ", null_handling="skip")
-            yield pa.RecordBatch.from_arrays([found.langs.take(pa.array(found.lang[at])).cast(pa.string()), node, parts[-1], pa.array(n.astype(np.int64))], names=["lang", "node", "last", "n"])
+            held.append(pa.table([found.langs.take(pa.array(found.lang[at])).cast(pa.string()), node, parts[-1], pa.array(n.astype(np.int64))], names=["lang", "node", "last", "n"]))
+            if sum(x.num_rows for x in held) > MOST_HELD:
+                held = [summed(held)]
+                if held[0].num_rows > MOST_HELD // 2:
+                    yield from held.pop().to_batches(max_chunksize=1 << 16)
+        if held:
+            yield from summed(held).to_batches(max_chunksize=1 << 16)
 
     return rows.mapInArrow(step, "lang string, node string, last string, n long")
 
@@ -173,7 +233,7 @@ def counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, *, text_
     prefixes of nodes are added up before they are shuffled.
     """
     rows = rows_of(docs, text_col, lang_col)
-    edges = grams(rows, longest, frequent(rows, least)).repartition("lang", "node").groupBy("lang", "node", "last").agg(F.sum("n").alias("f"))
+    edges = grams(rows, longest, frequent(rows, longest, least)).repartition("lang", "node").groupBy("lang", "node", "last").agg(F.sum("n").alias("f"))
     # partitioned alike, so neither the sum nor the flow of a node shuffles again; one row of a node speaks for it
     node = W.partitionBy("lang", "node")
     edges = edges.withColumns({"flow": F.sum("f").over(node), "first": F.row_number().over(node.orderBy(F.col("last").asc_nulls_first())) == 1})

@@ -73,7 +73,7 @@ def test_paths_are_compacted(spark):
 def test_rare_words_and_pairs_are_cut_before_the_shuffle(spark):
     rows = [(k, f"same words rare{k} same words", "en") for k in range(8)] + [(9, "words words same. same words", "en")]
     docs = C.rows_of(spark.createDataFrame(rows, SCHEMA), "text", "lang")
-    out = C.grams(docs, 3, C.frequent(docs, 9)).groupBy("node", "last").sum("n").collect()
+    out = C.grams(docs, 3, C.frequent(docs, 3, 9)).groupBy("node", "last").sum("n").collect()
     assert {tuple(r) for r in out} == {("same words", None, 17), ("words", None, 19), ("same", None, 1), ("", None, 8)}
 
 
