@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -15,6 +15,7 @@ from helixframe.plans.catalog import QUERIES
 from helixframe.plans.registry import table
 from helixframe.plans.source_queries import stored
 from helixframe.sources import records as R
+from helixframe.sources import reports as RP
 
 BASES = "ACGT"
 
@@ -82,6 +83,38 @@ def a20_trf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.read_tandem_repeats(spark, path).select("q", "s", "e", "period", "copies", "consensus")
 
 
+def reports(hits: DataFrame, query: Column, head: Column, body: Column, name: str) -> str:
+    """The path of reports of hits (o, ...): blocks of a query's head and its hits' bodies."""
+    rows = hits.select(query.alias("query"), F.floor(F.col("o") / 1000).alias("part"), head.alias("head"), body.alias("body"))
+    blocks = rows.groupBy("query", "part").agg(F.max("head").alias("head"), F.array_join(F.collect_list("body"), "").alias("bodies"))
+    return stored(blocks, F.concat("head", "bodies", F.lit("//")), name)
+
+
+@QUERIES.add("a20_profile_scan", f"WITH {V.HITS} SELECT CAST(floor(score) AS BIGINT) AS score, subject AS q, gmin AS qstart, gmax AS qend, 500000000 - gmax AS qleft, strand, 'fam' || q AS name, qstart AS sstart, qend AS send, 400 - qend AS sleft, round(100 / (gmax - gmin + 1), 2) AS div, 0.0 AS ins, CASE strand WHEN '-' THEN 'A-GT' ELSE 'AC-T' END AS query, CASE strand WHEN '-' THEN 'TCGT' ELSE 'ACGA' END AS subject, CASE strand WHEN '-' THEN '*.98' ELSE '89.*' END AS pp FROM hits")
+def a20_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits as blocks of profile search reports, and back."""
+    back, text = F.col("strand") == "-", lambda c: F.col(c).cast("string")
+    model = F.concat(F.lit("fam"), text("q"))
+    first, last = F.when(back, text("gmax")).otherwise(text("gmin")), F.when(back, text("gmin")).otherwise(text("gmax"))
+    figures = F.concat_ws("  ", F.lit(" !"), text("score"), F.lit("0.0  1e-05"), text("qstart"), text("qend"), F.lit(".."), first, last, F.lit(".."), first, last, F.lit("..  500000000  0.95"))
+    rows = F.concat(F.concat_ws(" ", F.lit(" "), model, text("qstart"), F.lit("acga"), text("qend")), F.lit("\n"), F.concat_ws(" ", F.lit(" "), "subject", first, F.lit("AC.T"), last), F.lit("\n     89.* PP\n\n"))
+    body = F.concat(F.lit("\n>> "), "subject", F.lit("\n"), figures, F.lit("\n\n  Alignment:\n"), rows)
+    path = reports(V.hits(spark, sf_dir), F.col("q"), F.concat(F.lit("Query:       "), model, F.lit("  [M=400]\n")), body, "profiles")
+    return RP.read_profile_hits(spark, path).select("score", "q", "qstart", "qend", "qleft", "strand", "name", "sstart", "send", "sleft", "div", "ins", "query", "subject", "pp")
+
+
+@QUERIES.add("a20_pairwise_scan", f"WITH {V.HITS} SELECT CAST(floor(score) AS BIGINT) AS score, subject AS q, gmin AS qstart, gmax AS qend, 500000000 - gmax AS qleft, strand, 'fam' || q AS name, CASE strand WHEN '-' THEN 401 - qend ELSE qstart END AS sstart, CASE strand WHEN '-' THEN 401 - qstart ELSE qend END AS send, CASE strand WHEN '-' THEN qstart - 1 ELSE 400 - qend END AS sleft, round(100 / (gmax - gmin + 1), 2) AS del, 'AC-TACGT' AS query, 'ACGTACGT' AS subject FROM hits")
+def a20_pairwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits as blocks of pairwise search reports, subjects of the reverse strand as turned copies, and back."""
+    text = lambda c: F.col(c).cast("string")
+    line = F.concat(F.lit("\n>fam"), text("q"), F.when(F.col("strand") == "-", " (anti)").otherwise(""), F.lit("\n        Length = 400\n"))
+    score = F.concat(F.lit("\n Score = "), F.floor("score").cast("string"), F.lit(" (71.2 bits), Expect = 1e-30, P = 1e-30\n"))
+    part = lambda a, x, b, c, y, d: F.concat(F.lit("\nQuery:  "), a, F.lit(f" {x} "), b, F.lit("\n        ||||\nSbjct:  "), c, F.lit(f" {y} "), d, F.lit("\n"))
+    one, two = part(text("gmin"), "AC-T", (F.col("gmin") + 2).cast("string"), text("qstart"), "ACGT", text("qstart")), part((F.col("gmin") + 3).cast("string"), "ACGT", text("gmax"), text("qstart"), "ACGT", text("qend"))
+    path = reports(V.hits(spark, sf_dir), F.col("subject"), F.concat(F.lit("Query=  "), "subject", F.lit("\n        (500,000,000 letters)\n")), F.concat(line, score, one, two), "pairwise")
+    return RP.read_pairwise_hits(spark, path).select("score", "q", "qstart", "qend", "qleft", "strand", "name", "sstart", "send", "sleft", "del", "query", "subject")
+
+
 @QUERIES.add("a31_gff_round_trip", f"WITH {V.HITS} SELECT subject AS q, gmin AS s, gmax AS e, score, strand, 'fam' || q AS motif, qstart AS ms, qend AS me FROM hits")
 def a31(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = V.hits(spark, sf_dir)
