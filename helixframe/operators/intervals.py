@@ -132,6 +132,28 @@ def rejoined(df: DataFrame, same: list[str], order: list[str], start: str, end:
     return df.withColumn("__fresh", F.when(F.coalesce(meets, F.lit(False)), 0).otherwise(1)).withColumn(out, F.sum("__fresh").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("__fresh")
 
 
+def at_or_before(df: DataFrame, marks: DataFrame, by: list[str], position: str, value: str, out: str, width: int = BIN) -> DataFrame:
+    """df with `out`, the value of the last of marks (by, position, value) at or before its position, or null.
+
+    A bin's marks lie beside its rows; what the bins before it end with is one row for each bin.
+    """
+    points = marks.select(*by, F.col(position), F.col(value).alias("__value"), F.lit(True).alias("__mark"))
+    rows = _binned(df.withColumns({"__value": F.lit(None).cast(marks.schema[value].dataType), "__mark": F.lit(False)}).unionByName(points, allowMissingColumns=True), position, width)
+    last = rows.groupBy(*by, "__bin").agg(F.max(F.when(F.col("__mark"), F.struct(position, "__value"))).alias("__last"))
+    rows = _carried(rows, _before(last, by, {"__carry": F.last("__last", ignorenulls=True)}), by)
+    here = F.last("__value", ignorenulls=True).over(W.partitionBy(*by, "__bin").orderBy(position, F.desc("__mark")).rowsBetween(W.unboundedPreceding, 0))
+    return rows.withColumn(out, F.coalesce(here, F.col("__carry")["__value"])).filter(~F.col("__mark")).drop("__value", "__mark", "__bin", "__carry")
+
+
+def running_sum(df: DataFrame, by: list[str], position: str, value: str, out: str, width: int = BIN) -> DataFrame:
+    """df with the sum of a column over the rows up to it, in order of position, which is unique inside `by`."""
+    rows = _binned(df, position, width)
+    sums = rows.groupBy(*by, "__bin").agg(F.sum(value).alias("__sum"))
+    rows = _carried(rows, _before(sums, by, {"__carry": F.sum("__sum")}), by)
+    here = F.sum(value).over(W.partitionBy(*by, "__bin").orderBy(position).rowsBetween(W.unboundedPreceding, 0))
+    return rows.withColumn(out, here + F.coalesce("__carry", F.lit(0))).drop("__bin", "__carry")
+
+
 def trimmed(df: DataFrame, by: list[str], order: list[str], start: str, end: str, out: str) -> DataFrame:
     """df with `out`: start moved behind the preceding row's end where they overlap, if something is left."""
     before = F.lag(end).over(W.partitionBy(*by).orderBy(*order))
