@@ -2,14 +2,15 @@
 
 `mux` stores payloads as transport streams of 188-byte packets: a program association table, a program map table,
 and one elementary stream in PES packets with time stamps, the first of every group marked as a random access
-point. `demux` parses any such stream: it finds the tables and checks their CRC, checks continuity counters (a
-packet may be sent twice, and a discontinuity may be announced), reassembles the elementary packets of each stream
-and returns their time stamps and random access points.
+point. `demux` parses any such stream: it finds the packets again where bytes are lost or added, joins the tables'
+sections and checks their CRC, checks continuity counters (a packet may be sent twice, and a discontinuity may be
+announced), reassembles the elementary packets of each stream and returns their time stamps and random access points.
 
 Samples are 8-bit and come in units of UNIT; a payload is padded with spaces to a positive multiple of UNIT.
 
-Defined results: null text is empty; equal texts give equal streams; a null or broken stream has no units, and its
-errors are counted; a null id stays; an empty table gives an empty result; other columns are not read.
+Defined results: null text is empty; equal texts give equal streams; a null stream has no units. Of a broken stream, a
+packet that loses or gains bytes goes, and an elementary packet with a gap ends there and is not complete; errors are
+counted; a stream without sync has no units; a null id stays; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -125,15 +126,102 @@ def read_stamp(b: bytes) -> int:
     return (b[0] >> 1 & 7) << 30 | b[1] << 22 | (b[2] >> 1) << 15 | b[3] << 7 | b[4] >> 1
 
 
-def read_section(body: bytes) -> tuple[int, int, bytes] | None:
-    """(table, number, body) of a section whose CRC holds."""
-    if len(body) < 1 or len(body) < 1 + body[0] + 12:
+def read_section(section: bytes) -> tuple[int, int, bytes] | None:
+    """(table, number, body) of a section whose length and CRC hold."""
+    if len(section) < 12 or len(section) != section_size(section) or crc_mpeg(section):
         return None
-    body = body[1 + body[0] :]
-    size = 3 + ((body[1] & 15) << 8 | body[2])
-    if size < 12 or size > len(body) or crc_mpeg(body[:size]):
-        return None
-    return body[0], body[3] << 8 | body[4], body[8 : size - 4]
+    return section[0], section[3] << 8 | section[4], section[8:-4]
+
+
+def section_size(section: bytes) -> int:
+    return 3 + ((section[1] & 15) << 8 | section[2])
+
+
+def joined_sections(bodies: Iterator[tuple[bool, bool, bytes]]) -> Iterator[bytes]:
+    """Sections of a table's packets (starts a section, comes after a gap, body), which may be many to a packet or go over many.
+
+    A section that the next one or the end cuts short comes out as it is, and fails its check; one with a gap goes.
+    """
+    held: bytes | None = None
+    for first, gap, body in bodies:
+        if gap:
+            held = None
+        if first:
+            begin = 1 + body[0] if body else 1
+            if held is not None:
+                held += body[1:begin]
+                yield held[: section_size(held)] if len(held) >= 3 else held
+            held = body[begin:]
+            if not held:
+                yield b""
+        elif held is not None:
+            held += body
+        while held and held[0] != 0xFF and len(held) >= 3 and len(held) >= (size := section_size(held)):
+            yield held[:size]
+            held = held[size:]
+        # stuffing fills the rest of a packet
+        if not held or held[0] == 0xFF:
+            held = None
+    if held is not None:
+        yield held
+
+
+#: Packets in a row that make a lock.
+LOCK = 4
+
+
+def packet_places(stream: bytes) -> tuple[np.ndarray, int]:
+    """(places of the packets, how often the sync is lost).
+
+    In lock, a packet with a wrong sync byte is left out if the next ones are in place. Where they aren't, the packet before
+    has lost or gained bytes and goes, and the search starts behind its first byte: of the places that LOCK sync bytes
+    follow at the packets' distance, or all to the end, those within a packet of the first compete; the one whose packets
+    fill the stream to its end wins, then the one with most packets in a row, then the first.
+    """
+    x = np.frombuffer(stream, np.uint8)
+    n = len(x)
+    if n % PACKET == 0 and (x[::PACKET] == SYNC).all():
+        return np.arange(0, n, PACKET), 0
+    rows = n // PACKET + 2
+    sync = np.zeros(rows * PACKET, bool)
+    sync[:n] = x == SYNC
+    # packets in a row from each place: the next row without sync, by column
+    number = np.arange(rows, dtype=np.int32)[:, None]
+    ends = np.minimum.accumulate(np.where(sync.reshape(rows, PACKET), np.int32(rows), number)[::-1])[::-1]
+    chain = (ends - number).ravel()
+    place = np.arange(len(chain))
+    reach = place + chain.astype(np.int64) * PACKET
+    locks = np.flatnonzero((chain > 0) & (place + PACKET <= n) & ((chain >= LOCK) | (reach >= n)))
+
+    def lock(after: int) -> int | None:
+        k = np.searchsorted(locks, after)
+        if k == len(locks):
+            return None
+        near = locks[k : np.searchsorted(locks, locks[k] + PACKET)]
+        return int(near[np.lexsort((near, -chain[near], reach[near] != n))[0]])
+
+    found: list[np.ndarray] = []
+    p = lock(0)
+    lost = int(p != 0)
+    while p is not None:
+        past = int(min(reach[p], p + (n - p) // PACKET * PACKET))
+        found.append(np.arange(p, past, PACKET))
+        if past == n:
+            break
+        lost += 1
+        after = past + PACKET
+        if after + PACKET <= n and (chain[after] >= LOCK or (chain[after] > 0 and reach[after] == n)):
+            p = after
+            continue
+        p = lock(past - PACKET + 1)
+        if p is not None:
+            run, early = found[-1], p < past - PACKET // 2
+            # a lock just behind the last packet's start: bytes were added, and packets since then were ones by chance
+            while early and p - PACKET > run[0] and sync[p - PACKET]:
+                p -= PACKET
+            clear = run[run + PACKET <= p]
+            found[-1] = clear[:-1] if early or len(clear) == len(run) else clear
+    return (np.concatenate(found) if found else np.zeros(0, np.int64)), lost
 
 
 def demux(stream: bytes | None) -> dict:
@@ -144,15 +232,11 @@ def demux(stream: bytes | None) -> dict:
     """
     found: dict = {"programs": {}, "streams": {}, "packets": [], "n_packets": 0, "continuity_errors": 0, "duplicates": 0, "crc_errors": 0, "sync_errors": 0, "scrambled": 0}
     stream = stream or b""
-    whole = len(stream) // PACKET
-    found["sync_errors"] = int(len(stream) % PACKET != 0)
-    raw = np.frombuffer(stream, np.uint8, whole * PACKET).reshape(whole, PACKET)
-    good = raw[:, 0] == SYNC
-    found["sync_errors"] += int((~good).sum())
-    raw = raw[good]
-    found["n_packets"] = n = len(raw)
+    places, found["sync_errors"] = packet_places(stream)
+    found["n_packets"] = n = len(places)
     if not n:
         return found
+    raw = np.lib.stride_tricks.sliding_window_view(np.frombuffer(stream, np.uint8), PACKET)[places]
     head = raw[:, 1:6].astype(np.int64)
     pid = (head[:, 0] & 31) << 8 | head[:, 1]
     start, error = (head[:, 0] & 0x40) > 0, (head[:, 0] & 0x80) > 0
@@ -185,16 +269,15 @@ def demux(stream: bytes | None) -> dict:
 
     def sections(p: int) -> Iterator[tuple[int, int, bytes]]:
         seen: set[bytes] = set()
-        for k in use.get(p, np.zeros((2, 0), int))[0]:
-            if start[k]:
-                body = raw[k, skip[k] :].tobytes()
-                if body in seen:
-                    continue
-                seen.add(body)
-                if (got := read_section(body)) is None:
-                    found["crc_errors"] += 1
-                else:
-                    yield got
+        at, gap = use.get(p, np.zeros((2, 0), int))
+        for body in joined_sections((bool(start[k]), bool(g), raw[k, skip[k] :].tobytes()) for k, g in zip(at, gap, strict=True)):
+            if body in seen:
+                continue
+            seen.add(body)
+            if (got := read_section(body)) is None:
+                found["crc_errors"] += 1
+            else:
+                yield got
 
     for table, _, body in sections(PAT_PID):
         for k in range(0, len(body) - 3, 4) if table == 0 else ():
@@ -213,7 +296,10 @@ def demux(stream: bytes | None) -> dict:
         at, bad = use.get(p, np.zeros((2, 0), int))
         firsts = np.flatnonzero(start[at])
         for lo, hi in zip(firsts, np.append(firsts[1:], len(at)), strict=True):
-            body = b"".join(raw[k, skip[k] :].tobytes() for k in at[lo:hi])
+            # what comes after a gap has no known place
+            gaps = np.flatnonzero(bad[lo + 1 : hi])
+            past = lo + 1 + gaps[0] if len(gaps) else hi
+            body = b"".join(raw[k, skip[k] :].tobytes() for k in at[lo:past])
             if len(body) < 9 or body[:3] != b"\x00\x00\x01":
                 found["crc_errors"] += 1
                 continue
@@ -221,7 +307,7 @@ def demux(stream: bytes | None) -> dict:
             data = body[9 + body[8] : 6 + size if size else None]
             pts = read_stamp(body[9:14]) if body[7] & 0x80 and len(body) >= 14 else None
             dts = read_stamp(body[14:19]) if body[7] & 0xC0 == 0xC0 and len(body) >= 19 else pts
-            found["packets"].append({"pid": p, "pts": pts, "dts": dts, "random_access": bool(flags[at[lo]] & 0x40), "complete": not size or len(body) >= 6 + size, "data": data})
+            found["packets"].append({"pid": p, "pts": pts, "dts": dts, "random_access": bool(flags[at[lo]] & 0x40), "complete": len(body) >= 6 + size if size else past == hi, "data": data})
     return found
 
 
