@@ -122,16 +122,6 @@ def with_previous(df: DataFrame, by: list[str], order: list[str], column: str, o
     return rows.withColumn(out, F.when(first, F.col("__carry")).otherwise(here)).drop("__bin", "__carry")
 
 
-def rejoined(df: DataFrame, same: list[str], order: list[str], start: str, end: str, slack: int = 5, out: str = "chain") -> DataFrame:
-    """df with `out`, the number of the fragment chain inside `same`: what was cut goes on where it ended, on either strand.
-
-    `same` names all that fragments of one alignment share: hit and sequence name, score, divergence, lineage.
-    """
-    w = W.partitionBy(*same).orderBy(*order)
-    meets = (F.abs(F.col(start) - F.lag(end).over(w)) < slack) | (F.abs(F.col(end) - F.lag(start).over(w)) < slack)
-    return df.withColumn("__fresh", F.when(F.coalesce(meets, F.lit(False)), 0).otherwise(1)).withColumn(out, F.sum("__fresh").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("__fresh")
-
-
 def at_or_before(df: DataFrame, marks: DataFrame, by: list[str], position: str, value: str, out: str, width: int = BIN) -> DataFrame:
     """df with `out`, the value of the last of marks (by, position, value) at or before its position, or null.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -10,10 +10,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from helixframe.functions.seq import kmers
 from helixframe.operators.graph import written
-from helixframe.operators.intervals import with_island
+from helixframe.operators.intervals import BIN, with_island
 
 WINDOW = 64
 
@@ -51,12 +52,30 @@ def with_dust(rows: DataFrame, key: str, seq: str) -> DataFrame:
     return rows.select(F.col(key).cast("long").alias("key"), F.col(seq).alias("seq")).mapInArrow(step, "key long, dust double, dust_fraction double").withColumnRenamed("key", key)
 
 
-def masklevel(hits: DataFrame, level: int = 80, chunk: int = 20_000) -> DataFrame:
+def dominated(hits: DataFrame, kept: DataFrame, level: int, width: int) -> DataFrame:
+    """(q, s, e) of the hits (q, s, e) whose % outside some kept hit (q, s, e) rounds to 100 - level at most; equal spans once.
+
+    Such a kept hit covers more than a share of level - 0.5 % of the hit, so it covers one of the points that lie so far
+    apart in it: hits come by their points, one above a level of 50, kept hits by the bins that they reach into.
+    """
+    spans = hits.select("q", "s", "e").distinct()
+    over = kept.select(F.col("q").alias("__q"), F.col("s").alias("__s"), F.col("e").alias("__e")).distinct()
+    overlap = F.greatest(F.lit(0), F.least("e", "__e") - F.greatest("s", "__s") + 1)
+    inside = (F.col("q") == F.col("__q")) & (F.floor(100 * (1 - overlap / (F.col("e") - F.col("s") + 1)) + 0.5) <= 100 - level)
+    if level < 1:
+        return spans.join(over, inside, "left_semi")
+    step = F.greatest(F.lit(1), F.floor((F.col("e") - F.col("s") + 1) * (2 * level - 1) / 200))
+    points = spans.withColumn("__p", F.explode(F.sequence(F.col("s") + step - 1, F.col("e"), step))).withColumn("__bin", F.floor(F.col("__p") / width))
+    bins = over.withColumn("__b", F.explode(F.sequence(F.floor(F.col("__s") / width), F.floor(F.col("__e") / width))))
+    return points.join(bins, inside & (F.col("__bin") == F.col("__b")), "left_semi").select("q", "s", "e").distinct()
+
+
+def masklevel(hits: DataFrame, level: int = 80, chunk: int = 20_000, width: int = 10_000) -> DataFrame:
     """hits (q, id, s, e, score) that no better hit of their query dominates; closed intervals.
 
     By score, the shorter first on ties: a hit goes if round(% of it outside some accepted hit) <= 100 - level. A query's
-    first `chunk` hits by rank are settled in a task; what they dominate goes by a join before the next round looks at
-    the rest, so no task holds more than that of a query, however many hits it has.
+    first `chunk` hits by rank are settled in a task; what they dominate goes by a join on bins of `width` before the next
+    round looks at the rest, so no task holds more than that of a query, however many hits it has.
     """
     columns = ["q", "id", "s", "e", "score"]
     if level >= 101:
@@ -82,43 +101,108 @@ def masklevel(hits: DataFrame, level: int = 80, chunk: int = 20_000) -> DataFram
         new = written(first.filter(F.col("__k") <= chunk).select(*columns).groupBy("q").applyInPandas(one, "q long, id string, s long, e long, score double"), "kept")
         kept = new if kept is None else kept.unionByName(new)
         rest = ranked.filter(F.col("__k") > chunk).drop("__k").unionByName(first.filter(F.col("__k") > chunk).drop("__k"))
-        over = new.select(F.col("q").alias("__q"), F.col("s").alias("__s"), F.col("e").alias("__e"))
-        overlap = F.greatest(F.lit(0), F.least("e", "__e") - F.greatest("s", "__s") + 1)
-        dominated = (F.col("q") == F.col("__q")) & (F.floor(100 * (1 - overlap / (F.col("e") - F.col("s") + 1)) + 0.5) <= 100 - level)
-        left = written(rest.join(over, dominated, "left_anti"), "hits")
+        left = written(rest.join(dominated(rest, new, level, width), ["q", "s", "e"], "left_anti").select(*columns, "part"), "hits")
         if left.isEmpty():
             return kept
 
 
+def first_fit(rows: DataFrame, by: list[str], order: list[str], reads: list[str], chains: Callable[[], Callable[..., int]], out: str) -> DataFrame:
+    """rows with `out`, the number of the chain that each row joins inside `by`, in the given order.
+
+    chains() begins a group: what it gives takes the columns `reads` of one row after the other and says the row's chain. A
+    task streams through its sorted groups and holds what that function holds, never a group's rows.
+    """
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, place = None, chains()
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in by), strict=True)
+            values = zip(*(batch.column(c).to_pylist() for c in reads), strict=True)
+            found = []
+            for key, row in zip(keys, values, strict=True):
+                if key != group:
+                    group, place = key, chains()
+                found.append(place(*row))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], names=[*batch.schema.names, out])
+
+    schema = StructType([*rows.schema.fields, StructField(out, LongType())])
+    return rows.repartition(*by).sortWithinPartitions(*by, *order).mapInArrow(step, schema)
+
+
 def collinear_chains(alignments: DataFrame, back: int = 200, ahead: int = 500_000, least: int = 3, least_span: int = 60_000) -> DataFrame:
     """(q, t, strand, chain, n, span) of alignments (q, t, strand, qs, qe, ts, te) in collinear order.
 
     By tstart, an alignment joins the first chain that it can follow: gaps from -back to ahead on both sides, the query's
     counted against the strand. Where no alignment reaches to within `ahead` of the next, chains end, so each stretch
-    between such gaps is chained by itself.
+    between such gaps is chained by itself, in bins of the target. A task holds the last alignment of the chains that
+    may go on, also where a stretch has no such gap.
     """
     by = ["q", "t", "strand"]
 
-    def one(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["ts", "te", "qs", "qe"])
-        chains: list[list[tuple]] = []
-        for r in group.itertuples(index=False):
-            for c in chains:
-                p = c[-1]
-                t_gap = r.ts - p.te
-                q_gap = r.qs - p.qe if r.strand == "+" else p.qs - r.qe
-                if -back <= t_gap <= ahead and -back <= q_gap <= ahead:
-                    c.append(r)
+    def chains() -> Callable[..., int]:
+        going: dict[int, tuple[int, int, int]] = {}
+        begun = 0
+
+        def place(strand: str, qs: int, qe: int, ts: int, te: int) -> int:
+            nonlocal begun
+            ended = []
+            for k, (last_qs, last_qe, last_te) in going.items():
+                t_gap, q_gap = ts - last_te, qs - last_qe if strand == "+" else last_qs - qe
+                if t_gap > ahead:
+                    # targets' starts don't go back
+                    ended.append(k)
+                elif -back <= t_gap and -back <= q_gap <= ahead:
                     break
             else:
-                chains.append([r])
-        rows = [(c[0].q, c[0].t, c[0].strand, c[0].stretch, k, len(c), int(sum(r.te - r.ts for r in c))) for k, c in enumerate(chains)]
-        return pd.DataFrame(rows, columns=[*by, "stretch", "chain", "n", "span"])
+                k, begun = begun, begun + 1
+            for gone in ended:
+                del going[gone]
+            going[k] = (qs, qe, te)
+            return k
 
-    rows = with_island(alignments.select(*by, "qs", "qe", "ts", "te"), by, "ts", "te", gap=ahead, out="stretch")
-    found = rows.groupBy(*by, "stretch").applyInPandas(one, "q string, t string, strand string, stretch long, chain long, n long, span long")
+        return place
+
+    rows = with_island(alignments.select(*by, "qs", "qe", "ts", "te"), by, "ts", "te", gap=ahead, out="stretch", width=BIN)
+    rows = first_fit(rows, [*by, "stretch"], ["ts", "te", "qs", "qe"], ["strand", "qs", "qe", "ts", "te"], chains, "chain")
+    found = rows.groupBy(*by, "stretch", "chain").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("te") - F.col("ts")).alias("span"))
     number = F.row_number().over(W.partitionBy(*by).orderBy("stretch", "chain")) - 1
-    return found.withColumn("chain", number.cast("long")).filter((F.col("n") >= least) & (F.col("span") >= least_span)).drop("stretch")
+    return found.withColumn("chain", number.cast("long")).filter((F.col("n") >= least) & (F.col("span") >= least_span)).select(*by, "chain", "n", "span")
+
+
+def rejoined(df: DataFrame, same: list[str], order: list[str], start: str, end: str, slack: int = 5, out: str = "chain") -> DataFrame:
+    """df with `out`, the number of the fragment chain inside `same`: what was cut goes on where it ended, on either strand.
+
+    `same` names all that fragments of one alignment share: hit and sequence name, score, divergence, lineage. In order, a
+    fragment joins the first begun of the chains whose last fragment it meets, whatever lies between them. A task holds
+    two numbers for each chain of a group.
+    """
+
+    def chains() -> Callable[..., int]:
+        lasts: dict[int, tuple[int, int]] = {}
+        by_end: tuple[dict[int, set[int]], dict[int, set[int]]] = ({}, {})
+
+        def near(held: dict[int, set[int]], at: int, which: int) -> Iterator[int]:
+            for b in range((at - slack) // slack, (at + slack) // slack + 1):
+                yield from (k for k in held.get(b, ()) if abs(lasts[k][which] - at) < slack)
+
+        def place(s: int | None, e: int | None) -> int:
+            s, e = (np.inf, np.inf) if s is None or e is None else (s, e)
+            known = np.isfinite(s)
+            k = min([*near(by_end[1], s, 1), *near(by_end[0], e, 0)], default=None) if known else None
+            if k is None:
+                k = len(lasts) + 1
+            else:
+                for held, at in zip(by_end, lasts[k], strict=True):
+                    held[at // slack].discard(k)
+            lasts[k] = (s, e)
+            if known:
+                for held, at in zip(by_end, (s, e), strict=True):
+                    held.setdefault(at // slack, set()).add(k)
+            return k
+
+        return place
+
+    return first_fit(df, same, order, [start, end], chains, out)
 
 
 def greedy_links(edges: DataFrame, rank: list[Column]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from helixframe.operators import gates as G
 from helixframe.operators import intervals as I
+from helixframe.operators import kernels as K
 from helixframe.plans import views as V
 from helixframe.plans.catalog import QUERIES
 
@@ -82,10 +83,11 @@ def e8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.contained_lower(V.hits(spark, sf_dir), "subject", "gmin", "gmax", "score", 1000).select("o", "ln", "subject", "gmin", "gmax", "score")
 
 
-@QUERIES.add("e9_fragment_rejoin", f"""WITH {V.HITS}, h AS (SELECT q, strand, o, ln, qstart // 80 AS score, CASE WHEN pident >= 95 THEN 0 ELSE 1 END AS dvg, p_brand AS lineage, (o * 7 + ln * 3) % 40 AS ss, (o * 7 + ln * 3) % 40 + ln AS se, row_number() OVER (PARTITION BY q ORDER BY o, ln, gmin, subject) AS k FROM hits JOIN part ON p_partkey = q WHERE p_brand <> 'Brand#11'),
+@QUERIES.add("e9_fragment_rejoin", f"""WITH RECURSIVE {V.HITS}, h AS (SELECT q, strand, o, ln, qstart // 80 AS score, CASE WHEN pident >= 95 THEN 0 ELSE 1 END AS dvg, p_brand AS lineage, (o * 7 + ln * 3) % 40 AS ss, (o * 7 + ln * 3) % 40 + ln AS se, row_number() OVER (PARTITION BY q ORDER BY o, ln, gmin, subject) AS k FROM hits JOIN part ON p_partkey = q WHERE p_brand <> 'Brand#11'),
 g AS (SELECT *, row_number() OVER (PARTITION BY q, strand, score, dvg, lineage ORDER BY k) AS r FROM h),
-c AS (SELECT *, CASE WHEN lag(k) OVER w IS NOT NULL AND (abs(ss - lag(se) OVER w) < 5 OR abs(se - lag(ss) OVER w) < 5) THEN 0 ELSE 1 END AS fresh FROM g WINDOW w AS (PARTITION BY q, strand, score, dvg, lineage ORDER BY k)),
-d AS (SELECT *, sum(fresh) OVER (PARTITION BY q, strand, score, dvg, lineage ORDER BY k ROWS UNBOUNDED PRECEDING) AS chain FROM c)
+d AS (SELECT q, strand, score, dvg, lineage, k, ss, se, r, 1 AS chain, [{{'s': ss, 'e': se}}] AS lasts FROM g WHERE r = 1
+UNION ALL SELECT q, strand, score, dvg, lineage, k, ss, se, r, coalesce(hit, len(lasts) + 1), CASE WHEN hit IS NULL THEN list_append(lasts, {{'s': ss, 'e': se}}) ELSE list_concat(lasts[:hit - 1], [{{'s': ss, 'e': se}}], lasts[hit + 1:]) END
+FROM (SELECT g.*, d.lasts, nullif(list_position(list_transform(d.lasts, lambda x: abs(g.ss - x.e) < 5 OR abs(g.se - x.s) < 5), true), 0) AS hit FROM d JOIN g ON g.q = d.q AND g.strand = d.strand AND g.score = d.score AND g.dvg = d.dvg AND g.lineage = d.lineage AND g.r = d.r + 1) x)
 SELECT q, strand, CAST(score AS BIGINT) AS score, min(k) AS first, count(*) AS n, CAST(min(least(ss, se)) AS BIGINT) AS low, CAST(max(greatest(ss, se)) AS BIGINT) AS high FROM d GROUP BY q, strand, score, dvg, lineage, chain""")
 def e9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fragments of one alignment: equal name, score, divergence and lineage, and consensus ends that meet; one class is left out."""
@@ -94,7 +96,7 @@ def e9(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.hits(spark, sf_dir).join(parts, "q").filter("lineage <> 'Brand#11'")
     rows = rows.withColumns({"score": F.floor(F.col("qstart") / 80), "dvg": F.when(F.col("pident") >= 95, 0).otherwise(1), "ss": place, "se": place + F.col("ln")})
     rows = rows.withColumn("k", F.row_number().over(W.partitionBy("q").orderBy("o", "ln", "gmin", "subject")))
-    chains = I.rejoined(rows, ["q", "strand", "score", "dvg", "lineage"], ["k"], "ss", "se")
+    chains = K.rejoined(rows, ["q", "strand", "score", "dvg", "lineage"], ["k"], "ss", "se")
     found = chains.groupBy("q", "strand", "score", "dvg", "lineage", "chain").agg(F.min("k").cast("long").alias("first"), F.count(F.lit(1)).alias("n"), F.min(F.least("ss", "se")).cast("long").alias("low"), F.max(F.greatest("ss", "se")).cast("long").alias("high"))
     return found.drop("dvg", "lineage", "chain")
 

@@ -59,11 +59,3 @@ def test_depth(spark, rows):
         marks = sorted({x for r in mine for x in r[1:3]})
         want += [(str(c), a, b, sum(r[1] <= a < r[2] for r in mine)) for a, b in zip(marks, marks[1:], strict=False)]
     assert got == sorted(want)
-
-
-def test_fragments_are_rejoined_where_they_meet(spark):
-    # consensus spans in order: the second goes on 4 behind the first, the third starts elsewhere, the fourth ends where the third began
-    rows = [("a", 1, 100, 150), ("a", 2, 154, 200), ("a", 3, 400, 450), ("a", 4, 350, 404), ("b", 1, 405, 500)]
-    df = spark.createDataFrame(rows, "n string, k long, ss long, se long")
-    got = sorted((r.n, r.k, r.chain) for r in I.rejoined(df, ["n"], ["k"], "ss", "se").collect())
-    assert got == [("a", 1, 1), ("a", 2, 1), ("a", 3, 2), ("a", 4, 2), ("b", 1, 1)]

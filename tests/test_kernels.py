@@ -115,3 +115,45 @@ def test_descent_stops_at_a_node_that_is_more_probable_itself(spark):
     children = spark.createDataFrame([("r", "a", 0.5, 0.1), ("r", "b", 0.5, 0.1), ("a", "a1", 0.2, 0.3), ("b", "b1", 0.9, 0.1)], "node string, child string, p double, own double")
     starts = spark.createDataFrame([(1, "r"), (2, "b"), (3, "z")], "id long, node string")
     assert sorted(tuple(r) for r in descended(starts, children, 3).collect()) == [(1, "a", True), (2, "b1", False), (3, "z", False)]
+
+
+def test_fragments_are_rejoined_where_they_meet(spark):
+    # consensus spans in order: the second goes on 4 behind the first, the third starts elsewhere, the fourth ends where the third began
+    rows = [("a", 1, 100, 150), ("a", 2, 154, 200), ("a", 3, 400, 450), ("a", 4, 350, 404), ("b", 1, 405, 500)]
+    # another element between two fragments; the first begun of two chains that fit; a fragment without a place
+    rows += [("c", 1, 10, 50), ("c", 2, 900, 950), ("c", 3, 51, 80), ("d", 1, 10, 50), ("d", 2, 60, 50), ("d", 3, 50, 90), ("e", 1, 5, 9), ("e", 2, None, 9), ("e", 3, 9, 12), (None, 1, 1, 2), (None, 2, 2, 3)]
+    df = spark.createDataFrame(rows, "n string, k long, ss long, se long")
+    got = {(r.n, r.k): r.chain for r in K.rejoined(df, ["n"], ["k"], "ss", "se").collect()}
+    want = {"a": [1, 1, 2, 2], "b": [1], "c": [1, 2, 1], "d": [1, 2, 1], "e": [1, 2, 1], None: [1, 1]}
+    assert got == {(n, k): c for n, chains in want.items() for k, c in enumerate(chains, 1)}
+    assert K.rejoined(df.limit(0), ["n"], ["k"], "ss", "se").count() == 0
+
+
+def test_rejoining_is_the_pass_over_what_is_left(spark):
+    rng = random.Random(12)
+    rows = [(rng.choice("xy"), k, s := rng.randrange(120), s + rng.randrange(30)) for k in range(400)]
+    want = {}
+    for n in "xy":
+        left, chain = [r for r in rows if r[0] == n], 0
+        while left:
+            chain, last, rest = chain + 1, left[0], []
+            want[left[0][1]] = chain
+            for r in left[1:]:
+                if abs(r[2] - last[3]) < 5 or abs(r[3] - last[2]) < 5:
+                    want[r[1]], last = chain, r
+                else:
+                    rest.append(r)
+            left = rest
+    df = spark.createDataFrame(rows, "n string, k long, ss long, se long")
+    assert {r.k: r.chain for r in K.rejoined(df, ["n"], ["k"], "ss", "se").collect()} == want
+
+
+def test_dominated_hits_are_those_of_all_pairs(spark):
+    rng = random.Random(13)
+    span = lambda: (rng.choice([1, 2]), s := rng.randrange(1, 300), s + rng.choice([0, 1, 5, 40, 200]))
+    hits, kept = [span() for _ in range(150)], [span() for _ in range(40)]
+    a, b = (spark.createDataFrame(x, "q long, s long, e long") for x in (hits, kept))
+    for level in (0, 1, 30, 50, 80, 100):
+        share = lambda h, k: 100 * (1 - max(0, min(h[2], k[2]) - max(h[1], k[1]) + 1) / (h[2] - h[1] + 1))
+        want = {h for h in hits if any(h[0] == k[0] and int(share(h, k) + 0.5) <= 100 - level for k in kept)}
+        assert {tuple(r) for r in K.dominated(a, b, level, 16).collect()} == want, level
