@@ -13,9 +13,11 @@ from helixframe.operators.graph import scratch
 from helixframe.plans import views as V
 from helixframe.plans.catalog import QUERIES
 from helixframe.plans.registry import table
+from helixframe.plans.set_queries import taxonomy
 from helixframe.plans.source_queries import stored
 from helixframe.sources import records as R
 from helixframe.sources import reports as RP
+from helixframe.sources import store as ST
 
 BASES = "ACGT"
 
@@ -60,6 +62,33 @@ def a24(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(store)
 
 
+STAGED = f"""{FAMILIES}, numbered AS (SELECT *, CAST(substr(accession, 3) AS BIGINT) AS k, (CAST(substr(accession, 3) AS BIGINT) % 9 * 5 + 35)::VARCHAR AS searched, (CAST(substr(accession, 3) AS BIGINT) % 4 * 10 + 40)::VARCHAR AS buffered FROM fams),
+one AS (SELECT accession || CASE WHEN k % 7 = 0 THEN 'v' ELSE '' END AS accession, name, type, subtype, k, searched, buffered FROM numbered WHERE k % 3 <> 0),
+two AS (SELECT CASE WHEN k % 10 = 2 THEN name WHEN k % 11 = 0 THEN 'DR' || lpad(k::VARCHAR, 7, '0') ELSE accession END AS accession, 'second' || k AS name, type, subtype, k, searched, buffered FROM numbered WHERE k % 3 = 0 OR k % 2 = 0),
+store AS (SELECT * FROM one UNION ALL SELECT * FROM two WHERE NOT EXISTS (SELECT 1 FROM one WHERE one.k = two.k AND (one.accession IN (two.accession, two.accession || 'v') OR one.name = two.accession))),
+taxa AS (SELECT DISTINCT l_partkey AS k, 's' || l_suppkey AS taxon FROM lineitem), below AS (SELECT 's' || s_suppkey AS taxon FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE n_regionkey = 1)"""
+
+
+@QUERIES.add("a24_store_lookups", f"""WITH {STAGED} SELECT 'stage' AS search, accession, name FROM store WHERE searched = '50' OR buffered = '50' UNION ALL SELECT 'models', accession, name FROM store WHERE searched IN ('35', '50', '55', '60', '65', '70', '75') AND type LIKE 'S%'
+UNION ALL SELECT 'below', accession, name FROM store WHERE k IN (SELECT k FROM taxa JOIN below USING (taxon)) AND (searched = '40' OR buffered = '40') UNION ALL SELECT 'uncurated', accession, name FROM store WHERE accession LIKE 'DR%' AND name LIKE 'second%'""")
+def a24_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store of two batches that share names in several ways, and its families by stage, by models, below a taxon, uncurated."""
+    store, k = scratch(spark, "store"), F.substring("accession", 3, 9).cast("long")
+    clades = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("k")).agg(F.collect_set(F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))).alias("clades"))
+    rows = families(spark, sf_dir).withColumn("k", k).join(clades, "k", "left").select("k", "accession", "name", "type", "subtype", (F.col("k") % 9 * 5 + 35).cast("string").alias("search_stages"), (F.col("k") % 4 * 10 + 40).cast("string").alias("buffer_stages"), "clades")
+    one = rows.filter("k % 3 <> 0").withColumn("accession", F.concat("accession", F.when(F.col("k") % 7 == 0, "v").otherwise("")))
+    other = F.when(F.col("k") % 10 == 2, F.col("name")).when(F.col("k") % 11 == 0, F.concat(F.lit("DR"), F.lpad(F.col("k").cast("string"), 7, "0"))).otherwise(F.col("accession"))
+    two = rows.filter("k % 3 = 0 or k % 2 = 0").withColumns({"accession": other, "name": F.concat(F.lit("second"), F.col("k").cast("string"))})
+    for batch in (one, two):
+        ST.append(batch.drop("k"), store)
+    searches = {
+        "stage": {"stage": 50}, "models": {"stage": 95, "is_hmm": True, "kind": "s"}, "below": {"taxonomy": taxonomy(spark, sf_dir), "taxon": "r1", "descendants": True, "stage": 40},
+        "uncurated": {"curated": False, "name": "SECOND"},
+    }
+    found = [ST.selected(spark, store, **search).select(F.lit(label).alias("search"), "accession", "name") for label, search in searches.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+
+
 @QUERIES.add("a20_crossmatch_scan", f"WITH {V.HITS} SELECT CAST(floor(score) AS BIGINT) AS score, 100 - pident AS div, 'q' || q AS q, gmin AS qstart, gmax AS qend, strand, 'fam' || subject AS name, CASE WHEN ln % 2 = 0 THEN 'LTR/Copia' END AS class, qstart AS sstart, qend AS send, 400 - qend AS sleft, 'm_b' || o AS id FROM hits")
 def a20(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits as summary lines with an alignment line under each, and back."""
