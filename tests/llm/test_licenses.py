@@ -74,3 +74,11 @@ def test_adjacent_licences_are_all_found():
             found = index.matches(pa.array([gap.join(texts)]), 0.8)[0]
             assert [m[0] for m in found] == list(names), (names, found)
             assert all(a[2] <= b[1] for a, b in zip(found, found[1:], strict=False)), found
+
+
+def test_texts_that_hold_most_of_another_are_told_apart():
+    index = C.Index(TEMPLATES)
+    longest = {name: max(texts, key=len) for name, texts in TEMPLATES.items()}
+    for name, text in longest.items():
+        found = index.matches(pa.array([f"some words before it\n{text}\nand some behind"]), 0.8)[0]
+        assert [m[0] for m in found] == [name], (name, found)
