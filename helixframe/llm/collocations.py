@@ -6,10 +6,12 @@ are the nodes, and the edge's weight is how often the phrase occurs. Each place
 starts there or, too near to the piece's end, what is left of the piece, as a correction. Shorter counts are derived:
 a phrase occurs as often as edges and ends that start with it.
 
-Tasks count their texts in steps, and one shuffle by language and node brings all that leaves a node together; edges,
-node flows and shorter counts are added up from it. Only phrases of `least` or more go on, and so words, pairs of words and
-edges that occur less often are cut before the shuffle: what stands before the cut becomes an end. The filters are
-bitmaps of fixed sizes over counted hashes, which may keep a rare phrase but never drop a frequent one: counts are exact.
+Tasks count their texts in steps, and one shuffle by language and bucket, a hash of the node, brings all that leaves a node
+together; edges, node flows and shorter counts are added up from it. A task sends one row for each bucket, with its edges
+and ends as sorted lines of text: rows of their own would take twice the bytes. Only phrases of `least` or more go on, and
+so words, pairs of words and edges that occur less often are cut before the shuffle: what stands before the cut becomes an
+end. The filters are bitmaps of fixed sizes over counted hashes, which may keep a rare phrase but never drop a frequent
+one: counts are exact.
 
 Where an edge carries all that its two nodes carry, these are one unary path. Such paths are compacted to one row each
 by doubling steps (a path is no longer than a piece), and candidates are read from the paths and from the edges between
@@ -48,6 +50,8 @@ WORD_BITS, PAIR_BITS, BLOCK = 1 << 24, 1 << 26, 1 << 16
 STEP_BYTES = 1 << 22
 #: Rows of edges and ends that a task holds to add them up before they are shuffled.
 MOST_HELD = 2_000_000
+#: Buckets of a language's nodes; a task sends at most a row for each, whatever the number of partitions.
+BUCKETS = 1 << 13
 #: The first rows of a language are chosen in so many parts, then from these.
 PARTS = 256
 #: For each byte: itself in lower case, a tab as a space, and the end of a piece as a line break.
@@ -168,16 +172,28 @@ def frequent(rows: DataFrame, longest: int, least: int) -> tuple[bytes, bytes, b
     return words, pairs, bitmap(rows, lambda part: (p := Pieces(part)).phrases(longest)[p.whole(longest, p.goes_on(both.value))], least, PAIR_BITS)
 
 
+def packed(counted: pa.Table) -> pa.Table:
+    """(lang, bucket, lines) of (lang, bucket, node, last, n): a line for each node and last word, none if null; no word has a tab or line break."""
+    counted = counted.sort_by([(c, "ascending") for c in ("lang", "bucket", "node", "last")])
+    lang, bucket = counted.column("lang").combine_chunks(), counted.column("bucket").to_numpy()
+    new = np.ones(len(bucket), bool)
+    new[1:] = (bucket[1:] != bucket[:-1]) | pc.not_equal(lang[1:], lang[:-1]).to_numpy(zero_copy_only=False)
+    at = np.flatnonzero(new)
+    lines = pc.binary_join_element_wise(counted.column("n").cast(pa.string()), counted.column("node"), counted.column("last"), "\t", null_handling="skip")
+    lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(bucket)), pa.int32()), lines.combine_chunks())
+    return pa.table([lang.take(pa.array(at)), pa.array(bucket[at]), pc.binary_join(lists, "\n")], names=["lang", "bucket", "lines"])
+
+
 def grams(rows: DataFrame, longest: int, kept: tuple[bytes, bytes, bytes]) -> DataFrame:
-    """(lang, node, last, n): the edges that start at each place, or what the piece's end or a rare word or pair leaves of them, without a last word.
+    """(lang, bucket, node, last, n): the edges that start at each place, or what the piece's end or a rare word or pair leaves of them, without a last word.
 
-    A place whose own word is rare counts for the empty node.
+    A place whose own word is rare counts for the empty node. Rows of a node are in one bucket, and dealt out by language and bucket.
     """
     shared = rows.sparkSession.sparkContext.broadcast(kept)
 
     def summed(tables: list[pa.Table]) -> pa.Table:
-        out = pa.concat_tables(tables).group_by(["lang", "node", "last"], use_threads=False).aggregate([("n", "sum")])
-        return out.select(["lang", "node", "last", "n_sum"]).rename_columns(["lang", "node", "last", "n"])
+        out = pa.concat_tables(tables).group_by(["lang", "bucket", "node", "last"], use_threads=False).aggregate([("n", "sum")])
+        return out.select(["lang", "bucket", "node", "last", "n_sum"]).rename_columns(["lang", "bucket", "node", "last", "n"])
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -207,15 +223,23 @@ def grams(rows: DataFrame, longest: int, kept: tuple[bytes, bytes, bytes]) -> Da
             parts = [texts.take(pa.array(c[at])) for c in columns]
             parts[0] = pc.fill_null(parts[0], "")
             node = pc.binary_join_element_wise(*parts[:-1], " ", null_handling="skip")
-            held.append(pa.table([found.langs.take(pa.array(found.lang[at])).cast(pa.string()), node, parts[-1], pa.array(n.astype(np.int64))], names=["lang", "node", "last", "n"]))
+            by_node = np.zeros(len(at), U)
+            for k, c in enumerate(columns[:-1]):
+                by_node = mixed(by_node * U(0xC2B2AE3D27D4EB4F) + np.where(c[at] > 0, found.hash[np.minimum(at + k, count - 1)], U(0)))
+            bucket = pa.array((by_node % U(BUCKETS)).astype(np.int32))
+            held.append(pa.table([found.langs.take(pa.array(found.lang[at])).cast(pa.string()), bucket, node, parts[-1], pa.array(n.astype(np.int64))], names=["lang", "bucket", "node", "last", "n"]))
             if sum(x.num_rows for x in held) > MOST_HELD:
                 held = [summed(held)]
                 if held[0].num_rows > MOST_HELD // 2:
-                    yield from held.pop().to_batches(max_chunksize=1 << 16)
+                    yield from packed(held.pop()).to_batches(max_chunksize=1 << 10)
         if held:
-            yield from summed(held).to_batches(max_chunksize=1 << 16)
+            held = [summed(held)]
+            yield from packed(held.pop()).to_batches(max_chunksize=1 << 10)
 
-    return rows.mapInArrow(step, "lang string, node string, last string, n long")
+    dealt = rows.mapInArrow(step, "lang string, bucket int, lines string").repartition("lang", "bucket")
+    line = F.split("line", "\t")
+    lines = dealt.select("lang", "bucket", F.explode(F.split("lines", "\n")).alias("line"))
+    return lines.select("lang", "bucket", line[1].alias("node"), F.get(line, F.lit(2)).alias("last"), line[0].cast("long").alias("n"))
 
 
 def first_words(phrase: Column, k: int) -> Column:
@@ -229,13 +253,13 @@ def last_words(phrase: Column, k: int) -> Column:
 def counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, words, phrase, f) of all phrases of up to `longest` words that occur `least` times or more; phrase null and words 0 for all words of a language.
 
-    One shuffle deals the edges out by language and node, so edges and node flows are added up where they lie; shorter
-    prefixes of nodes are added up before they are shuffled.
+    One shuffle deals the edges out by language and bucket of the node, so edges and node flows are added up where they lie;
+    shorter prefixes of nodes are added up before they are shuffled.
     """
     rows = rows_of(docs, text_col, lang_col)
-    edges = grams(rows, longest, frequent(rows, longest, least)).repartition("lang", "node").groupBy("lang", "node", "last").agg(F.sum("n").alias("f"))
+    edges = grams(rows, longest, frequent(rows, longest, least)).groupBy("lang", "bucket", "node", "last").agg(F.sum("n").alias("f"))
     # partitioned alike, so neither the sum nor the flow of a node shuffles again; one row of a node speaks for it
-    node = W.partitionBy("lang", "node")
+    node = W.partitionBy("lang", "bucket", "node")
     edges = edges.withColumns({"flow": F.sum("f").over(node), "first": F.row_number().over(node.orderBy(F.col("last").asc_nulls_first())) == 1})
     size = F.regexp_count("node", F.lit(" ")) + 1
     found = [(F.col("last").isNotNull() & (F.col("f") >= least), longest, F.concat_ws(" ", "node", "last"), F.col("f")), (F.col("first"), 0, F.lit(None).cast("string"), F.col("flow"))]

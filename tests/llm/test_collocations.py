@@ -77,6 +77,28 @@ def test_rare_words_and_pairs_are_cut_before_the_shuffle(spark):
     assert {tuple(r) for r in out} == {("same words", None, 17), ("words", None, 19), ("same", None, 1), ("", None, 8)}
 
 
+def test_a_task_sends_a_row_for_each_bucket(spark):
+    def exchanges(node):
+        below = [node.children().apply(k) for k in range(node.children().size())]
+        return [node] * node.nodeName().startswith("Exchange") + [x for y in below for x in exchanges(y)]
+
+    # 20,000 nodes in one task, all of them frequent
+    text = "; ".join(f"first{k % 200} second{k // 200} third" for k in range(20_000))
+    rows = C.rows_of(spark.createDataFrame([(1, text, "en"), (2, text, "en")], SCHEMA).coalesce(1), "text", "lang")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = C.grams(rows, 3, C.frequent(rows, 3, 2))
+        found = {(r["node"], r["last"]): r["n"] for r in out.collect()}
+        sent = exchanges(out._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sum(f == "third" and n == 2 for (_, f), n in found.items()) == 20_000
+    assert all(n == 2 for (node, _), n in found.items() if node.startswith("first"))
+    written = [x.metrics().apply("shuffleRecordsWritten").value() for x in sent]
+    assert len(written) == 1 and written[0] <= C.BUCKETS
+
+
 def test_large_numbers_are_exact(spark):
     a, l, r = 9_999_999_999_999, 10_000_000_000_000, 9_999_999_999_999
     row = spark.sql(f"SELECT div(1000000 * (CAST({a} AS decimal(20,0)) * CAST({a} AS decimal(20,0))), CAST({l} AS decimal(20,0)) * CAST({r} AS decimal(20,0))) AS q").first()
