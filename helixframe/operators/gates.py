@@ -168,6 +168,14 @@ def discovery_gate(families: DataFrame, least_members: int = 5, least_length: in
     return families.filter((F.coalesce("members", F.lit(least_members)) >= least_members) & (F.col("length") >= least_length))
 
 
+def with_bound(families: DataFrame, genome_mb: float, per_mb: float = 15.0) -> DataFrame:
+    """families with `within`: whether there are at most `per_mb` of them for each Mb of the genome; true where its size is unknown."""
+    if genome_mb <= 0:
+        return families.withColumn("within", F.lit(True))
+    bound = families.agg((F.count(F.lit(1)) <= per_mb * genome_mb).alias("within"))
+    return families.join(F.broadcast(bound))
+
+
 def within_bound(families: DataFrame, genome_mb: float, per_mb: float = 15.0) -> DataFrame:
     """families as they are; reading them fails if there are more than `per_mb` for each Mb of a known genome."""
     if genome_mb <= 0:

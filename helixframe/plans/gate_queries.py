@@ -42,9 +42,9 @@ def b6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @QUERIES.add("b11_discovery_gate", f"""WITH {V.RECORDS}, f AS (SELECT id, CASE WHEN id % 9 > 0 THEN copies % 11 END AS members, length % 400 AS length FROM records), k AS (SELECT * FROM f WHERE coalesce(members, 5) >= 5 AND length >= 100) SELECT id, members, CAST(length AS BIGINT) AS length, (SELECT count(*) FROM k) <= 15 * 2000 AS within FROM k""")
 def b11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Discovered families with members and length, no more than 15 for each Mb of a genome of 2000 Mb."""
+    """Discovered families with members and length, and whether they are no more than 15 for each Mb of a genome of 2000 Mb."""
     rows = V.records(spark, sf_dir).select("id", F.when(F.col("id") % 9 > 0, F.col("copies") % 11).alias("members"), (F.col("length") % 400).cast("long").alias("length"))
-    return G.within_bound(G.discovery_gate(rows), 2000).withColumn("within", F.lit(True))
+    return G.with_bound(G.discovery_gate(rows), 2000)
 
 
 @QUERIES.add("b17_candidate_classes", f"""WITH {I18}, q AS (SELECT id, len % 700 AS length, c AS copies, ident AS identity, round(CAST(score AS DOUBLE), 9) AS score, greatest(0.5, cut_a) AS a, greatest(0.3, cut_a - 0.2) AS b, (id % 10) / 10.0 AS complexity, id % 6 = 0 AS structural FROM z, m), k AS (SELECT *, CASE WHEN score < b AND length < 80 AND complexity < 0.3 THEN 'rejected' WHEN score >= a THEN 'A' WHEN score >= b THEN 'B' ELSE 'C' END AS class FROM q)
