@@ -96,7 +96,7 @@ def i9(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = rows.join(rows.select((F.col("id") - 1).alias("id"), F.col("seq").alias("other")), "id")
     n = F.least(F.length("seq"), F.length("other"))
     same = S.identical_positions(F.col("seq"), F.col("other"))
-    return pairs.select("id", same.cast("long").alias("same"), F.round(F.when(n > 0, same / n).otherwise(F.lit(0.0)), 6).alias("similarity"))
+    return pairs.select("id", same.cast("long").alias("same"), S.rounded(F.when(n > 0, same / n).otherwise(F.lit(0.0)), 6).alias("similarity"))
 
 
 GATE = "CASE WHEN len < 100 THEN 'short' WHEN len > 30000 THEN 'long' WHEN h1 < CASE WHEN len < 100 THEN 0.8 ELSE 1.9 END THEN 'low_entropy' WHEN {runs} > 12 THEN 'homopolymer' ELSE 'pass' END"

@@ -17,3 +17,23 @@ def test_more_families_than_the_bound_are_flagged(spark, tmp_path):
     got = QUERIES.queries["b11_discovery_gate"](spark, str(tmp_path)).select("id", "members", "length", "within").collect()
     assert len(want) > 30_000 and {r[3] for r in want} == {False}
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def documents(spark, path, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows.coalesce(1).write.parquet(f"{path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet/*.parquet'")
+    return con
+
+
+def same_rows(spark, path, con, name):
+    got = QUERIES.queries[name](spark, str(path))
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({QUERIES.sql[name]})").fetchall()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_likeness_between_two_roundings(spark, tmp_path):
+    # 41, 323 and 333 of 640 end in a 5 at the seventh digit, and their doubles lie below it
+    con = documents(spark, tmp_path, ["a" * 640, "a" * 41 + "b" * 599, "b" * 316 + "c" * 1 + "b" * 323, "b" * 333 + "d" * 307])
+    same_rows(spark, tmp_path, con, "i9_positional_similarity")
