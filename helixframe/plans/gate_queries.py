@@ -89,7 +89,7 @@ def i15(spark: SparkSession, sf_dir: str) -> DataFrame:
     seqs = V.seqs(spark, sf_dir)
     ends = P.with_terminal_repeat(seqs.filter(F.length("seq") >= 300), "id", "seq", RATIOS, 100, 1500)
     rows = seqs.join(ends, "id", "left").withColumns({"similarity": F.coalesce("similarity", F.lit(0.0)), "repeat_length": F.coalesce("repeat_length", F.lit(0))})
-    return SC.ltr_scores(rows).select("id", "kind", F.round("similarity", 6).alias("similarity"), F.col("repeat_length").cast("long").alias("repeat_length"), F.round("total", 6).alias("total"), "category")
+    return SC.ltr_scores(rows).select("id", "kind", S.rounded(F.col("similarity"), 6).alias("similarity"), F.col("repeat_length").cast("long").alias("repeat_length"), S.rounded(F.col("total"), 6).alias("total"), "category")
 
 
 @QUERIES.add("i17_structure_score")

@@ -1,5 +1,7 @@
 """Queries on tables that pass a bound which the small tables keep, and values that lie on a bound."""
 
+import random
+
 import duckdb
 from pyspark.sql import functions as F
 
@@ -37,3 +39,14 @@ def test_likeness_between_two_roundings(spark, tmp_path):
     # 41, 323 and 333 of 640 end in a 5 at the seventh digit, and their doubles lie below it
     con = documents(spark, tmp_path, ["a" * 640, "a" * 41 + "b" * 599, "b" * 316 + "c" * 1 + "b" * 323, "b" * 333 + "d" * 307])
     same_rows(spark, tmp_path, con, "i9_positional_similarity")
+
+
+def test_ends_alike_between_two_roundings(spark, tmp_path):
+    # of a repeat of 640 bases, the longest of its 1600, 333 are equal: its score is the only one far from chance
+    rng = random.Random(4)
+    head, middle = [rng.choice("abcd") for _ in range(640)], [rng.choice("abcd") for _ in range(320)]
+    tail = [x if i < 333 else rng.choice([y for y in "abcd" if y != x]) for i, x in enumerate(head)]
+    con = documents(spark, tmp_path, ["".join(head + middle + tail), "abcd" * 100])
+    want = con.execute(QUERIES.sql["i15_ltr_scores"]).fetchall()
+    assert (640, 0.520312) in {(r[3], r[2]) for r in want}
+    same_rows(spark, tmp_path, con, "i15_ltr_scores")
